@@ -9,7 +9,7 @@ per-row result is joined back by key (AQE splits a skewed join partition).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,39 +17,50 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _join_back(df: DataFrame, agg: DataFrame, keys: list[str]) -> DataFrame:
-    """Join ``agg`` (keys renamed ``__g<i>``) back to ``df`` null-safely on keys."""
+def _join_back(df: DataFrame, agg: DataFrame, keys: list[str], null_safe: bool = True) -> DataFrame:
+    """Join ``agg`` (keys renamed ``__g<i>``) back to ``df`` on keys.
+
+    ``null_safe`` keeps the window meaning for NULL keys (one NULL group); it
+    partitions on ``(coalesce(k), isnull(k))``, so callers whose NULL-key rows
+    are dropped later anyway pass ``False`` and keep a plain key partitioning
+    that the next join on the same key reuses.
+    """
     cond = None
     for i, k in enumerate(keys):
-        c = df[k].eqNullSafe(agg[f"__g{i}"])
+        c = df[k].eqNullSafe(agg[f"__g{i}"]) if null_safe else (df[k] == agg[f"__g{i}"])
         cond = c if cond is None else cond & c
     out = df.join(agg, cond, "left")
     return out.drop(*[f"__g{i}" for i in range(len(keys))])
 
 
-def group_max(df: DataFrame, value: Column | str, keys, name: str) -> DataFrame:
+def group_max(df: DataFrame, value: Column | str, keys, name: str,
+              null_safe: bool = True) -> DataFrame:
     """add ``max(value) over (partition by keys)`` as column ``name``.
 
-    Same rows and values as the window form; NULL keys form one group.
+    Same rows and values as the window form; NULL keys form one group
+    (with ``null_safe=False`` rows with a NULL key get NULL instead).
     """
     keys = _keys(keys)
     value = F.col(value) if isinstance(value, str) else value
     agg = df.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]).agg(
         F.max(value).alias(name))
-    return _join_back(df, agg, keys)
+    return _join_back(df, agg, keys, null_safe)
 
 
 def distinct_with_group_max(df: DataFrame, keys, maxed: list[str], kept: list[str]) -> DataFrame:
     """F2 + E1: ``select distinct keys, max(m) over (partition by keys), kept``.
 
-    Reduced first to distinct (keys, kept) with partial maxima, then to one
-    row per key; only the reduced rows are joined back.
+    First a partial aggregate to distinct (keys, kept) rows with their
+    maxima; the per-key maxima are then a window over those reduced rows,
+    which hold one row per distinct ``kept`` combination of a key (e.g. the
+    categories of a hospital), never the raw rows of a hot key.  One pass:
+    the reduced frame is not joined back to itself, so its input plan runs
+    once.
     """
     keys = _keys(keys)
     per_group = df.groupBy(*keys, *kept).agg(*[F.max(m).alias(m) for m in maxed])
-    per_key = per_group.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]).agg(
-        *[F.max(m).alias(m) for m in maxed])
-    return _join_back(per_group.select(*keys, *kept), per_key, keys)
+    w = Window.partitionBy(*keys)
+    return per_group.select(*keys, *[F.max(m).over(w).alias(m) for m in maxed], *kept)
 
 
 def latest_per_key(df: DataFrame, keys, order_by: list[str], cols: list[str] | None = None,

@@ -111,7 +111,9 @@ def order_view(header: DataFrame, lines: DataFrame, items: DataFrame, contacts:
             raise ValueError("category_mode='lookup' needs category_lookup")
         key = F.substring(F.col("category_key"), 1, cfg.category_key_len)
         li = prefix_lookup(li, key, category_lookup, "code", "meaning", "category_meaning")
-    li = group_max(li, "flag", "header_id", "order_flag")
+    # lines without an order key never meet a header, so a plain key join
+    # (reusable hash partitioning on the order key) is exact here
+    li = group_max(li, "flag", "header_id", "order_flag", null_safe=False)
 
     h = header
     if cfg.order_bound is not None:
