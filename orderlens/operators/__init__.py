@@ -1,6 +1,7 @@
 """DataFrame -> DataFrame operators."""
 
 from orderlens.operators.checks import assert_unique, duplicate_keys, reconcile, with_counts
+from orderlens.operators.derive import with_serial_key
 from orderlens.operators.filters import exclude_values, keep_flagged_or_unflagged
 from orderlens.operators.joins import (
     cross_small, exclude_existing, exclude_keys, exists_flag, join_latest, join_on_expr,
@@ -23,5 +24,5 @@ __all__ = [
     "or_join", "prefix_lookup", "distinct_with_group_max", "group_max", "latest_per_key",
     "strict_latest", "append_by_name", "changed_since", "delete_missing",
     "incremental_refresh", "merge_upsert", "recent", "category_values", "fill_zero",
-    "joined_list", "pivot_flags", "pivot_values",
+    "joined_list", "pivot_flags", "pivot_values", "with_serial_key",
 ]

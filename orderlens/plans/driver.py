@@ -23,7 +23,7 @@ from orderlens.operators import (
     exclude_existing, exclude_keys, exclude_values, exists_flag, fill_zero, group_max,
     incremental_refresh, join_latest, join_on_expr, joined_list, keep_flagged_or_unflagged,
     keep_keys, latest_per_key, left_join_filtered, merge_upsert, or_join, pivot_flags,
-    pivot_values, prefix_lookup, reconcile, recent, strict_latest,
+    pivot_values, prefix_lookup, reconcile, recent, strict_latest, with_serial_key,
 )
 from orderlens.operators.merge import changed_since
 from orderlens.plans.directory import directory
@@ -350,7 +350,7 @@ def q_widen_schema(spark, d):
 def q_derive_on_write(spark, d):
     """The writer derives the key column; read back what was written."""
     o = _t(spark, d).orders.select("o_orderkey", "o_orderpriority")
-    written = publish(o.withColumn("s", X.serial_suffix("o_orderpriority")),
+    written = publish(with_serial_key(o, "o_orderpriority", "s"),
                       scratch_path(spark, "derive_on_write"))
     return spark.read.parquet(written).select("o_orderkey", "s")
 

@@ -6,7 +6,7 @@ import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from orderlens.operators.checks import with_counts
+from orderlens.operators.checks import assert_unique, with_counts
 from orderlens.operators.merge import incremental_refresh
 from orderlens.sources.store import materialize, publish, read_current
 
@@ -39,6 +39,17 @@ def run_incremental_refresh(spark: SparkSession, view: DataFrame, base: str, key
     return path
 
 
+def run_matrix_refresh(matrix: DataFrame, base: str, key: str = "hospital_id") -> str:
+    """Matrix rebuild (J6d job): staged aside, primary key asserted (A17),
+    then published as the new version (A14).  The matrix is one row per
+    hospital, so it is written first and the key check reads the written
+    files rather than recomputing the pricing chain."""
+    path = publish(matrix, base)
+    assert_unique(matrix.sparkSession.read.parquet(path), [key])
+    log.info("matrix refresh -> %s", path)
+    return path
+
+
 def run_refresh(spark: SparkSession, mode: str, view: DataFrame, base: str, **kw) -> str:
     """Job entry: ``mode`` picks the full reload or the incremental refresh."""
     if mode == "full":

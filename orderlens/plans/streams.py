@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from orderlens import functions as X
+from orderlens.operators.derive import with_serial_key
 from orderlens.session import scratch_path
 from orderlens.sources.store import read_current
 from orderlens.sources.tables import read_table
@@ -54,8 +55,8 @@ def run_stream_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = read_table(spark, sf_dir, "events").schema
     src = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
            .parquet(sf_dir))
-    out = derive_stream(src, lambda df: df.select(
-        "event_id", X.serial_prefix("event_type", chars="ev").alias("k")))
+    out = derive_stream(src, lambda df: with_serial_key(
+        df, "event_type", "k", lambda c: X.serial_prefix(c, chars="ev")).select("event_id", "k"))
     sink = scratch_path(spark, "derived-events")
     q = (out.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", scratch_path(spark, "ckpt-derive"))
