@@ -29,7 +29,9 @@ from orderlens.functions.labels import (
 )
 from orderlens.functions.text import address_line, nvl, serial_prefix, strip_chars
 from orderlens.operators.filters import exclude_values, keep_flagged_or_unflagged
-from orderlens.operators.joins import exclude_existing, exists_flag, join_latest, prefix_lookup
+from orderlens.operators.joins import (
+    exclude_existing, exists_flag, join_latest, left_join_filtered, prefix_lookup,
+)
 from orderlens.operators.latest import group_max
 
 # --- fixed values (must equal the reference's for the same results) ---------
@@ -75,6 +77,7 @@ class OrderViewConfig:
     qty_limit: float = 0
     retention_days: float = 30
     shipped_days: float | None = None            # J3 also ages out shipped lines
+    shipped_date_col: str | None = None          # J3: on the actual shipment date
     catalog_strip: str = "-"
     category_mode: str | None = "segments"       # "segments", "lookup" or None
     category_key_len: int = 5                    # lookup mode: prefix length
@@ -85,6 +88,8 @@ class OrderViewConfig:
     scan_on: str = "serial"
     review_order: tuple[str, ...] = ("review_rank",)
     scan_order: tuple[str, ...] = ("scan_rank",)
+    review_cols: tuple[str, ...] = ("review_status",)
+    scan_cols: tuple[str, ...] = ("scan_date",)
     address_parts: tuple[str, ...] = ("address1", "address2", "address3", "address4", "city")
     state_col: str | None = "state"
     province_col: str | None = "province"
@@ -92,17 +97,23 @@ class OrderViewConfig:
     extra_cols: tuple[str, ...] = ()
 
 
-def order_view(header: DataFrame, lines: DataFrame, items: DataFrame, contacts: DataFrame,
-               sites: DataFrame, reviews: DataFrame, scans: DataFrame, cfg: OrderViewConfig, *,
-               category_lookup: DataFrame | None = None,
-               excluded_groups: tuple[DataFrame, str, str] | None = None,
-               doc_flags: dict[str, tuple[DataFrame, str, str]] | None = None) -> DataFrame:
-    """Build the order view.
+def order_view_rows(header: DataFrame, lines: DataFrame, items: DataFrame, contacts: DataFrame,
+                    sites: DataFrame, reviews: DataFrame, scans: DataFrame, cfg: OrderViewConfig, *,
+                    category_lookup: DataFrame | None = None,
+                    excluded_groups: tuple[DataFrame, str, str] | None = None,
+                    doc_flags: dict[str, tuple[DataFrame, str, str]] | None = None,
+                    lookups: list[tuple[DataFrame, list[tuple[str, str]], object]] = ()
+                    ) -> DataFrame:
+    """The joined and filtered rows of the order view, every input column kept.
 
     ``category_lookup``: (code, meaning) frame for ``category_mode='lookup'``.
     ``excluded_groups``: (frame, row column, frame column) - rows whose column
     value occurs in the frame are removed (NOT EXISTS, D10).
     ``doc_flags``: name -> (frame, row column, frame column) existence flags (D13).
+    ``lookups``: extra outer joins (frame, [(row column, frame column), ...],
+    constant ON condition on the frame or None) - multi-column keys (D3) and
+    ON-clause filters (D4) of line-level lookups such as the sales rep or the
+    item category.
     """
     # item view: lines x items, then the order-level flag over ALL lines (F1)
     li = lines.join(items, "item_id", "left")
@@ -129,9 +140,12 @@ def order_view(header: DataFrame, lines: DataFrame, items: DataFrame, contacts:
     for name, (fdf, row_col, fcol) in (doc_flags or {}).items():
         x = exists_flag(x, fdf, row_col, fcol, name)                     # D13
     x = join_latest(x, reviews, [(cfg.review_on, "review_key")], list(cfg.review_order),
-                    ["review_status"])                                   # D5
-    x = join_latest(x, scans, [(cfg.scan_on, "scan_key")], list(cfg.scan_order), ["scan_date"])
+                    list(cfg.review_cols))                               # D5
+    x = join_latest(x, scans, [(cfg.scan_on, "scan_key")], list(cfg.scan_order),
+                    list(cfg.scan_cols))
     x = x.join(sites, x["site_id"] == sites["site_ref"], "left")
+    for frame, on, cond in lookups:
+        x = left_join_filtered(x, frame, on, cond)                      # D3/D4
 
     # category (I17 from segments, or D7 lookup) before it is filtered on
     if cfg.category_mode == "segments":
@@ -147,10 +161,22 @@ def order_view(header: DataFrame, lines: DataFrame, items: DataFrame, contacts:
         if cfg.exclude_like_default is not None:
             c = F.coalesce(c, F.lit(cfg.exclude_like_default))
         x = x.where(~c.like(cfg.exclude_like))
-    x = x.where(retained(cfg.return_status_col, "qty", "commit_date", cfg.as_of,
-                         closed=cfg.closed, cancelled=cfg.cancelled, days=cfg.retention_days,
-                         qty_limit=cfg.qty_limit, shipped_days=cfg.shipped_days))
+    return x.where(retained(cfg.return_status_col, "qty", "commit_date", cfg.as_of,
+                            closed=cfg.closed, cancelled=cfg.cancelled, days=cfg.retention_days,
+                            qty_limit=cfg.qty_limit, shipped_days=cfg.shipped_days,
+                            shipped_date=cfg.shipped_date_col))
 
+
+def order_view(header: DataFrame, lines: DataFrame, items: DataFrame, contacts: DataFrame,
+               sites: DataFrame, reviews: DataFrame, scans: DataFrame, cfg: OrderViewConfig, *,
+               category_lookup: DataFrame | None = None,
+               excluded_groups: tuple[DataFrame, str, str] | None = None,
+               doc_flags: dict[str, tuple[DataFrame, str, str]] | None = None) -> DataFrame:
+    """Build the order view with the canonical output columns (see
+    :func:`order_view_rows` for the arguments)."""
+    x = order_view_rows(header, lines, items, contacts, sites, reviews, scans, cfg,
+                        category_lookup=category_lookup, excluded_groups=excluded_groups,
+                        doc_flags=doc_flags)
     description = F.col("description")
     if cfg.gate_description:
         description = gate(description, "order_flag")                  # B6
@@ -169,11 +195,8 @@ def order_view(header: DataFrame, lines: DataFrame, items: DataFrame, contacts:
                     .alias(cfg.lookup_flag_name))                        # B8
     cols += [
         F.col("site_name"),
-        address_line(list(cfg.address_parts), cfg.state_col, cfg.province_col,
-                     cfg.country_col).alias("location"),                 # I18
-        status_label(cfg.status_col, "qty", "review_status", return_code=cfg.return_status_col,
-                     closed=cfg.closed, pending=cfg.pending, review_labels=cfg.review_labels,
-                     qty_limit=cfg.qty_limit).alias("status"),           # I16
+        location(cfg).alias("location"),                                  # I18
+        order_status(cfg).alias("status"),                                # I16
         F.col("commit_date"),
         F.col("scan_date"),
         nvl("rep_number", "X").alias("rep"),                             # I1
@@ -184,3 +207,13 @@ def order_view(header: DataFrame, lines: DataFrame, items: DataFrame, contacts:
     cols += [F.col(n) for n in (doc_flags or {})]
     cols += [F.col(c) for c in cfg.extra_cols]
     return x.select(*cols)
+
+
+def location(cfg: OrderViewConfig):
+    return address_line(list(cfg.address_parts), cfg.state_col, cfg.province_col, cfg.country_col)
+
+
+def order_status(cfg: OrderViewConfig):
+    return status_label(cfg.status_col, "qty", "review_status", return_code=cfg.return_status_col,
+                        closed=cfg.closed, pending=cfg.pending, review_labels=cfg.review_labels,
+                        qty_limit=cfg.qty_limit)
