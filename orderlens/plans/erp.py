@@ -187,3 +187,135 @@ def erp_order_view(t: dict[str, DataFrame], as_of, excluded_order_types: list[st
     }
     assert tuple(cols) == ORDER_VIEW_COLUMNS
     return x.select(*[c.alias(n) for n, c in cols.items()])
+
+
+# --- J4: portal view (42 columns) ----------------------------------------------
+
+PORTAL_LEADING = (
+    "ORDER_ID", "IRF_ID", "STATUS", "SURGEON_ID", "SURGEON_TITLE", "SURGEON_LAST_NAME",
+    "SURGEON_FIRST_NAME", "PATIENT_FIRST_NAME", "PATIENT_LAST_NAME", "PATIENT_DOB",
+    "HOSPITAL_NAME", "SURGERY_LOCATION", "SALESREP_NUMBER", "SALES_REP_NAME", "CATALOG_NUMBER",
+    "UNIT_SELLING_PRICE", "SERIAL_NUMBER", "PRODUCT_CATEGORY", "UDI_CATALOG",
+    "PRODUCT_DESCRIPTION", "PRODUCT_DESC_ORDCNF", "ORDER_DETAILS_ORDCNF", "ORDER_DETAILS2",
+)
+PORTAL_TRAILING = (
+    "IMPLANT_REQUEST_DATE", "SCHED_SURGERY_DATE", "SCAN_RECEIVED_DATE", "COMMITMENT_DATE",
+    "SHIPPED_DATE", "ACTUAL_SURGERY_DATE", "RESCHEDULED_SURGERY_DATE", "LINE_ID", "LINE_TYPE",
+    "CURRENCY", "PATIENT_GENDER", "SCAN_CP_FLAG", "REGION_CODE", "TERRITORY_CODE",
+    "COUNTRY_CODE", "PATELLA_FLAG",
+)
+
+
+def erp_portal_view(order_table: DataFrame, doc_lists: dict[str, tuple[DataFrame, str, str]],
+                    override_patterns: list[str]) -> DataFrame:
+    """J4 on the stored 52-column order table.
+
+    ``doc_lists``: flag name -> (document serial list, order-table column,
+    list column), in output order (three lists in the reference: the first
+    joined on the normalised serial, the others on the raw serial).  A list
+    whose join column is ``serial_number_ori`` and is missing gets it derived
+    the way its writer would (A13).  ``override_patterns``: LIKE patterns of
+    the product categories whose description is the order detail text (B7).
+    """
+    from orderlens.operators.derive import with_serial_key
+    from orderlens.plans.portal import portal_view
+
+    flags = {}
+    for name, (docs, row_col, list_col) in doc_lists.items():
+        if list_col == "serial_number_ori" and list_col not in docs.columns:
+            docs = with_serial_key(docs, "serial_number", list_col)
+        flags[name] = (docs, row_col, list_col)
+    lead = [F.col(c) for c in PORTAL_LEADING]
+    lead[PORTAL_LEADING.index("SALESREP_NUMBER")] = X.nvl("SALESREP_NUMBER", "X").alias("SALESREP_NUMBER")
+    lead[PORTAL_LEADING.index("PRODUCT_DESCRIPTION")] = X.override_description(
+        "PRODUCT_CATEGORY", override_patterns, "ORDER_DETAILS_ORDCNF", "PRODUCT_DESCRIPTION"
+    ).alias("PRODUCT_DESCRIPTION")
+    trail = [F.col(c) for c in PORTAL_TRAILING]
+    trail[PORTAL_TRAILING.index("ACTUAL_SURGERY_DATE")] = F.col("RESCHEDULED_SURGERY_DATE").alias(
+        "ACTUAL_SURGERY_DATE")                                                        # B4
+    # flags sit between the leading and trailing columns
+    out = portal_view(order_table, lead + trail, flags, distinct=True)
+    return out.select(*PORTAL_LEADING, *flags, *PORTAL_TRAILING)
+
+
+# --- J7: surgeon-hospital directory (24 columns) -------------------------------
+
+# fixed values (must equal the reference's for the same results)
+PARTY_TABLE = "HZ_PARTIES"
+DIRECTORY_COLUMNS = (
+    "CUST_ACCOUNT_ROLE_ID", "SURGEON_ID", "FIRSTNAME", "MIDDLENAME", "LASTNAME", "PHONE", "EMAIL",
+    "ADDRESS1", "ADDRESS2", "ADDRESS3", "CITY", "STATE", "POSTALCODE", "COUNTRY", "HOSPITAL",
+    "HOSPITAL_ID", "ACTIVE", "PHYS_STATUS", "REL_START_DATE", "REL_END_DATE", "REL_STATUS",
+    "ORG_CONTACT_STATUS", "ACCOUNT_SITE_STATUS", "PARTY_SITE_STATUS",
+)
+
+
+def erp_directory(t: dict[str, DataFrame]) -> DataFrame:
+    """Contact roles -> relationship (LEFT, type in ON) -> org contact
+    (INNER, job title compared case-insensitively: collapses the outer join,
+    D15) -> person and organisation parties (one table, two roles, D14) ->
+    account site -> party site -> location -> primary active phone and email
+    contact points (D4).  Every join is on keys."""
+    roles = t["account_roles"].select(
+        "cust_account_role_id", F.col("party_id").alias("role_party_id"),
+        F.col("cust_account_id").alias("role_account_id"),
+        F.col("cust_acct_site_id").alias("role_site_id"),
+        F.col("current_role_state").alias("phys_status"))
+    rel = t["relationships"].where(F.col("relationship_code") == "CONTACT").select(
+        F.col("party_id").alias("rel_party_id"), "relationship_id", "object_id", "subject_id",
+        "object_table_name", "object_type", "subject_table_name", "subject_type",
+        F.col("start_date").alias("rel_start"), F.col("end_date").alias("rel_end"),
+        F.col("status").alias("rel_status"))
+    org = t["org_contacts"].where(X.upper_eq("job_title", "PHYSICIAN")).select(
+        F.col("party_relationship_id").alias("org_rel_id"), F.col("status").alias("org_status"))
+    parties = t["parties"]
+    phys = parties.select(F.col("party_id").alias("phys_id"), F.col("person_first_name").alias("p_first"),
+                          F.col("person_middle_name").alias("p_middle"),
+                          F.col("person_last_name").alias("p_last"))
+    hosp = parties.select(F.col("party_id").alias("hosp_id"), F.col("party_name").alias("hosp_name"))
+    sites = t["acct_sites"].select(F.col("cust_account_id").alias("as_account_id"),
+                                   F.col("cust_acct_site_id").alias("as_site_id"),
+                                   F.col("party_site_id").alias("as_party_site_id"),
+                                   F.col("status").alias("as_status"))
+    psites = t["party_sites"].select(F.col("party_site_id").alias("ps_id"),
+                                     F.col("location_id").alias("ps_location_id"),
+                                     F.col("status").alias("ps_status"))
+    loc = t["locations"].select(F.col("location_id").alias("loc_id"), "address1", "address2",
+                                "address3", "city", "state", "postal_code", "country")
+    cp = t["contact_points"].where(
+        (F.col("owner_table_name") == PARTY_TABLE) & (F.col("status") == "A")
+        & (F.col("primary_flag") == "Y"))
+    phone = cp.where(F.col("contact_point_type") == "PHONE").select(
+        F.col("owner_table_id").alias("ph_owner"), "phone_area_code", "phone_number", "phone_extension")
+    email = cp.where(F.col("contact_point_type") == "EMAIL").select(
+        F.col("owner_table_id").alias("em_owner"), "email_address")
+
+    x = roles.join(rel, F.col("role_party_id") == F.col("rel_party_id"), "left")
+    x = x.join(org, F.col("org_rel_id") == F.col("relationship_id"), "inner")
+    x = x.join(phys, (F.col("phys_id") == F.col("object_id"))
+               & (F.col("object_table_name") == PARTY_TABLE) & (F.col("object_type") == "PERSON"), "left")
+    x = x.join(hosp, (F.col("hosp_id") == F.col("subject_id"))
+               & (F.col("subject_table_name") == PARTY_TABLE)
+               & (F.col("subject_type") == "ORGANIZATION"), "left")
+    x = x.join(sites, (F.col("role_account_id") == F.col("as_account_id"))
+               & (F.col("role_site_id") == F.col("as_site_id")), "left")
+    x = x.join(psites, F.col("ps_id") == F.col("as_party_site_id"), "left")
+    x = x.join(loc, F.col("loc_id") == F.col("ps_location_id"), "left")
+    x = x.join(phone, F.col("ph_owner") == F.col("rel_party_id"), "left")
+    x = x.join(email, F.col("em_owner") == F.col("rel_party_id"), "left")
+    cols = {
+        "CUST_ACCOUNT_ROLE_ID": F.col("cust_account_role_id"),
+        "SURGEON_ID": F.col("phys_id"),
+        "FIRSTNAME": F.col("p_first"), "MIDDLENAME": F.col("p_middle"), "LASTNAME": F.col("p_last"),
+        "PHONE": X.phone_line("phone_area_code", "phone_number", "phone_extension"),
+        "EMAIL": F.col("email_address"),
+        "ADDRESS1": F.col("address1"), "ADDRESS2": F.col("address2"), "ADDRESS3": F.col("address3"),
+        "CITY": F.col("city"), "STATE": F.col("state"), "POSTALCODE": F.col("postal_code"),
+        "COUNTRY": F.col("country"), "HOSPITAL": F.col("hosp_name"), "HOSPITAL_ID": F.col("hosp_id"),
+        "ACTIVE": F.col("rel_status"), "PHYS_STATUS": F.col("phys_status"),
+        "REL_START_DATE": F.col("rel_start"), "REL_END_DATE": F.col("rel_end"),
+        "REL_STATUS": F.col("rel_status"), "ORG_CONTACT_STATUS": F.col("org_status"),
+        "ACCOUNT_SITE_STATUS": F.col("as_status"), "PARTY_SITE_STATUS": F.col("ps_status"),
+    }
+    assert tuple(cols) == DIRECTORY_COLUMNS
+    return x.select(*[c.alias(n) for n, c in cols.items()])

@@ -96,3 +96,64 @@ def test_values(erp):
     assert r[11].SALES_REP_NAME == "Rep Five" and r[11].SALESREP_NUMBER == "X"
     assert r[11].RESCHEDULED_SURGERY_DATE == dt.date(2020, 4, 1)
     assert r[11].SURGEON_ID == 1000 and r[11].LINE_TYPE == "Standard"
+
+
+def test_portal_view_preset(spark, erp):
+    from orderlens.plans.erp import PORTAL_LEADING, PORTAL_TRAILING, erp_portal_view
+    iview = spark.createDataFrame([("0123B",), ("0123B",)], "serial_number string")  # derived key 0123
+    dof = spark.createDataFrame([("A123",)], "serial_number string")
+    other = spark.createDataFrame([], "serial_number string")
+    out = erp_portal_view(erp, {
+        "iview_exists": (iview, "SERIAL_NUMBER_ORI", "serial_number_ori"),
+        "dof_exists": (dof, "SERIAL_NUMBER", "serial_number"),
+        "iview2_exists": (other, "SERIAL_NUMBER", "serial_number"),
+    }, ["Hip%"])
+    assert len(out.columns) == 42
+    assert tuple(out.columns) == PORTAL_LEADING + ("iview_exists", "dof_exists", "iview2_exists") + PORTAL_TRAILING
+    r = {row.LINE_ID: row for row in out.collect()}
+    assert len(r) == 4                                     # duplicates in a list never multiply rows
+    assert (r[15].iview_exists, r[15].dof_exists, r[15].iview2_exists) == (1, 1, 0)
+    assert (r[11].iview_exists, r[11].dof_exists) == (0, 0)
+    assert r[51].PRODUCT_DESCRIPTION == "Hip"              # no order detail text -> own description
+    assert r[11].ACTUAL_SURGERY_DATE == r[11].RESCHEDULED_SURGERY_DATE
+
+
+def test_directory_preset(spark):
+    from orderlens.plans.erp import DIRECTORY_COLUMNS, erp_directory
+    df = spark.createDataFrame
+    t = {
+        "account_roles": df([(1, 100, 7, 70, "A"), (2, 200, 8, 80, "I"), (3, 300, 9, 90, "A")],
+                            "cust_account_role_id long, party_id long, cust_account_id long, "
+                            "cust_acct_site_id long, current_role_state string"),
+        "relationships": df([
+            (100, 1000, 5000, 6000, "HZ_PARTIES", "PERSON", "HZ_PARTIES", "ORGANIZATION", None, None, "A", "CONTACT"),
+            (200, 2000, 5001, 6000, "HZ_PARTIES", "PERSON", "HZ_PARTIES", "ORGANIZATION", None, None, "A", "CONTACT"),
+            (300, 3000, 5002, 6000, "HZ_PARTIES", "PERSON", "HZ_PARTIES", "ORGANIZATION", None, None, "A", "OTHER"),
+        ], "party_id long, relationship_id long, object_id long, subject_id long, object_table_name string, "
+           "object_type string, subject_table_name string, subject_type string, start_date timestamp_ntz, "
+           "end_date timestamp_ntz, status string, relationship_code string"),
+        "org_contacts": df([(1000, "physician", "A"), (2000, "Nurse", "A"), (3000, "PHYSICIAN", "A")],
+                           "party_relationship_id long, job_title string, status string"),
+        "parties": df([(5000, "Ann", None, "Lee", None), (6000, None, None, None, "General")],
+                      "party_id long, person_first_name string, person_middle_name string, "
+                      "person_last_name string, party_name string"),
+        "acct_sites": df([(7, 70, 700, "A")], "cust_account_id long, cust_acct_site_id long, party_site_id long, status string"),
+        "party_sites": df([(700, 7000, "A")], "party_site_id long, location_id long, status string"),
+        "locations": df([(7000, "1 Main", None, None, "Town", "MA", "02100", "US")],
+                        "location_id long, address1 string, address2 string, address3 string, city string, "
+                        "state string, postal_code string, country string"),
+        "contact_points": df([
+            (100, "HZ_PARTIES", "PHONE", "A", "Y", "617", "5550100", None, None),
+            (100, "HZ_PARTIES", "PHONE", "A", "N", "999", "0000000", None, None),
+            (100, "HZ_PARTIES", "EMAIL", "A", "Y", None, None, None, "ann@example.org"),
+        ], "owner_table_id long, owner_table_name string, contact_point_type string, status string, "
+           "primary_flag string, phone_area_code string, phone_number string, phone_extension string, "
+           "email_address string"),
+    }
+    out = erp_directory(t)
+    assert tuple(out.columns) == DIRECTORY_COLUMNS and len(out.columns) == 24
+    rows = out.collect()
+    assert [r.CUST_ACCOUNT_ROLE_ID for r in rows] == [1]   # nurse dropped; non-CONTACT role dropped
+    r = rows[0]
+    assert (r.SURGEON_ID, r.FIRSTNAME, r.HOSPITAL, r.CITY) == (5000, "Ann", "General", "Town")
+    assert r.PHONE == "(617)5550100 " and r.EMAIL == "ann@example.org"
