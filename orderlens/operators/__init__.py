@@ -5,7 +5,7 @@ from orderlens.operators.derive import with_serial_key
 from orderlens.operators.filters import exclude_values, keep_flagged_or_unflagged
 from orderlens.operators.joins import (
     cross_small, exclude_existing, exclude_keys, exists_flag, join_latest, join_on_expr,
-    keep_keys, left_join_filtered, or_join, prefix_lookup,
+    keep_keys, left_join_filtered, left_join_many, or_join, prefix_lookup,
 )
 from orderlens.operators.latest import (
     distinct_with_group_max, group_max, latest_per_key, strict_latest,
@@ -21,6 +21,7 @@ __all__ = [
     "assert_unique", "duplicate_keys", "reconcile", "with_counts", "exclude_values",
     "keep_flagged_or_unflagged", "cross_small", "exclude_existing", "exclude_keys",
     "exists_flag", "join_latest", "join_on_expr", "keep_keys", "left_join_filtered",
+    "left_join_many",
     "or_join", "prefix_lookup", "distinct_with_group_max", "group_max", "latest_per_key",
     "strict_latest", "append_by_name", "changed_since", "delete_missing",
     "incremental_refresh", "merge_upsert", "recent", "category_values", "fill_zero",

@@ -126,3 +126,26 @@ def exists_flag(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     j = left.join(k, left[left_key] == k[f"__k_{name}"], "left")
     return j.withColumn(name, F.when(F.col(f"__k_{name}").isNull(), F.lit(0)).otherwise(F.lit(1))
                         ).drop(f"__k_{name}")
+
+
+def left_join_many(left: DataFrame, right: DataFrame, on, right_cond: Column | None = None
+                   ) -> DataFrame:
+    """D2/D4 left outer join for a right side where one key may hold a large
+    share of the rows (lines per order, events per user).
+
+    AQE can split a skewed partition only on the preserved side of an outer
+    join, so ``left LEFT JOIN right`` with a hot key on the right runs that
+    key in one task.  Written as ``inner join`` (skew-splittable on both
+    sides) plus the unmatched left rows (anti join against the distinct right
+    keys, padded with NULLs) - the same rows as the outer join.
+    """
+    r = right.where(right_cond) if right_cond is not None else right
+    pairs = _pairs(on)
+    matched = left.join(r, _cond(left, r, pairs), "inner").select(*left.columns, *r.columns)
+    keys = r.select(*[F.col(rc).alias(f"__k{i}") for i, (_, rc) in enumerate(pairs)])
+    keys = keys.where(reduce(lambda a, b: a & b, [F.col(f"__k{i}").isNotNull()
+                                                  for i in range(len(pairs))])).distinct()
+    kc = reduce(lambda a, b: a & b, [left[lc] == keys[f"__k{i}"] for i, (lc, _) in enumerate(pairs)])
+    unmatched = left.join(keys, kc, "left_anti").select(
+        *left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in r.schema.fields])
+    return matched.unionByName(unmatched)

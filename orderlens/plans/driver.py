@@ -22,7 +22,7 @@ from orderlens.operators import (
     append_by_name, category_values, cross_small, delete_missing, duplicate_keys,
     exclude_existing, exclude_keys, exclude_values, exists_flag, fill_zero, group_max,
     incremental_refresh, join_latest, join_on_expr, joined_list, keep_flagged_or_unflagged,
-    keep_keys, latest_per_key, left_join_filtered, merge_upsert, or_join, pivot_flags,
+    keep_keys, latest_per_key, left_join_filtered, left_join_many, merge_upsert, or_join, pivot_flags,
     pivot_values, prefix_lookup, reconcile, recent, strict_latest, with_serial_key,
 )
 from orderlens.operators.merge import changed_since
@@ -498,7 +498,8 @@ def q_inner_join(spark, d):
 
 def q_left_join(spark, d):
     t = _t(spark, d)
-    return t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    return left_join_many(t.orders.select("o_orderkey"), lines, [("o_orderkey", "l_orderkey")]).select(
         "o_orderkey", "l_linenumber", "l_partkey")
 
 
@@ -513,8 +514,10 @@ def q_two_key_join(spark, d):
 
 def q_left_join_filtered(spark, d):
     t = _t(spark, d)
-    j = left_join_filtered(t.customer, t.events, [("c_custkey", "user_id")],
-                           (F.col("event_type") == "error") & (F.col("value") > 50))
+    j = left_join_many(t.customer.select("c_custkey"),
+                       t.events.select("user_id", "event_id", "event_type", "value"),
+                       [("c_custkey", "user_id")],
+                       (F.col("event_type") == "error") & (F.col("value") > 50))
     return j.select("c_custkey", "event_id")
 
 
@@ -609,8 +612,8 @@ def q_listagg(spark, d):
 
 def _supplier_types(t: Tables) -> DataFrame:
     s = t.supplier.select("s_suppkey", "s_name")
-    li = left_join_filtered(s, t.lineitem.select("l_suppkey", "l_partkey", "l_quantity"),
-                            [("s_suppkey", "l_suppkey")], F.col("l_quantity") > 49)
+    li = left_join_many(s, t.lineitem.select("l_suppkey", "l_partkey", "l_quantity"),
+                        [("s_suppkey", "l_suppkey")], F.col("l_quantity") > 49)
     return li.join(t.part.select("p_partkey", "p_type"),
                    F.col("p_partkey") == F.col("l_partkey"), "left")
 

@@ -173,3 +173,14 @@ def test_append_by_name(spark):
 
 
 _ = itertools
+
+
+def test_left_join_many_equals_left_outer(spark):
+    random.seed(5)
+    left = [(i, random.choice([None, 0, 1, 2, 3])) for i in range(30)]
+    right = [(j, random.choice([0, 0, 0, 0, 1, None]), j % 2) for j in range(40)]   # hot key 0
+    l_df = spark.createDataFrame(left, "lid int, k int")
+    r_df = spark.createDataFrame(right, "rid int, rk int, even int")
+    got = rows(O.left_join_many(l_df, r_df, [("k", "rk")], F.col("even") == 0))
+    want = rows(l_df.join(r_df.where("even = 0"), F.col("k") == F.col("rk"), "left"))
+    assert got == want
