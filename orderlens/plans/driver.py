@@ -28,7 +28,7 @@ from orderlens.operators import (
 from orderlens.operators.merge import changed_since
 from orderlens.plans.directory import directory
 from orderlens.plans.legacy import two_branch_load
-from orderlens.plans.order_view import OrderViewConfig, order_view
+from orderlens.plans.order_view import ORDER_NUMBER_BOUND, OrderViewConfig, order_view
 from orderlens.plans.portal import portal_view
 from orderlens.plans.pricing import (
     hospital_product, party_category, party_pricelist, pricelist_item,
@@ -120,7 +120,7 @@ def _order_view_roles(t: Tables) -> dict:
 
 def _order_view_config(**kw) -> OrderViewConfig:
     base = dict(
-        as_of=REPORT_AS_OF, order_bound=14000, excluded_line_types=("NF",),
+        as_of=REPORT_AS_OF, order_bound=ORDER_NUMBER_BOUND, excluded_line_types=("NF",),
         exclude_like="blue%", exclude_like_col="description", closed="R", cancelled="A",
         pending="P", review_labels=DRIVER_REVIEW_LABELS, qty_limit=10, catalog_strip="#",
         category_mode=None, review_on="contact_id", scan_on="contact_id",
@@ -290,7 +290,7 @@ def q_reconcile(spark, d):
 
 def q_full_refresh(spark, d):
     t = _t(spark, d)
-    view = t.orders.where(F.col("o_orderkey") < 14000).select(
+    view = t.orders.where(F.col("o_orderkey") < ORDER_NUMBER_BOUND).select(
         "o_orderkey", "o_orderstatus", "o_orderdate")
     return full_refresh(view, scratch_path(spark, "full_refresh"))
 
@@ -414,7 +414,8 @@ def q_pattern_flag(spark, d):
 
 def q_order_bound(spark, d):
     o = _t(spark, d).orders
-    return o.where((F.col("o_orderkey") < 7000) & (F.col("o_orderstatus") == "F")).select("o_orderkey")
+    return o.where((F.col("o_orderkey") < ORDER_NUMBER_BOUND)
+                   & (F.col("o_orderstatus") == "F")).select("o_orderkey")
 
 
 def q_null_filters(spark, d):

@@ -70,7 +70,7 @@ ORACLES = {
         'select l_orderkey,l_linenumber,l_partkey,case when order_flag=1 then l_returnflag else null end as detail from (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) x'
     ),
     'full_refresh': (
-        'select o_orderkey,o_orderstatus,o_orderdate from orders where o_orderkey<14000'
+        'select o_orderkey,o_orderstatus,o_orderdate from orders where o_orderkey<700001'
     ),
     'hospital_product': (
         "with pi as (select l_suppkey as price_list_id,case when l_linenumber<=3 then 'A1' when l_linenumber<=6 then 'A2' else 'A3' end as attr,p_partkey as item,case when p_size=7 and l_extendedprice>0 then p_retailprice end as price from lineitem join orders on o_orderkey=l_orderkey left join part on case when l_linenumber<=3 then l_partkey when l_linenumber<=6 then l_partkey+1 end=p_partkey where timestamp'2000-06-01' between coalesce(nullif(o_orderdate,timestamp'1998-10-03'),timestamp'2000-06-01') and coalesce(case when o_orderstatus='P' then o_orderdate + interval 900 day end,timestamp'2000-06-01' + interval 1 day) and (l_linenumber>6 or p_partkey is not null)), pp as (select distinct c_custkey as hospital_id,c_name as hospital,c_nationkey%2 as req,case when n_name in ('NATION_1','NATION_2','NATION_3') then adv.s_suppkey else n_nationkey end as price_list_id,n_name as country from customer left join (select * from supplier where s_acctbal>0) adv on (adv.s_suppkey=c_nationkey+1 or adv.s_suppkey=c_custkey) join nation on n_nationkey=c_nationkey), u as (select hospital_id,hospital,req,case when req=1 then price end as price,p_type as cat from pp join pi on pp.price_list_id=pi.price_list_id join part on p_partkey=item where attr in ('A1','A2') union all select hospital_id,hospital,req,cast(null as double),r_name from pp join pi on pp.price_list_id=pi.price_list_id join region on 1=1 where attr='A3'), w as (select distinct hospital_id,hospital,max(req) over (partition by hospital_id) as req,max(price) over (partition by hospital_id) as price,cat from u) select hospital_id,hospital,req,price,coalesce(max(case when cat='ECONOMY' then 1 end),0) as ECONOMY,coalesce(max(case when cat='LARGE' then 1 end),0) as LARGE,coalesce(max(case when cat='MEDIUM' then 1 end),0) as MEDIUM,coalesce(max(case when cat='PROMO' then 1 end),0) as PROMO,coalesce(max(case when cat='SMALL' then 1 end),0) as SMALL,coalesce(max(case when cat='STANDARD' then 1 end),0) as STANDARD from w group by hospital_id,hospital,req,price"
@@ -130,19 +130,19 @@ ORACLES = {
         "select s_suppkey, p_partkey from supplier left join part on (p_partkey=s_nationkey+1 or p_partkey=s_suppkey) and p_type='PROMO'"
     ),
     'order_bound': (
-        "select o_orderkey from orders where o_orderkey<7000 and o_orderstatus='F'"
+        "select o_orderkey from orders where o_orderkey<700001 and o_orderstatus='F'"
     ),
     'order_flag': (
         'select l_orderkey,l_linenumber,l_partkey,flag,order_flag from (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) x where flag=1 or order_flag=0'
     ),
     'order_view': (
-        "select o_orderkey as order_id,l.l_linenumber as line_no,c_custkey as contact_id,c_name as contact_name,replace(p_brand,'#','') as catalog_number,p_name as description,s_name as site_name,coalesce(s_name || ', ','') || coalesce(n_name,'') || ', ' || coalesce(region.r_name || ', ','') as location,case when l_returnflag='R' and l_quantity<=10 then 'RETURN' when o_orderstatus='P' then case upper(rev.event_type) when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' else o_orderstatus end else o_orderstatus end as status,l_shipdate as commit_date,scan.ts as scan_date,coalesce(nullif(n_name,'NATION_0'),'X') as rep,regexp_replace(p_brand,'^[AB]','0') as serial_ori,flag,order_flag from orders left join (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) l on o_orderkey=l.l_orderkey left join part on p_partkey=l.l_partkey left join customer on c_custkey=o_custkey left join supplier on s_suppkey=l.l_suppkey left join nation on n_nationkey=s_nationkey left join region on r_regionkey=n_regionkey left join (select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) e where rn=1) rev on rev.user_id=o_custkey left join (select user_id,value,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events where event_type='view') e where rn=1) scan on scan.user_id=o_custkey where c_custkey is not null and (l.l_returnflag || l.l_linestatus) not in ('NF') and o_orderkey<14000 and (flag=1 or order_flag=0) and p_name not like 'blue%' and (l_returnflag not in ('R','A') or (l_returnflag='R' and l_quantity>10) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day)) and not exists (select 1 from nation x where x.n_name='NATION_9' and x.n_nationkey=c_nationkey)"
+        "select o_orderkey as order_id,l.l_linenumber as line_no,c_custkey as contact_id,c_name as contact_name,replace(p_brand,'#','') as catalog_number,p_name as description,s_name as site_name,coalesce(s_name || ', ','') || coalesce(n_name,'') || ', ' || coalesce(region.r_name || ', ','') as location,case when l_returnflag='R' and l_quantity<=10 then 'RETURN' when o_orderstatus='P' then case upper(rev.event_type) when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' else o_orderstatus end else o_orderstatus end as status,l_shipdate as commit_date,scan.ts as scan_date,coalesce(nullif(n_name,'NATION_0'),'X') as rep,regexp_replace(p_brand,'^[AB]','0') as serial_ori,flag,order_flag from orders left join (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) l on o_orderkey=l.l_orderkey left join part on p_partkey=l.l_partkey left join customer on c_custkey=o_custkey left join supplier on s_suppkey=l.l_suppkey left join nation on n_nationkey=s_nationkey left join region on r_regionkey=n_regionkey left join (select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) e where rn=1) rev on rev.user_id=o_custkey left join (select user_id,value,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events where event_type='view') e where rn=1) scan on scan.user_id=o_custkey where c_custkey is not null and (l.l_returnflag || l.l_linestatus) not in ('NF') and o_orderkey<700001 and (flag=1 or order_flag=0) and p_name not like 'blue%' and (l_returnflag not in ('R','A') or (l_returnflag='R' and l_quantity>10) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day)) and not exists (select 1 from nation x where x.n_name='NATION_9' and x.n_nationkey=c_nationkey)"
     ),
     'order_view_draft': (
-        "select o_orderkey as order_id,l.l_linenumber as line_no,c_custkey as contact_id,c_name as contact_name,replace(p_brand,'#','') as catalog_number,p_name as description,s_name as site_name,coalesce(s_name || ', ','') || coalesce(n_name,'') || ', ' || coalesce(region.r_name || ', ','') as location,case when l_returnflag='R' and l_quantity<=10 then 'RETURN' when o_orderstatus='P' then case upper(rev.event_type) when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' else o_orderstatus end else o_orderstatus end as status,l_shipdate as commit_date,scan.ts as scan_date,coalesce(nullif(n_name,'NATION_0'),'X') as rep,regexp_replace(p_brand,'^[AB]','0') as serial_ori,flag,order_flag,case when b.k is null then 0 else 1 end as iview from orders left join (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) l on o_orderkey=l.l_orderkey left join part on p_partkey=l.l_partkey left join customer on c_custkey=o_custkey left join supplier on s_suppkey=l.l_suppkey left join nation on n_nationkey=s_nationkey left join region on r_regionkey=n_regionkey left join (select distinct user_id as k from events where event_type='error') b on b.k=o_custkey left join (select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) e where rn=1) rev on rev.user_id=o_custkey left join (select user_id,value,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events where event_type='view') e where rn=1) scan on scan.user_id=o_custkey where (l.l_returnflag || l.l_linestatus) not in ('NF') and o_orderkey<14000 and (flag=1 or order_flag=0) and p_name not like 'blue%' and (l_returnflag not in ('R','A') or (l_returnflag='R' and l_quantity>10 and l_shipdate>=timestamp'2001-10-05' - interval 60 day) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day))"
+        "select o_orderkey as order_id,l.l_linenumber as line_no,c_custkey as contact_id,c_name as contact_name,replace(p_brand,'#','') as catalog_number,p_name as description,s_name as site_name,coalesce(s_name || ', ','') || coalesce(n_name,'') || ', ' || coalesce(region.r_name || ', ','') as location,case when l_returnflag='R' and l_quantity<=10 then 'RETURN' when o_orderstatus='P' then case upper(rev.event_type) when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' else o_orderstatus end else o_orderstatus end as status,l_shipdate as commit_date,scan.ts as scan_date,coalesce(nullif(n_name,'NATION_0'),'X') as rep,regexp_replace(p_brand,'^[AB]','0') as serial_ori,flag,order_flag,case when b.k is null then 0 else 1 end as iview from orders left join (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) l on o_orderkey=l.l_orderkey left join part on p_partkey=l.l_partkey left join customer on c_custkey=o_custkey left join supplier on s_suppkey=l.l_suppkey left join nation on n_nationkey=s_nationkey left join region on r_regionkey=n_regionkey left join (select distinct user_id as k from events where event_type='error') b on b.k=o_custkey left join (select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) e where rn=1) rev on rev.user_id=o_custkey left join (select user_id,value,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events where event_type='view') e where rn=1) scan on scan.user_id=o_custkey where (l.l_returnflag || l.l_linestatus) not in ('NF') and o_orderkey<700001 and (flag=1 or order_flag=0) and p_name not like 'blue%' and (l_returnflag not in ('R','A') or (l_returnflag='R' and l_quantity>10 and l_shipdate>=timestamp'2001-10-05' - interval 60 day) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day))"
     ),
     'order_view_lookup': (
-        "select o_orderkey as order_id,l.l_linenumber as line_no,c_custkey as contact_id,c_name as contact_name,replace(p_brand,'#','') as catalog_number,case when order_flag=1 then p_name else null end as description, coalesce(m.r_name,'NOCAT') as category, case when m.r_name like 'A%' then 'True' else 'False' end as a_flag,s_name as site_name,coalesce(s_name || ', ','') || coalesce(n_name,'') || ', ' || coalesce(region.r_name || ', ','') as location,case when l_returnflag='R' and l_quantity<=10 then 'RETURN' when o_orderstatus='P' then case upper(rev.event_type) when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' else o_orderstatus end else o_orderstatus end as status,l_shipdate as commit_date,scan.ts as scan_date,coalesce(nullif(n_name,'NATION_0'),'X') as rep,regexp_replace(p_brand,'^[AB]','0') as serial_ori,flag,order_flag from orders left join (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) l on o_orderkey=l.l_orderkey left join part on p_partkey=l.l_partkey left join customer on c_custkey=o_custkey left join supplier on s_suppkey=l.l_suppkey left join nation on n_nationkey=s_nationkey left join region on r_regionkey=n_regionkey left join (select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) e where rn=1) rev on rev.user_id=o_custkey left join (select user_id,value,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events where event_type='view') e where rn=1) scan on scan.user_id=o_custkey left join (select r_name,substr(r_name,1,1) as code from region where r_regionkey<4) m on substr(p_type,1,1)=m.code where c_custkey is not null and (l.l_returnflag || l.l_linestatus) not in ('NF') and o_orderkey<14000 and (flag=1 or order_flag=0) and coalesce(p_name,'NOCAT') not like 'blue%' and (l_returnflag not in ('R','A') or (l_returnflag='R' and l_quantity>10) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day))"
+        "select o_orderkey as order_id,l.l_linenumber as line_no,c_custkey as contact_id,c_name as contact_name,replace(p_brand,'#','') as catalog_number,case when order_flag=1 then p_name else null end as description, coalesce(m.r_name,'NOCAT') as category, case when m.r_name like 'A%' then 'True' else 'False' end as a_flag,s_name as site_name,coalesce(s_name || ', ','') || coalesce(n_name,'') || ', ' || coalesce(region.r_name || ', ','') as location,case when l_returnflag='R' and l_quantity<=10 then 'RETURN' when o_orderstatus='P' then case upper(rev.event_type) when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' else o_orderstatus end else o_orderstatus end as status,l_shipdate as commit_date,scan.ts as scan_date,coalesce(nullif(n_name,'NATION_0'),'X') as rep,regexp_replace(p_brand,'^[AB]','0') as serial_ori,flag,order_flag from orders left join (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) l on o_orderkey=l.l_orderkey left join part on p_partkey=l.l_partkey left join customer on c_custkey=o_custkey left join supplier on s_suppkey=l.l_suppkey left join nation on n_nationkey=s_nationkey left join region on r_regionkey=n_regionkey left join (select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) e where rn=1) rev on rev.user_id=o_custkey left join (select user_id,value,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events where event_type='view') e where rn=1) scan on scan.user_id=o_custkey left join (select r_name,substr(r_name,1,1) as code from region where r_regionkey<4) m on substr(p_type,1,1)=m.code where c_custkey is not null and (l.l_returnflag || l.l_linestatus) not in ('NF') and o_orderkey<700001 and (flag=1 or order_flag=0) and coalesce(p_name,'NOCAT') not like 'blue%' and (l_returnflag not in ('R','A') or (l_returnflag='R' and l_quantity>10) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day))"
     ),
     'outer_to_inner': (
         "select o_orderkey,c_name from orders left join customer on o_custkey=c_custkey and c_acctbal>0 where c_mktsegment not in ('BUILDING')"

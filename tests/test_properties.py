@@ -42,4 +42,4 @@ def test_order_view_line_flags_consistent(spark):
     v = driver.q_order_view(spark, SF01)
     # kept lines are flagged lines or lines of unflagged orders
     assert v.where(~((F.col("flag") == 1) | (F.col("order_flag") == 0))).count() == 0
-    assert v.where(F.col("order_id") >= 14000).count() == 0
+    assert v.where(F.col("order_id") >= 700001).count() == 0
