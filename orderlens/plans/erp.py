@@ -41,7 +41,8 @@ _HEADER_ATTRS = ("attribute1", "attribute2", "attribute3", "attribute4", "attrib
                  "attribute10", "attribute11", "attribute17")
 
 
-def erp_roles(t: dict[str, DataFrame], category_set_id: int = PRODUCT_CATEGORY_SET):
+def erp_roles(t: dict[str, DataFrame], category_set_id: int = PRODUCT_CATEGORY_SET,
+              with_categories: bool = True):
     """Map ERP inputs to the builder's roles (canonical names, no clashes)."""
     h = t["order_headers"]
     header = h.select(
@@ -70,7 +71,8 @@ def erp_roles(t: dict[str, DataFrame], category_set_id: int = PRODUCT_CATEGORY_S
         rowid.alias("l_rowid"))
     items = t["items"].select(
         F.col("inventory_item_id").alias("item_id"), F.col("ordcnf_flag").alias("flag"), "catalog",
-        F.col("item_description").alias("description"), F.col("item_number").alias("i_item_number"))
+        F.col("item_description").alias("description"), F.col("item_number").alias("i_item_number"),
+        F.col("item_number").alias("category_key"))
     contacts = t["contacts"].select(
         F.col("cust_account_role_id").alias("contact_ref"),
         F.col("person_party_id").alias("contact_party_id"),
@@ -91,15 +93,14 @@ def erp_roles(t: dict[str, DataFrame], category_set_id: int = PRODUCT_CATEGORY_S
     reps = t["salesreps"].select(
         F.col("salesrep_id").alias("__rep_id"), F.col("salesrep_org_id").alias("__rep_org"),
         F.col("salesrep_name").alias("r_name"), F.col("salesrep_number").alias("rep_number"))
-    cats = t["item_categories"].select(
-        F.col("inventory_item_id").alias("__cat_item"), F.col("organization_id").alias("__cat_org"),
-        F.col("category_set_id").alias("__cat_set"), F.col("segment4").alias("category_a"),
-        F.col("segment5").alias("category_b"))
-    lookups = [
-        (reps, [("l_salesrep_id", "__rep_id"), ("l_org_id", "__rep_org")], None),          # D3
-        (cats, [("item_id", "__cat_item"), ("l_ship_from_org_id", "__cat_org")],
-         F.col("__cat_set") == F.lit(category_set_id)),                                      # D3+D4
-    ]
+    lookups = [(reps, [("l_salesrep_id", "__rep_id"), ("l_org_id", "__rep_org")], None)]  # D3
+    if with_categories:
+        cats = t["item_categories"].select(
+            F.col("inventory_item_id").alias("__cat_item"), F.col("organization_id").alias("__cat_org"),
+            F.col("category_set_id").alias("__cat_set"), F.col("segment4").alias("category_a"),
+            F.col("segment5").alias("category_b"))
+        lookups.append((cats, [("item_id", "__cat_item"), ("l_ship_from_org_id", "__cat_org")],
+                        F.col("__cat_set") == F.lit(category_set_id)))                      # D3+D4
     return dict(header=header, lines=lines, items=items, contacts=contacts, sites=sites,
                 reviews=reviews, scans=scans), lookups
 
@@ -130,63 +131,8 @@ def erp_order_view(t: dict[str, DataFrame], as_of, excluded_order_types: list[st
                 .select(F.col("transaction_type_id").alias("__ot")))
     x = order_view_rows(**roles, cfg=cfg, excluded_groups=(excluded, "order_type_id", "__ot"),
                         lookups=lookups)
-    catalog = X.strip_chars("catalog", cfg.catalog_strip)
-    cols = {
-        "ORDER_ID": F.col("order_number"),
-        "SURGEON_ID": F.col("contact_party_id"),
-        "SURGEON_TITLE": F.col("c_title"),
-        "SURGEON_LAST_NAME": F.col("c_last_name"),
-        "SURGEON_FIRST_NAME": F.col("c_first_name"),
-        "PATIENT_FIRST_NAME": F.col("h_attribute2"),
-        "PATIENT_LAST_NAME": F.col("h_attribute1"),
-        "PATIENT_GENDER": F.col("h_attribute3"),
-        "PATIENT_DOB": X.date_text(X.text_to_date("h_attribute4")),
-        "CATALOG_NUMBER": catalog,
-        "UNIT_SELLING_PRICE": F.col("l_unit_selling_price"),
-        "SERIAL_NUMBER": F.col("serial"),
-        "LINE_ID": F.col("line_no"),
-        "PRODUCT_CATEGORY": F.col("category"),
-        "UDI_CATALOG": catalog,
-        "PRODUCT_DESCRIPTION": F.col("description"),
-        "PATELLA_FLAG": F.lit("False"),
-        "SCHED_SURGERY_DATE": F.col("l_promise_date"),
-        "COMMITMENT_DATE": F.col("commit_date"),
-        "SURGERY_LOCATION": location(cfg),
-        "STATUS": order_status(cfg),
-        "IMPLANT_REQUEST_DATE": F.col("l_request_date"),
-        "SCAN_RECEIVED_DATE": F.col("scan_date"),
-        "SCAN_CP_FLAG": F.col("scan_cp_flag"),
-        "SHIPPED_DATE": F.col("l_actual_shipment_date"),
-        "REGION_CODE": F.col("s_region"),
-        "SALES_REP_NAME": F.col("r_name"),
-        "TERRITORY_CODE": F.col("s_territory"),
-        "COUNTRY_CODE": F.col("s_country"),
-        "RESCHEDULED_SURGERY_DATE": X.text_to_date("l_attribute4"),
-        "CURRENCY": F.col("h_currency"),
-        "HOSPITAL_NAME": F.col("s_party_name"),
-        "SALESREP_NUMBER": X.nvl("rep_number", "X"),
-        "LINE_TYPE": F.col("line_type"),
-        "IRF_ID": X.text_to_number("h_attribute9"),
-        "PRODUCT_DESC_ORDCNF": F.col("h_attribute10"),
-        "ORDER_DETAILS_ORDCNF": F.col("h_attribute11"),
-        "ORDER_DETAILS2": F.col("h_attribute17"),
-        "ACTUAL_SURGERY_DATE": X.text_to_date("l_attribute7"),
-        "SERIAL_NUMBER_ORI": X.serial_prefix("serial"),
-        "ORDER_LINE_ROWID": F.col("l_rowid"),
-        "HEADER_ID": F.col("header_id"),
-        "INVENTORY_ITEM_ID": F.col("item_id"),
-        "ORDERED_ITEM": F.col("l_ordered_item"),
-        "ITEM_NUMBER": F.col("i_item_number"),
-        "ORDCNF_FLAG": F.col("flag"),
-        "ORDER_ORDCNF_FLAG": F.col("order_flag"),
-        "LAST_UPDATE_DATE": F.col("l_last_update_date"),
-        "SOLD_TO_CONTACT_ID": F.col("contact_id"),
-        "SHIP_TO_ORG_ID": F.col("l_ship_to_org_id"),
-        "SALESREP_ID": F.col("l_salesrep_id"),
-        "DATE_SUBMITTED": F.col("review_submitted"),
-    }
-    assert tuple(cols) == ORDER_VIEW_COLUMNS
-    return x.select(*[c.alias(n) for n, c in cols.items()])
+    cols = _common_columns(cfg)
+    return x.select(*[cols[n].alias(n) for n in ORDER_VIEW_COLUMNS])
 
 
 # --- J4: portal view (42 columns) ----------------------------------------------
@@ -319,3 +265,119 @@ def erp_directory(t: dict[str, DataFrame]) -> DataFrame:
     }
     assert tuple(cols) == DIRECTORY_COLUMNS
     return x.select(*[c.alias(n) for n, c in cols.items()])
+
+
+# --- J2 / J3: the two older generations of the order view ----------------------
+
+# fixed values (must equal the reference's for the same results)
+LOOKUP_APPLICATION_ID = 401
+LOOKUP_SECURITY_GROUP = 0
+PATELLA_MEANING = "PATELLA%"
+
+MV_COLUMNS = ORDER_VIEW_COLUMNS[:47]
+DRAFT_COLUMNS = (
+    "ORDER_ID", "IRF_ID", "STATUS", "SURGEON_ID", "SURGEON_TITLE", "SURGEON_LAST_NAME",
+    "SURGEON_FIRST_NAME", "PATIENT_FIRST_NAME", "PATIENT_LAST_NAME", "PATIENT_DOB",
+    "HOSPITAL_NAME", "SURGERY_LOCATION", "SALESREP_NUMBER", "SALES_REP_NAME", "CATALOG_NUMBER",
+    "UNIT_SELLING_PRICE", "SERIAL_NUMBER", "PRODUCT_CATEGORY", "UDI_CATALOG",
+    "PRODUCT_DESCRIPTION", "PRODUCT_DESC_ORDCNF", "ORDER_DETAILS_ORDCNF", "ORDER_DETAILS2",
+    "IVIEW_EXISTS", "DOF_EXISTS", "IMPLANT_REQUEST_DATE", "SCHED_SURGERY_DATE",
+    "SCAN_RECEIVED_DATE", "COMMITMENT_DATE", "SHIPPED_DATE", "ACTUAL_SURGERY_DATE",
+    "RESCHEDULED_SURGERY_DATE", "LINE_ID", "LINE_TYPE", "CURRENCY", "PATIENT_GENDER",
+    "SCAN_CP_FLAG", "REGION_CODE", "TERRITORY_CODE", "COUNTRY_CODE", "PATELLA_FLAG",
+    "ORDER_LINE_ROWID", "HEADER_ID", "INVENTORY_ITEM_ID", "ORDERED_ITEM", "ITEM_NUMBER",
+    "ORDCNF_FLAG", "ORDER_ORDCNF_FLAG",
+)
+
+
+def category_lookup(lookup_values: DataFrame, lookup_type: str, lang: str) -> DataFrame:
+    """The category lookup restricted by its constant ON conditions,
+    the session language being a parameter."""
+    return lookup_values.where(
+        (F.col("language") == lang) & (F.col("lookup_type") == lookup_type)
+        & (F.col("view_application_id") == LOOKUP_APPLICATION_ID)
+        & (F.col("security_group_id") == LOOKUP_SECURITY_GROUP)
+    ).select(F.col("lookup_code").alias("code"), "meaning")
+
+
+def erp_order_view_mv(t: dict[str, DataFrame], as_of, *, lookup_type: str, lang: str = "US"
+                      ) -> DataFrame:
+    """J2 (materialised-view generation), 47 columns: category from the
+    item-number prefix lookup (D7), PATELLA_FLAG from its meaning (B8), the
+    order-detail attributes shown only for flagged orders (B6)."""
+    from orderlens.plans.order_view import EXCLUDED_LINE_TYPES_V1
+
+    roles, lookups = erp_roles(t, with_categories=False)
+    cfg = erp_order_config(as_of, category_mode="lookup", category_key_len=5,
+                           excluded_line_types=EXCLUDED_LINE_TYPES_V1,
+                           exclude_like=PATELLA_MEANING, exclude_like_col="category")
+    x = order_view_rows(**roles, cfg=cfg, lookups=lookups,
+                        category_lookup=category_lookup(t["lookup_values"], lookup_type, lang))
+    cols = _common_columns(cfg)
+    cols["PATELLA_FLAG"] = X.pattern_flag("category_meaning", PATELLA_MEANING)
+    for name, attr in (("PRODUCT_DESC_ORDCNF", "h_attribute10"),
+                       ("ORDER_DETAILS_ORDCNF", "h_attribute11"), ("ORDER_DETAILS2", "h_attribute17")):
+        cols[name] = X.gate(attr, "order_flag")
+    return x.select(*[cols[n].alias(n) for n in MV_COLUMNS])
+
+
+def erp_order_view_draft(t: dict[str, DataFrame], as_of, *, lookup_type: str,
+                         description_pattern: str, doc_lists: dict[str, DataFrame],
+                         lang: str = "US", shipped_days: float = 30) -> DataFrame:
+    """J3 (draft generation), 48 columns: surgeon optional, document flags
+    joined on the raw serial inline (``doc_lists``: IVIEW_EXISTS/DOF_EXISTS ->
+    serial list), description replaced by the order detail text for one
+    category pattern (B7), shipped lines aged out on the actual shipment date
+    (C9), birth date as a date."""
+    from orderlens.plans.order_view import EXCLUDED_LINE_TYPES_V1
+
+    roles, lookups = erp_roles(t, with_categories=False)
+    cfg = erp_order_config(as_of, category_mode="lookup", category_key_len=5,
+                           excluded_line_types=EXCLUDED_LINE_TYPES_V1,
+                           exclude_like=PATELLA_MEANING, exclude_like_col="category",
+                           require_contact=False, shipped_days=shipped_days,
+                           shipped_date_col="l_actual_shipment_date")
+    flags = {name: (docs, "serial", "serial_number") for name, docs in doc_lists.items()}
+    x = order_view_rows(**roles, cfg=cfg, lookups=lookups, doc_flags=flags,
+                        category_lookup=category_lookup(t["lookup_values"], lookup_type, lang))
+    cols = _common_columns(cfg)
+    cols["PATELLA_FLAG"] = X.pattern_flag("category_meaning", PATELLA_MEANING)
+    cols["PATIENT_DOB"] = X.text_to_date("h_attribute4")
+    cols["ACTUAL_SURGERY_DATE"] = X.text_to_date("l_attribute4")
+    cols["PRODUCT_DESCRIPTION"] = X.override_description(
+        "category_meaning", [description_pattern], "h_attribute11", "description")
+    for name in doc_lists:
+        cols[name] = F.col(name)
+    return x.select(*[cols[n].alias(n) for n in DRAFT_COLUMNS])
+
+
+def _common_columns(cfg: OrderViewConfig) -> dict:
+    catalog = X.strip_chars("catalog", cfg.catalog_strip)
+    return {
+        "ORDER_ID": F.col("order_number"), "SURGEON_ID": F.col("contact_party_id"),
+        "SURGEON_TITLE": F.col("c_title"), "SURGEON_LAST_NAME": F.col("c_last_name"),
+        "SURGEON_FIRST_NAME": F.col("c_first_name"), "PATIENT_FIRST_NAME": F.col("h_attribute2"),
+        "PATIENT_LAST_NAME": F.col("h_attribute1"), "PATIENT_GENDER": F.col("h_attribute3"),
+        "PATIENT_DOB": X.date_text(X.text_to_date("h_attribute4")), "CATALOG_NUMBER": catalog,
+        "UNIT_SELLING_PRICE": F.col("l_unit_selling_price"), "SERIAL_NUMBER": F.col("serial"),
+        "LINE_ID": F.col("line_no"), "PRODUCT_CATEGORY": F.col("category"),
+        "UDI_CATALOG": catalog, "PRODUCT_DESCRIPTION": F.col("description"),
+        "SCHED_SURGERY_DATE": F.col("l_promise_date"), "COMMITMENT_DATE": F.col("commit_date"),
+        "SURGERY_LOCATION": location(cfg), "STATUS": order_status(cfg),
+        "IMPLANT_REQUEST_DATE": F.col("l_request_date"), "SCAN_RECEIVED_DATE": F.col("scan_date"),
+        "SCAN_CP_FLAG": F.col("scan_cp_flag"), "SHIPPED_DATE": F.col("l_actual_shipment_date"),
+        "REGION_CODE": F.col("s_region"), "SALES_REP_NAME": F.col("r_name"),
+        "TERRITORY_CODE": F.col("s_territory"), "COUNTRY_CODE": F.col("s_country"),
+        "RESCHEDULED_SURGERY_DATE": X.text_to_date("l_attribute4"), "CURRENCY": F.col("h_currency"),
+        "HOSPITAL_NAME": F.col("s_party_name"), "SALESREP_NUMBER": X.nvl("rep_number", "X"),
+        "LINE_TYPE": F.col("line_type"), "IRF_ID": X.text_to_number("h_attribute9"),
+        "PRODUCT_DESC_ORDCNF": F.col("h_attribute10"), "ORDER_DETAILS_ORDCNF": F.col("h_attribute11"),
+        "ORDER_DETAILS2": F.col("h_attribute17"), "ACTUAL_SURGERY_DATE": X.text_to_date("l_attribute7"),
+        "SERIAL_NUMBER_ORI": X.serial_prefix("serial"), "ORDER_LINE_ROWID": F.col("l_rowid"),
+        "HEADER_ID": F.col("header_id"), "INVENTORY_ITEM_ID": F.col("item_id"),
+        "ORDERED_ITEM": F.col("l_ordered_item"), "ITEM_NUMBER": F.col("i_item_number"),
+        "ORDCNF_FLAG": F.col("flag"), "ORDER_ORDCNF_FLAG": F.col("order_flag"),
+        "LAST_UPDATE_DATE": F.col("l_last_update_date"), "SOLD_TO_CONTACT_ID": F.col("contact_id"),
+        "SHIP_TO_ORG_ID": F.col("l_ship_to_org_id"), "SALESREP_ID": F.col("l_salesrep_id"),
+        "DATE_SUBMITTED": F.col("review_submitted"), "PATELLA_FLAG": F.lit("False"),
+    }

@@ -43,6 +43,13 @@ EXCLUDED_LINE_TYPES = (
     "HIP RMA Loaner Kit Rec Only", "HIP Loaner Kit to Sales Rep",
     "Plat Serv - Identity Bill Only", "Plat Serv PatPay - Identity BO",
 )
+# Line types excluded by the two older generations (materialised view, draft);
+# note the trailing blank of the fourth name.
+EXCLUDED_LINE_TYPES_V1 = (
+    "HIP Procedure", "HIP Alt Kit to Sales Rep", "HIP RMA Alt Kit SRep Rec Only",
+    "HIP RMA Proc Cust Rec ", "HIP Alt Kit Item to Customer", "HIP Alt Kit to Sales Rep",
+    "HIP Patient Specific",
+)
 ORDER_NUMBER_BOUND = 700001
 CATEGORY_EXCLUDE = "Patella%"
 # -----------------------------------------------------------------------------

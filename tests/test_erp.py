@@ -11,7 +11,7 @@ D = lambda s: dt.datetime.fromisoformat(s)
 
 
 @pytest.fixture(scope="module")
-def erp(spark):
+def erp_tables(spark):
     def df(rows, schema):
         return spark.createDataFrame(rows, schema)
     headers = df([
@@ -64,11 +64,18 @@ def erp(spark):
     cats = df([(1, 70, 1100000063, "NONE", "NONE"), (2, 70, 1100000063, "Partial", "Hips"),
                (3, 70, 1100000063, "Knee", "Patella L"), (1, 70, 99, "X", "Y")],
               "inventory_item_id long, organization_id long, category_set_id long, segment4 string, segment5 string")
-    t = {"order_headers": headers, "order_lines": lines, "items": items,
-         "transaction_types": types,
-         "contacts": contacts, "site_uses": sites, "salesreps": reps, "scans": scans,
-         "reviews": reviews, "item_categories": cats}
-    return erp_order_view(t, AS_OF, ["OEM-X"])
+    lookup = df([("US", "PRODCAT", 401, 0, "N2", "Hip System"), ("US", "PRODCAT", 401, 0, "N3", "PATELLA kit"),
+                  ("DE", "PRODCAT", 401, 0, "N1", "Knie")],
+                 "language string, lookup_type string, view_application_id int, security_group_id int, "
+                 "lookup_code string, meaning string")
+    return {"order_headers": headers, "order_lines": lines, "items": items,
+            "transaction_types": types, "contacts": contacts, "site_uses": sites, "salesreps": reps,
+            "scans": scans, "reviews": reviews, "item_categories": cats, "lookup_values": lookup}
+
+
+@pytest.fixture(scope="module")
+def erp(erp_tables):
+    return erp_order_view(erp_tables, AS_OF, ["OEM-X"])
 
 
 def test_shape(erp):
@@ -157,3 +164,32 @@ def test_directory_preset(spark):
     r = rows[0]
     assert (r.SURGEON_ID, r.FIRSTNAME, r.HOSPITAL, r.CITY) == (5000, "Ann", "General", "Town")
     assert r.PHONE == "(617)5550100 " and r.EMAIL == "ann@example.org"
+
+
+def test_mv_generation(erp_tables):
+    from orderlens.plans.erp import MV_COLUMNS, erp_order_view_mv
+    out = erp_order_view_mv(erp_tables, AS_OF, lookup_type="PRODCAT")
+    assert tuple(out.columns) == MV_COLUMNS and len(MV_COLUMNS) == 47
+    r = {row.LINE_ID: row for row in out.collect()}
+    # no order-type exclusion in this generation: order 3 (type OEM-X) is reported
+    assert sorted(r) == [11, 13, 15, 31, 51]
+    assert r[11].PRODUCT_CATEGORY == "NOCAT" and r[11].PATELLA_FLAG == "False"   # lookup in DE only
+    assert r[51].PRODUCT_CATEGORY == "Hip System"
+    assert r[51].PRODUCT_DESC_ORDCNF is None and r[11].PRODUCT_DESC_ORDCNF is None  # gated: flag 0
+    assert r[11].STATUS == "CLOSED" and r[15].STATUS == "Re-Design"
+
+
+def test_draft_generation(spark, erp_tables):
+    from orderlens.plans.erp import DRAFT_COLUMNS, erp_order_view_draft
+    iv = spark.createDataFrame([("A123",)], "serial_number string")
+    dof = spark.createDataFrame([], "serial_number string")
+    out = erp_order_view_draft(erp_tables, AS_OF, lookup_type="PRODCAT", description_pattern="Hip%",
+                               doc_lists={"IVIEW_EXISTS": iv, "DOF_EXISTS": dof})
+    assert tuple(out.columns) == DRAFT_COLUMNS and len(DRAFT_COLUMNS) == 48
+    r = {row.LINE_ID: row for row in out.collect()}
+    # surgeon optional (order 4 kept), shipped lines older than 30 days on the actual
+    # shipment date (NULL here) are aged out: closed-not-returned line 11 is dropped
+    assert 41 in r and 11 not in r
+    assert (r[15].IVIEW_EXISTS, r[15].DOF_EXISTS) == (1, 0)
+    assert r[13].PATIENT_DOB == dt.date(1970, 1, 15)
+    assert r[51].PRODUCT_DESCRIPTION == "Hip"                       # no detail text -> own description
