@@ -18,6 +18,7 @@ from orderlens.plans.order_view import (
     EXCLUDED_LINE_TYPES, ORDER_NUMBER_BOUND, OrderViewConfig, location, order_status,
     order_view_rows,
 )
+from orderlens.plans.pricing import hospital_product, party_pricelist
 
 # --- fixed values (must equal the reference's for the same results) ---------
 PRODUCT_CATEGORY_SET = 1100000063
@@ -381,3 +382,123 @@ def _common_columns(cfg: OrderViewConfig) -> dict:
         "SHIP_TO_ORG_ID": F.col("l_ship_to_org_id"), "SALESREP_ID": F.col("l_salesrep_id"),
         "DATE_SUBMITTED": F.col("review_submitted"), "PATELLA_FLAG": F.lit("False"),
     }
+
+
+# --- J6a-J6d: price-list items, hospital price lists, matrix --------------------
+
+# fixed values (must equal the reference's for the same results)
+ITEM_ORG_ID = 84
+MATRIX_CATEGORY_SET = 1100000202
+IDENTITY_ITEM_ID = 447191
+ATTR_ITEM = "PRICING_ATTRIBUTE1"
+ATTR_CATEGORY = "PRICING_ATTRIBUTE2"
+ATTR_ALL = "PRICING_ATTRIBUTE3"
+
+
+def erp_pricelist_item(t: dict[str, DataFrame], as_of, *, org_id: int = ITEM_ORG_ID,
+                       identity_item_id: int = IDENTITY_ITEM_ID) -> DataFrame:
+    """Price-list lines valid at ``as_of`` (line AND header dates, C10)
+    with their item: by item id, via the item category (one category line
+    stands for each of its items), or none for the all-items kind (D6, C12);
+    the identity price only for one item with a positive operand (I21)."""
+    from orderlens.functions.dates import valid_at
+
+    qll = t["list_lines"].where(valid_at("start_date_active", "end_date_active", as_of)).select(
+        "list_line_id", "list_header_id", "operand")
+    qlh = t["list_headers"].where(valid_at("start_date_active", "end_date_active", as_of)).select(
+        F.col("list_header_id").alias("__h"))
+    qpa = t["pricing_attributes"].select(F.col("list_line_id").alias("__l"), "product_attribute",
+                                         "product_attr_value")
+    x = qll.join(qlh, F.col("list_header_id") == F.col("__h")).join(qpa, F.col("list_line_id") == F.col("__l"))
+    mic = t["item_categories"].where(F.col("organization_id") == org_id).select(
+        F.col("category_id").alias("__cat"), F.col("inventory_item_id").alias("__cat_item"))
+    attr = F.col("product_attribute")
+    value = X.text_to_number("product_attr_value")
+    x = x.join(mic, F.when(attr == ATTR_CATEGORY, value) == F.col("__cat"), "left")
+    msib = t["system_items"].where(F.col("organization_id") == org_id).select(
+        F.col("inventory_item_id").alias("__item"), F.col("segment1").alias("__item_seg"))
+    item_key = F.when(attr == ATTR_ITEM, value).when(attr == ATTR_CATEGORY, F.col("__cat_item"))
+    x = x.join(msib, item_key == F.col("__item"), "left")
+    x = x.where((attr == ATTR_ALL) | F.col("__item_seg").isNotNull())
+    return x.select(
+        F.col("list_header_id").alias("PRICE_LIST_ID"), F.col("product_attribute").alias("PRODUCT_ATTRIBUTE"),
+        X.conditional_price("operand", "__item", identity_item_id).alias("PATIENTPAYIDENTITYPRICE"),
+        F.col("__item").alias("INVENTORY_ITEM_ID"))
+
+
+def erp_party_pricelist(t: dict[str, DataFrame], as_of, *,
+                        group_countries=None) -> DataFrame:
+    """Distinct (group, hospital, patient-pay flag, price list, country).
+
+    Hospital grouping: active parties, their account's patient-pay flag
+    (I22), the active participating relationship still open at ``as_of``
+    (D4, C11) to an active group party (D14: parties twice).  The reference
+    also outer-joins the group's account without using any of its columns;
+    before the DISTINCT that join can only repeat rows, so it is left out.
+    Price list: group precedence (active, valid at ``as_of``) matched by group
+    OR hospital (D8) for the group-price countries (I20), else the site list.
+    """
+    from orderlens.functions.dates import as_ts, valid_at
+    from orderlens.functions.labels import GROUP_PRICE_COUNTRIES
+
+    hp = t["parties"].where(F.col("status") == "A").select(
+        F.col("party_id").alias("hospital_id"), F.col("party_name").alias("hospital"))
+    hca = t["cust_accounts"].select(F.col("party_id").alias("__acct_party"), "attribute7")
+    hr = t["relationships"].where(
+        (F.col("relationship_code") == "PARTICIPATING") & (F.col("end_date") >= as_ts(as_of))
+        & (F.col("status") == "A")).select(F.col("subject_id").alias("__subj"),
+                                          F.col("object_id").alias("__obj"))
+    grp = t["parties"].where(F.col("status") == "A").select(F.col("party_id").alias("group_id"))
+    pg = (hp.join(hca, F.col("hospital_id") == F.col("__acct_party"), "left")
+            .join(hr, F.col("__subj") == F.col("hospital_id"), "left")
+            .join(grp, F.col("group_id") == F.col("__obj"), "left")
+            .select("group_id", "hospital_id", "hospital", X.yes_flag("attribute7").alias("req")))
+    ps = t["party_sites"].where(F.col("status") == "A").select(
+        F.col("party_id").alias("__ps_party"), F.col("party_site_id").alias("__ps"),
+        F.col("location_id").alias("__loc"))
+    loc = t["locations"].select(F.col("location_id").alias("__loc_id"), F.col("country"))
+    cas = t["acct_sites"].where(F.col("status") == "A").select(
+        F.col("party_site_id").alias("__cas_ps"), F.col("cust_acct_site_id").alias("__cas"))
+    su = t["site_uses"].where(F.col("status") == "A").select(
+        F.col("cust_acct_site_id").alias("__su_cas"), F.col("price_list_id").alias("site_price_list"))
+    hospitals = (pg.join(ps, F.col("__ps_party") == F.col("hospital_id"))
+                   .join(loc, F.col("__loc") == F.col("__loc_id"))
+                   .join(cas, F.col("__cas_ps") == F.col("__ps"))
+                   .join(su, F.col("__su_cas") == F.col("__cas"))
+                   .select("group_id", "hospital_id", "hospital", "req", "country", "site_price_list"))
+    prec = t["group_precedence"].where(
+        (F.col("active") == "YES") & valid_at("start_date", "end_date", as_of)).select(
+        F.col("grp_party_id").alias("grp_key"), F.col("cust_party_id").alias("party_key"),
+        "grp_price_list_id")
+    out = party_pricelist(hospitals, prec, group_countries or GROUP_PRICE_COUNTRIES,
+                          extra_cols=("group_id",))
+    return out.select(F.col("group_id").alias("GROUP_PARTY_ID"), F.col("hospital_id").alias("HOSPITAL_ID"),
+                      F.col("hospital").alias("HOSPITAL"), F.col("req").alias("PATIENTPAYREQUIRED"),
+                      F.col("price_list_id").alias("PRICE_LIST_ID"), F.col("country").alias("COUNTRY"))
+
+
+def erp_hospital_product(t: dict[str, DataFrame], as_of, *, org_id: int = ITEM_ORG_ID,
+                         category_set_id: int = MATRIX_CATEGORY_SET, group_countries=None
+                         ) -> DataFrame:
+    """J6c/J6d: the hospital x product-category matrix: HOSPITAL_ID, HOSPITAL,
+    PATIENTPAYREQUIRED, PATIENTPAYIDENTITYPRICE and one 0/1 column per
+    category of the category set (data-dependent list, E5)."""
+    from orderlens.operators.pivot import pivot_values
+
+    pi = erp_pricelist_item(t, as_of, org_id=org_id).select(
+        F.col("PRICE_LIST_ID").alias("price_list_id"), F.col("PRODUCT_ATTRIBUTE").alias("attr"),
+        F.col("INVENTORY_ITEM_ID").alias("item"), F.col("PATIENTPAYIDENTITYPRICE").alias("price"))
+    pp = erp_party_pricelist(t, as_of, group_countries=group_countries).select(
+        F.col("HOSPITAL_ID").alias("hospital_id"), F.col("HOSPITAL").alias("hospital"),
+        F.col("PATIENTPAYREQUIRED").alias("req"), F.col("PRICE_LIST_ID").alias("price_list_id"))
+    cats_b = t["categories"].select(F.col("category_id").alias("__cid"), F.col("segment1").alias("cat"))
+    set_items = (t["item_categories"].where((F.col("category_set_id") == category_set_id)
+                                            & (F.col("organization_id") == org_id))
+                 .join(cats_b, F.col("category_id") == F.col("__cid"))
+                 .select(F.col("inventory_item_id").alias("item_id"), "cat"))
+    values = pivot_values(set_items, "cat")
+    m = hospital_product(pp, pi, set_items, cats_b.select("cat"), values,
+                         item_attrs=(ATTR_ITEM, ATTR_CATEGORY), all_attr=ATTR_ALL)
+    return m.select(F.col("hospital_id").alias("HOSPITAL_ID"), F.col("hospital").alias("HOSPITAL"),
+                    F.col("req").alias("PATIENTPAYREQUIRED"), F.col("price").alias("PATIENTPAYIDENTITYPRICE"),
+                    *[F.col(v.upper()) for v in values])

@@ -38,7 +38,8 @@ def pricelist_item(list_lines: DataFrame, list_headers: DataFrame, items: DataFr
 
 
 def party_pricelist(hospitals: DataFrame, precedence: DataFrame,
-                    group_countries=GROUP_PRICE_COUNTRIES) -> DataFrame:
+                    group_countries=GROUP_PRICE_COUNTRIES, extra_cols: tuple[str, ...] = ()
+                    ) -> DataFrame:
     """Distinct (hospital_id, hospital, req, price_list_id, country).
 
     Hospitals in ``group_countries`` take the group price list of the
@@ -48,16 +49,18 @@ def party_pricelist(hospitals: DataFrame, precedence: DataFrame,
     columns are unused and DISTINCT folds the matches back to one row.
 
     ``hospitals``: hospital_id, hospital, req, group_id, country,
-    site_price_list; ``precedence``: grp_key, party_key, grp_price_list_id.
+    site_price_list (+ ``extra_cols``, kept in the DISTINCT); ``precedence``:
+    grp_key, party_key, grp_price_list_id.
     """
     listed = F.coalesce(F.col("country").isin(list(group_countries)), F.lit(False))
     grouped = or_join(hospitals.where(listed), precedence,
                       [("group_id", "grp_key"), ("hospital_id", "party_key")], "left")
-    out_cols = ["hospital_id", "hospital", "req", "price_list_id", "country"]
-    a = grouped.select("hospital_id", "hospital", "req",
+    extra = list(extra_cols)
+    out_cols = [*extra, "hospital_id", "hospital", "req", "price_list_id", "country"]
+    a = grouped.select(*extra, "hospital_id", "hospital", "req",
                        F.col("grp_price_list_id").cast("bigint").alias("price_list_id"), "country")
     b = hospitals.where(~listed).select(
-        "hospital_id", "hospital", "req",
+        *extra, "hospital_id", "hospital", "req",
         F.col("site_price_list").cast("bigint").alias("price_list_id"), "country")
     return a.unionByName(b).select(*out_cols).distinct()
 
@@ -77,6 +80,19 @@ def party_category(rows: DataFrame, all_items: DataFrame, all_categories: DataFr
     return distinct_with_group_max(u, "hid", ["req", "price"], ["cat"])
 
 
+def _pivot_relevant(all_categories: DataFrame, categories: list[str]) -> DataFrame:
+    """The all-items kind pairs a price list with EVERY category.  Categories
+    outside the pivot list only make the hospital's row exist (their cells
+    fold to 0), so one representative of them is exact: the pivot categories
+    present plus the smallest other one - at most ``len(categories) + 1``
+    rows, whatever the size of the category table."""
+    cats = all_categories.select("cat").where(F.col("cat").isNotNull()).distinct()
+    listed = cats.where(F.col("cat").isin(list(categories)))
+    other = (cats.where(~F.col("cat").isin(list(categories)))
+                 .agg(F.min("cat").alias("cat")).where(F.col("cat").isNotNull()))
+    return listed.unionByName(other)
+
+
 def hospital_product(pp: DataFrame, pi: DataFrame, items: DataFrame, all_categories: DataFrame,
                      categories: list[str], *, item_attrs=("A1", "A2"), all_attr: str = "A3",
                      max_categories: int = 10_000) -> DataFrame:
@@ -90,7 +106,7 @@ def hospital_product(pp: DataFrame, pi: DataFrame, items: DataFrame, all_categor
                   .join(items, pi["item"] == items["item_id"], "inner")
                   .groupBy("price_list_id", "cat").agg(F.max("price").alias("price")))
     all_lists = pi.where(F.col("attr") == all_attr).select("price_list_id").distinct()
-    every = cross_small(all_lists, all_categories.select("cat"), max_categories).select(
+    every = cross_small(all_lists, _pivot_relevant(all_categories, categories), max_categories).select(
         "price_list_id", F.lit(None).cast("double").alias("price"), "cat")
     cats = per_list.unionByName(every)
     u = pp.join(cats, "price_list_id", "inner").select(

@@ -193,3 +193,64 @@ def test_draft_generation(spark, erp_tables):
     assert (r[15].IVIEW_EXISTS, r[15].DOF_EXISTS) == (1, 0)
     assert r[13].PATIENT_DOB == dt.date(1970, 1, 15)
     assert r[51].PRODUCT_DESCRIPTION == "Hip"                       # no detail text -> own description
+
+
+@pytest.fixture(scope="module")
+def pricing_tables(spark):
+    df = spark.createDataFrame
+    far, gone = D("2030-01-01"), D("2019-01-01")
+    return {
+        "list_headers": df([(500, None, None), (600, None, None), (700, None, gone)],
+                           "list_header_id long, start_date_active timestamp_ntz, end_date_active timestamp_ntz"),
+        "list_lines": df([(1, 500, 10.0, None, None), (2, 500, 5.0, None, None), (3, 600, 1.0, None, None),
+                          (4, 700, 9.0, None, None), (5, 500, 7.0, None, gone)],
+                         "list_line_id long, list_header_id long, operand double, "
+                         "start_date_active timestamp_ntz, end_date_active timestamp_ntz"),
+        "pricing_attributes": df([(1, "PRICING_ATTRIBUTE1", "1"), (2, "PRICING_ATTRIBUTE2", "30"),
+                                  (3, "PRICING_ATTRIBUTE3", "ALL"), (4, "PRICING_ATTRIBUTE1", "2"),
+                                  (5, "PRICING_ATTRIBUTE1", "2")],
+                                 "list_line_id long, product_attribute string, product_attr_value string"),
+        "system_items": df([(1, 84, "ITEM1"), (2, 84, "ITEM2"), (447191, 84, "IDENT")],
+                           "inventory_item_id long, organization_id long, segment1 string"),
+        "item_categories": df([(1, 10, 84, 1100000202), (2, 20, 84, 1100000202), (447191, 10, 84, 1100000202),
+                               (447191, 30, 84, 5)],
+                              "inventory_item_id long, category_id long, organization_id long, category_set_id long"),
+        "categories": df([(10, "CATA"), (20, "CATB"), (30, "GRP"), (40, "OTHER")], "category_id long, segment1 string"),
+        "parties": df([(1000, "H1", "A"), (1001, "H2", "A"), (2000, "G", "A"), (1002, "H3", "I")],
+                      "party_id long, party_name string, status string"),
+        "cust_accounts": df([(1000, "Yes"), (1001, "No")], "party_id long, attribute7 string"),
+        "relationships": df([(1000, 2000, "PARTICIPATING", far, "A")],
+                            "subject_id long, object_id long, relationship_code string, end_date timestamp_ntz, status string"),
+        "group_precedence": df([(2000, None, 500, "YES", None, None), (None, 1001, 700, "YES", None, None)],
+                               "grp_party_id long, cust_party_id long, grp_price_list_id long, active string, "
+                               "start_date timestamp_ntz, end_date timestamp_ntz"),
+        "party_sites": df([(1000, 1, 11, "A"), (1001, 2, 12, "A"), (1002, 3, 11, "A")],
+                          "party_id long, party_site_id long, location_id long, status string"),
+        "locations": df([(11, "US"), (12, "DE")], "location_id long, country string"),
+        "acct_sites": df([(1, 21, "A"), (2, 22, "A"), (3, 23, "A")], "party_site_id long, cust_acct_site_id long, status string"),
+        "site_uses": df([(21, 600, "A"), (22, 600, "A"), (23, 600, "A")],
+                        "cust_acct_site_id long, price_list_id long, status string"),
+    }
+
+
+def test_erp_pricelist_item(pricing_tables):
+    from orderlens.plans.erp import erp_pricelist_item
+    rows = sorted((r.PRICE_LIST_ID, r.PRODUCT_ATTRIBUTE, r.INVENTORY_ITEM_ID or 0, r.PATIENTPAYIDENTITYPRICE)
+                  for r in erp_pricelist_item(pricing_tables, AS_OF).collect())
+    assert rows == [(500, "PRICING_ATTRIBUTE1", 1, None), (500, "PRICING_ATTRIBUTE2", 447191, 5.0),
+                    (600, "PRICING_ATTRIBUTE3", 0, None)]
+
+
+def test_erp_party_pricelist(pricing_tables):
+    from orderlens.plans.erp import erp_party_pricelist
+    rows = {r.HOSPITAL_ID: tuple(r) for r in erp_party_pricelist(pricing_tables, AS_OF).collect()}
+    # H1 (US) takes its group's price list; H2 (DE) its site list; H3 inactive
+    assert rows == {1000: (2000, 1000, "H1", 1, 500, "US"), 1001: (None, 1001, "H2", 0, 600, "DE")}
+
+
+def test_erp_hospital_product(pricing_tables):
+    from orderlens.plans.erp import erp_hospital_product
+    m = erp_hospital_product(pricing_tables, AS_OF)
+    assert m.columns == ["HOSPITAL_ID", "HOSPITAL", "PATIENTPAYREQUIRED", "PATIENTPAYIDENTITYPRICE", "CATA", "CATB"]
+    rows = {r.HOSPITAL_ID: tuple(r)[1:] for r in m.collect()}
+    assert rows == {1000: ("H1", 1, 5.0, 1, 0), 1001: ("H2", 0, None, 1, 1)}
