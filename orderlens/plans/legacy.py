@@ -1,8 +1,12 @@
 """The legacy two-branch load, set-based.
 
-The reference fetched 1000 rows at a time and ran a status query per row.
-Here the per-row lookup is one strict-latest aggregate (E6) joined once, and
-the two cursors are two filters of the same joined frame appended by name.
+The reference fetched 1000 rows at a time, ran a status query per row and
+inserted general and special (G3) orders from two cursors with different
+column lists.  Here the per-row lookup is one strict-latest aggregate (E6)
+joined once, and the two cursors become ONE pass over the joined orders: each
+output column takes its general or special expression per row, by the
+special-order flag (D11 NOT EXISTS / EXISTS).  The rows equal the two branches
+appended by name (A5), without scanning and joining the orders twice.
 """
 
 from __future__ import annotations
@@ -11,17 +15,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.operators.joins import exists_flag
-from orderlens.operators.merge import append_by_name
+
+
+def _named(cols: list[Column], df: DataFrame) -> dict[str, Column]:
+    """Output name -> expression, names taken from the projection schema."""
+    names = df.select(*cols).columns
+    return dict(zip(names, cols))
 
 
 def two_branch_load(headers: DataFrame, special_keys: DataFrame, review_status: DataFrame, *,
                     header_key: str, special_key: str, review_on: str, review_key: str,
                     general_cols: list[Column], special_cols: list[Column]) -> DataFrame:
-    """General orders (no line of the special item class, D11 NOT EXISTS) and
-    special orders (EXISTS), each with the columns of its branch; columns a
-    branch lacks are NULL (A5).  ``review_status`` has one row per key."""
+    """General orders (no line of the special item class) with
+    ``general_cols`` and special orders with ``special_cols``; a column only
+    one branch defines is NULL in the other (insert with explicit column
+    lists).  ``review_status`` has one row per key."""
     x = headers.join(review_status, headers[review_on] == review_status[review_key], "left")
     x = exists_flag(x, special_keys, header_key, special_key, "__special")
-    general = x.where(F.col("__special") == 0).select(*general_cols)
-    special = x.where(F.col("__special") == 1).select(*special_cols)
-    return append_by_name(general, special)
+    is_special = F.col("__special") == 1
+    gen, spe = _named(general_cols, x), _named(special_cols, x)
+    out = []
+    for name in list(gen) + [n for n in spe if n not in gen]:
+        g, s = gen.get(name), spe.get(name)
+        if g is not None and s is not None:
+            expr = F.when(is_special, s).otherwise(g)
+        elif s is not None:
+            expr = F.when(is_special, s)
+        else:
+            expr = F.when(~is_special, g)
+        out.append(expr.alias(name))
+    return x.select(*out)

@@ -17,6 +17,7 @@ from orderlens.functions.labels import GROUP_PRICE_COUNTRIES
 from orderlens.operators.joins import cross_small, or_join
 from orderlens.operators.latest import distinct_with_group_max
 from orderlens.operators.pivot import pivot_flags
+from orderlens.sources.store import materialize
 
 
 def pricelist_item(list_lines: DataFrame, list_headers: DataFrame, items: DataFrame, as_of, *,
@@ -53,7 +54,9 @@ def party_pricelist(hospitals: DataFrame, precedence: DataFrame,
     grp_key, party_key, grp_price_list_id.
     """
     listed = F.coalesce(F.col("country").isin(list(group_countries)), F.lit(False))
-    grouped = or_join(hospitals.where(listed), precedence,
+    # the OR join reads its left side once per condition and once per anti
+    # join: stage it (Parquet in the shared folder) so its input joins run once
+    grouped = or_join(materialize(hospitals.where(listed), name="group-hospitals"), precedence,
                       [("group_id", "grp_key"), ("hospital_id", "party_key")], "left")
     extra = list(extra_cols)
     out_cols = [*extra, "hospital_id", "hospital", "req", "price_list_id", "country"]
@@ -102,13 +105,27 @@ def hospital_product(pp: DataFrame, pi: DataFrame, items: DataFrame, all_categor
     ``items``: item_id, cat; ``all_categories``: cat (bounded list for the
     all-items kind); ``categories``: pivot columns.
     """
-    per_list = (pi.where(F.col("attr").isin(list(item_attrs)))
-                  .join(items, pi["item"] == items["item_id"], "inner")
-                  .groupBy("price_list_id", "cat").agg(F.max("price").alias("price")))
-    all_lists = pi.where(F.col("attr") == all_attr).select("price_list_id").distinct()
-    every = cross_small(all_lists, _pivot_relevant(all_categories, categories), max_categories).select(
-        "price_list_id", F.lit(None).cast("double").alias("price"), "cat")
-    cats = per_list.unionByName(every)
+    # One pass over the (lineitem-sized) price-list items, reduced to
+    # (price list, kind, category).  The all-items kind is then expanded by an
+    # equi-join on the kind flag with a tiny table: one pass-through row for
+    # the item kinds, the relevant categories for the all-items kind.  The
+    # reduced frame has a single consumer, so nothing is computed twice.
+    is_all = F.col("attr") == all_attr
+    x = pi.where(F.col("attr").isin(list(item_attrs)) | is_all)
+    x = x.join(items, x["item"] == items["item_id"], "left")
+    reduced = (x.where(F.col("cat").isNotNull() | is_all)
+                .groupBy("price_list_id", is_all.alias("__all"), "cat")
+                .agg(F.max("price").alias("price")))
+    relevant = _pivot_relevant(all_categories, categories)
+    if relevant.limit(max_categories + 1).count() > max_categories:
+        raise ValueError(f"hospital_product: more than {max_categories} categories")
+    expand = relevant.select(F.lit(True).alias("__kind"), F.col("cat").alias("__cat")).unionByName(
+        reduced.sparkSession.range(1).select(F.lit(False).alias("__kind"),
+                                             F.lit(None).cast("string").alias("__cat")))
+    cats = reduced.join(F.broadcast(expand), reduced["__all"] == expand["__kind"], "inner").select(
+        "price_list_id",
+        F.when(F.col("__all"), F.col("__cat")).otherwise(F.col("cat")).alias("cat"),
+        F.when(~F.col("__all"), F.col("price")).alias("price"))
     u = pp.join(cats, "price_list_id", "inner").select(
         "hospital_id", "hospital", "req",
         F.when(F.col("req") == 1, F.col("price")).alias("price"), "cat")

@@ -11,7 +11,6 @@ shared folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from orderlens import functions as X
@@ -64,5 +63,3 @@ def run_stream_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     return spark.read.parquet(sink).select("event_id", "k")
 
-
-_ = F

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -64,4 +64,4 @@ def refresh_on_trigger(ticks: DataFrame, job: Callable[[], str], checkpoint: str
     return _trigger(w, trigger).start()
 
 
-__all__ = ["derive_stream", "stream_upsert", "refresh_on_trigger", "Column"]
+__all__ = ["derive_stream", "stream_upsert", "refresh_on_trigger"]
