@@ -502,3 +502,40 @@ def erp_hospital_product(t: dict[str, DataFrame], as_of, *, org_id: int = ITEM_O
     return m.select(F.col("hospital_id").alias("HOSPITAL_ID"), F.col("hospital").alias("HOSPITAL"),
                     F.col("req").alias("PATIENTPAYREQUIRED"), F.col("price").alias("PATIENTPAYIDENTITYPRICE"),
                     *[F.col(v.upper()) for v in values])
+
+
+# --- J8: incremental refresh of the 52-column order table ------------------------
+
+# fixed values (must equal the reference's for the same results)
+REFRESH_KEY = "LINE_ID"
+REFRESH_SENTINEL = "2000-01-01"
+
+
+def erp_change_window(as_of):
+    """Updated in the last hour, OR scan received in 14 days, OR
+    submitted in 7 days (strictly after ``as_of`` minus the lookback)."""
+    import datetime as _dt
+
+    from orderlens.operators.merge import recent
+    return [recent("LAST_UPDATE_DATE", as_of, _dt.timedelta(hours=1)),
+            recent("SCAN_RECEIVED_DATE", as_of, _dt.timedelta(days=14)),
+            recent("DATE_SUBMITTED", as_of, _dt.timedelta(days=7))]
+
+
+def erp_change_guard(s, t):
+    """A10: newer LAST_UPDATE_DATE, or scan/submit date differs with NULL
+    read as the 2000-01-01 sentinel."""
+    from orderlens.functions.dates import as_ts, change_guard
+    return change_guard(s("LAST_UPDATE_DATE"), t("LAST_UPDATE_DATE"),
+                        [(s("SCAN_RECEIVED_DATE"), t("SCAN_RECEIVED_DATE")),
+                         (s("DATE_SUBMITTED"), t("DATE_SUBMITTED"))],
+                        sentinel=as_ts(REFRESH_SENTINEL))
+
+
+def erp_incremental_refresh(target: DataFrame, view: DataFrame, as_of) -> DataFrame:
+    """Delete order lines that left the view (against the whole view,
+    NOT IN semantics), then merge the change window: guarded update of the 51
+    non-key columns, insert of new lines.  Both frames have the 52 columns."""
+    from orderlens.operators.merge import incremental_refresh
+    return incremental_refresh(target, view, REFRESH_KEY, erp_change_window(as_of),
+                               erp_change_guard)

@@ -254,3 +254,19 @@ def test_erp_hospital_product(pricing_tables):
     assert m.columns == ["HOSPITAL_ID", "HOSPITAL", "PATIENTPAYREQUIRED", "PATIENTPAYIDENTITYPRICE", "CATA", "CATB"]
     rows = {r.HOSPITAL_ID: tuple(r)[1:] for r in m.collect()}
     assert rows == {1000: ("H1", 1, 5.0, 1, 0), 1001: ("H2", 0, None, 1, 1)}
+
+
+def test_erp_incremental_refresh(spark, erp):
+    from pyspark.sql import functions as F
+    from orderlens.plans.erp import ORDER_VIEW_COLUMNS, erp_incremental_refresh
+    view = erp.withColumn("LAST_UPDATE_DATE", F.lit(AS_OF).cast("timestamp_ntz"))  # all just updated
+    # stored table: line 11 older (updated), line 13 same time (kept), line 99 gone (deleted)
+    old = view.where("LINE_ID in (11, 13)").withColumn("STATUS", F.lit("OLD")).withColumn(
+        "LAST_UPDATE_DATE", F.when(F.col("LINE_ID") == 11, F.lit(D("2020-01-01")))
+        .otherwise(F.lit(AS_OF)).cast("timestamp_ntz"))
+    gone = view.where("LINE_ID = 11").withColumn("LINE_ID", F.lit(99).cast("long"))
+    target = old.unionByName(gone)
+    out = erp_incremental_refresh(target, view, AS_OF + dt.timedelta(minutes=5))
+    assert tuple(out.columns) == ORDER_VIEW_COLUMNS
+    got = {r.LINE_ID: r.STATUS for r in out.collect()}
+    assert got == {11: "CLOSED", 13: "OLD", 15: "Re-Design", 51: "BOOKED"}
