@@ -539,3 +539,79 @@ def erp_incremental_refresh(target: DataFrame, view: DataFrame, as_of) -> DataFr
     from orderlens.operators.merge import incremental_refresh
     return incremental_refresh(target, view, REFRESH_KEY, erp_change_window(as_of),
                                erp_change_guard)
+
+
+# --- J5: legacy two-branch load ---------------------------------------------------
+
+# fixed values (must equal the reference's for the same results)
+INVENTORY_SET = "Inventory"
+WIP_CLASS = "WIP CLASSIFICATION"
+LEGACY_GENERAL_COLUMNS = (
+    "ORDER_ID", "SURGEON_ID", "SURGEON_TITLE", "SURGEON_LAST_NAME", "SURGEON_FIRST_NAME",
+    "PATIENT_FIRST_NAME", "PATIENT_LAST_NAME", "PATIENT_GENDER", "PATIENT_DOB", "CATALOG_NUMBER",
+    "UNIT_SELLING_PRICE", "SERIAL_NUMBER", "LINE_ID", "PRODUCT_CATEGORY", "UDI_CATALOG",
+    "PRODUCT_DESCRIPTION", "PATELLA_FLAG", "SCHED_SURGERY_DATE", "COMMITMENT_DATE",
+    "SURGERY_LOCATION", "STATUS", "IMPLANT_REQUEST_DATE", "SCAN_RECEIVED_DATE", "SCAN_CP_FLAG",
+    "SHIPPED_DATE", "REGION_CODE", "SALES_REP_NAME", "TERRITORY_CODE", "COUNTRY_CODE",
+    "RESCHEDULED_SURGERY_DATE", "CURRENCY", "HOSPITAL_NAME", "SALESREP_NUMBER", "LINE_TYPE",
+    "IRF_ID", "ACTUAL_SURGERY_DATE",
+)
+LEGACY_SPECIAL_EXTRA = {"PRODUCT_DESC_ORDCNF": "PRODUCT_DESC_ORDCNF",
+                        "ORDER_DETAILS_ORDCNF": "ORDER_DETAILS_ORDCNF",
+                        "ORDER_DETAILS2": "ORDER_DETAILS_2_ORDCNF"}
+
+
+def class_item_headers(t: dict[str, DataFrame], *, class_segment2: str, include_set: str,
+                       excluded_statuses=("RETURN", "CANCELLED")) -> DataFrame:
+    """Headers with a live line whose item is in the WIP class
+    ``class_segment2`` of the inventory set AND flagged 'Yes' in the set
+    ``include_set`` (the reference's 8-table NOT EXISTS).  The item side is
+    reduced to distinct qualifying items first, so the line table meets a
+    small key set once (semi join), then to distinct headers."""
+    mst = t["system_items"].select("inventory_item_id", "organization_id")
+    mic = t["item_categories"].select("inventory_item_id", "organization_id", "category_set_id",
+                                      "category_id")
+    sets = t["category_sets"].select("category_set_id", "category_set_name")
+    cats = t["categories"].select("category_id", "segment1", "segment2")
+    member = mic.join(sets, "category_set_id").join(cats, "category_id")
+    wip = member.where((F.col("category_set_name") == INVENTORY_SET) & (F.col("segment1") == WIP_CLASS)
+                       & (F.col("segment2") == class_segment2)).select("inventory_item_id", "organization_id")
+    inc = member.where((F.col("category_set_name") == include_set) & (F.col("segment1") == "Yes")
+                       ).select("inventory_item_id", "organization_id")
+    items = (mst.join(wip, ["inventory_item_id", "organization_id"], "left_semi")
+                .join(inc, ["inventory_item_id", "organization_id"], "left_semi")
+                .select("inventory_item_id").distinct())
+    lines = t["order_lines"].where(~F.col("flow_status_code").isin(list(excluded_statuses)))
+    return (lines.join(items, "inventory_item_id", "left_semi")
+                 .select("header_id").distinct())
+
+
+def erp_legacy_load(t: dict[str, DataFrame], *, class_segment2: str, include_set: str) -> DataFrame:
+    """General orders from the old order view (older line-type list,
+    C3; orders with a class item excluded, D11) and all special (G3) orders,
+    each inserted with its own column list (the special branch also fills the
+    three order-detail columns); pending statuses relabelled from the strict
+    latest revision of the serial (E6, U1: one aggregate joined once)."""
+    from orderlens.functions.labels import PENDING_DESIGN, REVIEW_LABELS
+    from orderlens.operators.joins import exclude_keys
+    from orderlens.operators.latest import strict_latest
+    from orderlens.operators.merge import append_by_name
+    from orderlens.plans.order_view import EXCLUDED_LINE_TYPES_V1
+
+    rev = strict_latest(t["hip_revision"], "serial_number", "revision", "status", name="__rev_st"
+                        ).withColumnRenamed("serial_number", "__rev_serial")
+
+    def relabel(df: DataFrame) -> DataFrame:
+        j = df.join(rev, df["SERIAL_NUMBER"] == rev["__rev_serial"], "left")
+        status = X.status_label("STATUS", F.lit(None), "__rev_st", closed=None,
+                                pending=PENDING_DESIGN, review_labels=REVIEW_LABELS)
+        return j.withColumn("STATUS", status).drop("__rev_serial", "__rev_st")
+
+    headers = class_item_headers(t, class_segment2=class_segment2, include_set=include_set)
+    old = t["old_order_view"]
+    general = exclude_keys(old.where(~F.col("LINE_TYPE").isin(list(EXCLUDED_LINE_TYPES_V1))),
+                           headers, "HEADER_ID", "header_id")
+    general = relabel(general).select(*LEGACY_GENERAL_COLUMNS)
+    special = relabel(t["special_order_view"]).select(
+        *LEGACY_GENERAL_COLUMNS, *[F.col(src).alias(dst) for dst, src in LEGACY_SPECIAL_EXTRA.items()])
+    return append_by_name(general, special)

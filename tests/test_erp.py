@@ -270,3 +270,47 @@ def test_erp_incremental_refresh(spark, erp):
     assert tuple(out.columns) == ORDER_VIEW_COLUMNS
     got = {r.LINE_ID: r.STATUS for r in out.collect()}
     assert got == {11: "CLOSED", 13: "OLD", 15: "Re-Design", 51: "BOOKED"}
+
+
+def test_erp_legacy_load(spark):
+    from orderlens.plans.erp import LEGACY_GENERAL_COLUMNS, erp_legacy_load
+    df = spark.createDataFrame
+    base_cols = [c for c in LEGACY_GENERAL_COLUMNS]
+
+    def view_rows(rows, extra=()):
+        schema = ", ".join(f"{c} {'long' if c in ('ORDER_ID', 'LINE_ID') else 'string'}" for c in base_cols)
+        schema += ", HEADER_ID long" + "".join(f", {e} string" for e in extra)
+        out = []
+        for r in rows:
+            d = {c: None for c in base_cols}
+            d.update(r)
+            out.append(tuple(d[c] for c in base_cols) + (r.get("HEADER_ID"),) + tuple(r.get(e) for e in extra))
+        return df(out, schema)
+
+    old = view_rows([
+        {"ORDER_ID": 1, "LINE_ID": 11, "HEADER_ID": 100, "STATUS": "PENDING_DESIGN_APPROVAL", "SERIAL_NUMBER": "S1", "LINE_TYPE": "Standard"},
+        {"ORDER_ID": 2, "LINE_ID": 21, "HEADER_ID": 200, "STATUS": "BOOKED", "LINE_TYPE": "Standard"},      # class item -> out
+        {"ORDER_ID": 3, "LINE_ID": 31, "HEADER_ID": 300, "STATUS": "BOOKED", "LINE_TYPE": "HIP Procedure"},  # excluded type
+        {"ORDER_ID": 4, "LINE_ID": 41, "HEADER_ID": 400, "STATUS": "PENDING_DESIGN_APPROVAL", "SERIAL_NUMBER": "S2", "LINE_TYPE": "Standard"},
+    ])
+    g3 = view_rows([{"ORDER_ID": 5, "LINE_ID": 51, "HEADER_ID": 500, "STATUS": "PENDING_DESIGN_APPROVAL",
+                     "SERIAL_NUMBER": "S1", "LINE_TYPE": "HIP Procedure", "ORDER_DETAILS_2_ORDCNF": "d2"}],
+                   extra=("PRODUCT_DESC_ORDCNF", "ORDER_DETAILS_ORDCNF", "ORDER_DETAILS_2_ORDCNF"))
+    t = {
+        "old_order_view": old, "special_order_view": g3,
+        "hip_revision": df([("S1", 1, "pending"), ("S1", 2, "approved"), ("S2", 1, "declined"), ("S2", 1, "pending")],
+                           "serial_number string, revision int, status string"),
+        "order_lines": df([(200, 7, "BOOKED"), (400, 7, "CANCELLED")], "header_id long, inventory_item_id long, flow_status_code string"),
+        "system_items": df([(7, 84)], "inventory_item_id long, organization_id long"),
+        "item_categories": df([(7, 84, 1, 10), (7, 84, 2, 20)],
+                              "inventory_item_id long, organization_id long, category_set_id long, category_id long"),
+        "category_sets": df([(1, "Inventory"), (2, "IncludeSet")], "category_set_id long, category_set_name string"),
+        "categories": df([(10, "WIP CLASSIFICATION", "KNEE CLASS"), (20, "Yes", None)],
+                         "category_id long, segment1 string, segment2 string"),
+    }
+    out = erp_legacy_load(t, class_segment2="KNEE CLASS", include_set="IncludeSet")
+    assert len(out.columns) == 39
+    got = {r.LINE_ID: (r.STATUS, r.ORDER_DETAILS2) for r in out.collect()}
+    # S1 latest revision approved; S2 has two rows at its max revision -> NULL -> status kept
+    assert got == {11: ("Design Approved by Surgeon", None), 41: ("PENDING_DESIGN_APPROVAL", None),
+                   51: ("Design Approved by Surgeon", "d2")}
