@@ -67,9 +67,23 @@ def read_current(spark: SparkSession, base: str, schema: StructType | None = Non
     return spark.read.parquet(path)
 
 
+_last_stamp = 0
+
+
+def _next_stamp(spark: SparkSession, base: str) -> int:
+    """Strictly increasing version number: wall-clock milliseconds, but above
+    every version already in ``base`` and every one this process issued."""
+    global _last_stamp
+    existing = [int(v[1:16]) for v in _versions(spark, base) if v[1:16].isdigit()]
+    stamp = max(int(time.time() * 1000), _last_stamp + 1, max(existing, default=0) + 1)
+    _last_stamp = stamp
+    return stamp
+
+
 def publish(df: DataFrame, base: str) -> str:
     """Write ``df`` as a new version of ``base``; it becomes visible atomically."""
-    version = f"{base.rstrip('/')}/v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+    stamp = _next_stamp(df.sparkSession, base)
+    version = f"{base.rstrip('/')}/v{stamp:015d}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(version)
     return version
 

@@ -65,3 +65,11 @@ def test_refresh_on_trigger_runs_job_per_batch(spark):
                            checkpoint=scratch_path(spark, "t-ckpt-ticks"))
     q.awaitTermination()
     assert len(calls) == 3
+
+
+def test_publish_versions_strictly_increase(spark):
+    base = scratch_path(spark, "t-fast")
+    df = spark.createDataFrame([(1,)], "x int")
+    paths = [publish(df.selectExpr(f"{i} as x"), base) for i in range(4)]
+    assert paths == sorted(paths) and len(set(paths)) == 4
+    assert [r.x for r in read_current(spark, base).collect()] == [3]
