@@ -116,9 +116,10 @@ def hospital_product(pp: DataFrame, pi: DataFrame, items: DataFrame, all_categor
     reduced = (x.where(F.col("cat").isNotNull() | is_all)
                 .groupBy("price_list_id", is_all.alias("__all"), "cat")
                 .agg(F.max("price").alias("price")))
-    relevant = _pivot_relevant(all_categories, categories)
-    if relevant.limit(max_categories + 1).count() > max_categories:
+    # bounded by construction: the listed categories plus at most one other
+    if len(categories) + 1 > max_categories:
         raise ValueError(f"hospital_product: more than {max_categories} categories")
+    relevant = _pivot_relevant(all_categories, categories)
     expand = relevant.select(F.lit(True).alias("__kind"), F.col("cat").alias("__cat")).unionByName(
         reduced.sparkSession.range(1).select(F.lit(False).alias("__kind"),
                                              F.lit(None).cast("string").alias("__cat")))
