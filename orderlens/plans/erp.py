@@ -80,7 +80,7 @@ def erp_roles(t: dict[str, DataFrame], category_set_id: int = PRODUCT_CATEGORY_S
         F.col("person_pre_name_adjunct").alias("c_title"),
         F.col("person_last_name").alias("c_last_name"),
         F.col("person_first_name").alias("c_first_name"))
-    sites = t["site_uses"].select(
+    sites = t["site_use_view"].select(
         F.col("site_use_id").alias("site_ref"), "ps_address1", "ps_address2", "ps_address3",
         "ps_address4", "ps_city", "ps_state", "ps_province", "ps_country",
         F.col("region").alias("s_region"), F.col("territory").alias("s_territory"),
@@ -96,7 +96,7 @@ def erp_roles(t: dict[str, DataFrame], category_set_id: int = PRODUCT_CATEGORY_S
         F.col("salesrep_name").alias("r_name"), F.col("salesrep_number").alias("rep_number"))
     lookups = [(reps, [("l_salesrep_id", "__rep_id"), ("l_org_id", "__rep_org")], None)]  # D3
     if with_categories:
-        cats = t["item_categories"].select(
+        cats = t["item_category_view"].select(
             F.col("inventory_item_id").alias("__cat_item"), F.col("organization_id").alias("__cat_org"),
             F.col("category_set_id").alias("__cat_set"), F.col("segment4").alias("category_a"),
             F.col("segment5").alias("category_b"))

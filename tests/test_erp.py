@@ -69,8 +69,8 @@ def erp_tables(spark):
                  "language string, lookup_type string, view_application_id int, security_group_id int, "
                  "lookup_code string, meaning string")
     return {"order_headers": headers, "order_lines": lines, "items": items,
-            "transaction_types": types, "contacts": contacts, "site_uses": sites, "salesreps": reps,
-            "scans": scans, "reviews": reviews, "item_categories": cats, "lookup_values": lookup}
+            "transaction_types": types, "contacts": contacts, "site_use_view": sites, "salesreps": reps,
+            "scans": scans, "reviews": reviews, "item_category_view": cats, "lookup_values": lookup}
 
 
 @pytest.fixture(scope="module")
@@ -314,3 +314,22 @@ def test_erp_legacy_load(spark):
     # S1 latest revision approved; S2 has two rows at its max revision -> NULL -> status kept
     assert got == {11: ("Design Approved by Surgeon", None), 41: ("PENDING_DESIGN_APPROVAL", None),
                    51: ("Design Approved by Surgeon", "d2")}
+
+
+def test_jobs_cli(spark, erp_tables, pricing_tables):
+    from orderlens.plans.jobs import main
+    from orderlens.session import scratch_path
+    from orderlens.sources.store import read_current
+    tables = scratch_path(spark, "t-erp-tables")
+    for name, df in {**erp_tables, **pricing_tables}.items():
+        df.write.parquet(f"{tables}/{name}")
+    target = scratch_path(spark, "t-order-table")
+    main(["order-refresh", "--tables", tables, "--target", target, "--as-of", str(AS_OF),
+          "--excluded-order-types", "OEM-X"], spark=spark)
+    assert sorted(r.LINE_ID for r in read_current(spark, target).collect()) == [11, 13, 15, 51]
+    main(["order-refresh", "--tables", tables, "--target", target, "--mode", "incremental",
+          "--as-of", str(AS_OF), "--excluded-order-types", "OEM-X"], spark=spark)
+    assert sorted(r.LINE_ID for r in read_current(spark, target).collect()) == [11, 13, 15, 51]
+    matrix = scratch_path(spark, "t-matrix")
+    main(["matrix-refresh", "--tables", tables, "--target", matrix, "--as-of", str(AS_OF)], spark=spark)
+    assert {r.HOSPITAL_ID for r in read_current(spark, matrix).collect()} == {1000, 1001}
