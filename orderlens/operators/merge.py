@@ -41,12 +41,15 @@ def _unique_by(df: DataFrame, keys: list[str], what: str) -> DataFrame:
 
     The count is a window on the keys: its exchange and sort are exactly what
     the following sort-merge join on the same keys needs, so the check adds no
-    shuffle.  Keys are unique in valid input, so no partition is hot.
+    shuffle.  Keys are unique in valid input, so no partition is hot.  A row
+    with a NULL key component matches nothing and is simply inserted, so
+    several of them are not duplicates.
     """
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     msg = F.lit(f"{what}: duplicate key in source for {keys}")
     return (df.withColumn("__dup", n)
-              .where(F.when(F.col("__dup") > 1, F.raise_error(msg)).otherwise(F.lit(True)))
+              .where(F.when((F.col("__dup") > 1) & has_key, F.raise_error(msg)).otherwise(F.lit(True)))
               .drop("__dup"))
 
 

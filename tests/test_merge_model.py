@@ -70,7 +70,7 @@ def test_delete_missing_model(spark, seed):
 def test_merge_upsert_model(spark, seed):
     rnd = random.Random(100 + seed)
     t_keys = rnd.sample(range(15), 8) + [None]
-    s_keys = rnd.sample(range(15), 7) + [None]
+    s_keys = rnd.sample(range(15), 7) + [None] * (seed % 3)
     target = [(k, f"t{k}", rnd.choice([None, 1, 2, 3])) for k in t_keys]
     source = [(k, f"s{k}", rnd.choice([None, 1, 2, 3])) for k in s_keys]
     tdf = spark.createDataFrame(target, "id int, st string, upd int")

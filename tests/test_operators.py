@@ -184,3 +184,11 @@ def test_left_join_many_equals_left_outer(spark):
     got = rows(O.left_join_many(l_df, r_df, [("k", "rk")], F.col("even") == 0))
     want = rows(l_df.join(r_df.where("even = 0"), F.col("k") == F.col("rk"), "left"))
     assert got == want
+
+
+def test_merge_upsert_several_null_source_keys_are_inserted(spark):
+    tgt = spark.createDataFrame([(1, "a", 1), (None, "n", 1)], "id int, st string, upd int")
+    src = spark.createDataFrame([(None, "x", 2), (None, "y", 3), (1, "b", 2)], "id int, st string, upd int")
+    out = O.merge_upsert(tgt, src, ["id"], lambda s, t: s("upd") > t("upd"))
+    assert rows(out) == rows(spark.createDataFrame(
+        [(1, "b", 2), (None, "n", 1), (None, "x", 2), (None, "y", 3)], "id int, st string, upd int"))
