@@ -36,7 +36,7 @@ def changed_since(df: DataFrame, conditions: Iterable[Column]) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, list(conditions)))
 
 
-def _unique_by(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+def _unique_by(df: DataFrame, keys: list[str], what: str, null_safe: bool = False) -> DataFrame:
     """Fail the job if a key occurs twice (an unstable MERGE source).
 
     The count is a window on the keys: its exchange and sort are exactly what
@@ -46,7 +46,8 @@ def _unique_by(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     several of them are not duplicates.
     """
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    has_key = (F.lit(True) if null_safe
+               else reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     msg = F.lit(f"{what}: duplicate key in source for {keys}")
     return (df.withColumn("__dup", n)
               .where(F.when((F.col("__dup") > 1) & has_key, F.raise_error(msg)).otherwise(F.lit(True)))
@@ -55,24 +56,28 @@ def _unique_by(df: DataFrame, keys: list[str], what: str) -> DataFrame:
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
                  guard: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
-                 update_cols: list[str] | None = None, check_unique: bool = True) -> DataFrame:
+                 update_cols: list[str] | None = None, check_unique: bool = True,
+                 null_safe: bool = False) -> DataFrame:
     """MERGE as a full outer join.
 
     matched and ``guard(src, tgt)`` true -> the source values of
     ``update_cols`` (default: every non-key column); matched and guard false
     or unknown -> the target row unchanged; not matched -> the source row
     inserted (target-only columns NULL); target rows without a source row are
-    kept.  The result has the target's columns.  NULL keys never match.
+    kept.  The result has the target's columns.  NULL keys never match (SQL
+    MERGE), unless ``null_safe``: then NULL is a key value like any other
+    (for keys produced by a grouping, as in the streaming upsert).
     """
     keys = list(keys)
     tcols = target.columns
     scols = set(source.columns)
     if update_cols is None:
         update_cols = [c for c in tcols if c not in keys and c in scols]
-    src = _unique_by(source, keys, "merge_upsert") if check_unique else source
+    src = _unique_by(source, keys, "merge_upsert", null_safe) if check_unique else source
     t = target.select(*[F.col(c).alias(f"__t_{c}") for c in tcols], F.lit(True).alias("__t_hit"))
     s = src.select(*[F.col(c).alias(f"__s_{c}") for c in source.columns], F.lit(True).alias("__s_hit"))
-    cond = reduce(lambda a, b: a & b, [t[f"__t_{k}"] == s[f"__s_{k}"] for k in keys])
+    eq = (lambda a, b: a.eqNullSafe(b)) if null_safe else (lambda a, b: a == b)
+    cond = reduce(lambda a, b: a & b, [eq(t[f"__t_{k}"], s[f"__s_{k}"]) for k in keys])
     j = t.join(s, cond, "full_outer")
 
     def sv(c: str) -> Column:

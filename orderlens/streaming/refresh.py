@@ -43,7 +43,8 @@ def stream_upsert(changes: DataFrame, base: str, schema: StructType, keys: list[
         spark = batch.sparkSession
         latest = latest_per_key(batch, keys, order_by, cols)
         target = read_current(spark, base, schema)
-        publish(merge_upsert(target, latest, keys, guard), base)
+        # keys come from a grouping (NULL is a group), so match them null-safely
+        publish(merge_upsert(target, latest, keys, guard, null_safe=True), base)
 
     w = changes.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     if query_name:

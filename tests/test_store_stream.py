@@ -73,3 +73,19 @@ def test_publish_versions_strictly_increase(spark):
     paths = [publish(df.selectExpr(f"{i} as x"), base) for i in range(4)]
     assert paths == sorted(paths) and len(set(paths)) == 4
     assert [r.x for r in read_current(spark, base).collect()] == [3]
+
+
+def test_stream_upsert_null_keys_equal_batch(spark):
+    ev = Tables(spark, SF01).events.select(
+        F.when(F.col("event_id") % 50 == 0, F.lit(None)).otherwise(F.col("user_id")).alias("user_id"),
+        "event_type", "ts", "event_id")
+    feed = stage_feed(spark, ev, 4, "t-feed-null")
+    changes = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    base = scratch_path(spark, "t-latest-null")
+    q = stream_upsert(changes, base, LATEST_SCHEMA, ["user_id"], ["ts", "event_id"], latest_guard,
+                      checkpoint=scratch_path(spark, "t-ckpt-null"))
+    q.awaitTermination()
+    got = read_current(spark, base)
+    want = latest_per_key(ev, "user_id", ["ts", "event_id"], ["event_type", "ts", "event_id"])
+    assert got.where(F.col("user_id").isNull()).count() == 1
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
