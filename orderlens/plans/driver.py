@@ -53,18 +53,19 @@ def _t(spark: SparkSession, d: str) -> Tables:
 # --- shared role frames ---------------------------------------------------------
 
 def _merge_source(t: Tables) -> DataFrame:
-    """The "view" of the merge fixtures (orders missing 1 key in 10)."""
+    """The "view" of the merge fixtures: orders of one priority have left it."""
     o = t.orders
-    return o.where(o.o_orderkey % 10 != 3).select(
+    return o.where(F.col("o_orderpriority") != "4-NOT SPECIFIED").select(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("st"),
         F.col("o_orderdate").alias("upd"), (F.floor("o_totalprice") % 3).alias("sub"))
 
 
 def _merge_target(t: Tables) -> DataFrame:
-    """The stored table of the merge fixtures (older values, some NULLs)."""
+    """The stored table of the merge fixtures: older values, some NULLs, and
+    orders of one priority not loaded yet."""
     o = t.orders
     k = F.col("o_orderkey")
-    return o.where(k % 7 != 0).select(
+    return o.where(F.col("o_orderpriority") != "1-URGENT").select(
         k.alias("id"), F.lit("old").alias("st"),
         F.when(k % 4 == 0, F.col("o_orderdate") - F.expr("INTERVAL 5 DAYS"))
          .when(k % 4 == 1, F.lit(None)).otherwise(F.col("o_orderdate")).alias("upd"),

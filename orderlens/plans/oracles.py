@@ -22,10 +22,10 @@ ORACLES = {
         'select distinct p_type from part join lineitem on l_partkey=p_partkey where l_quantity>40'
     ),
     'change_guard': (
-        "select s.id,case when s.upd>t.upd or coalesce(s.sub,-1)<>coalesce(t.sub,-1) then 1 else 0 end as changed from (select o_orderkey as id,o_orderstatus as st,o_orderdate as upd,cast(floor(o_totalprice) as bigint)%3 as sub from orders where o_orderkey%10<>3) s join (select o_orderkey as id,'old' as st,case when o_orderkey%4=0 then o_orderdate - interval 5 day when o_orderkey%4=1 then null else o_orderdate end as upd,case when o_orderkey%6=0 then null else cast(floor(o_totalprice) as bigint)%3 end as sub from orders where o_orderkey%7<>0) t on s.id=t.id"
+        "select s.id,case when s.upd>t.upd or coalesce(s.sub,-1)<>coalesce(t.sub,-1) then 1 else 0 end as changed from (select o_orderkey as id,o_orderstatus as st,o_orderdate as upd,cast(floor(o_totalprice) as bigint)%3 as sub from orders where o_orderpriority<>'4-NOT SPECIFIED') s join (select o_orderkey as id,'old' as st,case when o_orderkey%4=0 then o_orderdate - interval 5 day when o_orderkey%4=1 then null else o_orderdate end as upd,case when o_orderkey%6=0 then null else cast(floor(o_totalprice) as bigint)%3 end as sub from orders where o_orderpriority<>'1-URGENT') t on s.id=t.id"
     ),
     'change_window': (
-        "select * from (select o_orderkey as id,o_orderstatus as st,o_orderdate as upd,cast(floor(o_totalprice) as bigint)%3 as sub from orders where o_orderkey%10<>3) s where upd>timestamp'2001-06-01' - interval 1 hour or sub=2 or upd between timestamp'1999-01-01' - interval 14 day and timestamp'1999-01-01'"
+        "select * from (select o_orderkey as id,o_orderstatus as st,o_orderdate as upd,cast(floor(o_totalprice) as bigint)%3 as sub from orders where o_orderpriority<>'4-NOT SPECIFIED') s where upd>timestamp'2001-06-01' - interval 1 hour or sub=2 or upd between timestamp'1999-01-01' - interval 14 day and timestamp'1999-01-01'"
     ),
     'conditional_price': (
         'select p_partkey,case when p_size=7 and p_retailprice>0 then p_retailprice end as price from part'
@@ -46,7 +46,7 @@ ORACLES = {
         "select o_orderkey, upper(strftime(strptime(substr(cast(o_orderdate as varchar),1,10),'%Y-%m-%d'),'%d-%b-%Y')) as d from orders"
     ),
     'delete_missing': (
-        "select id,st,upd from (select o_orderkey as id,'old' as st,case when o_orderkey%4=0 then o_orderdate - interval 5 day when o_orderkey%4=1 then null else o_orderdate end as upd,case when o_orderkey%6=0 then null else cast(floor(o_totalprice) as bigint)%3 end as sub from orders where o_orderkey%7<>0) t where not (id not in (select o_orderkey from orders where o_orderkey%10<>3))"
+        "select id,st,upd from (select o_orderkey as id,'old' as st,case when o_orderkey%4=0 then o_orderdate - interval 5 day when o_orderkey%4=1 then null else o_orderdate end as upd,case when o_orderkey%6=0 then null else cast(floor(o_totalprice) as bigint)%3 end as sub from orders where o_orderpriority<>'1-URGENT') t where not (id not in (select o_orderkey from orders where o_orderpriority<>'4-NOT SPECIFIED'))"
     ),
     'derive_on_write': (
         "select o_orderkey, regexp_replace(o_orderpriority, '^(.+)[AB\\\\\\-].*', '\\1') as s from orders"
@@ -79,7 +79,7 @@ ORACLES = {
         "select n_nationkey from nation where n_name in ('NATION_1','NATION_2','NATION_3')"
     ),
     'incremental_refresh': (
-        "with src as (select o_orderkey as id,o_orderstatus as st,o_orderdate as upd,cast(floor(o_totalprice) as bigint)%3 as sub from orders where o_orderkey%10<>3), tgt as (select o_orderkey as id,'old' as st,case when o_orderkey%4=0 then o_orderdate - interval 5 day when o_orderkey%4=1 then null else o_orderdate end as upd,case when o_orderkey%6=0 then null else cast(floor(o_totalprice) as bigint)%3 end as sub from orders where o_orderkey%7<>0), chg as (select * from src where upd>timestamp'2000-01-01' or sub=2), kept as (select * from tgt where id in (select id from src)) select coalesce(c.id,k.id) as id, case when k.id is null or (c.id is not null and (c.upd>k.upd or coalesce(c.sub,-1)<>coalesce(k.sub,-1))) then c.st else k.st end as st, case when k.id is null or (c.id is not null and (c.upd>k.upd or coalesce(c.sub,-1)<>coalesce(k.sub,-1))) then c.upd else k.upd end as upd from kept k full outer join chg c on c.id=k.id"
+        "with src as (select o_orderkey as id,o_orderstatus as st,o_orderdate as upd,cast(floor(o_totalprice) as bigint)%3 as sub from orders where o_orderpriority<>'4-NOT SPECIFIED'), tgt as (select o_orderkey as id,'old' as st,case when o_orderkey%4=0 then o_orderdate - interval 5 day when o_orderkey%4=1 then null else o_orderdate end as upd,case when o_orderkey%6=0 then null else cast(floor(o_totalprice) as bigint)%3 end as sub from orders where o_orderpriority<>'1-URGENT'), chg as (select * from src where upd>timestamp'2000-01-01' or sub=2), kept as (select * from tgt where id in (select id from src)) select coalesce(c.id,k.id) as id, case when k.id is null or (c.id is not null and (c.upd>k.upd or coalesce(c.sub,-1)<>coalesce(k.sub,-1))) then c.st else k.st end as st, case when k.id is null or (c.id is not null and (c.upd>k.upd or coalesce(c.sub,-1)<>coalesce(k.sub,-1))) then c.upd else k.upd end as upd from kept k full outer join chg c on c.id=k.id"
     ),
     'inner_join': (
         'select s_suppkey,n_name,r_name from supplier join nation on s_nationkey=n_nationkey join region on n_regionkey=r_regionkey'
@@ -106,7 +106,7 @@ ORACLES = {
         "select string_agg(p_type,',' order by p_type) as l from (select distinct p_type from part)"
     ),
     'merge_upsert': (
-        "with chg as (select * from (select o_orderkey as id,o_orderstatus as st,o_orderdate as upd,cast(floor(o_totalprice) as bigint)%3 as sub from orders where o_orderkey%10<>3) s where upd>timestamp'2000-01-01' or sub=2), kept as (select o_orderkey as id,'old' as st,case when o_orderkey%4=0 then o_orderdate - interval 5 day when o_orderkey%4=1 then null else o_orderdate end as upd,case when o_orderkey%6=0 then null else cast(floor(o_totalprice) as bigint)%3 end as sub from orders where o_orderkey%7<>0) select coalesce(c.id,k.id) as id, case when k.id is null or (c.id is not null and (c.upd>k.upd or coalesce(c.sub,-1)<>coalesce(k.sub,-1))) then c.st else k.st end as st, case when k.id is null or (c.id is not null and (c.upd>k.upd or coalesce(c.sub,-1)<>coalesce(k.sub,-1))) then c.upd else k.upd end as upd from kept k full outer join chg c on c.id=k.id"
+        "with chg as (select * from (select o_orderkey as id,o_orderstatus as st,o_orderdate as upd,cast(floor(o_totalprice) as bigint)%3 as sub from orders where o_orderpriority<>'4-NOT SPECIFIED') s where upd>timestamp'2000-01-01' or sub=2), kept as (select o_orderkey as id,'old' as st,case when o_orderkey%4=0 then o_orderdate - interval 5 day when o_orderkey%4=1 then null else o_orderdate end as upd,case when o_orderkey%6=0 then null else cast(floor(o_totalprice) as bigint)%3 end as sub from orders where o_orderpriority<>'1-URGENT') select coalesce(c.id,k.id) as id, case when k.id is null or (c.id is not null and (c.upd>k.upd or coalesce(c.sub,-1)<>coalesce(k.sub,-1))) then c.st else k.st end as st, case when k.id is null or (c.id is not null and (c.upd>k.upd or coalesce(c.sub,-1)<>coalesce(k.sub,-1))) then c.upd else k.upd end as upd from kept k full outer join chg c on c.id=k.id"
     ),
     'not_exists': (
         "select o_orderkey from orders where not exists (select 1 from customer where c_mktsegment='BUILDING' and c_custkey=o_custkey)"
@@ -178,7 +178,7 @@ ORACLES = {
         'select o_orderkey as order_id,o_custkey as contact,o_orderdate as actual_date,o_orderdate as rescheduled_date from orders'
     ),
     'reconcile': (
-        "select count(*) as n,count(case when o.id is null then 1 end) as only_new,count(case when n.id is null then 1 end) as only_old,count(case when o.id is not null and n.id is not null and o.upd is distinct from n.upd then 1 end) as upd_diff from (select o_orderkey as id,'old' as st,case when o_orderkey%4=0 then o_orderdate - interval 5 day when o_orderkey%4=1 then null else o_orderdate end as upd,case when o_orderkey%6=0 then null else cast(floor(o_totalprice) as bigint)%3 end as sub from orders where o_orderkey%7<>0) o full outer join (select o_orderkey as id,o_orderstatus as st,o_orderdate as upd,cast(floor(o_totalprice) as bigint)%3 as sub from orders where o_orderkey%10<>3) n on o.id=n.id"
+        "select count(*) as n,count(case when o.id is null then 1 end) as only_new,count(case when n.id is null then 1 end) as only_old,count(case when o.id is not null and n.id is not null and o.upd is distinct from n.upd then 1 end) as upd_diff from (select o_orderkey as id,'old' as st,case when o_orderkey%4=0 then o_orderdate - interval 5 day when o_orderkey%4=1 then null else o_orderdate end as upd,case when o_orderkey%6=0 then null else cast(floor(o_totalprice) as bigint)%3 end as sub from orders where o_orderpriority<>'1-URGENT') o full outer join (select o_orderkey as id,o_orderstatus as st,o_orderdate as upd,cast(floor(o_totalprice) as bigint)%3 as sub from orders where o_orderpriority<>'4-NOT SPECIFIED') n on o.id=n.id"
     ),
     'retention': (
         "select l_orderkey,l_linenumber,l_returnflag,l_shipdate from lineitem where l_returnflag not in ('R','A') or (l_returnflag='R' and coalesce(nullif(l_quantity,7),11)>10) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day)"
