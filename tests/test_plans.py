@@ -8,7 +8,7 @@ from conftest import SF01
 from orderlens.plans import driver
 
 # D9 (bounded broadcast of the category list) is the only nested loop allowed.
-CROSS_OK = {"cross_categories", "union_window", "hospital_product"}
+CROSS_OK = {"cross_categories", "union_window"}
 # Queries that run a stream or write files inside the query function.
 SIDE_EFFECTS = {"stream_upsert", "stream_derive", "full_refresh", "derive_on_write"}
 
