@@ -49,3 +49,9 @@ def test_or_join_is_equi_joins(spark):
     p = plan(driver.q_or_join(spark, SF01))
     assert "BroadcastNestedLoopJoin" not in p
     assert p.count("Join") >= 2
+
+
+def test_order_bound_reaches_both_line_scans(spark):
+    p = plan(driver.q_order_view(spark, SF01))
+    scans = [line for line in p.splitlines() if "lineitem.parquet" in line and "PushedFilters" in line]
+    assert len(scans) == 2 and all("LessThan(l_orderkey,700001)" in s for s in scans)
