@@ -21,30 +21,34 @@ def _join_back(df: DataFrame, agg: DataFrame, keys: list[str], null_safe: bool =
     """Join ``agg`` (keys renamed ``__g<i>``) back to ``df`` on keys.
 
     ``null_safe`` keeps the window meaning for NULL keys (one NULL group); it
-    partitions on ``(coalesce(k), isnull(k))``, so callers whose NULL-key rows
-    are dropped later anyway pass ``False`` and keep a plain key partitioning
-    that the next join on the same key reuses.
+    partitions on ``(coalesce(k), isnull(k))``.  Otherwise the join is a plain
+    inner key join and rows with a NULL key are dropped: callers whose NULL-key
+    rows can never be reported use it to keep a plain key partitioning (reused
+    by the next join on the key) and to let Catalyst infer filters across it.
     """
     cond = None
     for i, k in enumerate(keys):
         c = df[k].eqNullSafe(agg[f"__g{i}"]) if null_safe else (df[k] == agg[f"__g{i}"])
         cond = c if cond is None else cond & c
-    out = df.join(agg, cond, "left")
+    out = df.join(agg, cond, "left" if null_safe else "inner")
     return out.drop(*[f"__g{i}" for i in range(len(keys))])
 
 
 def group_max(df: DataFrame, value: Column | str, keys, name: str,
-              null_safe: bool = True) -> DataFrame:
+              null_keys: str = "group") -> DataFrame:
     """add ``max(value) over (partition by keys)`` as column ``name``.
 
-    Same rows and values as the window form; NULL keys form one group
-    (with ``null_safe=False`` rows with a NULL key get NULL instead).
+    Same rows and values as the window form; NULL keys form one group.  With
+    ``null_keys="drop"`` rows with a NULL key are dropped instead (for callers
+    that inner-join on the key afterwards anyway).
     """
+    if null_keys not in ("group", "drop"):
+        raise ValueError("null_keys must be 'group' or 'drop'")
     keys = _keys(keys)
     value = F.col(value) if isinstance(value, str) else value
     agg = df.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]).agg(
         F.max(value).alias(name))
-    return _join_back(df, agg, keys, null_safe)
+    return _join_back(df, agg, keys, null_safe=(null_keys == "group"))
 
 
 def distinct_with_group_max(df: DataFrame, keys, maxed: list[str], kept: list[str]) -> DataFrame:

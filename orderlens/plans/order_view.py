@@ -127,21 +127,17 @@ def order_view_rows(header: DataFrame, lines: DataFrame, items: DataFrame, conta
         h = h.where(F.col("order_number") < cfg.order_bound)          # C1
 
     # item view: lines x items, then the order-level flag over ALL lines (F1).
-    # Lines are first restricted to the reportable headers (semi join on the
-    # order key): every line of a kept order stays, so the flag is unchanged,
-    # and lines of other orders - which can never be reported - are neither
-    # joined nor aggregated.  (The bound is on the order number, so Catalyst
-    # cannot infer it into the line scans by itself.)
-    li = lines.join(h.select("header_id"), "header_id", "left_semi")
-    li = li.join(items, "item_id", "left")
+    li = lines.join(items, "item_id", "left")
     if cfg.category_mode == "lookup":
         if category_lookup is None:
             raise ValueError("category_mode='lookup' needs category_lookup")
         key = F.substring(F.col("category_key"), 1, cfg.category_key_len)
         li = prefix_lookup(li, key, category_lookup, "code", "meaning", "category_meaning")
-    # lines without an order key never meet a header, so a plain key join
-    # (reusable hash partitioning on the order key) is exact here
-    li = group_max(li, "flag", "header_id", "order_flag", null_safe=False)
+    # Lines without an order key never meet a header, so the flag is joined
+    # back with a plain inner key join: it keeps the order-key partitioning
+    # for the header join, and lets Catalyst infer the header filters (the
+    # order-number bound, when it is on the key) into BOTH line scans.
+    li = group_max(li, "flag", "header_id", "order_flag", null_keys="drop")
     x = h.join(li, "header_id", "left")
 
     x = x.join(contacts, x["contact_id"] == contacts["contact_ref"], "left")
