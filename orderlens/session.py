@@ -43,7 +43,16 @@ def shared_dir(spark: SparkSession) -> str:
     Only when that is unset (local tests) a fresh local folder is created and
     registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured.rstrip("/")
+        _local_dirs.setdefault(id(spark), tempfile.mkdtemp(prefix="orderlens-"))
+        return _local_dirs[id(spark)]
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:

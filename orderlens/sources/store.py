@@ -38,8 +38,21 @@ def materialize(df: DataFrame, path: str | None = None, name: str = "stage") ->
     return spark.read.parquet(target)
 
 
+def _local_versions(base: str) -> list[str]:
+    """Listing without the JVM gateway (e.g. Spark Connect) - local paths only."""
+    import os
+    root = base[len("file:"):] if base.startswith("file:") else base
+    if not os.path.isdir(root):
+        return []
+    return sorted(n for n in os.listdir(root)
+                  if n.startswith("v") and os.path.exists(os.path.join(root, n, "_SUCCESS")))
+
+
 def _versions(spark: SparkSession, base: str) -> list[str]:
-    fs, p = _fs(spark, base)
+    try:
+        fs, p = _fs(spark, base)
+    except Exception:  # no JVM gateway on this client
+        return _local_versions(base)
     if not fs.exists(p):
         return []
     jvm = spark.sparkContext._jvm
