@@ -355,3 +355,12 @@ def test_erp_plans_have_no_nested_loops(spark, erp_tables, pricing_tables):
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
         if name != "matrix":                    # the matrix's one window runs on reduced rows
             assert "Window" not in p, name
+
+
+def test_erp_reconcile(erp):
+    from pyspark.sql import functions as F
+    from orderlens.plans.erp import erp_reconcile
+    old = erp.where("LINE_ID <> 51").withColumn(
+        "SHIPPED_DATE", F.when(F.col("LINE_ID") == 11, F.lit(D("2020-01-01"))).otherwise(F.col("SHIPPED_DATE")))
+    r = erp_reconcile(old, erp).collect()[0]
+    assert (r.n, r.only_new, r.only_old, r.SHIPPED_DATE_diff, r.STATUS_diff) == (4, 1, 0, 1, 0)
