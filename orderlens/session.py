@@ -68,3 +68,26 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared dir (never reused, never cleared)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(largest_shuffle_bytes: int, target_partition_bytes: int = 256 << 20,
+               min_partitions: int = 200, max_partitions: int = 200_000) -> dict[str, str]:
+    """Settings sized for the largest shuffle of a job (e.g. the line table of
+    the order view), so no shuffle partition outgrows executor memory.
+
+    Shuffle partitions = bytes / target (bounded); AQE then coalesces the
+    smaller shuffles to the same advisory size and splits any partition more
+    than 4x that size as skewed.  Scan splits use the same target, so a task
+    reads, sorts and spills at most a few hundred MB.
+    """
+    n = -(-int(largest_shuffle_bytes) // int(target_partition_bytes))
+    n = max(min_partitions, min(max_partitions, n))
+    size = f"{int(target_partition_bytes) >> 20}m"
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * (int(target_partition_bytes) >> 20)}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }

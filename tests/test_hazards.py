@@ -47,3 +47,13 @@ def test_h22_refresh_mode_dispatch(spark):
     with pytest.raises(ValueError):
         run_refresh(spark, "sometimes", view, base)
     assert run_full_refresh(view, base) > base
+
+
+def test_scale_conf_sizes_partitions():
+    from orderlens.session import scale_conf
+    c = scale_conf(100 * 2**40)                      # 100 TB shuffle
+    assert int(c["spark.sql.shuffle.partitions"]) == 200_000   # capped; AQE coalesces
+    c = scale_conf(10 * 2**40)                       # 10 TB -> 40,960 partitions of 256 MB
+    assert c["spark.sql.shuffle.partitions"] == "40960"
+    assert c["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
+    assert scale_conf(10 << 20)["spark.sql.shuffle.partitions"] == "200"
