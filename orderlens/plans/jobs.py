@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from orderlens.plans.erp import erp_hospital_product, erp_incremental_refresh, erp_order_view
 from orderlens.plans.refresh import run_full_refresh, run_matrix_refresh
 from orderlens.session import get_spark
-from orderlens.sources.store import materialize, publish, read_current
+from orderlens.sources.store import materialize, prune_versions, publish, read_current
 
 log = logging.getLogger("orderlens.jobs")
 
@@ -64,6 +64,8 @@ def main(argv=None, spark: SparkSession | None = None) -> str:
     p.add_argument("--as-of", default=None, help="timestamp; default: job start")
     p.add_argument("--excluded-order-types", default="",
                    help="comma-separated order-type names never reported")
+    p.add_argument("--keep-versions", type=int, default=2,
+                   help="complete versions kept after publishing (older ones are dropped)")
     a = p.parse_args(argv)
     as_of = a.as_of or dt.datetime.now().replace(microsecond=0).isoformat(sep=" ")
     spark = spark or get_spark(app=f"orderlens-{a.job}")
@@ -72,7 +74,8 @@ def main(argv=None, spark: SparkSession | None = None) -> str:
         path = order_refresh(spark, a.tables, a.target, as_of, a.mode, types)
     else:
         path = matrix_refresh(spark, a.tables, a.target, as_of)
-    log.info("%s published %s", a.job, path)
+    dropped = prune_versions(spark, a.target, keep=a.keep_versions)
+    log.info("%s published %s; dropped %d old versions", a.job, path, len(dropped))
     return path
 
 

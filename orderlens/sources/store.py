@@ -101,6 +101,32 @@ def publish(df: DataFrame, base: str) -> str:
     return version
 
 
+def prune_versions(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
+    """A14 "drop old": remove superseded versions of ``base``.
+
+    Keeps the newest ``keep`` complete versions (a grace period for readers
+    still on an older one); removes older complete versions and any
+    incomplete version (a crashed writer) older than the newest complete one.
+    A version being written now is newer and is never touched.  Returns the
+    removed folder names.
+    """
+    if keep < 1:
+        raise ValueError("keep must be >= 1")
+    complete = _versions(spark, base)
+    if not complete:
+        return []
+    newest = complete[-1]
+    fs, p = _fs(spark, base)
+    doomed = set(complete[:-keep])
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v") and name < newest and name not in complete:
+            doomed.add(name)
+    for name in sorted(doomed):
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, name), True)
+    return sorted(doomed)
+
+
 def full_refresh(src: DataFrame, base: str, schema: StructType | None = None) -> DataFrame:
     """A4: replace the whole table with ``src`` (columns taken by name)."""
     if schema is not None:

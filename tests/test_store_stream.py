@@ -89,3 +89,17 @@ def test_stream_upsert_null_keys_equal_batch(spark):
     want = latest_per_key(ev, "user_id", ["ts", "event_id"], ["event_type", "ts", "event_id"])
     assert got.where(F.col("user_id").isNull()).count() == 1
     assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
+
+
+def test_prune_versions_keeps_newest_and_drops_crashed(spark):
+    from orderlens.sources.store import _versions, prune_versions
+    base = scratch_path(spark, "t-prune")
+    df = spark.createDataFrame([(1,)], "x int")
+    paths = [publish(df, base) for _ in range(4)]
+    # a crashed writer between the 2nd and 3rd version (no _SUCCESS)
+    crashed = paths[1].rsplit("/", 1)[1][:16] + "9-crash"
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{base}/{crashed}")
+    dropped = prune_versions(spark, base, keep=2)
+    assert dropped == sorted([paths[0].rsplit("/", 1)[1], paths[1].rsplit("/", 1)[1], crashed])
+    assert _versions(spark, base) == [p.rsplit("/", 1)[1] for p in paths[2:]]
+    assert read_current(spark, base).count() == 1
