@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from orderlens.operators.latest import latest_per_key
 from orderlens.operators.merge import merge_upsert
-from orderlens.sources.store import publish, read_current
+from orderlens.sources.store import prune_versions, publish, read_current
 
 
 def derive_stream(stream: DataFrame, derive: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -30,12 +30,14 @@ def _trigger(writer, trigger: dict | None):
 
 def stream_upsert(changes: DataFrame, base: str, schema: StructType, keys: list[str],
                   order_by: list[str], guard, checkpoint: str,
-                  trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
+                  trigger: dict | None = None, query_name: str | None = None,
+                  keep_versions: int | None = 2) -> StreamingQuery:
     """K2: each micro-batch keeps the latest change per key (F3) and merges it
     into the current version of ``base`` (A7), publishing a new version.
 
     No watermark: late rows are handled by ``guard`` (an older change never
-    overwrites a newer row), exactly like the batch merge.
+    overwrites a newer row), exactly like the batch merge.  After each batch
+    superseded versions beyond ``keep_versions`` are dropped (A14).
     """
     cols = [f.name for f in schema.fields if f.name not in keys]
 
@@ -45,6 +47,8 @@ def stream_upsert(changes: DataFrame, base: str, schema: StructType, keys: list[
         target = read_current(spark, base, schema)
         # keys come from a grouping (NULL is a group), so match them null-safely
         publish(merge_upsert(target, latest, keys, guard, null_safe=True), base)
+        if keep_versions:
+            prune_versions(spark, base, keep=keep_versions)
 
     w = changes.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     if query_name:
