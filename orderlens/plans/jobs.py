@@ -21,7 +21,9 @@ from pyspark.sql import SparkSession
 from orderlens.plans.erp import erp_hospital_product, erp_incremental_refresh, erp_order_view
 from orderlens.plans.refresh import run_full_refresh, run_matrix_refresh
 from orderlens.session import get_spark
-from orderlens.sources.store import materialize, prune_versions, publish, read_current
+from orderlens.sources.store import (
+    discard_stages, materialize, prune_versions, publish, read_current,
+)
 
 log = logging.getLogger("orderlens.jobs")
 
@@ -46,6 +48,7 @@ def order_refresh(spark: SparkSession, tables: str, target: str, as_of, mode: st
         current = read_current(spark, target)
         staged = materialize(view, name="order-view-stage")     # read by delete and merge
         return publish(erp_incremental_refresh(current, staged, as_of), target)
+        # (stages are discarded by main() once the version is published)
     raise ValueError(f"unknown mode {mode!r}")
 
 
@@ -75,7 +78,9 @@ def main(argv=None, spark: SparkSession | None = None) -> str:
     else:
         path = matrix_refresh(spark, a.tables, a.target, as_of)
     dropped = prune_versions(spark, a.target, keep=a.keep_versions)
-    log.info("%s published %s; dropped %d old versions", a.job, path, len(dropped))
+    staged = discard_stages(spark)          # every frame reading them has been written
+    log.info("%s published %s; dropped %d old versions, %d stages", a.job, path, len(dropped),
+             len(staged))
     return path
 
 

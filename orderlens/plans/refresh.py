@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from orderlens.operators.checks import assert_unique, with_counts
 from orderlens.operators.merge import incremental_refresh
-from orderlens.sources.store import materialize, publish, read_current
+from orderlens.session import scratch_path
+from orderlens.sources.store import discard, materialize, publish, read_current
 
 log = logging.getLogger("orderlens.refresh")
 
@@ -30,11 +31,14 @@ def run_incremental_refresh(spark: SparkSession, view: DataFrame, base: str, key
     never overwritten.
     """
     target = read_current(spark, base)
-    if stage_view:
-        view = materialize(view, name="view-stage")
+    stage = scratch_path(spark, "view-stage") if stage_view else None
+    if stage:
+        view = materialize(view, path=stage)
     new, obs = with_counts(incremental_refresh(target, view, key, change_window, guard),
                            "incremental_refresh")
     path = publish(new, base)
+    if stage:
+        discard(spark, stage)               # the staged view is no longer read
     log.info("incremental refresh: %s rows -> %s", obs.get.get("rows"), path)
     return path
 

@@ -26,18 +26,42 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+_stages: dict[int, list[str]] = {}
+
+
 def materialize(df: DataFrame, path: str | None = None, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 
     Cuts lineage (a re-used stage is computed once, and a lost executor
-    re-reads files instead of replaying the whole plan).
+    re-reads files instead of replaying the whole plan).  Folders created here
+    (no ``path`` given) are registered for :func:`discard_stages`.
     """
     spark = df.sparkSession
     target = path or scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(target)
+    if path is None:
+        _stages.setdefault(id(spark), []).append(target)
     return spark.read.parquet(target)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one stage folder once nothing reads it any more."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+    if path in _stages.get(id(spark), []):
+        _stages[id(spark)].remove(path)
+
+
+def discard_stages(spark: SparkSession) -> list[str]:
+    """Delete every stage folder this session created.  Only for the end of a
+    job that owns its session (e.g. the job CLI): frames of other work in a
+    shared session may still read them."""
+    done = list(_stages.pop(id(spark), []))
+    for path in done:
+        discard(spark, path)
+    return done
+
+
 def _local_versions(base: str) -> list[str]:
     """Listing without the JVM gateway (e.g. Spark Connect) - local paths only."""
     import os

@@ -103,3 +103,14 @@ def test_prune_versions_keeps_newest_and_drops_crashed(spark):
     assert dropped == sorted([paths[0].rsplit("/", 1)[1], paths[1].rsplit("/", 1)[1], crashed])
     assert _versions(spark, base) == [p.rsplit("/", 1)[1] for p in paths[2:]]
     assert read_current(spark, base).count() == 1
+
+
+def test_discard_stages(spark):
+    import os
+    from orderlens.sources.store import discard_stages, materialize
+    staged = materialize(spark.range(5), name="t-stage")
+    out = scratch_path(spark, "t-stage-out")
+    staged.write.parquet(out)
+    done = discard_stages(spark)
+    assert done and not os.path.exists(done[-1].replace("file:", ""))
+    assert spark.read.parquet(out).count() == 5
