@@ -46,9 +46,10 @@ def order_refresh(spark: SparkSession, tables: str, target: str, as_of, mode: st
         return run_full_refresh(view, target)
     if mode == "incremental":
         current = read_current(spark, target)
-        staged = materialize(view, name="order-view-stage")     # read by delete and merge
+        # staged once: read by the delete (whole view) and the merge (window);
+        # main() discards it after the new version is published
+        staged = materialize(view, name="order-view-stage")
         return publish(erp_incremental_refresh(current, staged, as_of), target)
-        # (stages are discarded by main() once the version is published)
     raise ValueError(f"unknown mode {mode!r}")
 
 
