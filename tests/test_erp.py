@@ -364,3 +364,19 @@ def test_erp_reconcile(erp):
         "SHIPPED_DATE", F.when(F.col("LINE_ID") == 11, F.lit(D("2020-01-01"))).otherwise(F.col("SHIPPED_DATE")))
     r = erp_reconcile(old, erp).collect()[0]
     assert (r.n, r.only_new, r.only_old, r.SHIPPED_DATE_diff, r.STATUS_diff) == (4, 1, 0, 1, 0)
+
+
+def test_register_views_sql(spark, erp_tables, erp):
+    from orderlens.plans.views import register_order_views
+    from orderlens.session import scratch_path
+    from orderlens.sources.store import publish
+    base = scratch_path(spark, "t-views")
+    publish(erp, base)
+    docs = {"iview_exists": (spark.createDataFrame([("0123B",)], "serial_number string"),
+                             "SERIAL_NUMBER_ORI", "serial_number_ori"),
+            "dof_exists": (spark.createDataFrame([], "serial_number string"), "SERIAL_NUMBER", "serial_number")}
+    names = register_order_views(spark, erp_tables, AS_OF, ["OEM-X"], order_table=base, doc_lists=docs)
+    assert names == ["order_view", "order_table", "portal_view"]
+    r = spark.sql("select LINE_ID, iview_exists from portal_view where STATUS = 'Re-Design'").collect()
+    assert [tuple(x) for x in r] == [(15, 1)]
+    assert spark.sql("select count(*) from order_view").collect()[0][0] == 4
