@@ -85,6 +85,12 @@ def main(argv=None, spark: SparkSession | None = None) -> str:
     return path
 
 
-if __name__ == "__main__":
+def cli() -> int:
+    """Console entry point: run the job, print the published version, exit 0."""
     logging.basicConfig(level=logging.INFO)
     print(main())
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(cli())
