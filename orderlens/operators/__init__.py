@@ -13,6 +13,7 @@ from orderlens.operators.latest import (
 from orderlens.operators.merge import (
     append_by_name, changed_since, delete_missing, incremental_refresh, merge_upsert, recent,
 )
+from orderlens.operators.skew import find_hot_keys, join_to_one
 from orderlens.operators.pivot import (
     category_values, fill_zero, joined_list, pivot_flags, pivot_values,
 )
@@ -25,5 +26,6 @@ __all__ = [
     "or_join", "prefix_lookup", "distinct_with_group_max", "group_max", "latest_per_key",
     "strict_latest", "append_by_name", "changed_since", "delete_missing",
     "incremental_refresh", "merge_upsert", "recent", "category_values", "fill_zero",
-    "joined_list", "pivot_flags", "pivot_values", "with_serial_key",
+    "joined_list", "pivot_flags", "pivot_values", "with_serial_key", "find_hot_keys",
+    "join_to_one",
 ]

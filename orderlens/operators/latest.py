@@ -35,12 +35,14 @@ def _join_back(df: DataFrame, agg: DataFrame, keys: list[str], null_safe: bool =
 
 
 def group_max(df: DataFrame, value: Column | str, keys, name: str,
-              null_keys: str = "group") -> DataFrame:
+              null_keys: str = "group", hot_keys: list[tuple] | None = None) -> DataFrame:
     """add ``max(value) over (partition by keys)`` as column ``name``.
 
     Same rows and values as the window form; NULL keys form one group.  With
     ``null_keys="drop"`` rows with a NULL key are dropped instead (for callers
-    that inner-join on the key afterwards anyway).
+    that inner-join on the key afterwards anyway).  ``hot_keys`` (see
+    :func:`orderlens.operators.skew.find_hot_keys`) are joined back without a
+    shuffle; it needs ``null_keys="drop"``.
     """
     if null_keys not in ("group", "drop"):
         raise ValueError("null_keys must be 'group' or 'drop'")
@@ -48,6 +50,12 @@ def group_max(df: DataFrame, value: Column | str, keys, name: str,
     value = F.col(value) if isinstance(value, str) else value
     agg = df.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]).agg(
         F.max(value).alias(name))
+    if hot_keys:
+        if null_keys != "drop":
+            raise ValueError("hot_keys needs null_keys='drop'")
+        from orderlens.operators.skew import join_to_one
+        out = join_to_one(df, agg, [(k, f"__g{i}") for i, k in enumerate(keys)], "inner", hot_keys)
+        return out.drop(*[f"__g{i}" for i in range(len(keys))])
     return _join_back(df, agg, keys, null_safe=(null_keys == "group"))
 
 

@@ -39,9 +39,16 @@ def _read(spark: SparkSession, tables: str, names) -> dict:
 
 
 def order_refresh(spark: SparkSession, tables: str, target: str, as_of, mode: str,
-                  excluded_order_types: list[str]) -> str:
-    """Full reload or incremental refresh of the 52-column order table."""
-    view = erp_order_view(_read(spark, tables, ORDER_INPUTS), as_of, excluded_order_types)
+                  excluded_order_types: list[str], hot_key_rows: int = 0) -> str:
+    """Full reload or incremental refresh of the 52-column order table.
+    ``hot_key_rows`` > 0: orders with at least that many lines are joined
+    without a shuffle (see :mod:`orderlens.operators.skew`)."""
+    t = _read(spark, tables, ORDER_INPUTS)
+    extra = {}
+    if hot_key_rows > 0:
+        from orderlens.operators.skew import find_hot_keys
+        extra["hot_order_keys"] = tuple(find_hot_keys(t["order_lines"], ["header_id"], hot_key_rows))
+    view = erp_order_view(t, as_of, excluded_order_types, **extra)
     if mode == "full":
         return run_full_refresh(view, target)
     if mode == "incremental":
@@ -68,6 +75,8 @@ def main(argv=None, spark: SparkSession | None = None) -> str:
     p.add_argument("--as-of", default=None, help="timestamp; default: job start")
     p.add_argument("--excluded-order-types", default="",
                    help="comma-separated order-type names never reported")
+    p.add_argument("--hot-key-rows", type=int, default=0,
+                   help="orders with at least this many lines bypass the shuffle (0: off)")
     p.add_argument("--keep-versions", type=int, default=2,
                    help="complete versions kept after publishing (older ones are dropped)")
     a = p.parse_args(argv)
@@ -75,7 +84,7 @@ def main(argv=None, spark: SparkSession | None = None) -> str:
     spark = spark or get_spark(app=f"orderlens-{a.job}")
     if a.job == "order-refresh":
         types = [x for x in a.excluded_order_types.split(",") if x]
-        path = order_refresh(spark, a.tables, a.target, as_of, a.mode, types)
+        path = order_refresh(spark, a.tables, a.target, as_of, a.mode, types, a.hot_key_rows)
     else:
         path = matrix_refresh(spark, a.tables, a.target, as_of)
     dropped = prune_versions(spark, a.target, keep=a.keep_versions)

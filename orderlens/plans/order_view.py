@@ -102,6 +102,7 @@ class OrderViewConfig:
     province_col: str | None = "province"
     country_col: str | None = "country"
     extra_cols: tuple[str, ...] = ()
+    hot_order_keys: tuple | None = None          # find_hot_keys(lines, ["header_id"], n)
 
 
 def order_view_rows(header: DataFrame, lines: DataFrame, items: DataFrame, contacts: DataFrame,
@@ -137,7 +138,8 @@ def order_view_rows(header: DataFrame, lines: DataFrame, items: DataFrame, conta
     # back with a plain inner key join: it keeps the order-key partitioning
     # for the header join, and lets Catalyst infer the header filters (the
     # order-number bound, when it is on the key) into BOTH line scans.
-    li = group_max(li, "flag", "header_id", "order_flag", null_keys="drop")
+    li = group_max(li, "flag", "header_id", "order_flag", null_keys="drop",
+                   hot_keys=list(cfg.hot_order_keys) if cfg.hot_order_keys else None)
     x = h.join(li, "header_id", "left")
 
     x = x.join(contacts, x["contact_id"] == contacts["contact_ref"], "left")

@@ -330,6 +330,10 @@ def test_jobs_cli(spark, erp_tables, pricing_tables):
     main(["order-refresh", "--tables", tables, "--target", target, "--mode", "incremental",
           "--as-of", str(AS_OF), "--excluded-order-types", "OEM-X"], spark=spark)
     assert sorted(r.LINE_ID for r in read_current(spark, target).collect()) == [11, 13, 15, 51]
+    hot_target = scratch_path(spark, "t-order-table-hot")
+    main(["order-refresh", "--tables", tables, "--target", hot_target, "--as-of", str(AS_OF),
+          "--excluded-order-types", "OEM-X", "--hot-key-rows", "2"], spark=spark)
+    assert sorted(r.LINE_ID for r in read_current(spark, hot_target).collect()) == [11, 13, 15, 51]
     matrix = scratch_path(spark, "t-matrix")
     main(["matrix-refresh", "--tables", tables, "--target", matrix, "--as-of", str(AS_OF)], spark=spark)
     assert {r.HOSPITAL_ID for r in read_current(spark, matrix).collect()} == {1000, 1001}

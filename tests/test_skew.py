@@ -72,3 +72,43 @@ def test_exists_flag_hot(spark, hot_events):
     want = (orders.join(keys, F.col("o_custkey") == F.col("user_id"), "left")
             .select("o_orderkey", "o_custkey", F.when(F.col("user_id").isNull(), 0).otherwise(1).alias("f")))
     assert same(got, want)
+
+
+def test_find_hot_keys(hot_events):
+    assert O.find_hot_keys(hot_events, ["user_id"], 1000) == [(7,)]
+    with pytest.raises(ValueError):
+        O.find_hot_keys(hot_events, ["user_id"], 1, max_keys=3)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_to_one_equals_plain_join(spark, hot_events, how):
+    small = (hot_events.groupBy("user_id").agg(F.max("value").alias("mx"))
+             .withColumnRenamed("user_id", "uid").where(F.col("uid") != 3))
+    hot = O.find_hot_keys(hot_events, ["user_id"], 1000)
+    got = O.join_to_one(hot_events, small, [("user_id", "uid")], how, hot)
+    want = hot_events.join(small, F.col("user_id") == F.col("uid"), how)
+    assert same(got.select(*want.columns), want)
+    assert "BroadcastHashJoin" in plan(got)
+
+
+def test_group_max_hot_keys(hot_events):
+    hot = O.find_hot_keys(hot_events, ["user_id"], 1000)
+    got = O.group_max(hot_events, "value", "user_id", "mx", null_keys="drop", hot_keys=hot)
+    want = hot_events.select(*hot_events.columns,
+                             F.max("value").over(Window.partitionBy("user_id")).alias("mx"))
+    assert same(got, want)
+
+
+def test_order_view_with_hot_orders_unchanged(spark):
+    from dataclasses import replace
+    from orderlens.plans import driver
+    from orderlens.plans.order_view import order_view
+    t = Tables(spark, SF01)
+    hot = O.find_hot_keys(t.lineitem.withColumnRenamed("l_orderkey", "header_id"), ["header_id"], 7)
+    assert hot                                   # orders with 7 lines exist at sf0.01
+    base = driver.q_order_view(spark, SF01)
+    roles = driver._order_view_roles(t)
+    excluded = t.nation.where(F.col("n_name") == "NATION_9").select(F.col("n_nationkey").alias("grp"))
+    cfg = replace(driver._order_view_config(), hot_order_keys=tuple(hot))
+    got = order_view(**roles, cfg=cfg, excluded_groups=(excluded, "contact_group", "grp"))
+    assert same(got, base)
