@@ -32,11 +32,16 @@ def left_join_filtered(left: DataFrame, right: DataFrame, on, right_cond: Column
 
 
 def join_latest(left: DataFrame, right: DataFrame, on, order_by: list[str],
-                cols: list[str], how: str = "left") -> DataFrame:
-    """Join each left row to the latest right record of its key."""
+                cols: list[str], how: str = "left", hot_keys: list[tuple] | None = None
+                ) -> DataFrame:
+    """Join each left row to the latest right record of its key.
+    ``hot_keys`` of the left side skip the shuffle (``join_to_one``)."""
     pairs = _pairs(on)
     rkeys = [rc for _, rc in pairs]
     latest = latest_per_key(right, rkeys, order_by, cols)
+    if hot_keys:
+        from orderlens.operators.skew import join_to_one
+        return join_to_one(left, latest, pairs, how, hot_keys).drop(*rkeys)
     return left.join(latest, _cond(left, latest, pairs), how).drop(
         *[latest[rc] for lc, rc in pairs])
 
@@ -115,15 +120,19 @@ def keep_keys(left: DataFrame, keys: DataFrame, left_key: str, right_key: str) -
 
 
 def exists_flag(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                name: str) -> DataFrame:
+                name: str, hot_keys: list[tuple] | None = None) -> DataFrame:
     """0/1 column telling whether ``left_key`` occurs in ``right``.
 
     The right side is reduced to distinct non-NULL keys first, so the left row
     count never changes (the reference outer-joins the raw list and relies on
-    a later DISTINCT)."""
+    a later DISTINCT).  ``hot_keys`` of the left side skip the shuffle."""
     k = (right.select(F.col(right_key).alias(f"__k_{name}"))
               .where(F.col(f"__k_{name}").isNotNull()).distinct())
-    j = left.join(k, left[left_key] == k[f"__k_{name}"], "left")
+    if hot_keys:
+        from orderlens.operators.skew import join_to_one
+        j = join_to_one(left, k, [(left_key, f"__k_{name}")], "left", hot_keys)
+    else:
+        j = left.join(k, left[left_key] == k[f"__k_{name}"], "left")
     return j.withColumn(name, F.when(F.col(f"__k_{name}").isNull(), F.lit(0)).otherwise(F.lit(1))
                         ).drop(f"__k_{name}")
 

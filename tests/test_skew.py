@@ -112,3 +112,16 @@ def test_order_view_with_hot_orders_unchanged(spark):
     cfg = replace(driver._order_view_config(), hot_order_keys=tuple(hot))
     got = order_view(**roles, cfg=cfg, excluded_groups=(excluded, "contact_group", "grp"))
     assert same(got, base)
+
+
+def test_exists_flag_and_join_latest_hot_keys(spark, hot_events):
+    hot = O.find_hot_keys(hot_events, ["user_id"], 1000)
+    flags = hot_events.where(F.col("event_type") == "error")
+    a = O.exists_flag(hot_events, flags, "user_id", "user_id", "f", hot_keys=hot)
+    b = O.exists_flag(hot_events, flags, "user_id", "user_id", "f")
+    assert same(a, b)
+    ev2 = hot_events.select(F.col("user_id").alias("uid"), "ts", "event_id", "event_type")
+    left = hot_events.select("event_id", "user_id").withColumnRenamed("event_id", "eid")
+    c = O.join_latest(left, ev2, [("user_id", "uid")], ["ts", "event_id"], ["event_type"], hot_keys=hot)
+    d = O.join_latest(left, ev2, [("user_id", "uid")], ["ts", "event_id"], ["event_type"])
+    assert same(c.select(*d.columns), d)
