@@ -4,7 +4,9 @@ A window ``partitionBy(key)`` sends every row of a key to one task and sorts
 it there; with one key holding a third of the rows that task is the job.
 These operators use ``groupBy`` instead: the map side pre-aggregates, so a hot
 key reaches the shuffle as one partial row per input partition, and the
-per-row result is joined back by key (AQE splits a skewed join partition).
+per-row result is joined back by key - through AQE's skew-join splitting on a
+cluster, or, for keys found by ``find_hot_keys``, without any shuffle
+(``join_to_one``).
 """
 
 from __future__ import annotations
