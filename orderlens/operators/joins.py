@@ -41,7 +41,7 @@ def join_latest(left: DataFrame, right: DataFrame, on, order_by: list[str],
     latest = latest_per_key(right, rkeys, order_by, cols)
     if hot_keys:
         from orderlens.operators.skew import join_to_one
-        return join_to_one(left, latest, pairs, how, hot_keys).drop(*rkeys)
+        return join_to_one(left, latest, pairs, how, hot_keys)
     return left.join(latest, _cond(left, latest, pairs), how).drop(
         *[latest[rc] for lc, rc in pairs])
 
@@ -127,14 +127,14 @@ def exists_flag(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     count never changes (the reference outer-joins the raw list and relies on
     a later DISTINCT).  ``hot_keys`` of the left side skip the shuffle."""
     k = (right.select(F.col(right_key).alias(f"__k_{name}"))
-              .where(F.col(f"__k_{name}").isNotNull()).distinct())
+              .where(F.col(f"__k_{name}").isNotNull()).distinct()
+              .withColumn(f"__hit_{name}", F.lit(1)))
     if hot_keys:
         from orderlens.operators.skew import join_to_one
         j = join_to_one(left, k, [(left_key, f"__k_{name}")], "left", hot_keys)
     else:
-        j = left.join(k, left[left_key] == k[f"__k_{name}"], "left")
-    return j.withColumn(name, F.when(F.col(f"__k_{name}").isNull(), F.lit(0)).otherwise(F.lit(1))
-                        ).drop(f"__k_{name}")
+        j = left.join(k, left[left_key] == k[f"__k_{name}"], "left").drop(f"__k_{name}")
+    return j.withColumn(name, F.coalesce(F.col(f"__hit_{name}"), F.lit(0))).drop(f"__hit_{name}")
 
 
 def left_join_many(left: DataFrame, right: DataFrame, on, right_cond: Column | None = None

@@ -56,8 +56,7 @@ def group_max(df: DataFrame, value: Column | str, keys, name: str,
         if null_keys != "drop":
             raise ValueError("hot_keys needs null_keys='drop'")
         from orderlens.operators.skew import join_to_one
-        out = join_to_one(df, agg, [(k, f"__g{i}") for i, k in enumerate(keys)], "inner", hot_keys)
-        return out.drop(*[f"__g{i}" for i in range(len(keys))])
+        return join_to_one(df, agg, [(k, f"__g{i}") for i, k in enumerate(keys)], "inner", hot_keys)
     return _join_back(df, agg, keys, null_safe=(null_keys == "group"))
 
 

@@ -43,21 +43,30 @@ def join_to_one(big: DataFrame, small: DataFrame, on: list[tuple[str, str]], how
                 hot_keys: list[tuple] | None) -> DataFrame:
     """``big JOIN small ON big.k = small.k`` for a small side with at most one
     row per key; ``how`` is 'inner' or 'left' (big preserved).  Same rows as
-    the plain join; rows of ``hot_keys`` never pass through a shuffle."""
+    the plain join; rows of ``hot_keys`` never pass through a shuffle.  The
+    result has big's columns and small's non-key columns (small's key columns
+    equal big's where matched)."""
     if how not in ("inner", "left"):
         raise ValueError("join_to_one supports how='inner' or 'left'")
 
     def cond(b: DataFrame, s: DataFrame) -> Column:
         return reduce(lambda a, c: a & c, [b[bc] == s[sc] for bc, sc in on])
 
+    small_keys = {sc for _, sc in on}
+    extra = [c for c in small.columns if c not in small_keys]
+    clash = [c for c in extra if c in big.columns]
+    if clash:
+        raise ValueError(f"join_to_one: columns on both sides: {clash}")
+
+    def joined(b: DataFrame, s: DataFrame, broadcast: bool) -> DataFrame:
+        s2 = F.broadcast(s) if broadcast else s
+        return b.join(s2, cond(b, s), how).select(*[b[c] for c in b.columns], *[s[c] for c in extra])
+
     if not hot_keys:
-        return big.join(small, cond(big, small), how)
-    big_hot_pred = _in_keys([F.col(bc) for bc, _ in on], hot_keys)
+        return joined(big, small, False)
+    big_hot_pred = F.coalesce(_in_keys([F.col(bc) for bc, _ in on], hot_keys), F.lit(False))
     small_hot = small.where(_in_keys([F.col(sc) for _, sc in on], hot_keys))
-    rest = big.where(~F.coalesce(big_hot_pred, F.lit(False)))
-    hot = big.where(F.coalesce(big_hot_pred, F.lit(False)))
-    cols = [*big.columns, *[c for c in small.columns if c not in big.columns]]
     # small_hot has at most len(hot_keys) rows (one per key): a proven bound
-    part_hot = hot.join(F.broadcast(small_hot), cond(hot, small_hot), how).select(*cols)
-    part_rest = rest.join(small, cond(rest, small), how).select(*cols)
+    part_hot = joined(big.where(big_hot_pred), small_hot, True)
+    part_rest = joined(big.where(~big_hot_pred), small, False)
     return part_rest.unionByName(part_hot)

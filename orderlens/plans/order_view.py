@@ -140,7 +140,14 @@ def order_view_rows(header: DataFrame, lines: DataFrame, items: DataFrame, conta
     # order-number bound, when it is on the key) into BOTH line scans.
     li = group_max(li, "flag", "header_id", "order_flag", null_keys="drop",
                    hot_keys=list(cfg.hot_order_keys) if cfg.hot_order_keys else None)
-    x = h.join(li, "header_id", "left")
+    if cfg.hot_order_keys:
+        # The retention filter below drops every row without a line, so this
+        # join is effectively inner; written from the lines' side (many to
+        # one), the hot orders' lines meet their header without a shuffle.
+        from orderlens.operators.skew import join_to_one
+        x = join_to_one(li, h, [("header_id", "header_id")], "inner", list(cfg.hot_order_keys))
+    else:
+        x = h.join(li, "header_id", "left")
 
     x = x.join(contacts, x["contact_id"] == contacts["contact_ref"], "left")
     if cfg.require_contact:
