@@ -1,6 +1,6 @@
 """Join operators.  All are equi-joins so the planner can pick a
 broadcast (when AQE sees a small side at run time) or a sort-merge join; none
-is planned as a nested loop except the bounded cross join D9."""
+is planned as a nested loop; the cross join D9 is an explode of a bounded list."""
 
 from __future__ import annotations
 
@@ -90,14 +90,32 @@ def or_join(left: DataFrame, right: DataFrame, conds: list[tuple[str, str]],
     return reduce(lambda a, b: a.unionByName(b), pieces)
 
 
-def cross_small(left: DataFrame, small: DataFrame, max_rows: int = 10_000) -> DataFrame:
+def bounded_rows(small: DataFrame, max_rows: int, what: str = "list") -> list:
+    """Collect a list proven to hold at most ``max_rows`` rows (the proof is
+    the ``limit(max_rows + 1)`` itself: a bigger input raises instead of being
+    truncated)."""
+    got = small.limit(max_rows + 1).collect()
+    if len(got) > max_rows:
+        raise ValueError(f"{what}: more than {max_rows} rows")
+    return got
+
+
+def expand_by_list(left: DataFrame, small: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """``JOIN small ON 1=1`` where ``small`` is a bounded list (e.g. the
-    all-items categories).  The bound is checked before broadcasting, so the
-    output is at most ``max_rows`` times the left side - linear, never
-    all-pairs of two growing inputs."""
-    if small.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"cross_small: right side exceeds {max_rows} rows")
-    return left.crossJoin(F.broadcast(small))
+    all-items categories).  No join is planned: the list, checked against
+    ``max_rows``, becomes an array literal that every left row explodes -
+    a narrow step inside the scan's stage, no shuffle, no broadcast.  The
+    output is at most ``max_rows`` times the left side, never all-pairs of two
+    growing inputs; an empty list gives no rows, as the cross join does."""
+    fields = small.schema.fields
+    got = bounded_rows(small, max_rows, "expand_by_list")
+    items = [F.struct(*[F.lit(r[i]).cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
+             for r in got]
+    if not items:
+        return left.where(F.lit(False)).select(
+            *left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    return (left.select("*", F.explode(F.array(*items)).alias("__x"))
+                .select(*left.columns, *[F.col("__x")[f.name].alias(f.name) for f in fields]))
 
 
 def exclude_existing(left: DataFrame, right: DataFrame, on) -> DataFrame:

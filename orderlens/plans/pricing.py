@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from orderlens.functions.dates import valid_at
 from orderlens.functions.labels import GROUP_PRICE_COUNTRIES
-from orderlens.operators.joins import cross_small, or_join
+from orderlens.operators.joins import bounded_rows, expand_by_list, or_join
 from orderlens.operators.latest import distinct_with_group_max
 from orderlens.operators.pivot import pivot_flags
 from orderlens.sources.store import materialize
@@ -77,7 +78,7 @@ def party_category(rows: DataFrame, all_items: DataFrame, all_categories: DataFr
     ``rows``: hid, req, price, cat; ``all_items``: hid, req;
     ``all_categories``: cat.
     """
-    every = cross_small(all_items, all_categories.select("cat"), max_categories).select(
+    every = expand_by_list(all_items, all_categories.select("cat"), max_categories).select(
         "hid", "req", F.lit(None).cast("double").alias("price"), "cat")
     u = rows.select("hid", "req", "price", "cat").unionByName(every)
     return distinct_with_group_max(u, "hid", ["req", "price"], ["cat"])
@@ -106,10 +107,10 @@ def hospital_product(pp: DataFrame, pi: DataFrame, items: DataFrame, all_categor
     all-items kind); ``categories``: pivot columns.
     """
     # One pass over the (lineitem-sized) price-list items, reduced to
-    # (price list, kind, category).  The all-items kind is then expanded by an
-    # equi-join on the kind flag with a tiny table: one pass-through row for
-    # the item kinds, the relevant categories for the all-items kind.  The
-    # reduced frame has a single consumer, so nothing is computed twice.
+    # (price list, kind, category).  The all-items kind is then expanded in
+    # place: its rows explode the relevant categories (a literal list bounded
+    # by the pivot width), item rows keep their own category.  No join, no
+    # broadcast; the reduced frame has a single consumer.
     is_all = F.col("attr") == all_attr
     x = pi.where(F.col("attr").isin(list(item_attrs)) | is_all)
     x = x.join(items, x["item"] == items["item_id"], "left")
@@ -119,13 +120,13 @@ def hospital_product(pp: DataFrame, pi: DataFrame, items: DataFrame, all_categor
     # bounded by construction: the listed categories plus at most one other
     if len(categories) + 1 > max_categories:
         raise ValueError(f"hospital_product: more than {max_categories} categories")
-    relevant = _pivot_relevant(all_categories, categories)
-    expand = relevant.select(F.lit(True).alias("__kind"), F.col("cat").alias("__cat")).unionByName(
-        reduced.sparkSession.range(1).select(F.lit(False).alias("__kind"),
-                                             F.lit(None).cast("string").alias("__cat")))
-    cats = reduced.join(F.broadcast(expand), reduced["__all"] == expand["__kind"], "inner").select(
+    cat_type = reduced.schema["cat"].dataType
+    relevant = [r["cat"] for r in bounded_rows(_pivot_relevant(all_categories, categories),
+                                               len(categories) + 1, "hospital_product")]
+    every = F.array(*[F.lit(c).cast(cat_type) for c in relevant]).cast(ArrayType(cat_type))
+    cats = reduced.select(
         "price_list_id",
-        F.when(F.col("__all"), F.col("__cat")).otherwise(F.col("cat")).alias("cat"),
+        F.explode(F.when(F.col("__all"), every).otherwise(F.array(F.col("cat")))).alias("cat"),
         F.when(~F.col("__all"), F.col("price")).alias("price"))
     u = pp.join(cats, "price_list_id", "inner").select(
         "hospital_id", "hospital", "req",

@@ -40,8 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and stored tables.
 
     On a cluster this is the shared folder named by ``spark.checkpoint.dir``.
-    Only when that is unset (local tests) a fresh local folder is created and
-    registered as the checkpoint dir.
+    Only when that is unset and the master is local (tests) a fresh local
+    folder is created and registered as the checkpoint dir; on a cluster an
+    unset setting is an error, never a machine-local folder.
     """
     try:
         sc = spark.sparkContext
@@ -51,6 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured:
             return configured.rstrip("/")
+        if not str(spark.conf.get("spark.master", "local")).startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         _local_dirs.setdefault(id(spark), tempfile.mkdtemp(prefix="orderlens-"))
         return _local_dirs[id(spark)]
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -58,6 +61,8 @@ def shared_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not str(sc.master).startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     key = id(sc._jsc)
     if key not in _local_dirs:
         _local_dirs[key] = tempfile.mkdtemp(prefix="orderlens-")

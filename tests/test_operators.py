@@ -160,10 +160,15 @@ def test_duplicate_keys_and_assert_unique(spark):
         O.assert_unique(df, ["a", "b"])
 
 
-def test_cross_small_bounded(spark):
+def test_expand_by_list_bounded(spark):
     with pytest.raises(ValueError):
-        O.cross_small(spark.range(3), spark.range(20), max_rows=10)
-    assert O.cross_small(spark.range(3), spark.range(4).withColumnRenamed("id", "j")).count() == 12
+        O.expand_by_list(spark.range(3), spark.range(20), max_rows=10)
+    out = O.expand_by_list(spark.range(3), spark.range(4).withColumnRenamed("id", "j"))
+    assert out.columns == ["id", "j"]
+    assert sorted(tuple(r) for r in out.collect()) == [(i, j) for i in range(3) for j in range(4)]
+    assert O.expand_by_list(spark.range(3), spark.range(0).withColumnRenamed("id", "j")).count() == 0
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in p and "CartesianProduct" not in p and "Exchange" not in p
 
 
 def test_append_by_name(spark):
