@@ -1,5 +1,7 @@
 """Operator semantics on hand-made tables (FIXTURES.md section 2, SURVEY section 5)."""
 
+import datetime as dt
+import decimal
 import itertools
 import random
 
@@ -171,6 +173,19 @@ def test_expand_by_list_bounded(spark):
     assert "NestedLoop" not in p and "CartesianProduct" not in p and "Exchange" not in p
 
 
+def test_expand_by_list_keeps_types_and_nulls(spark):
+    small = spark.createDataFrame(
+        [(dt.date(2001, 10, 5), decimal.Decimal("1.50"), "a"), (None, None, None)],
+        "d date, m decimal(10,2), s string")
+    out = O.expand_by_list(spark.range(2), small)
+    assert out.schema["d"].dataType == small.schema["d"].dataType
+    assert out.schema["m"].dataType == small.schema["m"].dataType
+    got = sorted(out.collect(), key=lambda r: (r["id"], r["s"] is None))
+    assert [tuple(r) for r in got] == [
+        (0, dt.date(2001, 10, 5), decimal.Decimal("1.50"), "a"), (0, None, None, None),
+        (1, dt.date(2001, 10, 5), decimal.Decimal("1.50"), "a"), (1, None, None, None)]
+
+
 def test_append_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "k int, s string")
     b = spark.createDataFrame([("y", 2, "d")], "s string, k int, detail string")
