@@ -114,3 +114,20 @@ def test_discard_stages(spark):
     done = discard_stages(spark)
     assert done and not os.path.exists(done[-1].replace("file:", ""))
     assert spark.read.parquet(out).count() == 5
+
+
+def test_bounded_broadcast_hints_only_within_bound(spark):
+    from orderlens.sources.store import bounded_broadcast
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(5).withColumnRenamed("id", "k")
+
+    def plan(right):
+        return big.join(right, "k")._jdf.queryExecution().executedPlan().toString()
+
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(bounded_broadcast(small, 10))
+        assert "BroadcastHashJoin" not in plan(bounded_broadcast(small, 4))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
