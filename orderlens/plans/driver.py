@@ -127,7 +127,7 @@ def _order_view_config(**kw) -> OrderViewConfig:
         category_mode=None, review_on="contact_id", scan_on="contact_id",
         review_order=("review_ts", "review_id"), scan_order=("scan_ts", "scan_id"),
         address_parts=("site_name",), state_col="state", province_col=None,
-        country_col="country")
+        country_col="country", bound_is_key=True)
     base.update(kw)
     return OrderViewConfig(**base)
 

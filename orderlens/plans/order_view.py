@@ -103,6 +103,8 @@ class OrderViewConfig:
     country_col: str | None = "country"
     extra_cols: tuple[str, ...] = ()
     hot_order_keys: tuple | None = None          # find_hot_keys(lines, ["header_id"], n)
+    bound_is_key: bool = False                   # order_number equals header_id: the bound
+                                                 # also filters lines before the flag aggregate
 
 
 def order_view_rows(header: DataFrame, lines: DataFrame, items: DataFrame, contacts: DataFrame,
@@ -128,6 +130,12 @@ def order_view_rows(header: DataFrame, lines: DataFrame, items: DataFrame, conta
         h = h.where(F.col("order_number") < cfg.order_bound)          # C1
 
     # item view: lines x items, then the order-level flag over ALL lines (F1).
+    # When the order number is the header key, every line of a reportable
+    # order is below the bound too, so the bound can filter the lines first:
+    # exact, and pushed into the scan of the flag aggregate as well (Catalyst
+    # infers it into only one of the two line scans through the join-back).
+    if cfg.order_bound is not None and cfg.bound_is_key:
+        lines = lines.where(F.col("header_id") < cfg.order_bound)
     li = lines.join(items, "item_id", "left")
     if cfg.category_mode == "lookup":
         if category_lookup is None:

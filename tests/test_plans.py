@@ -34,6 +34,9 @@ def test_order_view_pushes_filters_and_prunes(spark):
     # lineitem read without its unused columns
     li = [line for line in p.splitlines() if "lineitem.parquet" in line]
     assert li and all("l_discount" not in line and "l_tax" not in line for line in li)
+    # the bound reaches both line scans, the flag aggregate's included
+    scans = [line for line in p.splitlines() if "FileScan" in line and "lineitem" in line]
+    assert len(scans) == 2 and all("LessThan(l_orderkey,700001)" in line for line in scans)
 
 
 def test_delete_missing_is_not_a_null_aware_broadcast(spark):
