@@ -45,8 +45,10 @@ def stream_upsert(changes: DataFrame, base: str, schema: StructType, keys: list[
         spark = batch.sparkSession
         latest = latest_per_key(batch, keys, order_by, cols)
         target = read_current(spark, base, schema)
-        # keys come from a grouping (NULL is a group), so match them null-safely
-        publish(merge_upsert(target, latest, keys, guard, null_safe=True), base)
+        # keys come from a grouping (NULL is a group): unique by construction,
+        # so no uniqueness check, and matched null-safely
+        publish(merge_upsert(target, latest, keys, guard, check_unique=False, null_safe=True),
+                base)
         if keep_versions:
             prune_versions(spark, base, keep=keep_versions)
 
