@@ -131,3 +131,28 @@ def test_bounded_broadcast_hints_only_within_bound(spark):
         assert "BroadcastHashJoin" not in plan(bounded_broadcast(small, 4))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_shared_dir_refuses_local_folder_on_a_cluster():
+    import pytest
+    from orderlens.session import shared_dir
+
+    class _Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class _Remote:  # a client without a SparkContext (Spark Connect)
+        def __init__(self, values):
+            self.conf = _Conf(values)
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no SparkContext")
+
+    with pytest.raises(RuntimeError):
+        shared_dir(_Remote({"spark.master": "yarn"}))
+    assert shared_dir(_Remote({"spark.master": "yarn",
+                               "spark.checkpoint.dir": "hdfs:///shared/ckpt/"})) == "hdfs:///shared/ckpt"
