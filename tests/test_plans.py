@@ -57,3 +57,19 @@ def test_order_bound_reaches_the_line_scan(spark):
     # rows branch: bound inferred from the header filter; flag branch: two columns only
     assert len(scans) == 2 and any("LessThan(l_orderkey,700001)" in s for s in scans)
     assert any("ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in s for s in scans)
+
+
+def test_bound_on_key_filters_lines_without_changing_rows(spark):
+    from pyspark.sql import functions as F
+    from orderlens.plans.order_view import order_view
+    t = driver._t(spark, SF01)
+    excluded = t.nation.where(F.col("n_name") == "NATION_9").select(F.col("n_nationkey").alias("grp"))
+
+    def run(on_key):
+        return order_view(**driver._order_view_roles(t),
+                          cfg=driver._order_view_config(bound_is_key=on_key, order_bound=20_000),
+                          excluded_groups=(excluded, "contact_group", "grp"))
+
+    a, b = run(True), run(False)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
