@@ -4,7 +4,7 @@ from orderlens.operators.checks import assert_unique, duplicate_keys, reconcile,
 from orderlens.operators.derive import with_serial_key
 from orderlens.operators.filters import exclude_values, keep_flagged_or_unflagged
 from orderlens.operators.joins import (
-    expand_by_list, exclude_existing, exclude_keys, exists_flag, join_latest, join_on_expr,
+    exclude_existing, exclude_keys, exists_flag, expand_by_list, join_latest, join_on_expr,
     keep_keys, left_join_filtered, left_join_many, or_join, prefix_lookup,
 )
 from orderlens.operators.latest import (
@@ -20,7 +20,7 @@ from orderlens.operators.pivot import (
 
 __all__ = [
     "assert_unique", "duplicate_keys", "reconcile", "with_counts", "exclude_values",
-    "keep_flagged_or_unflagged", "expand_by_list", "exclude_existing", "exclude_keys",
+    "keep_flagged_or_unflagged", "exclude_existing", "exclude_keys", "expand_by_list",
     "exists_flag", "join_latest", "join_on_expr", "keep_keys", "left_join_filtered",
     "left_join_many",
     "or_join", "prefix_lookup", "distinct_with_group_max", "group_max", "latest_per_key",

@@ -19,7 +19,7 @@ from pyspark.sql.types import (
 
 from orderlens import functions as X
 from orderlens.operators import (
-    append_by_name, category_values, expand_by_list, delete_missing, duplicate_keys,
+    append_by_name, category_values, delete_missing, duplicate_keys, expand_by_list,
     exclude_existing, exclude_keys, exclude_values, exists_flag, fill_zero, group_max,
     incremental_refresh, join_latest, join_on_expr, joined_list, keep_flagged_or_unflagged,
     keep_keys, latest_per_key, left_join_filtered, left_join_many, merge_upsert, or_join, pivot_flags,
