@@ -16,8 +16,10 @@ _spec.loader.exec_module(check)
 
 import __spark_entry__ as entry_mod  # noqa: E402
 
-QUERIES = entry_mod.queries()
-ORACLES = entry_mod.oracle_sql()
+from orderlens.plans.driver import QUERIES as DRIVER_QUERIES  # noqa: E402
+
+QUERIES = {k: v for k, v in entry_mod.queries().items() if k in DRIVER_QUERIES}
+ORACLES = {k: v for k, v in entry_mod.oracle_sql().items() if k in DRIVER_QUERIES}
 
 
 @pytest.fixture(scope="module")
