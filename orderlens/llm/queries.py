@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from orderlens.llm import exact_dedup, simhash, url_filter
+import public_tokenizers
+
+from orderlens.llm import bpe, exact_dedup, license_scan, simhash, url_filter
 from orderlens.llm.common import read
 
 
+def op2_license_scan(spark, sf_dir):
+    return license_scan.license_scan(read(spark, sf_dir, "documents"))
+
+
+def op6_bpe(spark, sf_dir, path=None):
+    return bpe.encode_digests(read(spark, sf_dir, "documents"), path or public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -18,5 +28,5 @@ def op9_simhash(spark, sf_dir):
     return simhash.simhash_query(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_exact_dedup, op8_url_filters, op9_simhash)}
+QUERIES = {f.__name__: f for f in (op2_license_scan, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash)}
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE, "op8_url_filters": url_filter.ORACLE}
