@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from orderlens.llm import bpe, exact_dedup, license_scan, simhash, url_filter
+from orderlens.llm import bpe, decontaminate, exact_dedup, license_scan, simhash, url_filter
 from orderlens.llm.common import read
 
 
@@ -28,5 +28,10 @@ def op9_simhash(spark, sf_dir):
     return simhash.simhash_query(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash)}
+def op10_decontamination(spark, sf_dir):
+    return decontaminate.decontamination_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op2_license_scan, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash,
+                                  op10_decontamination)}
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE, "op8_url_filters": url_filter.ORACLE}
