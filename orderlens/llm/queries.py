@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from orderlens.llm import bpe, decontaminate, exact_dedup, license_scan, simhash, url_filter
+from orderlens.llm import bpe, decontaminate, exact_dedup, license_scan, simhash, toxicity, url_filter
 from orderlens.llm.common import read
 
 
@@ -12,6 +12,10 @@ def op2_license_scan(spark, sf_dir):
     return license_scan.license_scan(read(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_bpe(spark, sf_dir, path=None):
     return bpe.encode_digests(read(spark, sf_dir, "documents"), path or public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -32,6 +36,6 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.decontamination_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash,
+QUERIES = {f.__name__: f for f in (op2_license_scan, op4_toxicity, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash,
                                   op10_decontamination)}
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE, "op8_url_filters": url_filter.ORACLE}
