@@ -39,7 +39,7 @@ from orderlens.llm.common import stage
 
 SAMPLE_ROWS, INDUCED, MIN_SUPPORT, MIN_G2 = 20_000, 256, 4, 12.0
 THRESHOLD = 0.3
-STEMS = (3, 4, 5, 6)
+STEMS = (3, 4, 5, 6, 7, 8)
 
 # The word lists of the lexicon voters.
 LEXICON = {
@@ -71,12 +71,19 @@ def text_words(text: str | None) -> set[str]:
 
 
 def entries(text: str | None) -> set[str]:
-    """Candidate lexicon entries of a text: whole words, and beginnings marked with a star."""
+    """Candidate lexicon entries of a text: whole words, beginnings marked with a star, and
+    beginnings of two different words or more marked with two."""
     out = set()
     for w in text_words(text):
         if len(w) <= 24:
             out.add(w)
-        out.update(w[:n] + "*" for n in STEMS if len(w) > n)
+        for n in STEMS:
+            if len(w) > n:
+                stem = w[:n] + "*"
+                if stem in out:
+                    out.add(stem + "*")
+                else:
+                    out.add(stem)
     return out
 
 
@@ -87,26 +94,36 @@ class Voters:
         self.names = list(LEXICON) + list(PATTERNS) + induced
         self.whole: dict[str, tuple] = {}
         self.stem: dict[str, int] = {}
+        self.twice: dict[str, int] = {}
         for k, ws in enumerate(LEXICON.values()):
             for w in ws.split():
                 self.whole[w] = self.whole.get(w, ()) + (k,)
         self.patterns = [(len(LEXICON) + k, re.compile(p)) for k, p in enumerate(PATTERNS.values())]
         for k, e in enumerate(induced, len(LEXICON) + len(PATTERNS)):
-            if e.endswith("*"):
+            if e.endswith("**"):
+                self.twice[e[:-2]] = k
+            elif e.endswith("*"):
                 self.stem[e[:-1]] = k
             else:
                 self.whole[e] = self.whole.get(e, ()) + (k,)
-        self.lengths = sorted({len(s) for s in self.stem})
+        self.lengths = sorted({len(s) for s in self.stem} | {len(s) for s in self.twice})
 
     def votes(self, text: str | None) -> list[int]:
-        low, found = (text or "").lower(), set()
-        stem, whole, lengths = self.stem, self.whole, self.lengths
+        low, found, once = (text or "").lower(), set(), set()
+        stem, twice, whole, lengths = self.stem, self.twice, self.whole, self.lengths
         for w in set(WORD.findall(low)):
             if w in whole:
                 found.update(whole[w])
             for n in lengths:
-                if len(w) > n and w[:n] in stem:
-                    found.add(stem[w[:n]])
+                if len(w) <= n:
+                    break
+                start = w[:n]
+                if start in stem:
+                    found.add(stem[start])
+                if start in twice:
+                    if start in once:
+                        found.add(twice[start])
+                    once.add(start)
         found.update(k for k, p in self.patterns if p.search(low))
         return sorted(found)
 
