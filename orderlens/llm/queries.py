@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from orderlens.llm import bpe, decontaminate, exact_dedup, license_scan, simhash, toxicity, url_filter
+from orderlens.llm import bpe, decontaminate, exact_dedup, license_scan, simhash, suffix_dedup, toxicity, url_filter
 from orderlens.llm.common import read
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_dedup(read(spark, sf_dir, "documents"))
+
+
 def op2_license_scan(spark, sf_dir):
     return license_scan.license_scan(read(spark, sf_dir, "documents"))
 
@@ -36,6 +40,6 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.decontamination_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op4_toxicity, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash,
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op4_toxicity, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash,
                                   op10_decontamination)}
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE, "op8_url_filters": url_filter.ORACLE}
