@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from orderlens.llm import bpe, decontaminate, exact_dedup, license_scan, simhash, suffix_dedup, toxicity, url_filter
+from orderlens.llm import automaton_dedup, bpe, decontaminate, exact_dedup, license_scan, simhash, suffix_dedup, toxicity, url_filter
 from orderlens.llm.common import read
 
 
@@ -20,6 +20,10 @@ def op4_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_automaton_dedup(spark, sf_dir):
+    return automaton_dedup.automaton_dedup(read(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark, sf_dir, path=None):
     return bpe.encode_digests(read(spark, sf_dir, "documents"), path or public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -40,6 +44,6 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.decontamination_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op4_toxicity, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash,
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op4_toxicity, op5_automaton_dedup, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash,
                                   op10_decontamination)}
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE, "op8_url_filters": url_filter.ORACLE}
