@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from orderlens.llm import automaton_dedup, bpe, decontaminate, exact_dedup, license_scan, simhash, suffix_dedup, toxicity, url_filter
+from orderlens.llm import automaton_dedup, bpe, decontaminate, exact_dedup, license_scan, lm_score, simhash, suffix_dedup, toxicity, url_filter
 from orderlens.llm.common import read
 
 
@@ -16,6 +16,10 @@ def op2_license_scan(spark, sf_dir):
     return license_scan.license_scan(read(spark, sf_dir, "documents"))
 
 
+def op3_lm_score(spark, sf_dir):
+    return lm_score.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -44,6 +48,6 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.decontamination_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op4_toxicity, op5_automaton_dedup, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash,
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_lm_score, op4_toxicity, op5_automaton_dedup, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash,
                                   op10_decontamination)}
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE, "op8_url_filters": url_filter.ORACLE}
