@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import stage
-from orderlens.llm.repeats import Words, load_segments, merge_spans, removed_spans, row_id, span_rows, text_classes
+from orderlens.llm.repeats import (Words, load_segments, merge_spans, removed_spans, repeats, row_id, span_rows,
+                                    text_classes)
 
 WINDOW, GRAM = 20, 5
 REFERENCE_WORDS = 500_000      # what match_reference may broadcast
@@ -129,6 +130,7 @@ def judge(window: int):
         raw, offset = data.tobytes(), (np.cumsum(size) - size).tolist()
         size = size.tolist()
         order = np.lexsort((start, key, rid, code))
+        order = order[~repeats(code[order], rid[order], key[order], start[order])]      # repeated rows count once
         sorted_codes = code[order]
         cut = np.flatnonzero(np.concatenate([[True], sorted_codes[1:] != sorted_codes[:-1]]))
         bounds = np.append(cut, len(order)).tolist()

@@ -60,3 +60,17 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Iterable[str], size_co
     cold = groups.filter(~is_hot)
     rest = rows.join(F.broadcast(groups.filter(is_hot).select(*keys)), keys, "left_anti")
     return rows.join(hot, keys, "inner").unionByName(rest.join(cold, keys, how))
+
+
+def keep_rows(docs: DataFrame, keys: dict[str, Column], listed: DataFrame, how: str, one_each: bool = False) -> DataFrame:
+    """The rows of ``docs`` whose key is listed (``how`` left_semi) or is not (left_anti).
+
+    ``keys`` maps the key columns of ``listed`` to expressions over ``docs``, none of
+    them null; ``one_each`` keeps one row per key.  Rows travel as a struct, so any
+    column names may occur in ``docs``.
+    """
+    rows = docs.select(F.struct("*").alias("row"), *[c.alias(k) for k, c in keys.items()])
+    kept = rows.join(listed, list(keys), how)
+    if one_each:
+        kept = kept.dropDuplicates(list(keys))
+    return kept.select("row.*")

@@ -24,19 +24,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.scan import mix, pieces, range_hash, utf8, window_hash, word_hashes, words
+from orderlens.llm.common import keep_rows
+from orderlens.llm.scan import pieces, utf8, window_hash, word_hashes, words
 
 MIN_TILE, THRESHOLD, BLOCK_WORDS = 5, 0.5, 2_000_000
 
-_ascii = np.zeros(256, bool)
-_ascii[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
-IS_WORD = _ascii
-_fold = np.arange(256, dtype=np.uint8)
-_fold[65:91] += 32
-FOLD = _fold
+IS_WORD = np.zeros(256, bool)
+IS_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
+FOLD = np.arange(256, dtype=np.uint8)      # lower-cases A-Z
+FOLD[65:91] += 32
 
 
 def _tokens(buf: np.ndarray, offsets: np.ndarray):
@@ -234,8 +233,8 @@ def decontamination_report(docs: DataFrame, bench: DataFrame, min_tile: int = MI
 def decontaminate(docs: DataFrame, bench: DataFrame, min_tile: int = MIN_TILE, threshold: float = THRESHOLD,
                   block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without the contaminated rows; all columns kept."""
+    ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     gone = (tiled_pairs(docs, bench, min_tile, block_words).filter(F.col("coverage") >= threshold)
-            .select(F.col("doc_id").alias("_id"), F.col("xx").alias("_xx")).distinct())
-    keyed = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
-    return keyed.join(gone, keyed["doc_id"].cast("long").eqNullSafe(gone["_id"])
-                      & (keyed["_text_hash"] == gone["_xx"]), "left_anti").select(*docs.columns)
+            .select(ident.alias("id"), "xx").distinct())
+    keys = {"id": ident, "xx": F.xxhash64(F.col("text").cast("string"))}
+    return keep_rows(docs, keys, gone, "left_anti")

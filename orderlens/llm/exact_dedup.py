@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import ascii_lower, join_groups, stage, text_or_empty
+from orderlens.llm.common import ascii_lower, join_groups, keep_rows, stage, text_or_empty
 
 SALTS = 16
 
@@ -68,11 +68,8 @@ def keep_one(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     digest = F.sha2(ascii_lower(text_or_empty()), 256)
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     kept = exact_groups(docs, salts).select(
-        F.col("text_sha256").alias("_sha"),
-        F.coalesce(F.col("keep_id").cast("long"), F.lit(-(1 << 63))).alias("_id"))
-    keyed = docs.withColumns({"_sha": digest, "_id": ident})
-    return (keyed.join(kept, ["_id", "_sha"], "left_semi")
-            .dropDuplicates(["_id", "_sha"]).select(*docs.columns))
+        F.coalesce(F.col("keep_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.col("text_sha256").alias("sha"))
+    return keep_rows(docs, {"id": ident, "sha": digest}, kept, "left_semi", one_each=True)
 
 
 ORACLE = """

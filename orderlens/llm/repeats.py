@@ -78,6 +78,15 @@ def text_classes(rows: DataFrame) -> DataFrame:
     return stage(join_groups(rows, classes, ["key", "sha"], "n").drop("n"), "placed")
 
 
+def repeats(*columns: np.ndarray) -> np.ndarray:
+    """True where a row of sorted columns equals the one before it."""
+    out = np.ones(len(columns[0]), bool)
+    out[:1] = False
+    for c in columns:
+        out[1:] &= c[1:] == c[:-1]
+    return out
+
+
 def packed(*columns) -> list[pa.Array]:
     return [pa.array(c, pa.binary()) for c in columns]
 
@@ -228,13 +237,14 @@ def segments(found: DataFrame, unit, n_buckets: int, by_document: bool) -> DataF
                 continue
             rid, key, at, many, code, whole, size, data = map(np.concatenate, zip(*parts))
             # combine equal segments of the batch: the earliest goes on
+            offset = np.cumsum(size) - size
             order = np.lexsort((at, key, rid, whole, code))
+            order = order[~repeats(code[order], rid[order], key[order], at[order])]     # repeated rows count once
             same = np.concatenate([[False], (code[order][1:] == code[order][:-1]) & (whole[order][1:] == whole[order][:-1])])
             group = np.cumsum(~same) - 1
             lead = order[np.flatnonzero(~same)][group]     # the earliest of each one's group, in sorted order
             late = (rid[order] > rid[lead]) if by_document else same
             settled = order[late]
-            offset = np.cumsum(size) - size
             rest = order[~late]
             bucket = (code[rest] >> np.uint64(32)).astype(np.int64)
             rest = rest[np.lexsort((at[rest], key[rest], rid[rest], bucket))]

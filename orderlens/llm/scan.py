@@ -69,7 +69,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf[at[0]:at[-1]], at - at[0]
 
 
-def pieces(offsets: np.ndarray, limit: int = 1 << 21):
+def pieces(offsets: np.ndarray, limit: int = 1 << 19):
     """Ranges (first, last) of documents with about ``limit`` bytes each, one document at least."""
     first = 0
     while first < len(offsets) - 1:

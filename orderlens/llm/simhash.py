@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import join_groups, stage
+from orderlens.llm.common import join_groups, keep_rows, stage
 from orderlens.llm.components import connected_components
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
@@ -222,11 +222,10 @@ def near_dedup(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_
     """
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     winners = (simhash_components(docs, words, max_bits)
-               .groupBy("root").agg(F.min(F.struct(ident.alias("_id"), F.col("xx").alias("_xx"))).alias("w"))
-               .select("w._id", "w._xx"))
-    keyed = docs.withColumns({"_id": ident, "_xx": F.xxhash64(F.col("text").cast("string"))})
-    return (keyed.join(winners, ["_id", "_xx"], "left_semi")
-            .dropDuplicates(["_id", "_xx"]).select(*docs.columns))
+               .groupBy("root").agg(F.min(F.struct(ident.alias("id"), F.col("xx"))).alias("w"))
+               .select("w.id", "w.xx"))
+    keys = {"id": ident, "xx": F.xxhash64(F.col("text").cast("string"))}
+    return keep_rows(docs, keys, winners, "left_semi", one_each=True)
 
 
 def simhash_query(docs: DataFrame) -> DataFrame:

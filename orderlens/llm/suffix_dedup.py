@@ -29,7 +29,7 @@ from orderlens.llm.repeats import Bytes, load_segments, merge_spans, removed_spa
 
 LENGTH, GRAM = 50, 24
 SYMBOLS, WIDTH = 257, 7          # 9-bit symbols, seven to a sort key
-TASK_BYTES = 1 << 21             # text that one suffix array covers
+TASK_BYTES = 1 << 20             # text that one suffix array covers
 
 
 def _keys(text: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -39,6 +39,8 @@ from orderlens.llm.common import stage
 
 SAMPLE_ROWS, INDUCED, MIN_SUPPORT, MIN_G2 = 20_000, 256, 4, 12.0
 THRESHOLD = 0.3
+#: Prior rates of the annotator's votes in toxic and clean rows, weighing as much as the sample.
+ANNOTATOR = (0.98, 0.02)
 STEMS = (3, 4, 5, 6, 7, 8)
 
 # The word lists of the lexicon voters.
@@ -172,6 +174,7 @@ def label_model(votes: np.ndarray, annotated: np.ndarray, rounds: int = 12) -> n
         prior = np.clip(q.mean(), 1e-3, 1 - 1e-3)
         rate1 = (q @ v + 0.5) / (q.sum() + 1)
         rate0 = ((1 - q) @ v + 0.5) / ((1 - q).sum() + 1)
+        rate1[0], rate0[0] = (rate1[0] + ANNOTATOR[0]) / 2, (rate0[0] + ANNOTATOR[1]) / 2
         resid = v - (np.outer(q, rate1) + np.outer(1 - q, rate0))
         scale = np.sqrt((resid ** 2).mean(axis=0)) + 1e-6
         corr = np.clip((resid.T @ resid) / len(v) / np.outer(scale, scale), 0, 1)
