@@ -24,9 +24,9 @@ def days_before(as_of, days: float = 0, hours: float = 0, minutes: float = 0) ->
     return as_ts(as_of) - F.lit(_dt.timedelta(days=days, hours=hours, minutes=minutes))
 
 
-def text_to_date(x: ColumnOrName, fmt: str = "yyyy/MM/dd", length: int = 10,
+def text_to_date(x: ColumnOrName, fmt: str = "yyyy/M/d", length: int = 10,
                  strict: bool = False) -> Column:
-    """First ``length`` chars parsed as a date.
+    """First ``length`` chars parsed as a date, months and days of one digit or two.
 
     Default is lenient: unparsable or blank text gives NULL.  ``strict=True``
     raises on bad text like the reference does (H16, documented deviation).
@@ -42,8 +42,8 @@ def date_text(x: ColumnOrName) -> Column:
     return F.upper(F.date_format(_c(x), "dd-MMM-yyyy"))
 
 
-def text_to_number(x: ColumnOrName, to: str = "bigint", strict: bool = False) -> Column:
-    """Text to number; NULL on bad text unless ``strict``."""
+def text_to_number(x: ColumnOrName, to: str = "decimal(38,10)", strict: bool = False) -> Column:
+    """Text to number, fractions kept; NULL on bad text unless ``strict``."""
     return _c(x).cast(to) if strict else _c(x).try_cast(to)
 
 

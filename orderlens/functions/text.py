@@ -24,8 +24,10 @@ def blank_to_null(x: ColumnOrName) -> Column:
 
 
 def nvl(x: ColumnOrName, default) -> Column:
-    """First non-NULL of ``x`` and ``default``."""
-    return F.coalesce(_c(x), default if isinstance(default, Column) else F.lit(default))
+    """First non-NULL of ``x`` and ``default``; blank text counts as NULL (H1)."""
+    c = _c(x)
+    missing = c.isNull() | (c.cast("string") == "")
+    return F.when(missing, default if isinstance(default, Column) else F.lit(default)).otherwise(c)
 
 
 def nvl2(x: ColumnOrName, if_set: Column, if_null: Column) -> Column:
@@ -39,8 +41,8 @@ def concat_text(*parts: ColumnOrName) -> Column:
 
 
 def strip_chars(x: ColumnOrName, chars: str) -> Column:
-    """Remove every occurrence of ``chars`` (``replace(x, '-', '')``)."""
-    return F.replace(_c(x), F.lit(chars), F.lit(""))
+    """Remove every occurrence of ``chars``; a text of nothing else becomes NULL (H1)."""
+    return blank_to_null(F.replace(_c(x), F.lit(chars), F.lit("")))
 
 
 def upper_eq(x: ColumnOrName, value: str) -> Column:

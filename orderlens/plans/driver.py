@@ -35,7 +35,7 @@ from orderlens.plans.pricing import (
 )
 from orderlens.session import scratch_path
 from orderlens.sources.schema import enforce_schema, widen
-from orderlens.sources.store import full_refresh, publish
+from orderlens.sources.store import full_refresh, publish, read_current
 from orderlens.sources.tables import Tables
 
 # --- role-mapping parameters of the driver fixtures --------------------------
@@ -121,13 +121,13 @@ def _order_view_roles(t: Tables) -> dict:
 
 def _order_view_config(**kw) -> OrderViewConfig:
     base = dict(
-        as_of=REPORT_AS_OF, order_bound=ORDER_NUMBER_BOUND, excluded_line_types=("NF",),
+        as_of=REPORT_AS_OF, order_bound=None, excluded_line_types=("NF",),
         exclude_like="blue%", exclude_like_col="description", closed="R", cancelled="A",
         pending="P", review_labels=DRIVER_REVIEW_LABELS, qty_limit=10, catalog_strip="#",
         category_mode=None, review_on="contact_id", scan_on="contact_id",
         review_order=("review_ts", "review_id"), scan_order=("scan_ts", "scan_id"),
         address_parts=("site_name",), state_col="state", province_col=None,
-        country_col="country", bound_is_key=True)
+        country_col="country")
     base.update(kw)
     return OrderViewConfig(**base)
 
@@ -241,8 +241,7 @@ def q_union_window(spark, d):
     t = _t(spark, d)
     s = t.supplier
     req = (F.col("s_nationkey") % 2)
-    rows = (s.join(t.lineitem.where(F.col("l_returnflag").isin("R", "A") & (F.col("l_quantity") > 48)),
-                   F.col("l_suppkey") == F.col("s_suppkey"), "inner")
+    rows = (s.join(t.lineitem, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
              .join(t.part, F.col("p_partkey") == F.col("l_partkey"), "inner")
              .select(F.col("s_suppkey").alias("hid"), req.alias("req"),
                      F.when(req == 1, F.col("p_retailprice")).alias("price"),
@@ -257,7 +256,9 @@ def q_hospital_product(spark, d):
     t = _t(spark, d)
     pi = _pricelist_item(t, "2000-06-01")
     pp = _party_pricelist(t)
-    items = t.part.select(F.col("p_partkey").alias("item_id"), F.col("p_type").alias("cat"))
+    # parts of one type have a category without text: their hospitals exist, with zeros
+    items = t.part.select(F.col("p_partkey").alias("item_id"),
+                          F.nullif(F.col("p_type"), F.lit("LARGE")).alias("cat"))
     cats = t.region.select(F.col("r_name").alias("cat"))
     return hospital_product(pp, pi, items, cats, pivot_values(t.part, "p_type"))
 
@@ -290,15 +291,17 @@ def q_reconcile(spark, d):
 # --- A: sources, sinks, maintenance -------------------------------------------
 
 def q_full_refresh(spark, d):
-    t = _t(spark, d)
-    view = t.orders.where(F.col("o_orderkey") < ORDER_NUMBER_BOUND).select(
-        "o_orderkey", "o_orderstatus", "o_orderdate")
-    return full_refresh(view, scratch_path(spark, "full_refresh"))
+    """A4 over an older version: the reload replaces every row of it."""
+    o = _t(spark, d).orders.select("o_orderkey", "o_orderstatus", "o_orderdate")
+    base = scratch_path(spark, "full_refresh")
+    full_refresh(o.withColumn("o_orderstatus", F.lit("old")), base)
+    full_refresh(o, base, key="o_orderkey")
+    return read_current(spark, base)
 
 
 def q_append_by_name(spark, d):
     o = _t(spark, d).orders
-    general = o.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_orderstatus")
+    general = o.where(F.col("o_orderstatus") != "O").select("o_orderkey", "o_orderstatus")
     special = o.where(F.col("o_orderstatus") == "O").select(
         "o_orderkey", "o_orderstatus", F.col("o_orderpriority").alias("detail"))
     return append_by_name(general, special)
@@ -414,8 +417,9 @@ def q_pattern_flag(spark, d):
 
 
 def q_order_bound(spark, d):
+    """Twice the price plays the order number, so the bound cuts at every scale factor."""
     o = _t(spark, d).orders
-    return o.where((F.col("o_orderkey") < ORDER_NUMBER_BOUND)
+    return o.where((F.col("o_totalprice") * 2 < ORDER_NUMBER_BOUND)
                    & (F.col("o_orderstatus") == "F")).select("o_orderkey")
 
 
@@ -604,7 +608,7 @@ def q_outer_to_inner(spark, d):
 
 def q_category_values(spark, d):
     t = _t(spark, d)
-    parts = keep_keys(t.part, t.lineitem.where(F.col("l_quantity") > 40), "p_partkey", "l_partkey")
+    parts = keep_keys(t.part, t.lineitem, "p_partkey", "l_partkey")
     return category_values(parts, "p_type")
 
 
@@ -614,8 +618,7 @@ def q_listagg(spark, d):
 
 def _supplier_types(t: Tables) -> DataFrame:
     s = t.supplier.select("s_suppkey", "s_name")
-    li = left_join_many(s, t.lineitem.select("l_suppkey", "l_partkey", "l_quantity"),
-                        [("s_suppkey", "l_suppkey")], F.col("l_quantity") > 49)
+    li = left_join_many(s, t.lineitem.select("l_suppkey", "l_partkey"), [("s_suppkey", "l_suppkey")])
     return li.join(t.part.select("p_partkey", "p_type"),
                    F.col("p_partkey") == F.col("l_partkey"), "left")
 
@@ -647,8 +650,10 @@ def q_latest_per_key(spark, d):
 # --- I: scalar functions ----------------------------------------------------------
 
 def q_null_defaults(spark, d):
+    """One priority is NULL, one blank; both take the default."""
     o = _t(spark, d).orders
-    return o.select("o_orderkey", X.nvl(F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")), "X").alias("rep"))
+    p = F.when(F.col("o_orderpriority") == "2-HIGH", "").otherwise(F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))
+    return o.select("o_orderkey", X.nvl(p, "X").alias("rep"))
 
 
 def q_address(spark, d):
@@ -669,12 +674,10 @@ def q_status_label(spark, d):
     return j.select("o_orderkey", status.alias("status"))
 
 
-def q_category_label_scalar(spark, d):  # alias kept for readability of tests
-    return q_category_label(spark, d)
-
-
 def q_strip_hyphen(spark, d):
-    return _t(spark, d).orders.select("o_orderkey", X.strip_chars("o_orderpriority", "-").alias("cat"))
+    """A text of hyphens only becomes NULL."""
+    p = F.when(F.col("o_orderpriority") == "2-HIGH", "--").otherwise(F.col("o_orderpriority"))
+    return _t(spark, d).orders.select("o_orderkey", X.strip_chars(p, "-").alias("cat"))
 
 
 def q_serial_prefix(spark, d):
@@ -690,8 +693,9 @@ def _order_date_text(t: Tables):
 
 
 def q_date_prefix(spark, d):
+    """Months and days of one digit or two."""
     t = _t(spark, d)
-    text = F.replace(_order_date_text(t), F.lit("-"), F.lit("/"))
+    text = F.replace(F.replace(_order_date_text(t), F.lit("-"), F.lit("/")), F.lit("/0"), F.lit("/"))
     return t.orders.select("o_orderkey", X.text_to_date(text).alias("d"))
 
 
@@ -704,8 +708,9 @@ def q_date_text(spark, d):
 def q_to_number(spark, d):
     p = _t(spark, d).part
     return p.select("p_partkey",
-                    X.text_to_number(F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit(""))).alias("n"),
-                    X.text_to_number("p_type").alias("bad"))
+                    X.text_to_number(F.concat(F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")), F.lit(".5")))
+                     .cast("double").alias("n"),
+                    X.text_to_number("p_type").cast("double").alias("bad"))
 
 
 def q_phone(spark, d):
@@ -747,5 +752,5 @@ def q_stream_derive(spark, d):
 
 QUERIES = {
     name[2:]: fn for name, fn in sorted(globals().items())
-    if name.startswith("q_") and callable(fn) and name != "q_category_label_scalar"
+    if name.startswith("q_") and callable(fn)
 }

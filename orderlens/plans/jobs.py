@@ -50,7 +50,7 @@ def order_refresh(spark: SparkSession, tables: str, target: str, as_of, mode: st
         extra["hot_order_keys"] = tuple(find_hot_keys(t["order_lines"], ["header_id"], hot_key_rows))
     view = erp_order_view(t, as_of, excluded_order_types, **extra)
     if mode == "full":
-        return run_full_refresh(view, target)
+        return run_full_refresh(view, target, key="LINE_ID")
     if mode == "incremental":
         current = read_current(spark, target)
         # staged once: read by the delete (whole view) and the merge (window);

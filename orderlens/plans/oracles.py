@@ -10,7 +10,7 @@ ORACLES = {
         "select s_suppkey, coalesce(nullif(s_name,'Supplier#000000001') || ', ','') || coalesce(nullif(n_name,'NATION_3'),r_name,'') || ', ' || coalesce(r_name || ', ','') as loc from supplier left join nation on s_nationkey=n_nationkey left join region on n_regionkey=r_regionkey"
     ),
     'append_by_name': (
-        "select o_orderkey,o_orderstatus,cast(null as varchar(50)) as detail from orders where o_orderstatus='F' union all select o_orderkey,o_orderstatus,o_orderpriority from orders where o_orderstatus='O'"
+        "select o_orderkey,o_orderstatus,cast(null as varchar(50)) as detail from orders where o_orderstatus<>'O' union all select o_orderkey,o_orderstatus,o_orderpriority from orders where o_orderstatus='O'"
     ),
     'case_key_join': (
         "select p.p_partkey, n_name from part p left join nation on case when p_type='PROMO' then cast(replace(p_brand,'Brand#','') as int) when p_type='LARGE' then p_size end = n_nationkey"
@@ -19,7 +19,7 @@ ORACLES = {
         "select p_partkey, case when a='NONE' and b='NONE' then 'NONE' when a='PROMO' and b is not null then b when a='NONE' and b is not null then b when b='NONE' and a is not null then a when a is null and b is null then 'NOCAT' else concat(coalesce(a,''),' ',coalesce(b,'')) end as cat from (select p_partkey,case when p_size%5=0 then 'NONE' when p_size%7=0 then null else p_type end as a,case when p_size%3=0 then 'NONE' when p_size%11=0 then null else p_brand end as b from part) t"
     ),
     'category_values': (
-        'select distinct p_type from part join lineitem on l_partkey=p_partkey where l_quantity>40'
+        'select distinct p_type from part join lineitem on l_partkey=p_partkey'
     ),
     'change_guard': (
         "select s.id,case when s.upd>t.upd or coalesce(s.sub,-1)<>coalesce(t.sub,-1) then 1 else 0 end as changed from (select o_orderkey as id,o_orderstatus as st,o_orderdate as upd,cast(floor(o_totalprice) as bigint)%3 as sub from orders where o_orderpriority<>'4-NOT SPECIFIED') s join (select o_orderkey as id,'old' as st,case when o_orderkey%4=0 then o_orderdate - interval 5 day when o_orderkey%4=1 then null else o_orderdate end as upd,case when o_orderkey%6=0 then null else cast(floor(o_totalprice) as bigint)%3 end as sub from orders where o_orderpriority<>'1-URGENT') t on s.id=t.id"
@@ -40,7 +40,7 @@ ORACLES = {
         'select s_suppkey,r_name from supplier join region on 1=1'
     ),
     'date_prefix': (
-        "select o_orderkey,cast(try_strptime(replace(substr(cast(o_orderdate as varchar),1,10),'-','/'),'%Y/%m/%d') as date) as d from orders"
+        "select o_orderkey,cast(o_orderdate as date) as d from orders"
     ),
     'date_text': (
         "select o_orderkey, upper(strftime(strptime(substr(cast(o_orderdate as varchar),1,10),'%Y-%m-%d'),'%d-%b-%Y')) as d from orders"
@@ -70,10 +70,10 @@ ORACLES = {
         'select l_orderkey,l_linenumber,l_partkey,case when order_flag=1 then l_returnflag else null end as detail from (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) x'
     ),
     'full_refresh': (
-        'select o_orderkey,o_orderstatus,o_orderdate from orders where o_orderkey<700001'
+        'select o_orderkey,o_orderstatus,o_orderdate from orders'
     ),
     'hospital_product': (
-        "with pi as (select l_suppkey as price_list_id,case when l_linenumber<=3 then 'A1' when l_linenumber<=6 then 'A2' else 'A3' end as attr,p_partkey as item,case when p_size=7 and l_extendedprice>0 then p_retailprice end as price from lineitem join orders on o_orderkey=l_orderkey left join part on case when l_linenumber<=3 then l_partkey when l_linenumber<=6 then l_partkey+1 end=p_partkey where timestamp'2000-06-01' between coalesce(nullif(o_orderdate,timestamp'1998-10-03'),timestamp'2000-06-01') and coalesce(case when o_orderstatus='P' then o_orderdate + interval 900 day end,timestamp'2000-06-01' + interval 1 day) and (l_linenumber>6 or p_partkey is not null)), pp as (select distinct c_custkey as hospital_id,c_name as hospital,c_nationkey%2 as req,case when n_name in ('NATION_1','NATION_2','NATION_3') then adv.s_suppkey else n_nationkey end as price_list_id,n_name as country from customer left join (select * from supplier where s_acctbal>0) adv on (adv.s_suppkey=c_nationkey+1 or adv.s_suppkey=c_custkey) join nation on n_nationkey=c_nationkey), u as (select hospital_id,hospital,req,case when req=1 then price end as price,p_type as cat from pp join pi on pp.price_list_id=pi.price_list_id join part on p_partkey=item where attr in ('A1','A2') union all select hospital_id,hospital,req,cast(null as double),r_name from pp join pi on pp.price_list_id=pi.price_list_id join region on 1=1 where attr='A3'), w as (select distinct hospital_id,hospital,max(req) over (partition by hospital_id) as req,max(price) over (partition by hospital_id) as price,cat from u) select hospital_id,hospital,req,price,coalesce(max(case when cat='ECONOMY' then 1 end),0) as ECONOMY,coalesce(max(case when cat='LARGE' then 1 end),0) as LARGE,coalesce(max(case when cat='MEDIUM' then 1 end),0) as MEDIUM,coalesce(max(case when cat='PROMO' then 1 end),0) as PROMO,coalesce(max(case when cat='SMALL' then 1 end),0) as SMALL,coalesce(max(case when cat='STANDARD' then 1 end),0) as STANDARD from w group by hospital_id,hospital,req,price"
+        "with pi as (select l_suppkey as price_list_id,case when l_linenumber<=3 then 'A1' when l_linenumber<=6 then 'A2' else 'A3' end as attr,p_partkey as item,case when p_size=7 and l_extendedprice>0 then p_retailprice end as price from lineitem join orders on o_orderkey=l_orderkey left join part on case when l_linenumber<=3 then l_partkey when l_linenumber<=6 then l_partkey+1 end=p_partkey where timestamp'2000-06-01' between coalesce(nullif(o_orderdate,timestamp'1998-10-03'),timestamp'2000-06-01') and coalesce(case when o_orderstatus='P' then o_orderdate + interval 900 day end,timestamp'2000-06-01' + interval 1 day) and (l_linenumber>6 or p_partkey is not null)), pp as (select distinct c_custkey as hospital_id,c_name as hospital,c_nationkey%2 as req,case when n_name in ('NATION_1','NATION_2','NATION_3') then adv.s_suppkey else n_nationkey end as price_list_id,n_name as country from customer left join (select * from supplier where s_acctbal>0) adv on (adv.s_suppkey=c_nationkey+1 or adv.s_suppkey=c_custkey) join nation on n_nationkey=c_nationkey), u as (select hospital_id,hospital,req,case when req=1 then price end as price,nullif(p_type,'LARGE') as cat from pp join pi on pp.price_list_id=pi.price_list_id join part on p_partkey=item where attr in ('A1','A2') union all select hospital_id,hospital,req,cast(null as double),r_name from pp join pi on pp.price_list_id=pi.price_list_id join region on 1=1 where attr='A3'), w as (select distinct hospital_id,hospital,max(req) over (partition by hospital_id) as req,max(price) over (partition by hospital_id) as price,cat from u) select hospital_id,hospital,req,price,coalesce(max(case when cat='ECONOMY' then 1 end),0) as ECONOMY,coalesce(max(case when cat='LARGE' then 1 end),0) as LARGE,coalesce(max(case when cat='MEDIUM' then 1 end),0) as MEDIUM,coalesce(max(case when cat='PROMO' then 1 end),0) as PROMO,coalesce(max(case when cat='SMALL' then 1 end),0) as SMALL,coalesce(max(case when cat='STANDARD' then 1 end),0) as STANDARD from w group by hospital_id,hospital,req,price"
     ),
     'in_list': (
         "select n_nationkey from nation where n_name in ('NATION_1','NATION_2','NATION_3')"
@@ -121,7 +121,7 @@ ORACLES = {
         "select count(*) as n from orders where nullif(o_orderpriority,'5-LOW') not in ('1-URGENT','2-HIGH')"
     ),
     'null_defaults': (
-        "select o_orderkey,coalesce(nullif(o_orderpriority,'5-LOW'),'X') as rep from orders"
+        "select o_orderkey,coalesce(nullif(case when o_orderpriority='2-HIGH' then '' else nullif(o_orderpriority,'5-LOW') end,''),'X') as rep from orders"
     ),
     'null_filters': (
         "select p_partkey from part where nullif(p_type,'PROMO') is not null and nullif(p_brand,'Brand#1') is not null"
@@ -130,19 +130,19 @@ ORACLES = {
         "select s_suppkey, p_partkey from supplier left join part on (p_partkey=s_nationkey+1 or p_partkey=s_suppkey) and p_type='PROMO'"
     ),
     'order_bound': (
-        "select o_orderkey from orders where o_orderkey<700001 and o_orderstatus='F'"
+        "select o_orderkey from orders where o_totalprice*2<700001 and o_orderstatus='F'"
     ),
     'order_flag': (
         'select l_orderkey,l_linenumber,l_partkey,flag,order_flag from (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) x where flag=1 or order_flag=0'
     ),
     'order_view': (
-        "select o_orderkey as order_id,l.l_linenumber as line_no,c_custkey as contact_id,c_name as contact_name,replace(p_brand,'#','') as catalog_number,p_name as description,s_name as site_name,coalesce(s_name || ', ','') || coalesce(n_name,'') || ', ' || coalesce(region.r_name || ', ','') as location,case when l_returnflag='R' and l_quantity<=10 then 'RETURN' when o_orderstatus='P' then case upper(rev.event_type) when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' else o_orderstatus end else o_orderstatus end as status,l_shipdate as commit_date,scan.ts as scan_date,coalesce(nullif(n_name,'NATION_0'),'X') as rep,regexp_replace(p_brand,'^[AB]','0') as serial_ori,flag,order_flag from orders left join (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) l on o_orderkey=l.l_orderkey left join part on p_partkey=l.l_partkey left join customer on c_custkey=o_custkey left join supplier on s_suppkey=l.l_suppkey left join nation on n_nationkey=s_nationkey left join region on r_regionkey=n_regionkey left join (select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) e where rn=1) rev on rev.user_id=o_custkey left join (select user_id,value,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events where event_type='view') e where rn=1) scan on scan.user_id=o_custkey where c_custkey is not null and (l.l_returnflag || l.l_linestatus) not in ('NF') and o_orderkey<700001 and (flag=1 or order_flag=0) and p_name not like 'blue%' and (l_returnflag not in ('R','A') or (l_returnflag='R' and l_quantity>10) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day)) and not exists (select 1 from nation x where x.n_name='NATION_9' and x.n_nationkey=c_nationkey)"
+        "select o_orderkey as order_id,l.l_linenumber as line_no,c_custkey as contact_id,c_name as contact_name,replace(p_brand,'#','') as catalog_number,p_name as description,s_name as site_name,coalesce(s_name || ', ','') || coalesce(n_name,'') || ', ' || coalesce(region.r_name || ', ','') as location,case when l_returnflag='R' and l_quantity<=10 then 'RETURN' when o_orderstatus='P' then case upper(rev.event_type) when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' else o_orderstatus end else o_orderstatus end as status,l_shipdate as commit_date,scan.ts as scan_date,coalesce(nullif(n_name,'NATION_0'),'X') as rep,regexp_replace(p_brand,'^[AB]','0') as serial_ori,flag,order_flag from orders left join (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) l on o_orderkey=l.l_orderkey left join part on p_partkey=l.l_partkey left join customer on c_custkey=o_custkey left join supplier on s_suppkey=l.l_suppkey left join nation on n_nationkey=s_nationkey left join region on r_regionkey=n_regionkey left join (select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) e where rn=1) rev on rev.user_id=o_custkey left join (select user_id,value,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events where event_type='view') e where rn=1) scan on scan.user_id=o_custkey where c_custkey is not null and (l.l_returnflag || l.l_linestatus) not in ('NF') and (flag=1 or order_flag=0) and p_name not like 'blue%' and (l_returnflag not in ('R','A') or (l_returnflag='R' and l_quantity>10) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day)) and not exists (select 1 from nation x where x.n_name='NATION_9' and x.n_nationkey=c_nationkey)"
     ),
     'order_view_draft': (
-        "select o_orderkey as order_id,l.l_linenumber as line_no,c_custkey as contact_id,c_name as contact_name,replace(p_brand,'#','') as catalog_number,p_name as description,s_name as site_name,coalesce(s_name || ', ','') || coalesce(n_name,'') || ', ' || coalesce(region.r_name || ', ','') as location,case when l_returnflag='R' and l_quantity<=10 then 'RETURN' when o_orderstatus='P' then case upper(rev.event_type) when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' else o_orderstatus end else o_orderstatus end as status,l_shipdate as commit_date,scan.ts as scan_date,coalesce(nullif(n_name,'NATION_0'),'X') as rep,regexp_replace(p_brand,'^[AB]','0') as serial_ori,flag,order_flag,case when b.k is null then 0 else 1 end as iview from orders left join (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) l on o_orderkey=l.l_orderkey left join part on p_partkey=l.l_partkey left join customer on c_custkey=o_custkey left join supplier on s_suppkey=l.l_suppkey left join nation on n_nationkey=s_nationkey left join region on r_regionkey=n_regionkey left join (select distinct user_id as k from events where event_type='error') b on b.k=o_custkey left join (select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) e where rn=1) rev on rev.user_id=o_custkey left join (select user_id,value,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events where event_type='view') e where rn=1) scan on scan.user_id=o_custkey where (l.l_returnflag || l.l_linestatus) not in ('NF') and o_orderkey<700001 and (flag=1 or order_flag=0) and p_name not like 'blue%' and (l_returnflag not in ('R','A') or (l_returnflag='R' and l_quantity>10 and l_shipdate>=timestamp'2001-10-05' - interval 60 day) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day))"
+        "select o_orderkey as order_id,l.l_linenumber as line_no,c_custkey as contact_id,c_name as contact_name,replace(p_brand,'#','') as catalog_number,p_name as description,s_name as site_name,coalesce(s_name || ', ','') || coalesce(n_name,'') || ', ' || coalesce(region.r_name || ', ','') as location,case when l_returnflag='R' and l_quantity<=10 then 'RETURN' when o_orderstatus='P' then case upper(rev.event_type) when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' else o_orderstatus end else o_orderstatus end as status,l_shipdate as commit_date,scan.ts as scan_date,coalesce(nullif(n_name,'NATION_0'),'X') as rep,regexp_replace(p_brand,'^[AB]','0') as serial_ori,flag,order_flag,case when b.k is null then 0 else 1 end as iview from orders left join (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) l on o_orderkey=l.l_orderkey left join part on p_partkey=l.l_partkey left join customer on c_custkey=o_custkey left join supplier on s_suppkey=l.l_suppkey left join nation on n_nationkey=s_nationkey left join region on r_regionkey=n_regionkey left join (select distinct user_id as k from events where event_type='error') b on b.k=o_custkey left join (select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) e where rn=1) rev on rev.user_id=o_custkey left join (select user_id,value,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events where event_type='view') e where rn=1) scan on scan.user_id=o_custkey where (l.l_returnflag || l.l_linestatus) not in ('NF') and (flag=1 or order_flag=0) and p_name not like 'blue%' and (l_returnflag not in ('R','A') or (l_returnflag='R' and l_quantity>10 and l_shipdate>=timestamp'2001-10-05' - interval 60 day) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day))"
     ),
     'order_view_lookup': (
-        "select o_orderkey as order_id,l.l_linenumber as line_no,c_custkey as contact_id,c_name as contact_name,replace(p_brand,'#','') as catalog_number,case when order_flag=1 then p_name else null end as description, coalesce(m.r_name,'NOCAT') as category, case when m.r_name like 'A%' then 'True' else 'False' end as a_flag,s_name as site_name,coalesce(s_name || ', ','') || coalesce(n_name,'') || ', ' || coalesce(region.r_name || ', ','') as location,case when l_returnflag='R' and l_quantity<=10 then 'RETURN' when o_orderstatus='P' then case upper(rev.event_type) when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' else o_orderstatus end else o_orderstatus end as status,l_shipdate as commit_date,scan.ts as scan_date,coalesce(nullif(n_name,'NATION_0'),'X') as rep,regexp_replace(p_brand,'^[AB]','0') as serial_ori,flag,order_flag from orders left join (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) l on o_orderkey=l.l_orderkey left join part on p_partkey=l.l_partkey left join customer on c_custkey=o_custkey left join supplier on s_suppkey=l.l_suppkey left join nation on n_nationkey=s_nationkey left join region on r_regionkey=n_regionkey left join (select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) e where rn=1) rev on rev.user_id=o_custkey left join (select user_id,value,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events where event_type='view') e where rn=1) scan on scan.user_id=o_custkey left join (select r_name,substr(r_name,1,1) as code from region where r_regionkey<4) m on substr(p_type,1,1)=m.code where c_custkey is not null and (l.l_returnflag || l.l_linestatus) not in ('NF') and o_orderkey<700001 and (flag=1 or order_flag=0) and coalesce(p_name,'NOCAT') not like 'blue%' and (l_returnflag not in ('R','A') or (l_returnflag='R' and l_quantity>10) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day))"
+        "select o_orderkey as order_id,l.l_linenumber as line_no,c_custkey as contact_id,c_name as contact_name,replace(p_brand,'#','') as catalog_number,case when order_flag=1 then p_name else null end as description, coalesce(m.r_name,'NOCAT') as category, case when m.r_name like 'A%' then 'True' else 'False' end as a_flag,s_name as site_name,coalesce(s_name || ', ','') || coalesce(n_name,'') || ', ' || coalesce(region.r_name || ', ','') as location,case when l_returnflag='R' and l_quantity<=10 then 'RETURN' when o_orderstatus='P' then case upper(rev.event_type) when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' else o_orderstatus end else o_orderstatus end as status,l_shipdate as commit_date,scan.ts as scan_date,coalesce(nullif(n_name,'NATION_0'),'X') as rep,regexp_replace(p_brand,'^[AB]','0') as serial_ori,flag,order_flag from orders left join (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) l on o_orderkey=l.l_orderkey left join part on p_partkey=l.l_partkey left join customer on c_custkey=o_custkey left join supplier on s_suppkey=l.l_suppkey left join nation on n_nationkey=s_nationkey left join region on r_regionkey=n_regionkey left join (select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) e where rn=1) rev on rev.user_id=o_custkey left join (select user_id,value,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events where event_type='view') e where rn=1) scan on scan.user_id=o_custkey left join (select r_name,substr(r_name,1,1) as code from region where r_regionkey<4) m on substr(p_type,1,1)=m.code where c_custkey is not null and (l.l_returnflag || l.l_linestatus) not in ('NF') and (flag=1 or order_flag=0) and coalesce(p_name,'NOCAT') not like 'blue%' and (l_returnflag not in ('R','A') or (l_returnflag='R' and l_quantity>10) or (l_returnflag='R' and l_quantity<=10 and l_shipdate>=timestamp'2001-10-05' - interval 30 day) or (l_returnflag='A' and l_shipdate>=timestamp'2001-10-05' - interval 30 day))"
     ),
     'outer_to_inner': (
         "select o_orderkey,c_name from orders left join customer on o_custkey=c_custkey and c_acctbal>0 where c_mktsegment not in ('BUILDING')"
@@ -157,13 +157,13 @@ ORACLES = {
         "select s_suppkey,'(' || coalesce(nullif(cast(s_nationkey as varchar(10)),'3'),'') || ')' || coalesce(nullif(s_name,'Supplier#000000005'),'') || ' ' || coalesce(cast(null as varchar(5)),'') as phone from supplier"
     ),
     'pivot_dynamic': (
-        "select s_suppkey,s_name,coalesce(max(case when p_type='ECONOMY' then 1 end),0) as ECONOMY,coalesce(max(case when p_type='LARGE' then 1 end),0) as LARGE,coalesce(max(case when p_type='MEDIUM' then 1 end),0) as MEDIUM,coalesce(max(case when p_type='PROMO' then 1 end),0) as PROMO,coalesce(max(case when p_type='SMALL' then 1 end),0) as SMALL,coalesce(max(case when p_type='STANDARD' then 1 end),0) as STANDARD from (select s_suppkey,s_name,p_type from supplier left join lineitem on l_suppkey=s_suppkey and l_quantity>49 left join part on p_partkey=l_partkey) t group by s_suppkey,s_name"
+        "select s_suppkey,s_name,coalesce(max(case when p_type='ECONOMY' then 1 end),0) as ECONOMY,coalesce(max(case when p_type='LARGE' then 1 end),0) as LARGE,coalesce(max(case when p_type='MEDIUM' then 1 end),0) as MEDIUM,coalesce(max(case when p_type='PROMO' then 1 end),0) as PROMO,coalesce(max(case when p_type='SMALL' then 1 end),0) as SMALL,coalesce(max(case when p_type='STANDARD' then 1 end),0) as STANDARD from (select s_suppkey,s_name,p_type from supplier left join lineitem on l_suppkey=s_suppkey left join part on p_partkey=l_partkey) t group by s_suppkey,s_name"
     ),
     'pivot_fill': (
-        "select s_suppkey,s_name,coalesce(max(case when p_type='ECONOMY' then 1 end),0) as ECONOMY,coalesce(max(case when p_type='LARGE' then 1 end),0) as LARGE,coalesce(max(case when p_type='MEDIUM' then 1 end),0) as MEDIUM,coalesce(max(case when p_type='PROMO' then 1 end),0) as PROMO,coalesce(max(case when p_type='SMALL' then 1 end),0) as SMALL,coalesce(max(case when p_type='STANDARD' then 1 end),0) as STANDARD from (select s_suppkey,s_name,p_type from supplier left join lineitem on l_suppkey=s_suppkey and l_quantity>49 left join part on p_partkey=l_partkey) t group by s_suppkey,s_name"
+        "select s_suppkey,s_name,coalesce(max(case when p_type='ECONOMY' then 1 end),0) as ECONOMY,coalesce(max(case when p_type='LARGE' then 1 end),0) as LARGE,coalesce(max(case when p_type='MEDIUM' then 1 end),0) as MEDIUM,coalesce(max(case when p_type='PROMO' then 1 end),0) as PROMO,coalesce(max(case when p_type='SMALL' then 1 end),0) as SMALL,coalesce(max(case when p_type='STANDARD' then 1 end),0) as STANDARD from (select s_suppkey,s_name,p_type from supplier left join lineitem on l_suppkey=s_suppkey left join part on p_partkey=l_partkey) t group by s_suppkey,s_name"
     ),
     'pivot_flags': (
-        "select s_suppkey,s_name,coalesce(max(case when p_type='ECONOMY' then 1 end),0) as ECONOMY,coalesce(max(case when p_type='LARGE' then 1 end),0) as LARGE,coalesce(max(case when p_type='MEDIUM' then 1 end),0) as MEDIUM,coalesce(max(case when p_type='PROMO' then 1 end),0) as PROMO,coalesce(max(case when p_type='SMALL' then 1 end),0) as SMALL,coalesce(max(case when p_type='STANDARD' then 1 end),0) as STANDARD from (select s_suppkey,s_name,p_type from supplier left join lineitem on l_suppkey=s_suppkey and l_quantity>49 left join part on p_partkey=l_partkey) t group by s_suppkey,s_name"
+        "select s_suppkey,s_name,coalesce(max(case when p_type='ECONOMY' then 1 end),0) as ECONOMY,coalesce(max(case when p_type='LARGE' then 1 end),0) as LARGE,coalesce(max(case when p_type='MEDIUM' then 1 end),0) as MEDIUM,coalesce(max(case when p_type='PROMO' then 1 end),0) as PROMO,coalesce(max(case when p_type='SMALL' then 1 end),0) as SMALL,coalesce(max(case when p_type='STANDARD' then 1 end),0) as STANDARD from (select s_suppkey,s_name,p_type from supplier left join lineitem on l_suppkey=s_suppkey left join part on p_partkey=l_partkey) t group by s_suppkey,s_name"
     ),
     'portal_view': (
         "select distinct o_orderkey,coalesce(nullif(o_orderpriority,'5-LOW'),'X') as rep, case when (o_orderpriority like '1-U%' or o_orderpriority like '2-H%') and nullif(o_orderstatus,'F') is not null then o_orderstatus else o_orderpriority end as description, o_orderdate as actual_date,o_orderdate as rescheduled_date, case when b.k is null then 0 else 1 end as iview,case when c.k is null then 0 else 1 end as dof,case when d.k is null then 0 else 1 end as iview2 from orders left join (select user_id as k from events where event_type='error') b on o_custkey=b.k left join (select user_id as k from events where value>90) c on o_custkey=c.k left join (select user_id as k from events where event_type='signup') d on o_custkey=d.k"
@@ -208,10 +208,10 @@ ORACLES = {
         "with r as (select user_id,cast(date_trunc('day',ts) as date) as rev,upper(event_type) as st from events), m as (select user_id,max(rev) as rev from r group by user_id) select r.user_id, case when count(*)=1 then max(st) end as status from r join m on r.user_id=m.user_id and r.rev=m.rev group by r.user_id"
     ),
     'strip_hyphen': (
-        "select o_orderkey,replace(o_orderpriority,'-','') as cat from orders"
+        "select o_orderkey,nullif(replace(case when o_orderpriority='2-HIGH' then '--' else o_orderpriority end,'-',''),'') as cat from orders"
     ),
     'to_number': (
-        "select p_partkey,try_cast(replace(p_brand,'Brand#','') as bigint) as n,try_cast(p_type as bigint) as bad from part"
+        "select p_partkey,try_cast(replace(p_brand,'Brand#','') || '.5' as double) as n,try_cast(p_type as double) as bad from part"
     ),
     'two_branch_load': (
         "with r0 as (select user_id,cast(date_trunc('day',ts) as date) as rev,upper(event_type) as st from events), m as (select user_id,max(rev) as rev from r0 group by user_id), r as (select r0.user_id, case when count(*)=1 then max(st) end as st from r0 join m on r0.user_id=m.user_id and r0.rev=m.rev group by r0.user_id) select o_orderkey,case when o_orderstatus='P' then coalesce(case r.st when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' end,o_orderstatus) else o_orderstatus end as status,cast(null as varchar(50)) as detail from orders left join r on r.user_id=o_custkey where not exists (select 1 from lineitem l join part p on l.l_partkey=p.p_partkey where p.p_type='PROMO' and l.l_returnflag not in ('R','A') and l.l_orderkey=o_orderkey) union all select o_orderkey,case when o_orderstatus='P' then coalesce(case r.st when 'VIEW' then 'Pending Review' when 'ERROR' then 'Re-Design' when 'PURCHASE' then 'Approved' end,o_orderstatus) else o_orderstatus end,o_orderpriority from orders left join r on r.user_id=o_custkey where exists (select 1 from lineitem l join part p on l.l_partkey=p.p_partkey where p.p_type='PROMO' and l.l_returnflag not in ('R','A') and l.l_orderkey=o_orderkey)"
@@ -220,7 +220,7 @@ ORACLES = {
         'select l.l_orderkey,l.l_linenumber,o.c_name from lineitem l left join (select o_orderkey,c_nationkey,c_name from orders join customer on o_custkey=c_custkey) o on l.l_orderkey=o.o_orderkey and l.l_linenumber=o.c_nationkey'
     ),
     'union_window': (
-        "select distinct hid, max(req) over (partition by hid) as req, max(price) over (partition by hid) as price, cat from (select s_suppkey as hid, s_nationkey%2 as req, case when s_nationkey%2=1 then p_retailprice end as price, p_type as cat from supplier join lineitem on l_suppkey=s_suppkey join part on p_partkey=l_partkey where l_returnflag in ('R','A') and l_quantity>48 union all select s_suppkey, s_nationkey%2, cast(null as double), r_name from supplier cross join region where s_acctbal>5000) t"
+        "select distinct hid, max(req) over (partition by hid) as req, max(price) over (partition by hid) as price, cat from (select s_suppkey as hid, s_nationkey%2 as req, case when s_nationkey%2=1 then p_retailprice end as price, p_type as cat from supplier join lineitem on l_suppkey=s_suppkey join part on p_partkey=l_partkey union all select s_suppkey, s_nationkey%2, cast(null as double), r_name from supplier cross join region where s_acctbal>5000) t"
     ),
     'upper_eq': (
         "select event_id from events where upper(event_type)='VIEW'"

@@ -86,20 +86,17 @@ def party_category(rows: DataFrame, all_items: DataFrame, all_categories: DataFr
 
 def _pivot_relevant(all_categories: DataFrame, categories: list[str]) -> DataFrame:
     """The all-items kind pairs a price list with EVERY category.  Categories
-    outside the pivot list only make the hospital's row exist (their cells
-    fold to 0), so one representative of them is exact: the pivot categories
-    present plus the smallest other one - at most ``len(categories) + 1``
-    rows, whatever the size of the category table."""
-    cats = all_categories.select("cat").where(F.col("cat").isNotNull()).distinct()
-    listed = cats.where(F.col("cat").isin(list(categories)))
-    other = (cats.where(~F.col("cat").isin(list(categories)))
-                 .agg(F.min("cat").alias("cat")).where(F.col("cat").isNotNull()))
-    return listed.unionByName(other)
+    outside the pivot list, and those without text, only make the hospital's
+    row exist (their cells fold to 0), so one representative of them, NULL, is
+    exact - at most ``len(categories) + 1`` rows, whatever the size of the
+    category table."""
+    listed = F.coalesce(F.col("cat").isin(list(categories)), F.lit(False))
+    return all_categories.select(F.when(listed, F.col("cat")).alias("cat")).distinct()
 
 
 def hospital_product(pp: DataFrame, pi: DataFrame, items: DataFrame, all_categories: DataFrame,
-                     categories: list[str], *, item_attrs=("A1", "A2"), all_attr: str = "A3",
-                     max_categories: int = 10_000) -> DataFrame:
+                     categories: list[str], *, item_attrs=("A1", "A2"), all_attr: str = "A3"
+                     ) -> DataFrame:
     """J6d: one row per hospital, one 0/1 column per category.
 
     ``pp``: party_pricelist output; ``pi``: pricelist_item output;
@@ -113,13 +110,12 @@ def hospital_product(pp: DataFrame, pi: DataFrame, items: DataFrame, all_categor
     # broadcast; the reduced frame has a single consumer.
     is_all = F.col("attr") == all_attr
     x = pi.where(F.col("attr").isin(list(item_attrs)) | is_all)
-    x = x.join(items, x["item"] == items["item_id"], "left")
-    reduced = (x.where(F.col("cat").isNotNull() | is_all)
+    # an item whose category has no text still counts: the match is marked
+    x = x.join(items.withColumn("__hit", F.lit(True)), x["item"] == items["item_id"], "left")
+    reduced = (x.where(F.col("__hit") | is_all)
                 .groupBy("price_list_id", is_all.alias("__all"), "cat")
                 .agg(F.max("price").alias("price")))
-    # bounded by construction: the listed categories plus at most one other
-    if len(categories) + 1 > max_categories:
-        raise ValueError(f"hospital_product: more than {max_categories} categories")
+    # bounded by construction: the listed categories plus one for all others
     cat_type = reduced.schema["cat"].dataType
     relevant = [r["cat"] for r in bounded_rows(_pivot_relevant(all_categories, categories),
                                                len(categories) + 1, "hospital_product")]

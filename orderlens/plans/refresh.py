@@ -14,10 +14,15 @@ from orderlens.sources.store import discard, materialize, publish, read_current
 log = logging.getLogger("orderlens.refresh")
 
 
-def run_full_refresh(view: DataFrame, base: str) -> str:
-    """A4: the whole view becomes the new version of ``base``."""
+def _unique(key: str | None):
+    return (lambda df: assert_unique(df, [key])) if key else None
+
+
+def run_full_refresh(view: DataFrame, base: str, key: str | None = None) -> str:
+    """A4: the whole view becomes the new version of ``base``; with ``key`` only
+    if that key is unique (A17)."""
     counted, obs = with_counts(view, "full_refresh")
-    path = publish(counted, base)
+    path = publish(counted, base, check=_unique(key))
     log.info("full refresh: %s rows -> %s", obs.get.get("rows"), path)
     return path
 
@@ -44,12 +49,9 @@ def run_incremental_refresh(spark: SparkSession, view: DataFrame, base: str, key
 
 
 def run_matrix_refresh(matrix: DataFrame, base: str, key: str = "hospital_id") -> str:
-    """Matrix rebuild (J6d job): staged aside, primary key asserted (A17),
-    then published as the new version (A14).  The matrix is one row per
-    hospital, so it is written first and the key check reads the written
-    files rather than recomputing the pricing chain."""
-    path = publish(matrix, base)
-    assert_unique(matrix.sparkSession.read.parquet(path), [key])
+    """Matrix rebuild (J6d job): written aside, primary key asserted on the
+    written files (A17), then made visible as the new version (A14)."""
+    path = publish(matrix, base, check=_unique(key))
     log.info("matrix refresh -> %s", path)
     return path
 
@@ -57,7 +59,7 @@ def run_matrix_refresh(matrix: DataFrame, base: str, key: str = "hospital_id") -
 def run_refresh(spark: SparkSession, mode: str, view: DataFrame, base: str, **kw) -> str:
     """Job entry: ``mode`` picks the full reload or the incremental refresh."""
     if mode == "full":
-        return run_full_refresh(view, base)
+        return run_full_refresh(view, base, kw.get("key"))
     if mode == "incremental":
         return run_incremental_refresh(spark, view, base, **kw)
     raise ValueError(f"unknown refresh mode {mode!r}")

@@ -3,11 +3,11 @@
 from orderlens.sources.tables import DRIVER_TABLES, load_tables, read_table
 from orderlens.sources.schema import enforce_schema, widen
 from orderlens.sources.store import (
-    bounded_broadcast, full_refresh, materialize, prune_versions, publish, read_current,
+    full_refresh, materialize, prune_versions, publish, read_current,
 )
 
 __all__ = [
     "DRIVER_TABLES", "load_tables", "read_table", "enforce_schema", "widen",
-    "bounded_broadcast", "full_refresh", "materialize", "prune_versions", "publish",
+    "full_refresh", "materialize", "prune_versions", "publish",
     "read_current",
 ]

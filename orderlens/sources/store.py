@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from orderlens.operators.checks import assert_unique
 from orderlens.session import scratch_path
 
 
@@ -62,21 +64,11 @@ def discard_stages(spark: SparkSession) -> list[str]:
     return done
 
 
-def _local_versions(base: str) -> list[str]:
-    """Listing without the JVM gateway (e.g. Spark Connect) - local paths only."""
-    import os
-    root = base[len("file:"):] if base.startswith("file:") else base
-    if not os.path.isdir(root):
-        return []
-    return sorted(n for n in os.listdir(root)
-                  if n.startswith("v") and os.path.exists(os.path.join(root, n, "_SUCCESS")))
-
-
 def _versions(spark: SparkSession, base: str) -> list[str]:
-    try:
-        fs, p = _fs(spark, base)
-    except Exception:  # no JVM gateway on this client
-        return _local_versions(base)
+    """Complete versions of ``base``; empty only when the folder does not exist.
+
+    A failing listing is an error, never an empty table."""
+    fs, p = _fs(spark, base)
     if not fs.exists(p):
         return []
     jvm = spark.sparkContext._jvm
@@ -117,11 +109,30 @@ def _next_stamp(spark: SparkSession, base: str) -> int:
     return stamp
 
 
-def publish(df: DataFrame, base: str) -> str:
-    """Write ``df`` as a new version of ``base``; it becomes visible atomically."""
-    stamp = _next_stamp(df.sparkSession, base)
-    version = f"{base.rstrip('/')}/v{stamp:015d}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("errorifexists").parquet(version)
+def publish(df: DataFrame, base: str, check: Callable[[DataFrame], None] | None = None) -> str:
+    """Write ``df`` as a new version of ``base``; it becomes visible atomically.
+
+    ``check`` gets the written rows before readers can see them: they are
+    written to a folder that is no version, checked, and then renamed.  When it
+    raises, the older version stays current and the written folder is removed.
+    """
+    spark = df.sparkSession
+    stamp = _next_stamp(spark, base)
+    name = f"v{stamp:015d}-{uuid.uuid4().hex[:8]}"
+    version = f"{base.rstrip('/')}/{name}"
+    if check is None:
+        df.write.mode("errorifexists").parquet(version)
+        return version
+    aside = f"{base.rstrip('/')}/_unchecked-{name}"
+    df.write.mode("errorifexists").parquet(aside)
+    fs, hidden = _fs(spark, aside)
+    try:
+        check(spark.read.parquet(aside))
+    except Exception:
+        fs.delete(hidden, True)
+        raise
+    if not fs.rename(hidden, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(version)):
+        raise OSError(f"cannot rename {aside} to {version}")
     return version
 
 
@@ -151,21 +162,13 @@ def prune_versions(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
     return sorted(doomed)
 
 
-def full_refresh(src: DataFrame, base: str, schema: StructType | None = None) -> DataFrame:
-    """A4: replace the whole table with ``src`` (columns taken by name)."""
+def full_refresh(src: DataFrame, base: str, schema: StructType | None = None,
+                 key: str | None = None) -> DataFrame:
+    """A4: replace the whole table with ``src`` (columns taken by name).
+
+    With ``key`` the new version becomes visible only if the key is unique (A17).
+    """
     if schema is not None:
         src = src.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    path = publish(src, base)
+    path = publish(src, base, check=(lambda df: assert_unique(df, [key])) if key else None)
     return src.sparkSession.read.parquet(path)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after proving ``df`` has at most ``max_rows`` rows.
-
-    The proof is a ``limit(max_rows + 1).count()`` (a small job that stops
-    early).  Beyond the bound the frame is returned unhinted, so the planner
-    falls back to a shuffled (sort-merge) join.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -28,8 +28,24 @@ def test_order_view_uses_aggregates_not_windows(spark):
     assert "HashAggregate" in p or "ObjectHashAggregate" in p or "SortAggregate" in p
 
 
+def bounded_order_view(spark, on_key=True, bound=700001):
+    from pyspark.sql import functions as F
+    from orderlens.plans.order_view import order_view
+    t = driver._t(spark, SF01)
+    excluded = t.nation.where(F.col("n_name") == "NATION_9").select(F.col("n_nationkey").alias("grp"))
+    return order_view(**driver._order_view_roles(t),
+                      cfg=driver._order_view_config(bound_is_key=on_key, order_bound=bound),
+                      excluded_groups=(excluded, "contact_group", "grp"))
+
+
+def test_order_view_reads_every_order(spark):
+    assert "LessThan(o_orderkey" not in plan(driver.q_order_view(spark, SF01))
+    n = driver.q_order_bound(spark, SF01).count()
+    assert 0 < n < driver._t(spark, SF01).orders.where("o_orderstatus = 'F'").count()   # C1 cuts
+
+
 def test_order_view_pushes_filters_and_prunes(spark):
-    p = plan(driver.q_order_view(spark, SF01))
+    p = plan(bounded_order_view(spark))
     assert "PushedFilters: [IsNotNull(o_orderkey), LessThan(o_orderkey,700001)" in p
     # lineitem read without its unused columns
     li = [line for line in p.splitlines() if "lineitem.parquet" in line]
@@ -52,7 +68,7 @@ def test_or_join_is_equi_joins(spark):
 
 
 def test_order_bound_reaches_the_line_scan(spark):
-    p = plan(driver.q_order_view(spark, SF01))
+    p = plan(bounded_order_view(spark))
     scans = [line for line in p.splitlines() if "lineitem.parquet" in line and "PushedFilters" in line]
     # rows branch: bound inferred from the header filter; flag branch: two columns only
     assert len(scans) == 2 and any("LessThan(l_orderkey,700001)" in s for s in scans)
@@ -60,16 +76,6 @@ def test_order_bound_reaches_the_line_scan(spark):
 
 
 def test_bound_on_key_filters_lines_without_changing_rows(spark):
-    from pyspark.sql import functions as F
-    from orderlens.plans.order_view import order_view
-    t = driver._t(spark, SF01)
-    excluded = t.nation.where(F.col("n_name") == "NATION_9").select(F.col("n_nationkey").alias("grp"))
-
-    def run(on_key):
-        return order_view(**driver._order_view_roles(t),
-                          cfg=driver._order_view_config(bound_is_key=on_key, order_bound=20_000),
-                          excluded_groups=(excluded, "contact_group", "grp"))
-
-    a, b = run(True), run(False)
+    a, b = bounded_order_view(spark, True, 20_000), bounded_order_view(spark, False, 20_000)
     assert a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -116,23 +116,6 @@ def test_discard_stages(spark):
     assert spark.read.parquet(out).count() == 5
 
 
-def test_bounded_broadcast_hints_only_within_bound(spark):
-    from orderlens.sources.store import bounded_broadcast
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    small = spark.range(5).withColumnRenamed("id", "k")
-
-    def plan(right):
-        return big.join(right, "k")._jdf.queryExecution().executedPlan().toString()
-
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan(bounded_broadcast(small, 10))
-        assert "BroadcastHashJoin" not in plan(bounded_broadcast(small, 4))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-
-
 def test_shared_dir_refuses_local_folder_on_a_cluster():
     import pytest
     from orderlens.session import shared_dir
@@ -156,3 +139,36 @@ def test_shared_dir_refuses_local_folder_on_a_cluster():
         shared_dir(_Remote({"spark.master": "yarn"}))
     assert shared_dir(_Remote({"spark.master": "yarn",
                                "spark.checkpoint.dir": "hdfs:///shared/ckpt/"})) == "hdfs:///shared/ckpt"
+
+
+def test_duplicate_key_leaves_the_old_version_current(spark):
+    import pytest
+    from orderlens.plans.refresh import run_full_refresh, run_matrix_refresh
+    base = scratch_path(spark, "t-checked")
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "hospital_id int, s string")
+    bad = spark.createDataFrame([(1, "x"), (1, "y")], "hospital_id int, s string")
+    old = run_matrix_refresh(good, base)
+    for job in (run_matrix_refresh, lambda df, path: run_full_refresh(df, path, key="hospital_id")):
+        with pytest.raises(Exception, match="hospital_id"):
+            job(bad, base)
+        assert current_version(spark, base) == old
+        assert sorted(r.s for r in read_current(spark, base).collect()) == ["a", "b"]
+
+
+def test_failing_listing_raises_and_keeps_the_rows(spark, monkeypatch):
+    import pytest
+    from orderlens.sources import store
+    base = scratch_path(spark, "t-listing")
+    schema = StructType([StructField("id", LongType())])
+    publish(spark.createDataFrame([(1,)], schema), base)
+    fs = store._fs
+
+    def broken(session, path):
+        raise OSError("listing failed")
+    monkeypatch.setattr(store, "_fs", broken)
+    with pytest.raises(OSError):
+        read_current(spark, base, schema)
+    with pytest.raises(OSError):
+        publish(spark.createDataFrame([(2,)], schema), base)
+    monkeypatch.setattr(store, "_fs", fs)
+    assert [r.id for r in read_current(spark, base).collect()] == [1]
