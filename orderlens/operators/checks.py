@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -11,11 +11,12 @@ def duplicate_keys(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
 
 
-def with_counts(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
+def with_counts(df: DataFrame, step: str, **more: Column) -> tuple[DataFrame, Observation]:
     """Count rows of a step as a side effect of the action that runs it
-    (no extra job).  ``obs.get['rows']`` is available after that action."""
+    (no extra job).  ``obs.get['rows']``, and ``more`` aggregates by name, are
+    available after that action."""
     obs = Observation(step)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in more.items()]), obs
 
 
 def reconcile(old: DataFrame, new: DataFrame, key: str, compare: list[str]) -> DataFrame:

@@ -57,7 +57,7 @@ def _unique_by(df: DataFrame, keys: list[str], what: str, null_safe: bool = Fals
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
                  guard: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
                  update_cols: list[str] | None = None, check_unique: bool = True,
-                 null_safe: bool = False) -> DataFrame:
+                 null_safe: bool = False, action: str | None = None) -> DataFrame:
     """MERGE as a full outer join.
 
     matched and ``guard(src, tgt)`` true -> the source values of
@@ -66,7 +66,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     inserted (target-only columns NULL); target rows without a source row are
     kept.  The result has the target's columns.  NULL keys never match (SQL
     MERGE), unless ``null_safe``: then NULL is a key value like any other
-    (for keys produced by a grouping, as in the streaming upsert).
+    (for keys produced by a grouping, as in the streaming upsert).  ``action``
+    names an extra column that says what became of the row: insert, update, keep.
     """
     keys = list(keys)
     tcols = target.columns
@@ -100,6 +101,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
             out.append(F.when(insert, sv(c)).otherwise(tv(c)).alias(c))
         else:
             out.append(F.when(insert, F.lit(None)).otherwise(tv(c)).alias(c))
+    if action:
+        out.append(F.when(insert, "insert").when(update, "update").otherwise("keep").alias(action))
     return j.select(*out)
 
 

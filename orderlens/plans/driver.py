@@ -584,7 +584,7 @@ def q_exists_flags(spark, d):
     ev = t.events
     x = exists_flag(t.orders, ev.where(F.col("event_type") == "error"), "o_custkey", "user_id", "iview")
     x = exists_flag(x, ev.where(F.col("value") > 90), "o_custkey", "user_id", "dof")
-    return x.select("o_orderkey", "iview", "dof").distinct()
+    return x.select("o_custkey", "iview", "dof").distinct()      # E1: several orders per customer
 
 
 def q_role_playing(spark, d):

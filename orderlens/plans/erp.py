@@ -426,8 +426,8 @@ def erp_pricelist_item(t: dict[str, DataFrame], as_of, *, org_id: int = ITEM_ORG
         F.col("__item").alias("INVENTORY_ITEM_ID"))
 
 
-def erp_party_pricelist(t: dict[str, DataFrame], as_of, *,
-                        group_countries=None) -> DataFrame:
+def erp_party_pricelist(t: dict[str, DataFrame], as_of, *, group_countries=None,
+                        stage=lambda df: df) -> DataFrame:
     """Distinct (group, hospital, patient-pay flag, price list, country).
 
     Hospital grouping: active parties, their account's patient-pay flag
@@ -471,15 +471,15 @@ def erp_party_pricelist(t: dict[str, DataFrame], as_of, *,
         F.col("grp_party_id").alias("grp_key"), F.col("cust_party_id").alias("party_key"),
         "grp_price_list_id")
     out = party_pricelist(hospitals, prec, group_countries or GROUP_PRICE_COUNTRIES,
-                          extra_cols=("group_id",))
+                          extra_cols=("group_id",), stage=stage)
     return out.select(F.col("group_id").alias("GROUP_PARTY_ID"), F.col("hospital_id").alias("HOSPITAL_ID"),
                       F.col("hospital").alias("HOSPITAL"), F.col("req").alias("PATIENTPAYREQUIRED"),
                       F.col("price_list_id").alias("PRICE_LIST_ID"), F.col("country").alias("COUNTRY"))
 
 
 def erp_hospital_product(t: dict[str, DataFrame], as_of, *, org_id: int = ITEM_ORG_ID,
-                         category_set_id: int = MATRIX_CATEGORY_SET, group_countries=None
-                         ) -> DataFrame:
+                         category_set_id: int = MATRIX_CATEGORY_SET, group_countries=None,
+                         stage=lambda df: df) -> DataFrame:
     """J6c/J6d: the hospital x product-category matrix: HOSPITAL_ID, HOSPITAL,
     PATIENTPAYREQUIRED, PATIENTPAYIDENTITYPRICE and one 0/1 column per
     category of the category set (data-dependent list, E5)."""
@@ -488,7 +488,7 @@ def erp_hospital_product(t: dict[str, DataFrame], as_of, *, org_id: int = ITEM_O
     pi = erp_pricelist_item(t, as_of, org_id=org_id).select(
         F.col("PRICE_LIST_ID").alias("price_list_id"), F.col("PRODUCT_ATTRIBUTE").alias("attr"),
         F.col("INVENTORY_ITEM_ID").alias("item"), F.col("PATIENTPAYIDENTITYPRICE").alias("price"))
-    pp = erp_party_pricelist(t, as_of, group_countries=group_countries).select(
+    pp = erp_party_pricelist(t, as_of, group_countries=group_countries, stage=stage).select(
         F.col("HOSPITAL_ID").alias("hospital_id"), F.col("HOSPITAL").alias("hospital"),
         F.col("PATIENTPAYREQUIRED").alias("req"), F.col("PRICE_LIST_ID").alias("price_list_id"))
     cats_b = t["categories"].select(F.col("category_id").alias("__cid"), F.col("segment1").alias("cat"))
@@ -596,25 +596,25 @@ def erp_legacy_load(t: dict[str, DataFrame], *, class_segment2: str, include_set
     from orderlens.operators.joins import exclude_keys
     from orderlens.operators.latest import strict_latest
     from orderlens.operators.merge import append_by_name
+    from orderlens.plans.legacy import branch_load
     from orderlens.plans.order_view import EXCLUDED_LINE_TYPES_V1
 
     rev = strict_latest(t["hip_revision"], "serial_number", "revision", "status", name="__rev_st"
                         ).withColumnRenamed("serial_number", "__rev_serial")
 
-    def relabel(df: DataFrame) -> DataFrame:
-        j = df.join(rev, df["SERIAL_NUMBER"] == rev["__rev_serial"], "left")
-        status = X.status_label("STATUS", F.lit(None), "__rev_st", closed=None,
-                                pending=PENDING_DESIGN, review_labels=REVIEW_LABELS)
-        return j.withColumn("STATUS", status).drop("__rev_serial", "__rev_st")
-
     headers = class_item_headers(t, class_segment2=class_segment2, include_set=include_set)
     old = t["old_order_view"]
     general = exclude_keys(old.where(~F.col("LINE_TYPE").isin(list(EXCLUDED_LINE_TYPES_V1))),
                            headers, "HEADER_ID", "header_id")
-    general = relabel(general).select(*LEGACY_GENERAL_COLUMNS)
-    special = relabel(t["special_order_view"]).select(
-        *LEGACY_GENERAL_COLUMNS, *[F.col(src).alias(dst) for dst, src in LEGACY_SPECIAL_EXTRA.items()])
-    return append_by_name(general, special)
+    special = t["special_order_view"].select(*LEGACY_GENERAL_COLUMNS, *LEGACY_SPECIAL_EXTRA.values())
+    rows = append_by_name(general.select(*LEGACY_GENERAL_COLUMNS, F.lit(False).alias("__branch")),
+                          special.withColumn("__branch", F.lit(True)))
+    status = X.status_label("STATUS", F.lit(None), "__rev_st", closed=None, pending=PENDING_DESIGN,
+                            review_labels=REVIEW_LABELS).alias("STATUS")
+    common = [status if c == "STATUS" else F.col(c) for c in LEGACY_GENERAL_COLUMNS]
+    extra = [F.col(src).alias(dst) for dst, src in LEGACY_SPECIAL_EXTRA.items()]
+    return branch_load(rows, F.col("__branch"), rev, review_on="SERIAL_NUMBER", review_key="__rev_serial",
+                       general_cols=common, special_cols=common + extra)
 
 
 # --- J9: old-vs-new reconciliation ------------------------------------------------

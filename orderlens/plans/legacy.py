@@ -23,25 +23,34 @@ def _named(cols: list[Column], df: DataFrame) -> dict[str, Column]:
     return dict(zip(names, cols))
 
 
-def two_branch_load(headers: DataFrame, special_keys: DataFrame, review_status: DataFrame, *,
-                    header_key: str, special_key: str, review_on: str, review_key: str,
-                    general_cols: list[Column], special_cols: list[Column]) -> DataFrame:
-    """General orders (no line of the special item class) with
-    ``general_cols`` and special orders with ``special_cols``; a column only
-    one branch defines is NULL in the other (insert with explicit column
-    lists).  ``review_status`` has one row per key."""
-    x = headers.join(review_status, headers[review_on] == review_status[review_key], "left")
-    x = exists_flag(x, special_keys, header_key, special_key, "__special")
-    is_special = F.col("__special") == 1
+def branch_load(rows: DataFrame, is_special: Column, review_status: DataFrame, *, review_on: str,
+                review_key: str, general_cols: list[Column], special_cols: list[Column]) -> DataFrame:
+    """A6 over rows that know their branch: the review status (one row per
+    ``review_key``) is joined once, then each output column takes its general
+    or its special expression; a column only one branch defines is NULL in the
+    other (insert with explicit column lists)."""
+    x = rows.withColumn("__special", is_special)
+    x = x.join(review_status, x[review_on] == review_status[review_key], "left")
+    special = F.col("__special")
     gen, spe = _named(general_cols, x), _named(special_cols, x)
     out = []
     for name in list(gen) + [n for n in spe if n not in gen]:
         g, s = gen.get(name), spe.get(name)
         if g is not None and s is not None:
-            expr = F.when(is_special, s).otherwise(g)
+            expr = F.when(special, s).otherwise(g)
         elif s is not None:
-            expr = F.when(is_special, s)
+            expr = F.when(special, s)
         else:
-            expr = F.when(~is_special, g)
+            expr = F.when(~special, g)
         out.append(expr.alias(name))
     return x.select(*out)
+
+
+def two_branch_load(headers: DataFrame, special_keys: DataFrame, review_status: DataFrame, *,
+                    header_key: str, special_key: str, review_on: str, review_key: str,
+                    general_cols: list[Column], special_cols: list[Column]) -> DataFrame:
+    """One input: orders with a line of the special item class take the special
+    branch, all others the general one (D11 as an existence flag)."""
+    x = exists_flag(headers, special_keys, header_key, special_key, "__in_class")
+    return branch_load(x, F.col("__in_class") == 1, review_status, review_on=review_on,
+                       review_key=review_key, general_cols=general_cols, special_cols=special_cols)

@@ -64,7 +64,7 @@ ORACLES = {
         'select cast(s_suppkey as bigint) as hospital_id,cast(s_name as varchar(100)) as hospital,cast(s_nationkey%2 as int) as iuni from supplier'
     ),
     'exists_flags': (
-        "select distinct o_orderkey, case when b.k is null then 0 else 1 end as iview, case when c.k is null then 0 else 1 end as dof from orders left join (select user_id as k from events where event_type='error') b on o_custkey=b.k left join (select user_id as k from events where value>90) c on o_custkey=c.k"
+        "select distinct o_custkey, case when b.k is null then 0 else 1 end as iview, case when c.k is null then 0 else 1 end as dof from orders left join (select user_id as k from events where event_type='error') b on o_custkey=b.k left join (select user_id as k from events where value>90) c on o_custkey=c.k"
     ),
     'flag_gate': (
         'select l_orderkey,l_linenumber,l_partkey,case when order_flag=1 then l_returnflag else null end as detail from (select l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_returnflag,l_linestatus,l_shipdate,case when p_size>=40 then 1 else 0 end as flag,max(case when p_size>=40 then 1 else 0 end) over (partition by l_orderkey) as order_flag from lineitem left join part on l_partkey=p_partkey) x'

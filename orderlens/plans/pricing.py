@@ -9,6 +9,8 @@ is hospitals x categories, not hospitals x items.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -18,7 +20,6 @@ from orderlens.functions.labels import GROUP_PRICE_COUNTRIES
 from orderlens.operators.joins import bounded_rows, expand_by_list, or_join
 from orderlens.operators.latest import distinct_with_group_max
 from orderlens.operators.pivot import pivot_flags
-from orderlens.sources.store import materialize
 
 
 def pricelist_item(list_lines: DataFrame, list_headers: DataFrame, items: DataFrame, as_of, *,
@@ -40,8 +41,8 @@ def pricelist_item(list_lines: DataFrame, list_headers: DataFrame, items: DataFr
 
 
 def party_pricelist(hospitals: DataFrame, precedence: DataFrame,
-                    group_countries=GROUP_PRICE_COUNTRIES, extra_cols: tuple[str, ...] = ()
-                    ) -> DataFrame:
+                    group_countries=GROUP_PRICE_COUNTRIES, extra_cols: tuple[str, ...] = (),
+                    stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Distinct (hospital_id, hospital, req, price_list_id, country).
 
     Hospitals in ``group_countries`` take the group price list of the
@@ -55,9 +56,9 @@ def party_pricelist(hospitals: DataFrame, precedence: DataFrame,
     grp_key, party_key, grp_price_list_id.
     """
     listed = F.coalesce(F.col("country").isin(list(group_countries)), F.lit(False))
-    # the OR join reads its left side once per condition and once per anti
-    # join: stage it (Parquet in the shared folder) so its input joins run once
-    grouped = or_join(materialize(hospitals.where(listed), name="group-hospitals"), precedence,
+    # the OR join reads its left side once per condition and once per anti join:
+    # a job passes ``stage`` (write and read back) so that its input joins run once
+    grouped = or_join(stage(hospitals.where(listed)), precedence,
                       [("group_id", "grp_key"), ("hospital_id", "party_key")], "left")
     extra = list(extra_cols)
     out_cols = [*extra, "hospital_id", "hospital", "req", "price_list_id", "country"]

@@ -5,9 +5,10 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlens.operators.checks import assert_unique, with_counts
-from orderlens.operators.merge import incremental_refresh
+from orderlens.operators.merge import changed_since, delete_missing, merge_upsert
 from orderlens.session import scratch_path
 from orderlens.sources.store import discard, materialize, publish, read_current
 
@@ -39,12 +40,17 @@ def run_incremental_refresh(spark: SparkSession, view: DataFrame, base: str, key
     stage = scratch_path(spark, "view-stage") if stage_view else None
     if stage:
         view = materialize(view, path=stage)
-    new, obs = with_counts(incremental_refresh(target, view, key, change_window, guard),
-                           "incremental_refresh")
-    path = publish(new, base)
+    merged = merge_upsert(delete_missing(target, view, key), changed_since(view, change_window),
+                          [key], guard, action="__action")
+    counted, obs = with_counts(merged, "incremental_refresh",
+                               inserted=F.count(F.when(F.col("__action") == "insert", 1)),
+                               updated=F.count(F.when(F.col("__action") == "update", 1)))
+    path = publish(counted.drop("__action"), base)
     if stage:
         discard(spark, stage)               # the staged view is no longer read
-    log.info("incremental refresh: %s rows -> %s", obs.get.get("rows"), path)
+    n = obs.get
+    log.info("incremental refresh: deleted %d, updated %d, inserted %d, %d rows -> %s",
+             target.count() - (n["rows"] - n["inserted"]), n["updated"], n["inserted"], n["rows"], path)
     return path
 
 

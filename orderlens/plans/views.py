@@ -23,12 +23,14 @@ def register_order_views(spark: SparkSession, t: dict[str, DataFrame], as_of,
     names = []
     erp_order_view(t, as_of, excluded_order_types).createOrReplaceTempView("order_view")
     names.append("order_view")
+    if doc_lists is not None and not override_patterns:
+        raise ValueError("portal_view needs the override patterns (B7)")
     if order_table is not None:
         stored = read_current(spark, order_table)
         stored.createOrReplaceTempView("order_table")
         names.append("order_table")
         if doc_lists is not None:
-            erp_portal_view(stored, doc_lists, override_patterns or []).createOrReplaceTempView(
+            erp_portal_view(stored, doc_lists, override_patterns).createOrReplaceTempView(
                 "portal_view")
             names.append("portal_view")
     return names

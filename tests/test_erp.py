@@ -316,7 +316,9 @@ def test_erp_legacy_load(spark):
                    51: ("Design Approved by Surgeon", "d2")}
 
 
-def test_jobs_cli(spark, erp_tables, pricing_tables):
+def test_jobs_cli(spark, erp_tables, pricing_tables, caplog):
+    import logging
+    caplog.set_level(logging.INFO, logger="orderlens")
     from orderlens.plans.jobs import main
     from orderlens.session import scratch_path
     from orderlens.sources.store import read_current
@@ -330,6 +332,14 @@ def test_jobs_cli(spark, erp_tables, pricing_tables):
     main(["order-refresh", "--tables", tables, "--target", target, "--mode", "incremental",
           "--as-of", str(AS_OF), "--excluded-order-types", "OEM-X"], spark=spark)
     assert sorted(r.LINE_ID for r in read_current(spark, target).collect()) == [11, 13, 15, 51]
+    log = [r.getMessage() for r in caplog.records if "incremental refresh" in r.getMessage()]
+    assert log and log[0].startswith("incremental refresh: deleted 0, updated 0, inserted 0") and "4 rows" in log[0]
+    with pytest.raises(SystemExit):          # the excluded order types are not optional
+        main(["order-refresh", "--tables", tables, "--target", target], spark=spark)
+    timed = scratch_path(spark, "t-order-table-timed")
+    main(["order-refresh", "--tables", tables, "--target", timed, "--as-of", str(AS_OF),
+          "--excluded-order-types", "OEM-X", "--every", "1 second", "--runs", "2"], spark=spark)
+    assert sorted(r.LINE_ID for r in read_current(spark, timed).collect()) == [11, 13, 15, 51]
     hot_target = scratch_path(spark, "t-order-table-hot")
     main(["order-refresh", "--tables", tables, "--target", hot_target, "--as-of", str(AS_OF),
           "--excluded-order-types", "OEM-X", "--hot-key-rows", "2"], spark=spark)
@@ -379,7 +389,8 @@ def test_register_views_sql(spark, erp_tables, erp):
     docs = {"iview_exists": (spark.createDataFrame([("0123B",)], "serial_number string"),
                              "SERIAL_NUMBER_ORI", "serial_number_ori"),
             "dof_exists": (spark.createDataFrame([], "serial_number string"), "SERIAL_NUMBER", "serial_number")}
-    names = register_order_views(spark, erp_tables, AS_OF, ["OEM-X"], order_table=base, doc_lists=docs)
+    names = register_order_views(spark, erp_tables, AS_OF, ["OEM-X"], order_table=base, doc_lists=docs,
+                                 override_patterns=["KNEE%"])
     assert names == ["order_view", "order_table", "portal_view"]
     r = spark.sql("select LINE_ID, iview_exists from portal_view where STATUS = 'Re-Design'").collect()
     assert [tuple(x) for x in r] == [(15, 1)]
