@@ -235,3 +235,6 @@ ORACLES = {
         "select o_orderkey,case when nullif(o_orderstatus,'P')='F' then 1 else 0 end as f from orders"
     ),
 }
+
+# after the refresh the stored order table equals the order view
+ORACLES['incremental_order_table'] = ORACLES['order_view']

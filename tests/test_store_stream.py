@@ -172,3 +172,32 @@ def test_failing_listing_raises_and_keeps_the_rows(spark, monkeypatch):
         publish(spark.createDataFrame([(2,)], schema), base)
     monkeypatch.setattr(store, "_fs", fs)
     assert [r.id for r in read_current(spark, base).collect()] == [1]
+
+
+def test_bucketed_refresh_rewrites_touched_buckets_only(spark):
+    import glob
+    import os
+    from orderlens.sources.buckets import BUCKET, read_bucketed, refresh_buckets, write_bucketed
+    path = scratch_path(spark, "t-buckets")
+    rows = [(i, "old", 0) for i in range(200)]
+    write_bucketed(spark.createDataFrame(rows, "id int, s string, v int"), path, ["id"], 32)
+
+    def files():
+        return {f: os.stat(f).st_mtime_ns for f in glob.glob(path.replace("file:", "") + f"/{BUCKET}=*/*.parquet")}
+    before = files()
+    changes = spark.createDataFrame([(3, "new", 1), (4, "new", -1), (500, "new", 1)], "id int, s string, v int")
+    keys = spark.createDataFrame([(i,) for i in range(200) if i != 7] + [(500,)], "id int")
+    n = refresh_buckets(spark, path, ["id"], 32, changes, keys, lambda s, t: s("v") > t("v"))
+    assert n["deleted"] == 1 and n["changes"] == 3 and n["buckets"] <= 4
+    after = files()
+    same = [f for f in before if after.get(f) == before[f]]
+    assert len(same) >= len(before) - n["buckets"] and len(set(after) - set(before)) <= n["buckets"]
+    got = {r.id: (r.s, r.v) for r in read_bucketed(spark, path).collect()}
+    want = {i: ("old", 0) for i in range(200) if i != 7}
+    assert got == {**want, 3: ("new", 1), 500: ("new", 1)}
+    # nothing to do rewrites nothing; a NULL view key blocks deletes; an emptied bucket goes
+    assert refresh_buckets(spark, path, ["id"], 32, changes.limit(0), keys, lambda s, t: F.lit(True))["buckets"] == 0
+    null_key = keys.where("id > 100").unionByName(spark.createDataFrame([(None,)], "id int"))
+    assert refresh_buckets(spark, path, ["id"], 32, changes.limit(0), null_key, lambda s, t: F.lit(True))["deleted"] == 0
+    refresh_buckets(spark, path, ["id"], 32, changes.limit(0), keys.where("id = 9"), lambda s, t: F.lit(True))
+    assert [r.id for r in read_bucketed(spark, path).collect()] == [9]
