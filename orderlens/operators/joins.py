@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.operators.latest import latest_per_key
+from orderlens.operators.skew import join_to_one, plain_stage
 
 
 def _pairs(on) -> list[tuple[str, str]]:
@@ -40,8 +41,8 @@ def join_latest(left: DataFrame, right: DataFrame, on, order_by: list[str],
     rkeys = [rc for _, rc in pairs]
     latest = latest_per_key(right, rkeys, order_by, cols)
     if hot_keys:
-        from orderlens.operators.skew import join_to_one
         return join_to_one(left, latest, pairs, how, hot_keys)
+    latest = plain_stage(latest)
     return left.join(latest, _cond(left, latest, pairs), how).drop(
         *[latest[rc] for lc, rc in pairs])
 
@@ -127,13 +128,13 @@ def exclude_keys(left: DataFrame, keys: DataFrame, left_key: str, right_key: str
     """``NOT EXISTS (join chain ... where chain.key = left.key)``: reduce the
     chain to distinct keys (partial aggregation, output already partitioned by
     key) and anti-join."""
-    k = keys.select(F.col(right_key).alias("__k")).distinct()
+    k = plain_stage(keys.select(F.col(right_key).alias("__k")).distinct())
     return left.join(k, left[left_key] == k["__k"], "left_anti")
 
 
 def keep_keys(left: DataFrame, keys: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """``EXISTS (...)`` counterpart of :func:`exclude_keys` (left semi join)."""
-    k = keys.select(F.col(right_key).alias("__k")).distinct()
+    k = plain_stage(keys.select(F.col(right_key).alias("__k")).distinct())
     return left.join(k, left[left_key] == k["__k"], "left_semi")
 
 
@@ -148,9 +149,9 @@ def exists_flag(left: DataFrame, right: DataFrame, left_key: str, right_key: str
               .where(F.col(f"__k_{name}").isNotNull()).distinct()
               .withColumn(f"__hit_{name}", F.lit(1)))
     if hot_keys:
-        from orderlens.operators.skew import join_to_one
         j = join_to_one(left, k, [(left_key, f"__k_{name}")], "left", hot_keys)
     else:
+        k = plain_stage(k)
         j = left.join(k, left[left_key] == k[f"__k_{name}"], "left").drop(f"__k_{name}")
     return j.withColumn(name, F.coalesce(F.col(f"__hit_{name}"), F.lit(0))).drop(f"__hit_{name}")
 

@@ -4,9 +4,9 @@ A window ``partitionBy(key)`` sends every row of a key to one task and sorts
 it there; with one key holding a third of the rows that task is the job.
 These operators use ``groupBy`` instead: the map side pre-aggregates, so a hot
 key reaches the shuffle as one partial row per input partition, and the
-per-row result is joined back by key - through AQE's skew-join splitting on a
-cluster, or, for keys found by ``find_hot_keys``, without any shuffle
-(``join_to_one``).
+per-row result is joined back by key: from a shuffle stage of its own, which
+lets AQE split the hot partition (``plain_stage``), or, for keys found by
+``find_hot_keys``, without any shuffle (``join_to_one``).
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.operators.skew import join_to_one, plain_stage
+
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -55,9 +57,8 @@ def group_max(df: DataFrame, value: Column | str, keys, name: str,
     if hot_keys:
         if null_keys != "drop":
             raise ValueError("hot_keys needs null_keys='drop'")
-        from orderlens.operators.skew import join_to_one
         return join_to_one(df, agg, [(k, f"__g{i}") for i, k in enumerate(keys)], "inner", hot_keys)
-    return _join_back(df, agg, keys, null_safe=(null_keys == "group"))
+    return _join_back(df, plain_stage(agg), keys, null_safe=(null_keys == "group"))
 
 
 def distinct_with_group_max(df: DataFrame, keys, maxed: list[str], kept: list[str]) -> DataFrame:
@@ -82,7 +83,7 @@ def latest_per_key(df: DataFrame, keys, order_by: list[str], cols: list[str] | N
 
     ``order_by`` must be a total order within a key (add a unique id as the
     last column).  Computed as ``max(struct(order..., payload...))`` per key,
-    so no key is ever sorted or held whole in one task.  Descending order puts
+    so no key's rows meet whole in one task.  Descending order puts
     NULLs last, like ``ORDER BY ... DESC``.
     """
     keys = _keys(keys)

@@ -5,10 +5,15 @@ reaches the shuffle pre-aggregated.  A join cannot pre-aggregate.  In a
 many-to-one join (big side, at most one small-side row per key - a join back
 of per-key aggregates, a lookup, a latest record), a key holding a third of
 the big side would put a third of the rows through one sort-merge task.
-AQE's skew-join splitting addresses this on a cluster.  ``join_to_one``
-does not depend on it: rows of the hot keys join a broadcast of their
-(at most ``len(hot_keys)``) small-side rows where they are, without any
-shuffle; all other rows take the ordinary shuffled join.
+AQE splits a skewed partition of such a join, but only when both join inputs
+are plain shuffle stages: an aggregate between the exchange and the join keeps
+it from splitting.  ``plain_stage`` puts the reduced side behind one more, small
+shuffle, so the joins here are split by default (tests/test_skew.py looks for
+``skew=true`` in the final plans).
+
+``join_to_one`` with known hot keys does not depend on AQE: rows of the hot keys
+join a broadcast of their (at most ``len(hot_keys)``) small-side rows where they
+are, without any shuffle; all other rows take the ordinary shuffled join.
 """
 
 from __future__ import annotations
@@ -19,16 +24,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def find_hot_keys(df: DataFrame, keys: list[str], min_rows: int,
-                  max_keys: int = 10_000) -> list[tuple]:
+def plain_stage(reduced: DataFrame) -> DataFrame:
+    """``reduced`` (an aggregate, joined next by its key) as a shuffle stage of its
+    own, so that AQE may split a skewed partition of the other side."""
+    return reduced.hint("rebalance")
+
+
+def find_hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> list[tuple]:
     """Keys with at least ``min_rows`` rows: one partial aggregate over the key
-    columns, a bounded collect (there are at most rows/min_rows such keys; more
-    than ``max_keys`` raises - raise ``min_rows``).  NULL keys are ignored."""
+    columns and a collect of at most rows/min_rows keys.  NULL keys are ignored."""
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     rows = (df.where(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-              .where(F.col("__n") >= min_rows).select(*keys).limit(max_keys + 1).collect())
-    if len(rows) > max_keys:
-        raise ValueError(f"more than {max_keys} keys with >= {min_rows} rows; raise min_rows")
+              .where(F.col("__n") >= min_rows).select(*keys).collect())
     return [tuple(r) for r in rows]
 
 
@@ -63,7 +70,7 @@ def join_to_one(big: DataFrame, small: DataFrame, on: list[tuple[str, str]], how
         return b.join(s2, cond(b, s), how).select(*[b[c] for c in b.columns], *[s[c] for c in extra])
 
     if not hot_keys:
-        return joined(big, small, False)
+        return joined(big, plain_stage(small), False)
     big_hot_pred = F.coalesce(_in_keys([F.col(bc) for bc, _ in on], hot_keys), F.lit(False))
     small_hot = small.where(_in_keys([F.col(sc) for _, sc in on], hot_keys))
     # small_hot has at most len(hot_keys) rows (one per key): a proven bound

@@ -13,6 +13,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot partition even where joins on one key share a shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -76,17 +78,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def scale_conf(largest_shuffle_bytes: int, target_partition_bytes: int = 256 << 20,
-               min_partitions: int = 200, max_partitions: int = 200_000) -> dict[str, str]:
+               min_partitions: int = 200) -> dict[str, str]:
     """Settings sized for the largest shuffle of a job (e.g. the line table of
     the order view), so no shuffle partition outgrows executor memory.
 
-    Shuffle partitions = bytes / target (bounded); AQE then coalesces the
+    Shuffle partitions = bytes / target; AQE then coalesces the
     smaller shuffles to the same advisory size and splits any partition more
     than 4x that size as skewed.  Scan splits use the same target, so a task
     reads, sorts and spills at most a few hundred MB.
     """
     n = -(-int(largest_shuffle_bytes) // int(target_partition_bytes))
-    n = max(min_partitions, min(max_partitions, n))
+    n = max(min_partitions, n)
     size = f"{int(target_partition_bytes) >> 20}m"
     return {
         "spark.sql.shuffle.partitions": str(n),

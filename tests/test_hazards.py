@@ -52,7 +52,7 @@ def test_h22_refresh_mode_dispatch(spark):
 def test_scale_conf_sizes_partitions():
     from orderlens.session import scale_conf
     c = scale_conf(100 * 2**40)                      # 100 TB shuffle
-    assert int(c["spark.sql.shuffle.partitions"]) == 200_000   # capped; AQE coalesces
+    assert int(c["spark.sql.shuffle.partitions"]) == 409_600   # 256 MB each, no cap
     c = scale_conf(10 * 2**40)                       # 10 TB -> 40,960 partitions of 256 MB
     assert c["spark.sql.shuffle.partitions"] == "40960"
     assert c["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"

@@ -76,8 +76,8 @@ def test_exists_flag_hot(spark, hot_events):
 
 def test_find_hot_keys(hot_events):
     assert O.find_hot_keys(hot_events, ["user_id"], 1000) == [(7,)]
-    with pytest.raises(ValueError):
-        O.find_hot_keys(hot_events, ["user_id"], 1, max_keys=3)
+    users = hot_events.select("user_id").distinct().count()
+    assert len(O.find_hot_keys(hot_events, ["user_id"], 1)) == users        # a threshold, no cap
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -125,3 +125,43 @@ def test_exists_flag_and_join_latest_hot_keys(spark, hot_events):
     c = O.join_latest(left, ev2, [("user_id", "uid")], ["ts", "event_id"], ["event_type"], hot_keys=hot)
     d = O.join_latest(left, ev2, [("user_id", "uid")], ["ts", "event_id"], ["event_type"])
     assert same(c.select(*d.columns), d)
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Sizes at which AQE treats a few hundred KB as skewed; no broadcast joins."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def split_joins(df):
+    total = df.groupBy().agg(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")))
+    total.collect()
+    return total._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("skew=true")
+
+
+def test_hot_keys_are_split_by_default(spark, small_splits):
+    k = F.when(F.col("id") % 10 < 7, F.lit(7)).when(F.col("id") % 10 < 8, F.lit(None)).otherwise(F.col("id") % 997)
+    big = spark.range(0, 200_000, 1, 8).select(k.alias("k"), F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    right = spark.range(0, 50_000, 1, 8).select((F.col("id") % 1000).alias("rk"), F.col("id").alias("ts"), (F.col("id") * 3).alias("x"))
+    cases = {
+        "join_latest": lambda: O.join_latest(big, right, [("k", "rk")], ["ts"], ["x"]),
+        "exists_flag": lambda: O.exists_flag(big, right, "k", "rk", "f"),
+        "group_max": lambda: O.group_max(big, "v", "k", "m", null_keys="drop"),
+        "exclude_keys": lambda: O.exclude_keys(big, right.where("rk > 500"), "k", "rk"),
+        "keep_keys": lambda: O.keep_keys(big, right, "k", "rk"),
+        "two flags": lambda: O.exists_flag(O.exists_flag(big, right, "k", "rk", "f"), right.where("x > 9"), "k", "rk", "g"),
+    }
+    for name, make in cases.items():
+        assert split_joins(make()) >= 1, name
+    got = O.join_latest(big, right, [("k", "rk")], ["ts"], ["x"]).agg(F.count("*"), F.sum("x")).first()
+    assert got[0] == 200_000 and got[1] == big.where("k is not null").select(
+        F.sum((F.col("k") + 49_000) * 3)).first()[0]
