@@ -205,9 +205,9 @@ def segments(found: DataFrame, unit, n_buckets: int, by_document: bool) -> DataF
     """Windows of shared anchors, dealt out by anchor.
 
     ``found`` is (rid, key, text, codes).  Rows with bucket >= 0 hold packed segments:
-    rid, key, start (item index), windows, code, size (bytes) and data; rows with a
-    negative bucket hold spans (rid, key, start, windows) that an earlier segment of
-    the same batch settles.  ``by_document``: only a smaller rid settles a segment;
+    rid and key of each document and its number of segments, then per segment start
+    (item index), windows, code, size (bytes) and data; rows with a negative bucket
+    hold what an earlier segment of the same batch settles, without the last three.  ``by_document``: only a smaller rid settles a segment;
     else an earlier start in the same row does, too.
     """
     def run(batches):
@@ -261,12 +261,17 @@ def segments(found: DataFrame, unit, n_buckets: int, by_document: bool) -> DataF
         bucket, rows = bucket[order], rows[order]
         out = []
         for b, (r,) in cut_rows(bucket, rows):
-            row = [int(b), rid[r].tobytes(), key[r].tobytes(), at[r].astype(np.int64).tobytes(),
-                   many[r].astype(np.int64).tobytes()]
+            r = r[np.lexsort((at[r], key[r], rid[r]))]
+            new = ~repeats(rid[r], key[r])                 # each document once, then its segments
+            first = np.flatnonzero(new)
+            row = [int(b), rid[r][first].tobytes(), key[r][first].tobytes(),
+                   np.diff(np.append(first, len(r))).astype(np.uint32).tobytes(),
+                   at[r].astype(np.uint32).tobytes(), many[r].astype(np.uint32).tobytes()]
             if b >= 0:
                 n = size[r]
                 take = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(offset[r], n)
-                row += [code[r].tobytes(), n.astype(np.int64).tobytes(), data[take].tobytes()]
+                row += [(code[r] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
+                        n.astype(np.uint32).tobytes(), data[take].tobytes()]
             else:
                 row += [b"", b"", b""]
             out.append(row)
@@ -277,19 +282,23 @@ def segments(found: DataFrame, unit, n_buckets: int, by_document: bool) -> DataF
     return found.select("rid", "key", "text", "codes").mapInArrow(run, SCHEMA)
 
 
-NAMES = ["bucket", "rid", "key", "start", "windows", "code", "size", "data"]
-SCHEMA = ("bucket int, rid binary, key binary, start binary, windows binary, code binary, size binary, data binary")
+NAMES = ["bucket", "rid", "key", "segments", "start", "windows", "code", "size", "data"]
+SCHEMA = ("bucket int, rid binary, key binary, segments binary, start binary, windows binary, code binary, "
+          "size binary, data binary")
 
 
 def load_segments(batches):
-    """All of a task's segment rows: arrays (rid, key, start, windows, code, size, offset, data) and settled spans."""
+    """All of a task's segment rows: (rid, key, start, windows, code, size, data), and the settled spans."""
     kept, settled = [], []
     for b in batches:
         for row in zip(*(x.to_pylist() for x in b.columns)):
-            ints = [np.frombuffer(x, np.int64) for x in row[1:5]]
+            many = np.frombuffer(row[3], np.uint32)
+            ints = [np.repeat(np.frombuffer(row[1], np.int64), many), np.repeat(np.frombuffer(row[2], np.int64), many),
+                    np.frombuffer(row[4], np.uint32).astype(np.int64), np.frombuffer(row[5], np.uint32).astype(np.int64)]
             if row[0] >= 0:
-                kept.append([*ints, np.frombuffer(row[5], np.uint64), np.frombuffer(row[6], np.int64),
-                             np.frombuffer(row[7], np.uint8)])
+                code = np.frombuffer(row[6], np.uint32).astype(np.uint64) | np.uint64(row[0] << 32)
+                kept.append([*ints, code, np.frombuffer(row[7], np.uint32).astype(np.int64),
+                             np.frombuffer(row[8], np.uint8)])
             else:
                 settled.append(ints)
     kept = [np.concatenate(x) for x in zip(*kept)] if kept else None

@@ -25,23 +25,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import stage
-from orderlens.llm.repeats import Bytes, load_segments, merge_spans, removed_spans, row_id, span_rows, text_classes
+from orderlens.llm.repeats import (Bytes, load_segments, merge_spans, removed_spans, repeats, row_id, span_rows,
+                                   text_classes)
+from orderlens.llm.scan import BYTE_VALUES, pieces, prefix_sums, range_hash
 
 LENGTH, GRAM = 50, 24
 SYMBOLS, WIDTH = 257, 7          # 9-bit symbols, seven to a sort key
 TASK_BYTES = 1 << 20             # text that one suffix array covers
 
 
-def _keys(text: np.ndarray, at: np.ndarray) -> np.ndarray:
-    key = np.zeros(len(at), np.uint64)
+def _keys(text: np.ndarray) -> np.ndarray:
+    """The next WIDTH symbols at every place, packed."""
+    n = len(text) - WIDTH + 1
+    keys = np.zeros(n, np.uint64)
     for k in range(WIDTH):
-        key = (key << np.uint64(9)) | text[at + k]
-    return key
+        keys = (keys << np.uint64(9)) | text[k:k + n]
+    return keys
 
 
-def _direct(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+def _direct(keys: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     """``at`` sorted by the suffixes' first ``depth`` symbols; ties are refined only."""
-    key = _keys(text, at)
+    key = keys[at]
     order = np.argsort(key, kind="stable")
     at, key = at[order], key[order]
     new = np.ones(len(at), bool)
@@ -53,7 +57,7 @@ def _direct(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
         if not len(slots):
             break
         group = np.cumsum(new)[slots]
-        key = _keys(text, at[slots] + done)
+        key = keys[at[slots] + done]
         order = np.lexsort((key, group))
         at[slots] = at[slots][order]
         key, group = key[order], group[order]
@@ -73,7 +77,7 @@ def two_stage_suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
     stop = np.minimum.accumulate(stop[::-1])[::-1]
     after = np.concatenate([sym[1:], [-1]])
     smaller = sym[stop] < after[stop]
-    direct = _direct(text, np.flatnonzero(smaller), depth)
+    direct = _direct(_keys(text), np.flatnonzero(smaller), depth)
     counts = np.bincount(sym, minlength=SYMBOLS)
     begin = np.concatenate([[0], np.cumsum(counts)])
     n_direct = np.bincount(sym[direct], minlength=SYMBOLS)
@@ -147,6 +151,16 @@ def judge_segments(rid, windows, size, data, length: int):
     return number[late], late - begin[number[late]]
 
 
+def content_hashes(data: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of each segment's bytes, half a megabyte of segments at a time."""
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    out = [np.empty(0, np.uint64)]
+    for first, last in pieces(offsets):
+        at = offsets[first:last + 1] - offsets[first]
+        out.append(range_hash(prefix_sums(BYTE_VALUES[data[offsets[first]:offsets[last]]]), at[:-1], at[1:]))
+    return np.concatenate(out)
+
+
 def judge(length: int):
     def run(batches):
         kept, settled = load_segments(batches)
@@ -157,8 +171,19 @@ def judge(length: int):
             return
         rid, key, start, windows, code, size, data = kept
         offset = np.cumsum(size) - size
-        order = np.argsort(code, kind="stable")
-        ahead = np.cumsum(size[order])
+        # equal segments of several batches: all but those of the least rid are settled
+        whole = content_hashes(data, size)
+        order = np.lexsort((rid, whole, code))
+        new = ~repeats(code[order], whole[order])
+        least = rid[order][new][np.cumsum(new) - 1]
+        late = rid[order] > least
+        gone = order[late]
+        yield from span_rows(rid[gone], key[gone], start[gone], start[gone] + windows[gone] - 1 + length)
+        # an anchor with one content left has nothing to be compared with
+        anchor = ~repeats(code[order])
+        several = np.add.reduceat(new, np.flatnonzero(anchor))[np.cumsum(anchor) - 1] > 1
+        order = order[several & ~late]
+        ahead = np.cumsum(size[order])          # in order of code
         at = 0
         while at < len(order):
             upto = int(np.searchsorted(ahead, (ahead[at - 1] if at else 0) + TASK_BYTES, "right"))
