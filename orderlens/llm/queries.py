@@ -45,7 +45,9 @@ def op9_simhash(spark, sf_dir):
 
 
 def op10_decontamination(spark, sf_dir):
-    return decontaminate.decontamination_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    """The contaminated documents and what they hold; every document is scanned."""
+    report = decontaminate.decontamination_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return report.filter("contaminated")
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_lm_score, op4_toxicity, op5_automaton_dedup, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash,
