@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from orderlens import functions as X
 from orderlens.operators.derive import with_serial_key
 from orderlens.session import scratch_path
-from orderlens.sources.store import read_current
+from orderlens.sources.buckets import read_bucketed
 from orderlens.sources.tables import read_table
 from orderlens.streaming.refresh import derive_stream, stream_upsert
 
@@ -45,9 +45,9 @@ def run_stream_upsert(spark: SparkSession, sf_dir: str, files: int = 4) -> DataF
     base = scratch_path(spark, "latest-by-user")
     q = stream_upsert(changes, base, LATEST_SCHEMA, ["user_id"], ["ts", "event_id"],
                       latest_guard, checkpoint=scratch_path(spark, "ckpt-upsert"),
-                      trigger={"availableNow": True})
+                      trigger={"availableNow": True}, buckets=8)
     q.awaitTermination()
-    return read_current(spark, base, LATEST_SCHEMA).select("user_id", "event_type", "ts")
+    return read_bucketed(spark, base).select("user_id", "event_type", "ts")
 
 
 def run_stream_derive(spark: SparkSession, sf_dir: str) -> DataFrame:

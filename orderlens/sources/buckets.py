@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators.merge import merge_upsert
-from orderlens.sources.store import _fs, materialize
+from orderlens.session import scratch_path
+from orderlens.sources.store import _fs, discard, materialize
 
 BUCKET = "__bucket"
 
@@ -34,6 +35,47 @@ def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BUCKET)
 
 
+def _overwrite(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], buckets: int,
+               touched: list[int]) -> None:
+    """Replace the touched buckets by ``rows``; a bucket without rows goes."""
+    aside = scratch_path(spark, "merged")
+    rows = materialize(rows.withColumn(BUCKET, bucket_of(keys, buckets)), path=aside)
+    left = {r[0] for r in rows.select(BUCKET).distinct().collect()}           # at most ``buckets`` numbers
+    (rows.repartition(BUCKET).write.partitionBy(BUCKET).mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").parquet(path))
+    fs, root = _fs(spark, path)
+    for b in touched:
+        if b not in left:
+            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{BUCKET}={b}"), True)
+    discard(spark, aside)
+
+
+def _touched(spark: SparkSession, frame: DataFrame) -> list[int]:
+    return [r[0] for r in frame.distinct().collect()]                         # at most ``buckets`` numbers
+
+
+def merge_buckets(spark: SparkSession, path: str, keys: list[str], buckets: int, changes: DataFrame, guard,
+                  null_safe: bool = False) -> int:
+    """A7/K2 in proportion to the change: merge ``changes`` into the buckets they fall in.
+
+    The first call creates the table.  ``null_safe`` as in ``merge_upsert``.
+    Returns the number of rewritten buckets.
+    """
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        write_bucketed(changes, path, keys, buckets)
+        return buckets
+    stage = scratch_path(spark, "changes")
+    changes = materialize(changes, path=stage)
+    touched = _touched(spark, changes.select(bucket_of(keys, buckets)))
+    if touched:
+        target = spark.read.parquet(path).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        merged = merge_upsert(target, changes, keys, guard, check_unique=not null_safe, null_safe=null_safe)
+        _overwrite(spark, path, merged, keys, buckets, touched)
+    discard(spark, stage)
+    return len(touched)
+
+
 def refresh_buckets(spark: SparkSession, path: str, keys: list[str], buckets: int, changes: DataFrame,
                     view_keys: DataFrame, guard) -> dict[str, int]:
     """A11 in proportion to the change: delete the rows whose key left the view,
@@ -43,31 +85,25 @@ def refresh_buckets(spark: SparkSession, path: str, keys: list[str], buckets: in
     them blocks every delete (H6), as does a NULL in a stored key for its row.
     Returns the counts of deleted rows, changes and rewritten buckets.
     """
+    stages = [scratch_path(spark, n) for n in ("changes", "view-keys", "gone-keys")]
     table = spark.read.parquet(path)
-    changes = materialize(changes, name="changes")
-    stored = table.select(*keys, BUCKET)
-    known = view_keys.select(*[F.col(k).alias(f"__v_{k}") for k in keys])
-    known = materialize(known.distinct(), name="view-keys")
+    columns = [c for c in table.columns if c != BUCKET]
+    changes = materialize(changes, path=stages[0])
+    known = materialize(view_keys.select(*[F.col(k).alias(f"__v_{k}") for k in keys]).distinct(), path=stages[1])
     no_key = reduce(lambda a, b: a | b, [F.col(f"__v_{k}").isNull() for k in keys])
-    gone = stored.limit(0) if known.where(no_key).limit(1).count() else stored.where(
-        reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).join(
-        known, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__v_{k}") for k in keys]), "left_anti")
-    gone = materialize(gone, name="gone-keys")
-    touched = [r[0] for r in gone.select(BUCKET).unionByName(
-        changes.select(bucket_of(keys, buckets))).distinct().collect()]       # at most ``buckets`` numbers
+    stored = table.select(*keys, BUCKET).where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    if known.where(no_key).limit(1).count():
+        gone = stored.limit(0)
+    else:
+        gone = stored.join(known, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__v_{k}") for k in keys]),
+                           "left_anti")
+    gone = materialize(gone, path=stages[2])
+    touched = _touched(spark, gone.select(BUCKET).unionByName(changes.select(bucket_of(keys, buckets))))
     counts = {"deleted": gone.count(), "changes": changes.count(), "buckets": len(touched)}
-    if not touched:
-        return counts
-    target = table.where(F.col(BUCKET).isin(touched))
-    kept = target.drop(BUCKET).join(gone.drop(BUCKET), keys, "left_anti").select(
-        *[c for c in table.columns if c != BUCKET])
-    merged = merge_upsert(kept, changes, keys, guard).withColumn(BUCKET, bucket_of(keys, buckets))
-    merged = materialize(merged, name="merged")
-    left = {r[0] for r in merged.select(BUCKET).distinct().collect()}
-    (merged.repartition(BUCKET).write.partitionBy(BUCKET).mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").parquet(path))
-    fs, root = _fs(spark, path)
-    for b in touched:
-        if b not in left:                     # a bucket whose last row was deleted
-            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{BUCKET}={b}"), True)
+    if touched:
+        kept = (table.where(F.col(BUCKET).isin(touched)).join(gone.drop(BUCKET), keys, "left_anti")
+                .select(*columns))
+        _overwrite(spark, path, merge_upsert(kept, changes, keys, guard), keys, buckets, touched)
+    for stage in stages:
+        discard(spark, stage)
     return counts

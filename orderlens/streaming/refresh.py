@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from orderlens.operators.latest import latest_per_key
 from orderlens.operators.merge import merge_upsert
+from orderlens.sources.buckets import merge_buckets
 from orderlens.sources.store import prune_versions, publish, read_current
 
 
@@ -31,9 +33,11 @@ def _trigger(writer, trigger: dict | None):
 def stream_upsert(changes: DataFrame, base: str, schema: StructType, keys: list[str],
                   order_by: list[str], guard, checkpoint: str,
                   trigger: dict | None = None, query_name: str | None = None,
-                  keep_versions: int | None = 2) -> StreamingQuery:
+                  keep_versions: int | None = 2, buckets: int | None = None) -> StreamingQuery:
     """K2: each micro-batch keeps the latest change per key (F3) and merges it
-    into the current version of ``base`` (A7), publishing a new version.
+    into ``base`` (A7).  With ``buckets`` the table is laid out by key bucket and
+    a batch rewrites only the buckets it touches (read it with ``read_bucketed``);
+    else a batch publishes a whole new version.
 
     No watermark: late rows are handled by ``guard`` (an older change never
     overwrites a newer row), exactly like the batch merge.  After each batch
@@ -44,6 +48,10 @@ def stream_upsert(changes: DataFrame, base: str, schema: StructType, keys: list[
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         latest = latest_per_key(batch, keys, order_by, cols)
+        if buckets:
+            latest = latest.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+            merge_buckets(spark, base, keys, buckets, latest, guard, null_safe=True)
+            return
         target = read_current(spark, base, schema)
         # keys come from a grouping (NULL is a group): unique by construction,
         # so no uniqueness check, and matched null-safely

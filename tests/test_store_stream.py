@@ -201,3 +201,19 @@ def test_bucketed_refresh_rewrites_touched_buckets_only(spark):
     assert refresh_buckets(spark, path, ["id"], 32, changes.limit(0), null_key, lambda s, t: F.lit(True))["deleted"] == 0
     refresh_buckets(spark, path, ["id"], 32, changes.limit(0), keys.where("id = 9"), lambda s, t: F.lit(True))
     assert [r.id for r in read_bucketed(spark, path).collect()] == [9]
+
+
+def test_stream_upsert_rewrites_touched_buckets(spark):
+    from orderlens.sources.buckets import read_bucketed
+    ev = Tables(spark, SF01).events.select(
+        F.when(F.col("event_id") % 50 == 0, F.lit(None)).otherwise(F.col("user_id")).alias("user_id"),
+        "event_type", "ts", "event_id")
+    feed = stage_feed(spark, ev, 3, "t-feed-buckets")
+    changes = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    base = scratch_path(spark, "t-latest-buckets")
+    q = stream_upsert(changes, base, LATEST_SCHEMA, ["user_id"], ["ts", "event_id"], latest_guard,
+                      checkpoint=scratch_path(spark, "t-ckpt-buckets"), buckets=4)
+    q.awaitTermination()
+    got = read_bucketed(spark, base).select("user_id", "event_type", "ts", "event_id")
+    want = latest_per_key(ev, "user_id", ["ts", "event_id"], ["event_type", "ts", "event_id"])
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
