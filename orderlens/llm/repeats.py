@@ -6,12 +6,12 @@ texts shares an anchor hash with its copy, and
 
 1. ``shared_codes`` finds the anchor hashes that occur in two texts, or twice in one
    when ``within`` asks for it.  Only hashes are shuffled, to hash buckets, after
-   each Arrow batch has reduced a hash to two texts; no repeated window is missed,
+   each slice of a batch has reduced a hash to two texts; no repeated window is missed,
    and a hash met by chance only adds work.
 2. ``segments`` cuts the windows of shared anchors out of the texts and deals them to
-   buckets by anchor.  Before that each batch combines equal segments: the earliest
-   is sent, all others are settled on the spot, so a passage that stands in a third
-   of all documents reaches its bucket once per batch.
+   buckets by anchor.  Before that each slice (4 MB of text) combines equal segments:
+   the earliest is sent, all others are settled on the spot, so a passage that stands
+   in a third of all documents reaches its bucket once per slice.
 
 Exact copies never get that far: a text class (``text_classes``) is represented by
 its earliest row.  Every frame keeps rows apart by (rid, key): rid is the doc_id with
@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import buckets, join_groups, stage
-from orderlens.llm.scan import (BYTE_VALUES, WHITE, anchors, pieces, prefix_sums, range_hash, utf8, window_hash,
-                                word_hashes, words)
+from orderlens.llm.scan import (BYTE_VALUES, WHITE, anchors, pieces, prefix_sums, range_hash, sliced, utf8,
+                                window_hash, word_hashes, words)
 
 NULL_ID = (1 << 63) - 1
 
@@ -118,7 +118,7 @@ def shared_codes(texts: DataFrame, unit, within: bool) -> tuple[DataFrame, int]:
     n = buckets(texts.sparkSession)
 
     def collect(batches):
-        for b in batches:
+        for b in sliced(batches, 1):
             keys = b.column(0).to_numpy()
             _, unique = np.unique(keys, return_index=True)
             unique = np.sort(unique)                       # equal texts of a batch: one is enough
@@ -211,7 +211,7 @@ def segments(found: DataFrame, unit, n_buckets: int, by_document: bool) -> DataF
     else an earlier start in the same row does, too.
     """
     def run(batches):
-        for b in batches:
+        for b in sliced(batches, 2):
             rids, keys = b.column(0).to_numpy(), b.column(1).to_numpy()
             lists = b.column(3)
             parts = []

@@ -69,6 +69,18 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf[at[0]:at[-1]], at - at[0]
 
 
+def sliced(batches, column: int, limit: int = 1 << 22, rows: int = 10_000):
+    """Arrow batches cut to about ``limit`` bytes of text and at most ``rows`` rows each, one row at least."""
+    for b in batches:
+        _, offsets = utf8(b.column(column))
+        first = 0
+        while first < b.num_rows:
+            last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
+            last = min(max(last, first + 1), first + rows, b.num_rows)
+            yield b.slice(first, last - first)
+            first = last
+
+
 def pieces(offsets: np.ndarray, limit: int = 1 << 19):
     """Ranges (first, last) of documents with about ``limit`` bytes each, one document at least."""
     first = 0
