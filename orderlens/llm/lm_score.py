@@ -10,8 +10,8 @@ and a document's score is its mean target loss minus its mean background loss: t
 lower, the more target-like.  Words are ASCII-lower-cased runs of anything but ASCII
 white space; a document's first word follows a start mark.
 
-Counting and scoring take one shuffle of token bigrams, packed as hashes and dealt
-out by first word: a bucket holds all bigrams of its first words, so it has every
+Counting and scoring take one shuffle of token bigrams, packed as hashes (40 bits of
+the first word beside its bucket, 32 of the second) and dealt out by first word: a bucket holds all bigrams of its first words, so it has every
 count it needs and returns one partial loss per document.  First words with about a
 thousandth of all tokens or more are found beforehand (a bounded list) and dealt out
 by second word as well; their totals travel along as counts.
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from orderlens.llm.common import buckets
 from orderlens.llm.decontaminate import FOLD
 from orderlens.llm.repeats import cut_rows, packed
-from orderlens.llm.scan import WHITE, mix, pieces, utf8, word_hashes, words
+from orderlens.llm.scan import WHITE, mix, pieces, sliced, utf8, word_hashes, words
 
 MU = 100.0
 HOT_SHARE = 1000               # a hot word has at least one in so many tokens
@@ -43,6 +43,24 @@ SLOTS = 16                     # buckets that a hot first word is dealt to
 REGISTER_BITS = 14
 START = np.uint64(0x5354415254)
 CODE_BYTES = 5
+SLICE_BYTES = 1 << 24          # text packed at a time
+#: Target ids up to this number (8 MB) are broadcast to the scan; beyond it they are joined by shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def code_of(first: np.ndarray) -> np.ndarray:
+    """Forty bits of a first word's hash; its bucket adds more."""
+    return mix(first) >> np.uint64(64 - 8 * CODE_BYTES)
+
+
+def short(codes: np.ndarray) -> bytes:
+    return np.ascontiguousarray(codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES]).tobytes()
+
+
+def long(packed_codes: bytes) -> np.ndarray:
+    wide = np.zeros((len(packed_codes) // CODE_BYTES, 8), np.uint8)
+    wide[:, :CODE_BYTES] = np.frombuffer(packed_codes, np.uint8).reshape(-1, CODE_BYTES)
+    return wide.view(np.uint64).ravel()
 
 
 def _words(column: pa.Array):
@@ -142,44 +160,41 @@ def lm_scores(docs: DataFrame, is_target: Column, mu: float = MU, vocabulary_siz
         return ((mix(h) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
     def deal(batches):
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 10_000):
-                b = whole.slice(lo, 10_000)
-                rows, target = b.column(0).to_numpy(), b.column(2).to_numpy(zero_copy_only=False)
-                parts = [(w, _first_words(w, d), d + first) for first, w, d in _words(b.column(1))]
-                if not parts:
-                    continue
-                word, before, doc = map(np.concatenate, zip(*parts))
-                at = np.searchsorted(hot_list, before).clip(0, len(hot_list) - 1)
-                is_hot = hot_list[at] == before
-                slot = np.where(is_hot, word % np.uint64(SLOTS) + np.uint64(1), np.uint64(0))
-                bucket = bucket_of(before + slot * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
-                pair = mix(before * np.uint64(3) + mix(word)) >> np.uint64(64 - 8 * CODE_BYTES)
-                order = np.lexsort((before, bucket))
-                out = []
-                for k, (f, p, d) in cut_rows(bucket[order], before[order], pair[order], doc[order]):
-                    cut = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
-                    here, at = np.unique(d, return_inverse=True)
-                    code = p.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES]
-                    out.append((int(k), f[cut].tobytes(), np.diff(np.append(cut, len(f))).astype(np.uint32).tobytes(),
-                                np.ascontiguousarray(code).tobytes(), at.astype(np.uint16).tobytes(),
-                                rows[here].tobytes(), np.packbits(target[here]).tobytes(), b""))
-                # totals of hot first words, to every bucket that holds a part of them
-                w = before[is_hot]
-                if len(w):
-                    hot, inverse = np.unique(w, return_inverse=True)
-                    all_n = np.bincount(inverse)
-                    target_n = np.bincount(inverse, weights=target[doc[is_hot]])
-                    slots = np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                    places = bucket_of(hot[:, None] + slots[None, :])
-                    for k in np.unique(places).tolist():
-                        here = (places == k).any(axis=1)
-                        body = np.column_stack([hot[here], all_n[here].astype(np.uint64),
-                                                target_n[here].astype(np.uint64)])
-                        out.append((int(k), b"", b"", b"", b"", b"", b"", np.ascontiguousarray(body).tobytes()))
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *packed(*cols[1:])],
-                                                 names=["bucket", "first", "many", "pair", "doc", "rows", "flags", "hot"])
+        for b in sliced(batches, 1, SLICE_BYTES):
+            rows, target = b.column(0).to_numpy(), b.column(2).to_numpy(zero_copy_only=False)
+            parts = [(w, _first_words(w, d), d + first) for first, w, d in _words(b.column(1))]
+            if not parts:
+                continue
+            word, before, doc = map(np.concatenate, zip(*parts))
+            at = np.searchsorted(hot_list, before).clip(0, len(hot_list) - 1)
+            is_hot = hot_list[at] == before
+            slot = np.where(is_hot, word % np.uint64(SLOTS) + np.uint64(1), np.uint64(0))
+            bucket = bucket_of(before + slot * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
+            first, second = code_of(before), (mix(word) >> np.uint64(32)).astype(np.uint32)
+            order = np.lexsort((first, bucket))
+            out = []
+            for k, (f, p, d) in cut_rows(bucket[order], first[order], second[order], doc[order]):
+                cut = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
+                here, at = np.unique(d, return_inverse=True)
+                out.append((int(k), short(f[cut]), np.diff(np.append(cut, len(f))).astype(np.uint32).tobytes(),
+                            p.tobytes(), at.astype(np.uint16).tobytes(), rows[here].tobytes(), np.packbits(target[here]).tobytes(), b""))
+            # totals of hot first words, to every bucket that holds a part of them
+            w = before[is_hot]
+            if len(w):
+                hot, inverse = np.unique(w, return_inverse=True)
+                names = code_of(hot)
+                all_n = np.bincount(inverse)
+                target_n = np.bincount(inverse, weights=target[doc[is_hot]])
+                slots = np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                places = bucket_of(hot[:, None] + slots[None, :])
+                for k in np.unique(places).tolist():
+                    here = (places == k).any(axis=1)
+                    body = np.column_stack([names[here], all_n[here].astype(np.uint64),
+                                            target_n[here].astype(np.uint64)])
+                    out.append((int(k), b"", b"", b"", b"", b"", b"", np.ascontiguousarray(body).tobytes()))
+            cols = list(zip(*out))
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *packed(*cols[1:])],
+                                             names=["bucket", "first", "many", "second", "doc", "rows", "flags", "hot"])
 
     def judge(batches):
         # a task may hold several buckets: each is finished by itself
@@ -197,10 +212,8 @@ def lm_scores(docs: DataFrame, is_target: Column, mu: float = MU, vocabulary_siz
             if h:
                 hot.append(np.frombuffer(h, np.uint64).reshape(-1, 3))
                 continue
-            first.append(np.repeat(np.frombuffer(f, np.uint64), np.frombuffer(m, np.uint32)))
-            code = np.zeros((len(p) // CODE_BYTES, 8), np.uint8)
-            code[:, :CODE_BYTES] = np.frombuffer(p, np.uint8).reshape(-1, CODE_BYTES)
-            pair.append(code.view(np.uint64).ravel())
+            first.append(np.repeat(long(f), np.frombuffer(m, np.uint32)))
+            pair.append(np.frombuffer(p, np.uint32))
             r = np.frombuffer(r, np.int64)
             doc.append(np.frombuffer(d, np.uint16).astype(np.int64) + ahead)
             rows.append(r)
@@ -233,7 +246,7 @@ def lm_scores(docs: DataFrame, is_target: Column, mu: float = MU, vocabulary_siz
             names=["row", "n", "t", "b"])
 
     part = (src.select("row", "text", "target")
-            .mapInArrow(deal, "bucket int, first binary, many binary, pair binary, doc binary, rows binary, "
+            .mapInArrow(deal, "bucket int, first binary, many binary, second binary, doc binary, rows binary, "
                               "flags binary, hot binary")
             .repartition(n, "bucket").mapInArrow(judge, "row long, n long, t double, b double"))
     nothing = [F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("t"), F.lit(0.0).alias("b")]
@@ -252,4 +265,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, mu: float = MU) -> DataFr
     """``lm_scores`` with the rows labelled quality 1 as target."""
     good = (labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
             .withColumn("_good", F.lit(True)))
+    if good.count() <= BROADCAST_IDS:
+        good = F.broadcast(good)
     return lm_scores(docs.select("doc_id", "text").join(good, "doc_id", "left"), F.col("_good"), mu)
