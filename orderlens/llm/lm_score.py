@@ -43,7 +43,8 @@ SLOTS = 16                     # buckets that a hot first word is dealt to
 REGISTER_BITS = 14
 START = np.uint64(0x5354415254)
 CODE_BYTES = 5
-SLICE_BYTES = 1 << 24          # text packed at a time
+SLICE_BYTES = 1 << 23          # text packed at a time
+PARTS = 4                      # a bucket's first words are scored in so many parts
 #: Target ids up to this number (8 MB) are broadcast to the scan; beyond it they are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -91,7 +92,7 @@ def vocabulary(texts: DataFrame) -> tuple[int, list[int]]:
     def run(batches):
         registers, total = np.zeros(1 << REGISTER_BITS, np.uint8), 0
         word, count = np.empty(0, np.uint64), np.empty(0, np.int64)
-        for b in batches:
+        for b in sliced(batches, 0):
             parts, sizes = [word], [count]
             for _, w, _ in _words(b.column(0)):
                 w, n = np.unique(w, return_counts=True)
@@ -206,22 +207,35 @@ def lm_scores(docs: DataFrame, is_target: Column, mu: float = MU, vocabulary_siz
             yield from score(held.pop(bucket))
 
     def score(blobs):
-        first, pair, doc, rows, flags, hot = [], [], [], [], [], []
-        ahead = 0
-        for f, m, p, d, r, t, h in blobs:
-            if h:
-                hot.append(np.frombuffer(h, np.uint64).reshape(-1, 3))
-                continue
-            first.append(np.repeat(long(f), np.frombuffer(m, np.uint32)))
-            pair.append(np.frombuffer(p, np.uint32))
-            r = np.frombuffer(r, np.int64)
-            doc.append(np.frombuffer(d, np.uint16).astype(np.int64) + ahead)
-            rows.append(r)
-            flags.append(np.unpackbits(np.frombuffer(t, np.uint8))[:len(r)])
-            ahead += len(r)
-        if not first:
+        hot = [np.frombuffer(x[6], np.uint64).reshape(-1, 3) for x in blobs if x[6]]
+        blobs = [x for x in blobs if not x[6]]
+        if not blobs:
             return
-        first, pair, doc, rows, flags = map(np.concatenate, (first, pair, doc, rows, flags))
+        rows = [np.frombuffer(x[4], np.int64) for x in blobs]
+        flags = np.concatenate([np.unpackbits(np.frombuffer(x[5], np.uint8))[:len(r)] for x, r in zip(blobs, rows)])
+        ahead = np.cumsum([0] + [len(r) for r in rows])
+        rows = np.concatenate(rows)
+        totals = [np.zeros(len(rows)) for _ in range(3)]
+        for part in range(PARTS):
+            for total, more in zip(totals, part_sums(blobs, part, ahead, flags, hot)):
+                total += more
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rows), pa.array(totals[0].astype(np.int64)), pa.array(totals[1]), pa.array(totals[2])],
+            names=["row", "n", "t", "b"])
+
+    def part_sums(blobs, part, ahead, flags, hot):
+        """Tokens, target losses and background losses per row, for one part of the first words."""
+        first, pair, doc = [], [], []
+        for (f, m, p, d, *_), start in zip(blobs, ahead):
+            f, m = long(f), np.frombuffer(m, np.uint32)
+            mine = f % np.uint64(PARTS) == part
+            entries = np.repeat(mine, m)
+            first.append(np.repeat(f[mine], m[mine]))
+            pair.append(np.frombuffer(p, np.uint32)[entries])
+            doc.append(np.frombuffer(d, np.uint16)[entries].astype(np.int64) + start)
+        first, pair, doc = map(np.concatenate, (first, pair, doc))
+        if not len(first):
+            return [np.zeros(len(flags))] * 3
         order = np.lexsort((pair, first))
         first, pair, doc = first[order], pair[order], doc[order]
         mine = flags[doc].astype(np.float64)
@@ -231,19 +245,16 @@ def lm_scores(docs: DataFrame, is_target: Column, mu: float = MU, vocabulary_siz
         all1, all2 = n1.astype(float), n2.astype(float)
         target1, target2 = np.add.reduceat(mine, start1), np.add.reduceat(mine, start2)
         if hot:
-            hot = np.concatenate(hot)
-            word, inverse = np.unique(hot[:, 0], return_inverse=True)
-            total = np.bincount(inverse, weights=hot[:, 1]), np.bincount(inverse, weights=hot[:, 2])
+            found = np.concatenate(hot)
+            word, inverse = np.unique(found[:, 0], return_inverse=True)
+            total = np.bincount(inverse, weights=found[:, 1]), np.bincount(inverse, weights=found[:, 2])
             at = np.searchsorted(word, first[start1]).clip(0, len(word) - 1)
             known = word[at] == first[start1]
             all1[known], target1[known] = total[0][at[known]], total[1][at[known]]
         one = np.searchsorted(start1, start2, "right") - 1     # first word of each bigram
         loss = [np.repeat(-np.log2((c2 + mu / size) / (c1[one] + mu)), n2)
                 for c2, c1 in ((target2, target1), (all2, all1))]
-        sums = [np.bincount(doc, weights=x, minlength=len(rows)) for x in loss]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows), pa.array(np.bincount(doc, minlength=len(rows))), pa.array(sums[0]), pa.array(sums[1])],
-            names=["row", "n", "t", "b"])
+        return [np.bincount(doc, weights=x, minlength=len(flags)) for x in (None, *loss)]
 
     part = (src.select("row", "text", "target")
             .mapInArrow(deal, "bucket int, first binary, many binary, second binary, doc binary, rows binary, "
