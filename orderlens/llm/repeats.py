@@ -164,12 +164,13 @@ def shared_codes(texts: DataFrame, unit, within: bool) -> tuple[DataFrame, int]:
                 names=["bucket", "known", "keys", "counts", "codes"])
 
     def merge(batches):
-        codes, keys = [], []
+        codes, keys, told, whom = [], [], [], []
         for b in batches:
             for bucket, known, k, m, c in zip(*(x.to_pylist() for x in b.columns)):
                 k = np.repeat(np.frombuffer(k, np.int64), np.frombuffer(m, np.uint32))
                 if known:
-                    yield from answers(k, np.frombuffer(c, np.uint64))
+                    told.append(np.frombuffer(c, np.uint64))
+                    whom.append(k)
                 else:
                     codes.append(np.frombuffer(c, np.uint32).astype(np.uint64) | np.uint64(bucket << 32))
                     keys.append(k)
@@ -180,10 +181,21 @@ def shared_codes(texts: DataFrame, unit, within: bool) -> tuple[DataFrame, int]:
             cut = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
             shared = np.minimum.reduceat(keys, cut) != np.maximum.reduceat(keys, cut)
             keep = np.repeat(shared, np.diff(np.append(cut, len(codes))))
-            yield from answers(keys[keep], codes[keep])
-
-    def answers(keys, codes):
+            told.append(codes[keep])
+            whom.append(keys[keep])
+        if told:
+            told, whom = np.concatenate(told), np.concatenate(whom)
+            # packed again, dealt out by text
+            yield from rows_of(told, whom, whom.view(np.uint64) % np.uint64(n), True)
+
+    def answer(batches):
         """One row per text: its shared codes."""
+        codes, keys = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for b in batches:
+            for k, m, c in zip(*(b.column(i).to_pylist() for i in (2, 3, 4))):
+                keys.append(np.repeat(np.frombuffer(k, np.int64), np.frombuffer(m, np.uint32)))
+                codes.append(np.frombuffer(c, np.uint64))
+        codes, keys = np.concatenate(codes), np.concatenate(keys)
         order = np.argsort(keys, kind="stable")
         keys, codes = keys[order], codes[order]
         cut = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, int)
@@ -195,10 +207,11 @@ def shared_codes(texts: DataFrame, unit, within: bool) -> tuple[DataFrame, int]:
                 None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(codes[at[0]:end].tobytes())])
             yield pa.RecordBatch.from_arrays([pa.array(keys[at], pa.int64()), blob], names=["key", "codes"])
 
-    met = (texts.select("key", "text")
-           .mapInArrow(collect, "bucket int, known boolean, keys binary, counts binary, codes binary")
-           .repartition(n, "bucket").mapInArrow(merge, "key long, codes binary"))
-    return met.groupBy("key").agg(F.collect_list("codes").alias("codes")), n
+    packs = "bucket int, known boolean, keys binary, counts binary, codes binary"
+    met = (texts.select("key", "text").mapInArrow(collect, packs)
+           .repartition(n, "bucket").mapInArrow(merge, packs)
+           .repartition(n, "bucket").mapInArrow(answer, "key long, codes binary"))
+    return met, n
 
 
 def segments(found: DataFrame, unit, n_buckets: int, by_document: bool) -> DataFrame:
@@ -221,7 +234,7 @@ def segments(found: DataFrame, unit, n_buckets: int, by_document: bool) -> DataF
                 bounds = np.searchsorted(owner, np.arange(first, first + (doc[-1] if len(doc) else -1) + 2))
                 for d in np.unique(owner).tolist():
                     a, z = bounds[d - first], bounds[d - first + 1]
-                    mine = np.concatenate([np.frombuffer(x, np.uint64) for x in lists[d].as_py()])
+                    mine = np.frombuffer(lists[d].as_py(), np.uint64)
                     keep[a:z] = np.isin(code[a:z], mine)
                 code, owner, head, tail = code[keep], owner[keep], head[keep], tail[keep]
                 if not len(code):
