@@ -219,9 +219,26 @@ def lm_scores(docs: DataFrame, is_target: Column, mu: float = MU, vocabulary_siz
         for part in range(PARTS):
             for total, more in zip(totals, part_sums(blobs, part, ahead, flags, hot)):
                 total += more
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows), pa.array(totals[0].astype(np.int64)), pa.array(totals[1]), pa.array(totals[2])],
-            names=["row", "n", "t", "b"])
+        rows, inverse = np.unique(rows, return_inverse=True)   # repeated rows
+        sums = [np.bincount(inverse, weights=x) for x in totals]
+        place = (rows.view(np.uint64) % np.uint64(n)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        out = [(int(k), r.tobytes(), m.astype(np.uint32).tobytes(), t.tobytes(), b.tobytes())
+               for k, (r, m, t, b) in cut_rows(place[order], rows[order], *(x[order] for x in sums))]
+        cols = list(zip(*out))
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *packed(*cols[1:])],
+                                         names=["place", "rows", "n", "t", "b"])
+
+    def unite(batches):
+        """The sums of each row over all buckets."""
+        got = [row for b in batches for row in zip(*(b.column(i).to_pylist() for i in range(1, 5)))]
+        if got:
+            r, m, t, b = (np.concatenate([np.frombuffer(x, kind) for x in column])
+                          for column, kind in zip(zip(*got), (np.int64, np.uint32, np.float64, np.float64)))
+            row, inverse = np.unique(r, return_inverse=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row), pa.array(np.bincount(inverse, weights=m).astype(np.int64)),
+                 *(pa.array(np.bincount(inverse, weights=x)) for x in (t, b))], names=["row", "n", "t", "b"])
 
     def part_sums(blobs, part, ahead, flags, hot):
         """Tokens, target losses and background losses per row, for one part of the first words."""
@@ -259,7 +276,8 @@ def lm_scores(docs: DataFrame, is_target: Column, mu: float = MU, vocabulary_siz
     part = (src.select("row", "text", "target")
             .mapInArrow(deal, "bucket int, first binary, many binary, second binary, doc binary, rows binary, "
                               "flags binary, hot binary")
-            .repartition(n, "bucket").mapInArrow(judge, "row long, n long, t double, b double"))
+            .repartition(n, "bucket").mapInArrow(judge, "place int, rows binary, n binary, t binary, b binary")
+            .repartition(n, "place").mapInArrow(unite, "row long, n long, t double, b double"))
     nothing = [F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("t"), F.lit(0.0).alias("b")]
     rows = docs.select(F.xxhash64("doc_id", text).alias("row"), "doc_id", F.lit(1).alias("copies"), *nothing)
     both = rows.unionByName(part.select("row", F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"),
