@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 CACHE_PIECES, CACHED_LENGTH = 200_000, 64
-NO_PAIR = 1 << 80
-SHIFT = 40
+#: A leaf holds rank << PLACE_BITS | place, so the least leaf is the leftmost lowest rank.
+ID_BITS, PLACE_BITS = 20, 34
+PLACE = (1 << PLACE_BITS) - 1
+NO_PAIR = 1 << 62
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -52,7 +54,7 @@ class BytePairs:
         self.rank, self.merged = {}, []
         for pair in spec["model"]["merges"]:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.rank.setdefault((vocab[a] << SHIFT) | vocab[b], len(self.merged))
+            self.rank.setdefault(vocab[a] << ID_BITS | vocab[b], len(self.merged) << PLACE_BITS)
             self.merged.append(vocab[a + b])
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes_of |= {i: c.encode("utf-8") for c, i in self.added.items()}
@@ -69,38 +71,47 @@ class BytePairs:
         rank, merged, leaves = self.rank.get, self.merged, n - 1
         size = 1 << (leaves - 1).bit_length()
         tree = [NO_PAIR] * (2 * size)
+        left = ids[0]
         for i in range(leaves):
-            r = rank((ids[i] << SHIFT) | ids[i + 1])
-            if r is not None:
-                tree[size + i] = (r << SHIFT) | i
+            right = ids[i + 1]
+            tree[size + i] = rank(left << ID_BITS | right, NO_PAIR) | i
+            left = right
         for i in range(size - 1, 0, -1):
             a, b = tree[2 * i], tree[2 * i + 1]
             tree[i] = a if a < b else b
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while (best := tree[1]) < NO_PAIR:
-            i = best & ((1 << SHIFT) - 1)
+            i = best & PLACE
             gone = after[i]
-            ids[i], ids[gone] = merged[best >> SHIFT], -1
+            token = ids[i] = merged[best >> PLACE_BITS]
+            ids[gone] = -1
             follow = after[i] = after[gone]
+            mid = size + i
             if follow < n:
                 before[follow] = i
-            previous = before[i]
-            for left, right in ((i, follow), (previous, i), (gone, n)):
-                if 0 <= left < leaves:
-                    value = NO_PAIR
-                    if right < n:
-                        r = rank((ids[left] << SHIFT) | ids[right])
-                        if r is not None:
-                            value = (r << SHIFT) | left
-                    at = size + left
-                    tree[at] = value
-                    while at > 1:
-                        a, b = tree[at], tree[at ^ 1]
-                        at >>= 1
-                        least = a if a < b else b
-                        if tree[at] == least:
-                            break
-                        tree[at] = least
+                tree[mid] = rank(token << ID_BITS | ids[follow], NO_PAIR) | i
+            else:
+                tree[mid] = NO_PAIR
+            high = mid
+            if gone < leaves:
+                high = size + gone
+                tree[high] = NO_PAIR
+            low, previous = mid, before[i]
+            if previous >= 0:
+                low = size + previous
+                tree[low] = rank(ids[previous] << ID_BITS | token, NO_PAIR) | previous
+            # the three changed leaves climb together; paths that have met are walked once
+            while high > 1:
+                a, b = tree[low], tree[low ^ 1]
+                up = low >> 1
+                tree[up] = a if a < b else b
+                if (mid >> 1) != up:
+                    a, b = tree[mid], tree[mid ^ 1]
+                    tree[mid >> 1] = a if a < b else b
+                if (high >> 1) != (mid >> 1):
+                    a, b = tree[high], tree[high ^ 1]
+                    tree[high >> 1] = a if a < b else b
+                low, mid, high = up, mid >> 1, high >> 1
         return [t for t in ids if t >= 0]
 
     def piece(self, text: str) -> tuple[int, str, bytes]:
