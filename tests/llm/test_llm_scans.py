@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import duckdb
@@ -196,6 +197,50 @@ def test_toxicity_without_labels(spark):
     assert left.columns == docs.columns
 
 
+def test_toxicity_counts_all_training_rows(spark):
+    n = 30_000
+    ids = spark.range(n).select(F.col("id").alias("doc_id")).withColumn("trains", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
+    late = [r[0] for r in ids.filter("trains").orderBy(F.desc(F.xxhash64("doc_id"))).limit(8).collect()]
+    mean = F.col("doc_id").isin(late)
+    plain = F.concat(F.lit("plain words number "), (F.col("doc_id") % 50).cast("string"))
+    docs = ids.select("doc_id", F.when(mean, F.concat(plain, F.lit(" zorquan"))).when(F.col("doc_id") % 25 == 0, F.concat(plain, F.lit(" idiot"))).otherwise(plain).alias("text"))
+    labels = ids.select("doc_id", F.lit(0).alias("quality"), (mean | (F.col("doc_id") % 25 == 0)).cast("int").alias("toxic"))
+    # the rows with the rare word come last by the hash of their id
+    assert {"zorquan", "idiot"} <= set(toxicity.train(docs, labels).induced)
+
+
+def test_toxicity_keeps_every_entry_over_the_bound(spark):
+    words = ["q" + "".join("bdfgklmnpr"[int(c)] for c in f"{i:03d}") for i in range(330)]
+    rows = [(i, words[i // 12] if i % 2 == 0 else "calm") for i in range(3960)]
+    labels = spark.createDataFrame([(i, 0, int(i % 2 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    rows += [(10_000 + i, "calm") for i in range(20_000)]
+    calm = spark.range(10_000, 30_000).selectExpr("id doc_id", "0 quality", "0 toxic")
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels.unionByName(calm))
+    train = [w for i, w in rows[:3960] if i % 2 == 0 and zlib.crc32(str(i).encode()) % 4 != 2]
+    often = {w for w, k in Counter(train).items() if k >= 4}
+    assert len(often) > 256 and often <= set(model.induced)
+
+
+def test_vote_pairs_and_fit_match_tables_in_memory(spark):
+    r = np.random.default_rng(5)
+    v = (r.random((300, 8)) < 0.3).astype(np.int64)
+    packed = [(np.flatnonzero(row).astype(np.int32).tobytes(),) for row in v]
+    voted = spark.createDataFrame(packed, "v binary").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    both = np.zeros((8, 8), int)
+    for row in toxicity.vote_pairs(voted).collect():
+        both[row.i, np.frombuffer(row.others, np.int32)] = np.frombuffer(row.both, np.int64)
+    assert (both == v.T @ v * (1 - np.eye(8, dtype=int))).all()
+    target = r.random(300)
+
+    def slope(w, b):
+        z = v @ w + b
+        return float((np.log1p(np.exp(z)) - target * z).sum()), v.T @ (toxicity.sigmoid(z) - target), float((toxicity.sigmoid(z) - target).sum())
+
+    w, b = toxicity.fit_linear(slope, v.sum(axis=0), 300, float(target.mean()))
+    _, by_voter, by_one = slope(w, b)
+    assert np.abs(by_voter + 0.5 * w).max() < 0.05 and abs(by_one + 1e-3 * b) < 0.05
+
+
 def test_label_model_discounts_copies_of_a_voter():
     for seed in range(3):
         r = np.random.default_rng(seed)
