@@ -328,3 +328,10 @@ def test_entry_registers_the_ten_queries_and_the_pipeline():
     import __spark_entry__ as e
     names = e.queries()
     assert "pipeline" in names and all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11))
+
+
+def test_decontamination_query_reports_every_document(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    got = queries.op10_decontamination(spark, SF001)
+    assert Counter(r.doc_id for r in got.select("doc_id").collect()) == Counter(r.doc_id for r in docs.select("doc_id").collect())
+    assert got.filter("not contaminated").count() > 0
