@@ -50,8 +50,8 @@ BROADCAST_IDS = 1_000_000
 
 
 def code_of(first: np.ndarray) -> np.ndarray:
-    """Forty bits of a first word's hash; its bucket adds more."""
-    return mix(first) >> np.uint64(64 - 8 * CODE_BYTES)
+    """The low forty bits of a first word's mixed hash; its bucket comes from the highest bits."""
+    return mix(first) & np.uint64((1 << 8 * CODE_BYTES) - 1)
 
 
 def short(codes: np.ndarray) -> bytes:

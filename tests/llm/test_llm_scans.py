@@ -156,6 +156,12 @@ def test_lm_scores_repeated_and_empty(spark):
     assert lm_score.lm_scores(cases.empty(spark), F.lit(True)).collect() == []
 
 
+def test_codes_of_words_in_one_bucket_use_all_bits():
+    h = np.random.default_rng(1).integers(0, 1 << 63, 2_000_000).astype(np.uint64)
+    one = h[lm_score.mix(h) >> np.uint64(56) == 7]
+    assert len(np.unique(lm_score.code_of(one) >> np.uint64(32))) == 256
+
+
 def toxic_set(spark, n=400):
     r = random.Random(3)
     vocab = ["".join(r.choice("bdfgklmn") + r.choice("aeiou") for _ in range(r.randint(1, 4))) for _ in range(300)]
