@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from orderlens.llm import conversation_repair as repair
+from orderlens.llm import prefix_trie
 
 EMPTY = hashlib.sha256(b"").hexdigest()
 EXTRA = ["rid", "dig", "n", "first", "audits", "depth", "slot", "tail", "conv", "__id"]
@@ -191,3 +192,90 @@ def test_repair_of_nothing(spark):
     gone = next(c for c in range(1000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
     got = repair.damage_and_repair(conv_frame(spark, [(gone, 0, "user", "x")])).collect()
     assert [tuple(r) for r in got] == [(gone, 0, 0, 0, 0, 0, 0, "", EMPTY)]
+
+
+def ordered(rows):
+    by = defaultdict(list)
+    for c, t, role, text in rows:
+        if c is not None:
+            by[c].append((t is not None, t or 0, role or "", text or ""))
+    return {c: [x[2:] for x in sorted(got, key=lambda x: (x[0], x[1], x[2].encode(), hashlib.sha256(x[3].encode()).digest()))]
+            for c, got in by.items()}
+
+
+def rebuilt(convs):
+    out = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = convs.get(c - c % 5, [])[:h] + own[h:]
+    return out
+
+
+def expected_trie(convs):
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = Counter(k[:-1] for k in members if k)
+    leaves, saved = Counter(), Counter()
+    for k, got in members.items():
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += not children[k]
+            saved[k[:d]] += (len(got) - 1) * len(k[-1][1].encode()) if k else 0
+    return Counter(
+        (min(got), len(k), min(members[k[:-1]]) if k else None, len(got), children[k], leaves[k], saved[k],
+         sha(",".join(str(c) for c in sorted(got) if len(convs[c]) == len(k))))
+        for k, got in members.items())
+
+
+def shared_conversations(seed=2):
+    r = random.Random(seed)
+    rows, tree = [], [[]]
+    for c in range(90):
+        start = r.choice(tree)
+        own = start[:r.randint(0, len(start))] + [(r.choice(["user", "assistant", None]), r.choice(["a", "bé", "", None, "c" * 500]))
+                                                   for _ in range(r.randint(0, 4))]
+        tree.append(own)
+        rows += [(c if c % 7 else c * 1000, t if t else None, *x) for t, x in enumerate(own or [("user", "only")])]
+    for c in (5000, 5001, 5002):  # long equal conversations, over several blocks
+        rows += [(c, t, "user", f"{t % 11}") for t in range(60 + (c == 5002))]
+    return rows + rows[:3] + [(None, 1, "user", "nobody")] + [(c, 0, "user", "same") for c in range(6000, 6040)]
+
+
+TRIE = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def test_trie_equals_brute_force(spark):
+    rows = shared_conversations()
+    got = prefix_trie.rebuilt_trie(conv_frame(spark, rows))
+    assert got.columns == TRIE
+    assert Counter(map(tuple, got.collect())) == expected_trie(rebuilt(ordered(rows)))
+
+
+@pytest.mark.parametrize("block", [1, 7])
+def test_trie_in_blocks_and_under_a_crowded_sketch(spark, block, monkeypatch):
+    rows = shared_conversations(4)
+    monkeypatch.setattr(prefix_trie, "MIN_CELLS", 64)
+    monkeypatch.setattr(prefix_trie, "SLICE", 16)
+    turns = prefix_trie.turns_in_order(conv_frame(spark, rows))
+    total = turns.groupBy("conv_id").agg({"pos": "max"}).withColumnRenamed("max(pos)", "total")
+    nodes = prefix_trie.trie_nodes(prefix_trie.prefixes(turns, total, block), max_cells=64, block=block)
+    assert Counter(map(tuple, nodes.select(TRIE).collect())) == expected_trie(ordered(rows))
+
+
+def test_trie_of_one_and_of_nothing(spark):
+    one = [(3, 1, "user", "x"), (3, 2, "assistant", "y")]
+    got = prefix_trie.conversation_trie(conv_frame(spark, one)).select(TRIE)
+    assert Counter(map(tuple, got.collect())) == expected_trie(ordered(one))
+    assert prefix_trie.rebuilt_trie(conv_frame(spark, one).filter("false")).collect() == []
+
+
+def test_sketch_screens_single_prefixes(spark):
+    turns = prefix_trie.turns_in_order(conv_frame(spark, shared_conversations()))
+    total = turns.groupBy("conv_id").agg({"pos": "max"}).withColumnRenamed("max(pos)", "total")
+    paths = prefix_trie.prefixes(turns, total)
+    flags = prefix_trie.screened(paths).collect()
+    n = Counter(bytes(r.dig) for r in flags)
+    assert not any(r.alone and n[bytes(r.dig)] > 1 for r in flags)
+    single = [r.alone for r in flags if n[bytes(r.dig)] == 1]
+    assert len(single) > 50 and sum(single) > 0.9 * len(single)
