@@ -134,7 +134,7 @@ def prefixes(turns: DataFrame, total: DataFrame, block: int = BLOCK) -> DataFram
     before = F.when(F.col("prior").isNull(), F.col("end")).otherwise(
         F.substring(F.unhex(F.sha2(F.concat("prior", F.lit(b"turn"), "end"), 256)), 1, 16))
     later = later.select("conv_id", "depth", mixed("dig").alias("dig"),
-                         F.when(F.col("depth") % block == 1, before).otherwise(mixed("pdig")).alias("pdig"), "nbytes")
+                         F.when((F.col("depth") - 1) % block == 0, before).otherwise(mixed("pdig")).alias("pdig"), "nbytes")
     first = local.filter("block = 0").select("conv_id", "depth", "dig", "pdig", "nbytes")
     roots = total.select("conv_id", F.lit(0).cast("long").alias("depth"), F.lit(ROOT).alias("dig"),
                          F.lit(None).cast("binary").alias("pdig"), F.lit(0).cast("long").alias("nbytes"))
