@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from orderlens.llm import (
-    automaton_dedup, bpe, conversation_repair, decontaminate, exact_dedup, license_scan, lm_score, prefix_trie, simhash,
+    automaton_dedup, bpe, conversation_repair, decontaminate, exact_dedup, license_scan, lm_score, pii, prefix_trie, simhash,
     suffix_dedup, toxicity, url_filter)
 from orderlens.llm.common import read
 
@@ -50,6 +50,10 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.decontamination_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_pii(spark, sf_dir):
+    return pii.pii_report(read(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark, sf_dir):
     return conversation_repair.damage_and_repair(read(spark, sf_dir, "conversations"))
 
@@ -59,5 +63,5 @@ def op13_prefix_trie(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_lm_score, op4_toxicity, op5_automaton_dedup, op6_bpe, op7_exact_dedup, op8_url_filters, op9_simhash,
-                                  op10_decontamination, op12_conversation_repair, op13_prefix_trie)}
+                                  op10_decontamination, op11_pii, op12_conversation_repair, op13_prefix_trie)}
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE, "op8_url_filters": url_filter.ORACLE}
