@@ -128,9 +128,10 @@ def scanned(docs: DataFrame) -> DataFrame:
 def occurrences(scan: DataFrame) -> DataFrame:
     """rid, kind (index; null for identifiers), start, end, text, left, right; identifiers
     that touch a base span are left out (their base span stands for them)."""
-    each = [F.transform(k, lambda s, i=i: F.struct(F.lit(i).cast("int").alias("kind"), s.alias("s"))) for i, k in enumerate(KINDS)]
-    other = F.transform("other", lambda s: F.struct(F.lit(None).cast("int").alias("kind"), s.alias("s")))
-    rows = scan.select("rid", F.inline(F.concat(*each, other))).select("rid", "kind", "s.*")
+    def marked(column, kind):
+        return F.transform(column, lambda s: F.struct(F.lit(kind).cast("int").alias("kind"), s.alias("s")))
+    each = [marked(k, i) for i, k in enumerate(KINDS)]
+    rows = scan.select("rid", F.inline(F.concat(*each, marked("other", None)))).select("rid", "kind", "s.*")
     # Per text, in order: the furthest end of a base span that began, the next one's start.
     end = F.expr("max(if(kind is null, null, end)) over (partition by rid order by start range between unbounded preceding and current row)")
     start = F.expr("min(if(kind is null, null, start)) over (partition by rid order by start range between current row and unbounded following)")
@@ -163,7 +164,6 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFr
     patterns = None
     for _ in range(rounds):
         told = join_groups(edges, known, ["text"], "edges")
-        score = F.round(F.sum("conf") / (F.col("size") + 1), 9)
         sums = (told.groupBy("pattern", "kind").agg(F.sum("conf").alias("conf"), F.count("*").alias("support"))
                 .filter(F.col("support") >= MIN_SUPPORT))
         scored = sums.join(sizes, "pattern").withColumn("score", F.round(F.col("conf") / (F.col("size") + 1), 9))
@@ -204,7 +204,8 @@ def _listed(spans: Column) -> Column:
 def pii_report(docs: DataFrame) -> DataFrame:
     """The query: doc_id, base counts per kind, the digest of the base spans, all spans."""
     rows = pii_spans(docs)
-    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
-    return rows.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
+    def count(i):
+        return F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
+    return rows.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)], F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
                        _listed(F.array_sort(F.concat("base", "found"))).alias("spans"),
                        F.size("found").cast("long").alias("n_found"))
