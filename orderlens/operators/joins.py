@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.operators.latest import latest_per_key
@@ -67,28 +67,37 @@ def or_join(left: DataFrame, right: DataFrame, conds: list[tuple[str, str]],
             how: str = "left") -> DataFrame:
     """``left JOIN right ON (l1 = r1 OR l2 = r2 ...)`` without a nested loop.
 
-    Exact rewrite: branch i is an equi-join on condition i that excludes pairs
-    already produced by an earlier condition, so every matching pair appears
-    exactly once; for ``how='left'`` the left rows matching no condition (a
-    chain of anti joins) are added with NULL right columns.  Left and right
-    column names must be disjoint.
+    Tag expansion: each row of both sides emits one record per condition, its number and
+    that condition's key, and ONE equi-join on both meets them, so each input is read
+    once.  A pair is kept at its lowest matching condition.  For ``how='left'`` a left row
+    whose records all stay unmatched is kept once with NULL right columns; its records are
+    told by a row number given before the join (one more exchange, of the joined rows).
+    Left and right column names must be disjoint.
     """
     if how not in ("left", "inner"):
         raise ValueError("or_join supports how='left' or 'inner'")
-    pieces = []
-    for i, (lc, rc) in enumerate(conds):
-        cond = left[lc] == right[rc]
-        for plc, prc in conds[:i]:
-            cond = cond & ~F.coalesce(left[plc] == right[prc], F.lit(False))
-        pieces.append(left.join(right, cond, "inner").select(*left.columns, *right.columns))
-    if how == "left":
-        rest = left
-        for lc, rc in conds:
-            keys = right.select(F.col(rc).alias("__k")).where(F.col("__k").isNotNull()).distinct()
-            rest = rest.join(keys, rest[lc] == keys["__k"], "left_anti")
-        fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-        pieces.append(rest.select(*left.columns, *fill))
-    return reduce(lambda a, b: a.unionByName(b), pieces)
+
+    def expanded(df: DataFrame, side: int, mark: str, keep_null: bool) -> DataFrame:
+        # one key column per condition, NULL but for the record's own: keys keep their types
+        records = [F.struct(F.lit(i).alias(f"{mark}t"), *[
+            (F.col(c[side]) if j == i else F.lit(None).cast(df.schema[c[side]].dataType)).alias(f"{mark}{j}")
+            for j, c in enumerate(conds)]) for i in range(len(conds))]
+        out = df.select("*", F.explode(F.array(*records)).alias("__e")).select(*df.columns, "__e.*")
+        own = F.coalesce(*[F.when(F.col(f"{mark}t") == i, F.col(f"{mark}{i}").isNotNull()) for i in range(len(conds))])
+        return out if keep_null else out.where(own)
+
+    tagged = left.withColumn("__row", F.monotonically_increasing_id()) if how == "left" else left
+    lx, rx = expanded(tagged, 0, "__l", how == "left"), expanded(right, 1, "__r", False).withColumn("__hit", F.lit(True))
+    on = reduce(lambda a, b: a & b, [F.col(f"__l{i}").eqNullSafe(F.col(f"__r{i}")) for i in range(len(conds))],
+                F.col("__lt") == F.col("__rt"))
+    pairs = lx.join(rx, on, how)
+    earlier = [(F.col("__lt") > i) & F.coalesce(F.col(lc) == F.col(rc), F.lit(False)) for i, (lc, rc) in enumerate(conds)]
+    lowest = F.col("__hit").isNotNull() & ~reduce(lambda a, b: a | b, earlier)
+    if how == "inner":
+        return pairs.where(lowest).select(*left.columns, *right.columns)
+    any_hit = F.max("__hit").over(Window.partitionBy("__row"))
+    return (pairs.withColumn("__any", any_hit)
+            .where(lowest | (F.col("__any").isNull() & (F.col("__lt") == 0))).select(*left.columns, *right.columns))
 
 
 def bounded_rows(small: DataFrame, max_rows: int, what: str = "list") -> list:
@@ -101,15 +110,25 @@ def bounded_rows(small: DataFrame, max_rows: int, what: str = "list") -> list:
     return got
 
 
-def expand_by_list(left: DataFrame, small: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """``JOIN small ON 1=1`` where ``small`` is a bounded list (e.g. the
-    all-items categories).  No join is planned: the list, checked against
-    ``max_rows``, becomes an array literal that every left row explodes -
-    a narrow step inside the scan's stage, no shuffle, no broadcast.  The
-    output is at most ``max_rows`` times the left side, never all-pairs of two
-    growing inputs; an empty list gives no rows, as the cross join does."""
+def expand_by_list(left: DataFrame, small: DataFrame, block_rows: int = 10_000) -> DataFrame:
+    """``JOIN small ON 1=1`` (e.g. the all-items categories), without a nested loop.
+
+    A list of at most ``block_rows`` rows becomes an array literal that every left row
+    explodes: a narrow step inside the scan's stage, no shuffle, no broadcast.  A longer
+    one is never collected: it is cut into blocks of about ``block_rows`` rows (arrays),
+    every left row names all block numbers, an equi-join on the number brings each block,
+    and one explode per block gives its rows.  An empty list gives no rows, as the cross
+    join does."""
     fields = small.schema.fields
-    got = bounded_rows(small, max_rows, "expand_by_list")
+    got = small.limit(block_rows + 1).collect()
+    if len(got) > block_rows:
+        blocks = -(-small.count() // block_rows)
+        # row ids of a partition are consecutive, so each block takes its share of every partition
+        cut = small.select(F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).alias("__b"), F.struct("*").alias("__s"))
+        arrays = cut.groupBy("__b").agg(F.collect_list("__s").alias("__list"))
+        named = left.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("__n"))
+        return (named.join(arrays, F.col("__n") == F.col("__b")).select(*left.columns, F.explode("__list").alias("__x"))
+                .select(*left.columns, *[F.col("__x")[f.name].alias(f.name) for f in fields]))
     items = [F.struct(*[F.lit(r[i]).cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
              for r in got]
     if not items:
@@ -156,6 +175,29 @@ def exists_flag(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     return j.withColumn(name, F.coalesce(F.col(f"__hit_{name}"), F.lit(0))).drop(f"__hit_{name}")
 
 
+def exists_flags(left: DataFrame, flags: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """D13 for several lists: ``flags`` is name -> (list, left column, list column).
+
+    Lists that are looked up by one left column become one tagged union, aggregated to a
+    mask per key with ``bit_or``, so that all their flags cost one join; a left column
+    more, one join more.  Rows never multiply; NULL keys give 0."""
+    by_column: dict[str, list[str]] = {}
+    for name, (_, column, _) in flags.items():
+        by_column.setdefault(column, []).append(name)
+    out = left
+    for column, names in by_column.items():
+        lists = [flags[n][0].select(F.col(flags[n][2]).alias("__key"), F.lit(1 << i).cast("long").alias("__bit"))
+                 for i, n in enumerate(names)]
+        masks = (reduce(lambda a, b: a.unionByName(b), lists).where(F.col("__key").isNotNull())
+                 .groupBy("__key").agg(F.bit_or("__bit").alias("__mask")))
+        masks = plain_stage(masks)
+        out = out.join(masks, out[column] == masks["__key"], "left").drop("__key")
+        for i, n in enumerate(names):
+            out = out.withColumn(n, F.shiftright(F.coalesce("__mask", F.lit(0).cast("long")), i).bitwiseAND(F.lit(1).cast("long")).cast("int"))
+        out = out.drop("__mask")
+    return out.select(*left.columns, *flags)
+
+
 def left_join_many(left: DataFrame, right: DataFrame, on, right_cond: Column | None = None
                    ) -> DataFrame:
     """D2/D4 left outer join for a right side where one key may hold a large

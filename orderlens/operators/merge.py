@@ -57,7 +57,7 @@ def _unique_by(df: DataFrame, keys: list[str], what: str, null_safe: bool = Fals
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
                  guard: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
                  update_cols: list[str] | None = None, check_unique: bool = True,
-                 null_safe: bool = False, action: str | None = None) -> DataFrame:
+                 null_safe: bool = False, action: str | None = None, changed_only: bool = False) -> DataFrame:
     """MERGE as a full outer join.
 
     matched and ``guard(src, tgt)`` true -> the source values of
@@ -68,6 +68,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     MERGE), unless ``null_safe``: then NULL is a key value like any other
     (for keys produced by a grouping, as in the streaming upsert).  ``action``
     names an extra column that says what became of the row: insert, update, keep.
+    ``changed_only`` leaves out the kept rows, so only the source is preserved by the join.
     """
     keys = list(keys)
     tcols = target.columns
@@ -79,7 +80,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     s = src.select(*[F.col(c).alias(f"__s_{c}") for c in source.columns], F.lit(True).alias("__s_hit"))
     eq = (lambda a, b: a.eqNullSafe(b)) if null_safe else (lambda a, b: a == b)
     cond = reduce(lambda a, b: a & b, [eq(t[f"__t_{k}"], s[f"__s_{k}"]) for k in keys])
-    j = t.join(s, cond, "full_outer")
+    j = t.join(s, cond, "right_outer" if changed_only else "full_outer")
 
     def sv(c: str) -> Column:
         return F.col(f"__s_{c}")
@@ -91,6 +92,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     t_hit = F.col("__t_hit").isNotNull()
     insert = s_hit & ~t_hit
     update = s_hit & t_hit & F.coalesce(guard(sv, tv), F.lit(False))
+    if changed_only:
+        j = j.where(insert | update)
     out = []
     for c in tcols:
         if c in keys:

@@ -20,7 +20,7 @@ from pyspark.sql.types import (
 from orderlens import functions as X
 from orderlens.operators import (
     append_by_name, category_values, delete_missing, duplicate_keys, expand_by_list,
-    exclude_existing, exclude_keys, exclude_values, exists_flag, fill_zero, group_max,
+    exclude_existing, exclude_keys, exclude_values, exists_flags, fill_zero, group_max,
     incremental_refresh, join_latest, join_on_expr, joined_list, keep_flagged_or_unflagged,
     keep_keys, latest_per_key, left_join_filtered, left_join_many, merge_upsert, or_join, pivot_flags,
     pivot_values, prefix_lookup, reconcile, recent, strict_latest, with_serial_key,
@@ -349,9 +349,9 @@ def q_incremental_refresh(spark, d):
 # the driver's lines have no id of their own: these columns tell them apart
 ORDER_TABLE_KEYS = ["order_id", "line_no", "item_id", "site_id", "commit_date"]
 ORDER_TABLE_EXTRA = {"extra_cols": ("item_id", "site_id")}
-ORDER_TABLE_BUCKETS = 16
-CHANGED_SINCE = "2024-01-30 12:00:00"      # events after it are new: scans, reviews
-ORDERED_SINCE = "2001-07-01 00:00:00"      # orders after it are new
+ORDER_TABLE_BUCKETS = 4                     # to begin with: buckets split as the table grows
+CHANGED_SINCE = "2024-01-30 22:45:00"      # events after it are new (scans, reviews): about 1 % of the rows
+ORDERED_SINCE = "2001-07-30 00:00:00"      # orders after it are new
 
 
 def load_stale_order_table(spark, d, path: str) -> None:
@@ -384,8 +384,7 @@ def refresh_order_table(spark, d, path: str) -> dict[str, int]:
     part = {**roles, "header": roles["header"].join(changed, "header_id", "left_semi"),
             "lines": roles["lines"].join(changed, "header_id", "left_semi")}
     changes = order_view(**part, cfg=cfg, excluded_groups=groups)
-    return refresh_buckets(spark, path, ORDER_TABLE_KEYS, ORDER_TABLE_BUCKETS, changes, keys,
-                           lambda s, g: F.lit(True))
+    return refresh_buckets(spark, path, changes, keys, lambda s, g: F.lit(True))
 
 
 def q_incremental_order_table(spark, d):
@@ -612,7 +611,7 @@ def q_or_join(spark, d):
 
 def q_cross_categories(spark, d):
     t = _t(spark, d)
-    return expand_by_list(t.supplier.select("s_suppkey"), t.region.select("r_name"), max_rows=1000)
+    return expand_by_list(t.supplier.select("s_suppkey"), t.region.select("r_name"))
 
 
 def q_not_exists(spark, d):
@@ -632,8 +631,8 @@ def q_not_exists_chain(spark, d):
 def q_exists_flags(spark, d):
     t = _t(spark, d)
     ev = t.events
-    x = exists_flag(t.orders, ev.where(F.col("event_type") == "error"), "o_custkey", "user_id", "iview")
-    x = exists_flag(x, ev.where(F.col("value") > 90), "o_custkey", "user_id", "dof")
+    x = exists_flags(t.orders, {"iview": (ev.where(F.col("event_type") == "error"), "o_custkey", "user_id"),
+                                "dof": (ev.where(F.col("value") > 90), "o_custkey", "user_id")})
     return x.select("o_custkey", "iview", "dof").distinct()      # E1: several orders per customer
 
 

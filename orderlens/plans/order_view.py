@@ -30,7 +30,7 @@ from orderlens.functions.labels import (
 from orderlens.functions.text import address_line, nvl, serial_prefix, strip_chars
 from orderlens.operators.filters import exclude_values, keep_flagged_or_unflagged
 from orderlens.operators.joins import (
-    exclude_existing, exists_flag, join_latest, left_join_filtered, prefix_lookup,
+    exclude_existing, exists_flags, join_latest, left_join_filtered, prefix_lookup,
 )
 from orderlens.operators.latest import group_max
 
@@ -163,8 +163,8 @@ def order_view_rows(header: DataFrame, lines: DataFrame, items: DataFrame, conta
     if excluded_groups is not None:
         gdf, row_col, gcol = excluded_groups
         x = exclude_existing(x, gdf.select(gcol), [(row_col, gcol)])    # D10
-    for name, (fdf, row_col, fcol) in (doc_flags or {}).items():
-        x = exists_flag(x, fdf, row_col, fcol, name)                     # D13
+    if doc_flags:
+        x = exists_flags(x, doc_flags)                                   # D13
     x = join_latest(x, reviews, [(cfg.review_on, "review_key")], list(cfg.review_order),
                     list(cfg.review_cols))                               # D5
     x = join_latest(x, scans, [(cfg.scan_on, "scan_key")], list(cfg.scan_order),

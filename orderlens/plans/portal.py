@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
-from orderlens.operators.joins import exists_flag
+from orderlens.operators.joins import exists_flags
 
 
 def portal_view(orders: DataFrame, columns: list[Column],
                 doc_flags: dict[str, tuple[DataFrame, str, str]], distinct: bool = True) -> DataFrame:
     """Project ``columns`` of the stored order table and add one 0/1 flag per
-    document list (D13, joined to distinct document keys, so rows never
+    document list (D13, lists on one column in one join, rows never
     multiply); then SELECT DISTINCT as the reference does (E1)."""
-    x = orders
-    for name, (df, row_col, key_col) in doc_flags.items():
-        x = exists_flag(x, df, row_col, key_col, name)
-    out = x.select(*columns, *doc_flags.keys())
+    out = exists_flags(orders, doc_flags).select(*columns, *doc_flags.keys())
     return out.distinct() if distinct else out

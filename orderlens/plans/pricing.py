@@ -56,9 +56,10 @@ def party_pricelist(hospitals: DataFrame, precedence: DataFrame,
     grp_key, party_key, grp_price_list_id.
     """
     listed = F.coalesce(F.col("country").isin(list(group_countries)), F.lit(False))
-    # the OR join reads its left side once per condition and once per anti join:
-    # a job passes ``stage`` (write and read back) so that its input joins run once
-    grouped = or_join(stage(hospitals.where(listed)), precedence,
+    # both branches read the hospitals: a job passes ``stage`` (write and read back)
+    # so that their input joins run once
+    hospitals = stage(hospitals)
+    grouped = or_join(hospitals.where(listed), precedence,
                       [("group_id", "grp_key"), ("hospital_id", "party_key")], "left")
     extra = list(extra_cols)
     out_cols = [*extra, "hospital_id", "hospital", "req", "price_list_id", "country"]
@@ -70,16 +71,15 @@ def party_pricelist(hospitals: DataFrame, precedence: DataFrame,
     return a.unionByName(b).select(*out_cols).distinct()
 
 
-def party_category(rows: DataFrame, all_items: DataFrame, all_categories: DataFrame,
-                   max_categories: int = 10_000) -> DataFrame:
+def party_category(rows: DataFrame, all_items: DataFrame, all_categories: DataFrame) -> DataFrame:
     """Hospital categories = priced-item rows UNION ALL (all-items rows x
-    the bounded category list, D9), then per hospital the maxima of ``req``
+    the category list, D9), then per hospital the maxima of ``req``
     and ``price`` over distinct (hospital, category) rows (F2+E1).
 
     ``rows``: hid, req, price, cat; ``all_items``: hid, req;
     ``all_categories``: cat.
     """
-    every = expand_by_list(all_items, all_categories.select("cat"), max_categories).select(
+    every = expand_by_list(all_items, all_categories.select("cat")).select(
         "hid", "req", F.lit(None).cast("double").alias("price"), "cat")
     u = rows.select("hid", "req", "price", "cat").unionByName(every)
     return distinct_with_group_max(u, "hid", ["req", "price"], ["cat"])

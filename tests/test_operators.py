@@ -108,6 +108,61 @@ def test_or_join_match_both_once(spark):
     assert got == [(1, 10), (2, None)]
 
 
+def test_or_join_three_conditions_types_and_repeated_rows(spark):
+    r = random.Random(3)
+    opt = lambda v: r.choice([None, v])
+    left = [(r.randint(0, 5), opt(r.randint(0, 3)), opt(r.choice("xyz"))) for _ in range(30)]
+    right = [(r.randint(0, 5), opt(r.randint(0, 3)), opt(r.choice("xyz"))) for _ in range(12)]
+    conds = [("a", "ra"), ("b", "rb"), ("c", "rc")]
+    l_df = spark.createDataFrame(left, "a int, b long, c string").repartition(3)
+    r_df = spark.createDataFrame(right, "ra int, rb long, rc string")
+    for how in ("left", "inner"):
+        want = []
+        for x in left:
+            hits = [x + y for y in right if any(p is not None and p == q for p, q in zip(x, y))]
+            want += hits or ([x + (None,) * 3] if how == "left" else [])
+        assert rows(O.or_join(l_df, r_df, conds, how)) == sorted(want, key=_nkey)
+
+
+def test_exists_flags_cost_one_join_per_column(spark):
+    left = spark.createDataFrame([(1, 7, "a"), (2, None, "b"), (None, 8, "c"), (1, 7, "a")], "k int, j int, v string")
+    docs = spark.createDataFrame([(1, "x"), (1, "y"), (None, "x"), (2, "y")], "d int, t string")
+    flags = {"x": (docs.where("t = 'x'"), "k", "d"), "y": (docs.where("t = 'y'"), "k", "d"),
+             "z": (spark.createDataFrame([(8,)], "e int"), "j", "e")}
+    out = O.exists_flags(left, flags)
+    assert out.columns == ["k", "j", "v", "x", "y", "z"]
+    want = [(1, 7, "a", 1, 1, 0)] * 2 + [(2, None, "b", 0, 1, 0), (None, 8, "c", 0, 0, 1)]
+    assert out._jdf.queryExecution().executedPlan().toString().count("Join") == 2
+    assert rows(out) == sorted(want, key=_nkey)
+    same = left
+    for n, (df, a, b) in flags.items():
+        same = O.exists_flag(same, df, a, b, n)
+    assert rows(same) == rows(out)
+
+
+def test_pivot_of_five_thousand_categories(spark):
+    df = spark.range(20_000).selectExpr("id % 11 as h", "concat('C', cast(id * 7 % 5000 as string)) as cat")
+    values = O.pivot_values(df, "cat")
+    out = O.pivot_flags(df.where("id < 9000"), ["h"], "cat", values)
+    assert len(values) == 5000 and len(out.columns) == 5001
+    have = {(r.h, r.cat) for r in df.where("id < 9000").collect()}
+    for r in out.collect():
+        assert [v for v, x in zip(values, r[1:]) if x] == [v for v in values if (r.h, v) in have]
+
+
+def test_pivot_over_several_bitmaps(spark):
+    values = [f"v{i}" for i in range(70_000)]
+    df = spark.createDataFrame([(1, "v0"), (1, "v32768"), (1, "v69999"), (2, "v32767"), (3, "other"), (None, None)], "k int, c string")
+    got = {r.k: r.n for r in O.category_bitmaps(df, ["k"], "c", values).selectExpr(
+        "k", "aggregate(map_values(bitmaps), 0L, (a, b) -> a + bitmap_count(b)) as n").collect()}
+    assert got == {1: 3, 2: 1, 3: 0, None: 0}
+
+
+def test_pivot_without_fill_keeps_nulls(spark):
+    df = spark.createDataFrame([(1, "A"), (1, "A"), (2, "Z")], "h int, cat string")
+    assert rows(O.pivot_flags(df, ["h"], "cat", ["A", "B"], fill=False)) == [(1, 1, None), (2, None, None)]
+
+
 def test_exists_flag_never_multiplies(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     docs = spark.createDataFrame([(1,), (1,), (None,)], "k2 int")
@@ -162,9 +217,19 @@ def test_duplicate_keys_and_assert_unique(spark):
         O.assert_unique(df, ["a", "b"])
 
 
-def test_expand_by_list_bounded(spark):
-    with pytest.raises(ValueError):
-        O.expand_by_list(spark.range(3), spark.range(20), max_rows=10)
+def test_expand_by_list_in_blocks(spark):
+    small = spark.createDataFrame([(i % 20000, f"v{i}") for i in range(25_000)], "j int, s string").repartition(7)
+    out = O.expand_by_list(spark.range(3), small, block_rows=1000)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in p and "CartesianProduct" not in p
+    want = sorted(tuple(r) for r in small.collect())
+    got = sorted(tuple(r) for r in out.collect())
+    assert len(got) == 75_000 and got == sorted((i, *w) for i in range(3) for w in want)
+    cut = O.expand_by_list(spark.range(3), spark.range(20).withColumnRenamed("id", "j"), block_rows=10)
+    assert sorted(tuple(r) for r in cut.collect()) == [(i, j) for i in range(3) for j in range(20)]
+
+
+def test_expand_by_list_short(spark):
     out = O.expand_by_list(spark.range(3), spark.range(4).withColumnRenamed("id", "j"))
     assert out.columns == ["id", "j"]
     assert sorted(tuple(r) for r in out.collect()) == [(i, j) for i in range(3) for j in range(4)]

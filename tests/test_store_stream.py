@@ -174,33 +174,119 @@ def test_failing_listing_raises_and_keeps_the_rows(spark, monkeypatch):
     assert [r.id for r in read_current(spark, base).collect()] == [1]
 
 
-def test_bucketed_refresh_rewrites_touched_buckets_only(spark):
+def bucket_files(path):
     import glob
     import os
-    from orderlens.sources.buckets import BUCKET, read_bucketed, refresh_buckets, write_bucketed
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(path.replace("file:", "") + "/base-*/*/*.parquet")
+            + glob.glob(path.replace("file:", "") + "/delta-*/*/*.parquet")}
+
+
+def test_bucketed_refresh_writes_in_proportion_to_the_change(spark):
+    from orderlens.sources.buckets import read_bucketed, refresh_buckets, write_bucketed
     path = scratch_path(spark, "t-buckets")
     rows = [(i, "old", 0) for i in range(200)]
     write_bucketed(spark.createDataFrame(rows, "id int, s string, v int"), path, ["id"], 32)
-
-    def files():
-        return {f: os.stat(f).st_mtime_ns for f in glob.glob(path.replace("file:", "") + f"/{BUCKET}=*/*.parquet")}
-    before = files()
+    before = bucket_files(path)
     changes = spark.createDataFrame([(3, "new", 1), (4, "new", -1), (500, "new", 1)], "id int, s string, v int")
     keys = spark.createDataFrame([(i,) for i in range(200) if i != 7] + [(500,)], "id int")
-    n = refresh_buckets(spark, path, ["id"], 32, changes, keys, lambda s, t: s("v") > t("v"))
-    assert n["deleted"] == 1 and n["changes"] == 3 and n["buckets"] <= 4
-    after = files()
-    same = [f for f in before if after.get(f) == before[f]]
-    assert len(same) >= len(before) - n["buckets"] and len(set(after) - set(before)) <= n["buckets"]
+    n = refresh_buckets(spark, path, changes, keys, lambda s, t: s("v") > t("v"))
+    assert n["deleted"] == 1 and n["changes"] == 3 and n["inserted"] == 1 and n["buckets"] <= 3 and n["compared"] == 1
+    after = bucket_files(path)
+    assert all(after[f] == before[f] for f in before if f in after) and len(set(before) - set(after)) <= n["rewritten"]
     got = {r.id: (r.s, r.v) for r in read_bucketed(spark, path).collect()}
     want = {i: ("old", 0) for i in range(200) if i != 7}
     assert got == {**want, 3: ("new", 1), 500: ("new", 1)}
-    # nothing to do rewrites nothing; a NULL view key blocks deletes; an emptied bucket goes
-    assert refresh_buckets(spark, path, ["id"], 32, changes.limit(0), keys, lambda s, t: F.lit(True))["buckets"] == 0
+    # nothing to do writes nothing and compares no key; a NULL view key blocks deletes
+    again = refresh_buckets(spark, path, changes.limit(0), keys, lambda s, t: F.lit(True))
+    assert again["buckets"] == 0 and again["compared"] == 0 and bucket_files(path) == after
     null_key = keys.where("id > 100").unionByName(spark.createDataFrame([(None,)], "id int"))
-    assert refresh_buckets(spark, path, ["id"], 32, changes.limit(0), null_key, lambda s, t: F.lit(True))["deleted"] == 0
-    refresh_buckets(spark, path, ["id"], 32, changes.limit(0), keys.where("id = 9"), lambda s, t: F.lit(True))
+    assert refresh_buckets(spark, path, changes.limit(0), null_key, lambda s, t: F.lit(True))["deleted"] == 0
+    refresh_buckets(spark, path, changes.limit(0), keys.where("id = 9"), lambda s, t: F.lit(True))
     assert [r.id for r in read_bucketed(spark, path).collect()] == [9]
+    assert refresh_buckets(spark, path, changes, keys.limit(0), lambda s, t: F.lit(True))["deleted"] == 4
+    assert read_bucketed(spark, path).count() == 0
+
+
+def test_buckets_split_with_the_table(spark):
+    from orderlens.sources import buckets as B
+    path = scratch_path(spark, "t-split")
+    df = spark.range(1000).selectExpr("id", "id * 2 as v")
+    B.write_bucketed(df.where("id < 100"), path, ["id"], 1, bucket_rows=60)
+    assert len(B._load(spark, path).buckets) >= 2
+    B.merge_buckets(spark, path, ["id"], 1, df, lambda s, t: s("v") > t("v"), bucket_rows=60)
+    layout = B._load(spark, path)
+    assert len(layout.buckets) >= 16 and all(b.rows <= 60 and not b.deltas for b in layout.buckets.values())
+    assert sum(2.0 ** -b.depth for b in layout.buckets.values()) == 1.0
+    assert B.read_bucketed(spark, path).exceptAll(df).count() == 0 and B.read_bucketed(spark, path).count() == 1000
+    assert sum(b.print[0] for b in layout.buckets.values()) == 1000
+
+
+def test_many_deltas_keep_the_newest_and_are_compacted(spark):
+    from orderlens.sources import buckets as B
+    path = scratch_path(spark, "t-deltas")
+    B.write_bucketed(spark.range(400).selectExpr("id", "0L as v"), path, ["id"], 2)
+    want = {i: 0 for i in range(400)}
+    for step in range(1, 9):
+        ids = [i for i in range(400) if i % 50 == step]
+        rows = [(i, step) for i in sorted({*ids, 5})]
+        B.merge_buckets(spark, path, ["id"], 2, spark.createDataFrame(rows, "id long, v long"), lambda s, t: s("v") > t("v"))
+        want.update(dict(rows))
+        keep = [i for i in want if i != 300 + step]
+        want = {i: want[i] for i in keep}
+        B.refresh_buckets(spark, path, spark.createDataFrame([], "id long, v long"),
+                          spark.createDataFrame([(i,) for i in keep], "id long"), lambda s, t: F.lit(True))
+        assert {r.id: r.v for r in B.read_bucketed(spark, path).collect()} == want
+    layout = B._load(spark, path)
+    assert sum(b.rows for b in layout.buckets.values()) == len(want)
+
+
+def test_a_job_that_dies_before_publishing_leaves_the_old_table(spark, monkeypatch):
+    import pytest
+    from orderlens.sources import buckets as B
+    path = scratch_path(spark, "t-dead")
+    B.write_bucketed(spark.range(50).selectExpr("id", "'a' as s"), path, ["id"], 4)
+    changes = spark.range(40, 60).selectExpr("id", "'b' as s")
+    keys = spark.range(10, 60)
+    with monkeypatch.context() as m:
+        def dies(*args):
+            raise RuntimeError("driver lost")
+        m.setattr(B, "publish", dies)
+        with pytest.raises(RuntimeError):
+            B.refresh_buckets(spark, path, changes, keys, lambda s, t: F.lit(True))
+    assert sorted((r.id, r.s) for r in B.read_bucketed(spark, path).collect()) == [(i, "a") for i in range(50)]
+    assert B.refresh_buckets(spark, path, changes, keys, lambda s, t: F.lit(True))["deleted"] == 10
+    assert sorted((r.id, r.s) for r in B.read_bucketed(spark, path).collect()) == [
+        (i, "a" if i < 40 else "b") for i in range(10, 60)]
+    B.prune_buckets(spark, path, keep=1)                                # also the files of the run that died
+    used = {n for b in B._load(spark, path).buckets.values() for n in [b.base, *b.deltas]}
+    assert {f.split("/")[-3] for f in bucket_files(path)} <= used
+    assert B.read_bucketed(spark, path).count() == 50
+
+
+def test_colliding_fingerprints_are_told_by_the_second_hash_or_the_count(spark, monkeypatch):
+    from orderlens.sources import buckets as B
+    path = scratch_path(spark, "t-prints")
+    true = B.key_hashes
+    monkeypatch.setattr(B, "key_hashes", lambda keys: (F.lit(0).cast("long"), true(keys)[1]))
+    B.write_bucketed(spark.range(20).selectExpr("id", "1 as v"), path, ["id"], 1)
+    none = spark.createDataFrame([], "id long, v int")
+    swapped = spark.range(21).where("id <> 4")                           # same count, same first hash
+    assert B.refresh_buckets(spark, path, none, swapped, lambda s, t: F.lit(True))["deleted"] == 1
+    monkeypatch.setattr(B, "key_hashes", lambda keys: (F.lit(0).cast("long"), F.lit(0).cast("long")))
+    B.write_bucketed(spark.range(20).selectExpr("id", "1 as v"), path + "2", ["id"], 1)
+    assert B.refresh_buckets(spark, path + "2", none, spark.range(19), lambda s, t: F.lit(True))["deleted"] == 1
+
+
+def test_null_keys_replace_nothing(spark):
+    from orderlens.sources import buckets as B
+    path = scratch_path(spark, "t-null-keys")
+    rows = [(1, "a"), (None, "a"), (None, "b")]
+    B.write_bucketed(spark.createDataFrame(rows, "id long, s string"), path, ["id"], 2)
+    B.merge_buckets(spark, path, ["id"], 2, spark.createDataFrame([(None, "c"), (2, "c")], "id long, s string"), lambda s, t: F.lit(True))
+    n = B.refresh_buckets(spark, path, spark.createDataFrame([(None, "d")], "id long, s string"), spark.range(2, 3), lambda s, t: F.lit(True))
+    assert n["deleted"] == 1
+    got = sorted((r.id or 0, r.s) for r in B.read_bucketed(spark, path).collect())
+    assert got == [(0, "a"), (0, "b"), (0, "c"), (0, "d"), (2, "c")]
 
 
 def test_stream_upsert_rewrites_touched_buckets(spark):
