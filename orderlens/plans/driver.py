@@ -794,6 +794,21 @@ def q_stream_upsert(spark, d):
     return run_stream_upsert(spark, d)
 
 
+def q_stream_late_scans(spark, d):
+    from orderlens.plans.streams import run_late_scans
+    return run_late_scans(spark, d)
+
+
+def q_status_function(spark, d):
+    """U1 in SQL: the status look-up called as a function per row."""
+    from orderlens.plans.views import register_status_function
+    t = _t(spark, d)
+    t.events.select("user_id", F.to_date("ts").alias("rev"), "event_type").createOrReplaceTempView("status_rows")
+    t.customer.select("c_custkey").createOrReplaceTempView("status_customers")
+    register_status_function(spark, "latest_status", "status_rows", "user_id", "rev", "event_type", "bigint")
+    return spark.sql("select c_custkey, latest_status(c_custkey) as status from status_customers")
+
+
 def q_stream_derive(spark, d):
     from orderlens.plans.streams import run_stream_derive
     return run_stream_derive(spark, d)

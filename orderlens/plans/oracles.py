@@ -204,6 +204,12 @@ ORACLES = {
     'stream_upsert': (
         'select user_id,event_type,ts from (select *,row_number() over (partition by user_id order by ts desc,event_id desc) rn from events) x where rn=1'
     ),
+    'status_function': (
+        "with r as (select user_id,cast(date_trunc('day',ts) as date) as rev,upper(event_type) as st from events), m as (select user_id,max(rev) as rev from r group by user_id), f as (select r.user_id, case when count(*)=1 then max(st) end as status from r join m on r.user_id=m.user_id and r.rev=m.rev group by r.user_id) select c_custkey, status from customer left join f on user_id=c_custkey"
+    ),
+    'stream_late_scans': (
+        "select o.event_id as order_id, max(s.ts) as scan_ts from events o join events s on s.user_id=o.user_id and s.ts>=o.ts and s.ts<=o.ts + interval 14 day where o.event_type='purchase' and s.event_type='click' group by o.event_id"
+    ),
     'strict_latest': (
         "with r as (select user_id,cast(date_trunc('day',ts) as date) as rev,upper(event_type) as st from events), m as (select user_id,max(rev) as rev from r group by user_id) select r.user_id, case when count(*)=1 then max(st) end as status from r join m on r.user_id=m.user_id and r.rev=m.rev group by r.user_id"
     ),

@@ -40,3 +40,20 @@ def register_directory_view(t: dict[str, DataFrame]) -> str:
     """``surgeon_hospital``."""
     erp_directory(t).createOrReplaceTempView("surgeon_hospital")
     return "surgeon_hospital"
+
+
+def register_status_function(spark: SparkSession, name: str, view: str, key: str, revision: str, status: str,
+                             key_type: str = "string") -> str:
+    """The status function as something SQL users can call, ``name(key)``.
+
+    The status at the greatest revision of the key in ``view``, upper-cased; NULL when no
+    row or several rows have it (E6).  A SQL function: the analyzer inlines its query, so
+    a call per row is planned as one join with the aggregated view."""
+    spark.sql(f"""
+        create or replace temporary function {name}(wanted {key_type}) returns string
+        return select any_value(if(top.m.n = 1, top.m.st, null)) from (
+          select k, max(struct(rev, n, st)) as m from (
+            select {key} as k, {revision} as rev, count(*) as n, max(upper({status})) as st
+            from {view} where {revision} is not null group by {key}, {revision}) group by k) top
+        where top.k = wanted""")
+    return name

@@ -177,25 +177,30 @@ def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
     return _live(spark, path, _load(spark, path))
 
 
+def _replace(spark: SparkSession, path: str, layout: Layout, ids: list[int], rows: DataFrame, bucket_rows: int) -> list[Bucket]:
+    """Write ``rows``, all of the buckets ``ids``, as these buckets anew; those too large as two."""
+    nxt, parts = max(layout.buckets) + 1, []
+    for i in ids:
+        b = layout.buckets.pop(i)
+        deeper = [b.slot, b.slot + (1 << b.depth)] if b.rows > bucket_rows else [b.slot]
+        for slot in deeper:
+            parts.append(Bucket(nxt, b.depth + len(deeper) - 1, slot))
+            nxt += 1
+    layout.buckets.update({p.id: p for p in parts})
+    name = _written(spark, path, "base", _with_bucket(spark, rows, layout))
+    stats = _folder_stats(spark, path, name, layout.keys, layout.schema)
+    for p in parts:
+        if p.id in stats:
+            p.rows, p.base, p.print = stats[p.id]["rows"], name, [stats[p.id][k] for k in PRINT]
+    return parts
+
+
 def _rewrite(spark: SparkSession, path: str, layout: Layout, ids: list[int], bucket_rows: int) -> int:
     """Write the buckets ``ids`` anew without deltas, those too large as two; until none is."""
     done = 0
     while ids:
-        rows, nxt = _live(spark, path, layout, set(ids)), max(layout.buckets) + 1
-        parts = []
-        for i in ids:
-            b = layout.buckets.pop(i)
-            deeper = [b.slot, b.slot + (1 << b.depth)] if b.rows > bucket_rows else [b.slot]
-            for slot in deeper:
-                parts.append(Bucket(nxt, b.depth + len(deeper) - 1, slot))
-                nxt += 1
-        layout.buckets.update({p.id: p for p in parts})
-        name = _written(spark, path, "base", _with_bucket(spark, rows, layout))
-        stats = _folder_stats(spark, path, name, layout.keys, layout.schema)
-        for p in parts:
-            if p.id in stats:
-                p.rows, p.base, p.print = stats[p.id]["rows"], name, [stats[p.id][k] for k in PRINT]
         done += len(ids)
+        parts = _replace(spark, path, layout, ids, _live(spark, path, layout, set(ids)), bucket_rows)
         ids = [p.id for p in parts if p.rows > bucket_rows]
     return done
 
@@ -233,36 +238,48 @@ def _add_delta(spark: SparkSession, path: str, layout: Layout, rows: DataFrame)
     return total
 
 
-def _merge(spark: SparkSession, path: str, layout: Layout, changes: DataFrame, stage: str, guard) -> dict[str, int]:
-    """The delta that merges ``changes`` (staged once); only rows that are inserted or updated."""
+def _merge(spark: SparkSession, path: str, layout: Layout, changes: DataFrame, stage: str, guard,
+           bucket_rows: int) -> dict[str, int]:
+    """Merge ``changes`` (staged once): a delta of the rows that are inserted or updated."""
     changes = materialize(_with_bucket(spark, changes, layout), path=stage)
     found = {r[BUCKET]: r["count"] for r in changes.groupBy(BUCKET).count().collect()}
     if not found:
         return {"rows": 0, "net": 0, "buckets": [], "changes": 0}
-    # The stored rows of the changed keys, first: a small change is broadcast, and no stored row shuffled.
-    marks = changes.select(*[F.col(k).alias(f"__k_{k}") for k in layout.keys])
-    match = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) if layout.null_safe else F.col(k) == F.col(f"__k_{k}") for k in layout.keys]
-    target = _live(spark, path, layout, set(found)).join(marks, reduce(lambda a, b: a & b, match), "left_semi")
-    merged = merge_upsert(target, changes.drop(BUCKET), layout.keys, guard,
-                          check_unique=not layout.null_safe, null_safe=layout.null_safe, action="__action", changed_only=True)
-    return {"changes": sum(found.values())} | _add_delta(spark, path, layout, merged.select(
-        *layout.schema.names, (F.col("__action") == "insert").alias(NEW), F.lit(False).alias(GONE)))
+    total = {"rows": 0, "net": 0, "buckets": [], "changes": sum(found.values())}
+    # A bucket that changes by more than a delta may hold is merged whole and written once.
+    heavy = [i for i, n in found.items() if n + layout.buckets[i].delta_rows > DELTA_SHARE * layout.buckets[i].rows]
+    light = [i for i in found if i not in heavy]
+    if heavy:
+        merged = merge_upsert(_live(spark, path, layout, set(heavy)), changes.where(F.col(BUCKET).isin(heavy)).drop(BUCKET),
+                              layout.keys, guard, check_unique=not layout.null_safe, null_safe=layout.null_safe)
+        old = sum(layout.buckets[i].rows for i in heavy)
+        parts = _replace(spark, path, layout, heavy, merged, bucket_rows)
+        total = {**total, "rows": sum(found[i] for i in heavy), "net": sum(p.rows for p in parts) - old,
+                 "buckets": [p.id for p in parts]}
+    if light:
+        changes = changes.where(F.col(BUCKET).isin(light)).drop(BUCKET)
+        # The stored rows of the changed keys, first: a small change is broadcast, and no stored row shuffled.
+        marks = changes.select(*[F.col(k).alias(f"__k_{k}") for k in layout.keys])
+        match = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) if layout.null_safe else F.col(k) == F.col(f"__k_{k}") for k in layout.keys]
+        target = _live(spark, path, layout, set(light)).join(marks, reduce(lambda a, b: a & b, match), "left_semi")
+        merged = merge_upsert(target, changes, layout.keys, guard, check_unique=not layout.null_safe,
+                              null_safe=layout.null_safe, action="__action", changed_only=True)
+        delta = _add_delta(spark, path, layout, merged.select(
+            *layout.schema.names, (F.col("__action") == "insert").alias(NEW), F.lit(False).alias(GONE)))
+        total = {**total, **{k: total[k] + delta[k] for k in ("rows", "net", "buckets")}}
+    return total
 
 
 def _no_key(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _view_prints(spark: SparkSession, layout: Layout, view_keys: DataFrame, stage: str) -> tuple[DataFrame, list]:
-    """The distinct keys of the view with their bucket (staged), and each bucket's fingerprint."""
-    known = materialize(_with_bucket(spark, view_keys.select(*layout.keys).distinct(), layout), path=stage)
-    nulls = F.count(F.when(_no_key(layout.keys), 1)).alias("nulls")
-    return known, known.groupBy(BUCKET).agg(*_prints(layout.keys), nulls).collect()
-
-
-def _delete(spark: SparkSession, path: str, layout: Layout, known: DataFrame, prints: list) -> dict[str, int]:
-    """Tombstones of the stored keys that the staged view keys ``known`` no longer hold."""
+def _delete(spark: SparkSession, path: str, layout: Layout, view_keys: DataFrame) -> dict[str, int]:
+    """Tombstones of the stored keys that the staged, distinct view keys no longer hold."""
     none = {"rows": 0, "net": 0, "buckets": [], "compared": 0}
+    known = _with_bucket(spark, view_keys, layout)
+    nulls = F.count(F.when(_no_key(layout.keys), 1)).alias("nulls")
+    prints = known.groupBy(BUCKET).agg(*_prints(layout.keys), nulls).collect()
     if any(r.nulls for r in prints):
         return none
     seen = {r[BUCKET]: [r[k] for k in PRINT] for r in prints}
@@ -278,13 +295,13 @@ def _delete(spark: SparkSession, path: str, layout: Layout, known: DataFrame, pr
     return _add_delta(spark, path, layout, tombs) | {"compared": len(differ)}
 
 
-def _finish(spark: SparkSession, path: str, layout: Layout, bucket_rows: int) -> int:
+def _finish(spark: SparkSession, path: str, layout: Layout, bucket_rows: int, anew: bool) -> int:
     """Rewrite what is due, then publish the layout."""
     due = [b.id for b in layout.buckets.values() if len(b.deltas) > DELTA_FILES
            or b.delta_rows > max(1, DELTA_SHARE * b.rows) or b.rows > bucket_rows]
     rewritten = _rewrite(spark, path, layout, due, bucket_rows)
     _save(spark, path, layout)
-    if rewritten:
+    if rewritten or anew:
         prune_buckets(spark, path)
     else:
         prune_versions(spark, f"{path}/_layout", 2)
@@ -303,9 +320,10 @@ def merge_buckets(spark: SparkSession, path: str, keys: list[str], buckets: int,
         write_bucketed(changes, path, keys, buckets, bucket_rows, null_safe)
         return buckets
     stage = scratch_path(spark, "changes")
-    done = _merge(spark, path, layout, changes, stage, guard)
+    known = set(layout.buckets)
+    done = _merge(spark, path, layout, changes, stage, guard, bucket_rows)
     if done["rows"]:
-        _finish(spark, path, layout, bucket_rows)
+        _finish(spark, path, layout, bucket_rows, len(set(layout.buckets) - known) > 0)
     discard(spark, stage)
     return len(done["buckets"])
 
@@ -323,16 +341,18 @@ def refresh_buckets(spark: SparkSession, path: str, changes: DataFrame, view_key
     were compared, and buckets written anew.
     """
     layout = _load(spark, path)
+    before = set(layout.buckets)
     stages = [scratch_path(spark, n) for n in ("changes", "view-keys")]
     with ThreadPoolExecutor(2) as pool:                     # neither needs the other
-        prints = pool.submit(_view_prints, spark, layout, view_keys, stages[1])
-        merged = _merge(spark, path, layout, changes, stages[0], guard)
-        known, prints = prints.result()
-    deleted = _delete(spark, path, layout, known, prints)
+        known = pool.submit(materialize, view_keys.select(*layout.keys).distinct(), stages[1])
+        merged = _merge(spark, path, layout, changes, stages[0], guard, bucket_rows)
+        known = known.result()
+    deleted = _delete(spark, path, layout, known)
     counts = {"deleted": deleted["rows"], "inserted": merged["net"], "changes": merged["changes"],
               "buckets": len({*merged["buckets"], *deleted["buckets"]}), "compared": deleted["compared"], "rewritten": 0}
     if counts["buckets"]:
-        counts["rewritten"] = _finish(spark, path, layout, bucket_rows)
+        counts["rewritten"] = len(set(layout.buckets) - before)
+        counts["rewritten"] += _finish(spark, path, layout, bucket_rows, counts["rewritten"] > 0)
     for stage in stages:
         discard(spark, stage)
     return counts

@@ -9,6 +9,7 @@ version from the same input and the guard makes the merge idempotent.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +67,25 @@ def stream_upsert(changes: DataFrame, base: str, schema: StructType, keys: list[
     return _trigger(w, trigger).start()
 
 
+def late_matches(orders: DataFrame, scans: DataFrame, on: list[tuple[str, str]], order_ts: str, scan_ts: str,
+                 within: str = "14 days", order_delay: str = "1 hour", scan_delay: str = "1 hour") -> DataFrame:
+    """K2, the 14-day re-read as a stream: orders with each scan of the same key that comes
+    up to ``within`` after them.
+
+    Stream-stream interval join with a watermark on both sides.  An order waits in state
+    until the scans' watermark passes its time plus ``within``, a scan until the orders'
+    watermark passes its own time, so a late scan meets its order without any re-read and
+    state is bounded by the interval.  A row that comes more than its delay after the
+    newest one of its stream may be too late.  Column names of the sides must be disjoint."""
+    kinds = {c: df.schema[c].dataType for df, c in ((orders, order_ts), (scans, scan_ts))}
+    # a watermark needs an instant: times without a zone are taken in the session's
+    o = orders.withColumn(order_ts, F.col(order_ts).cast("timestamp")).withWatermark(order_ts, order_delay)
+    s = scans.withColumn(scan_ts, F.col(scan_ts).cast("timestamp")).withWatermark(scan_ts, scan_delay)
+    cond = reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in on])
+    span = (F.col(scan_ts) >= F.col(order_ts)) & (F.col(scan_ts) <= F.col(order_ts) + F.expr(f"interval {within}"))
+    return o.join(s, cond & span, "inner").withColumns({c: F.col(c).cast(t) for c, t in kinds.items()})
+
+
 def refresh_on_trigger(ticks: DataFrame, job: Callable[[], str], checkpoint: str,
                        trigger: dict | None = None) -> StreamingQuery:
     """K1: run ``job`` (e.g. an incremental refresh) once per micro-batch of a
@@ -79,4 +99,4 @@ def refresh_on_trigger(ticks: DataFrame, job: Callable[[], str], checkpoint: str
     return _trigger(w, trigger).start()
 
 
-__all__ = ["derive_stream", "stream_upsert", "refresh_on_trigger"]
+__all__ = ["derive_stream", "stream_upsert", "late_matches", "refresh_on_trigger"]
