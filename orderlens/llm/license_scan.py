@@ -171,23 +171,22 @@ class LicenceAutomaton:
                 "score": float(score)}
 
     def _chains(self, matches, max_gap: int) -> dict[int, float]:
-        """Best cover of each template by a chain of matches in its order."""
-        open_at: dict[int, list] = {}
+        """Best cover of each template by a chain of matches in its order.
+
+        For every match (they come by their end in the text) the best chain that ends with
+        it: the most words of an earlier match that ends before it in text and template,
+        at most ``max_gap`` words away, and its own."""
+        recent: dict[int, list] = {}                       # (text end, template end, words covered)
         cover: dict[int, float] = {}
-        for end, state, n in matches:                      # in text order
+        for end, state, n in matches:
             for k, last in self.ends[state]:
                 if self.texts[k][2]:
                     continue
-                start, size = last - n + 1, len(self.texts[k][1])
-                chain = open_at.get(k)                     # (text end, template end, words covered)
-                if chain and chain[1] < start and 0 <= end - n - chain[0] <= max_gap:
-                    chain = (end, last, chain[2] + n)
-                elif chain and chain[2] > n and 0 <= end - chain[0] <= max_gap:
-                    continue
-                else:
-                    chain = (end, last, n)
-                open_at[k] = chain
-                cover[k] = max(cover.get(k, 0.0), chain[2] / size)
+                start, begin = last - n + 1, end - n
+                ends = recent[k] = [c for c in recent.get(k, ()) if c[0] >= begin - max_gap]
+                best = n + max((c[2] for c in ends if c[0] <= begin and c[1] < start), default=0)
+                ends.append((end, last, best))
+                cover[k] = max(cover.get(k, 0.0), best / len(self.texts[k][1]))
         return cover
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import buckets, join_groups, stage
-from orderlens.llm.scan import (BYTE_VALUES, WHITE, anchors, pieces, prefix_sums, range_hash, sliced, utf8,
+from orderlens.llm.scan import (BYTE_VALUES, WHITE, anchors, equal_runs, pieces, prefix_sums, range_hash, sliced, utf8,
                                 window_hash, word_hashes, words)
 
 NULL_ID = (1 << 63) - 1
@@ -253,7 +253,10 @@ def segments(found: DataFrame, unit, n_buckets: int, by_document: bool) -> DataF
             offset = np.cumsum(size) - size
             order = np.lexsort((at, key, rid, whole, code))
             order = order[~repeats(code[order], rid[order], key[order], at[order])]     # repeated rows count once
-            same = np.concatenate([[False], (code[order][1:] == code[order][:-1]) & (whole[order][1:] == whole[order][:-1])])
+            same = np.concatenate([[False], (code[order][1:] == code[order][:-1]) & (whole[order][1:] == whole[order][:-1])
+                                   & (size[order][1:] == size[order][:-1])])
+            alike = np.flatnonzero(same)                   # equal hashes: their bytes decide
+            same[alike] = equal_runs(data, offset[order[alike]], offset[order[alike - 1]], size[order[alike]])
             group = np.cumsum(~same) - 1
             lead = order[np.flatnonzero(~same)][group]     # the earliest of each one's group, in sorted order
             late = (rid[order] > rid[lead]) if by_document else same
@@ -319,6 +322,9 @@ def load_segments(batches):
     return kept, settled
 
 
+SPAN_DOCUMENTS = 1 << 20
+
+
 def span_rows(rid, key, start, end):
     """Per (rid, key) one row of packed [start, end) items; touching spans are joined."""
     if not len(rid):
@@ -327,6 +333,13 @@ def span_rows(rid, key, start, end):
     rid, key, start, end = rid[order], key[order], start[order], end[order]
     doc = np.concatenate([[True], (rid[1:] != rid[:-1]) | (key[1:] != key[:-1])])
     number = np.cumsum(doc)
+    # documents in lots, so that their numbers leave 40 bits for places
+    lots = np.flatnonzero(doc)[::SPAN_DOCUMENTS]
+    for a, z in zip(lots, np.append(lots[1:], len(rid))):
+        yield from _span_rows(rid[a:z], key[a:z], start[a:z], end[a:z], doc[a:z], number[a:z] - number[a])
+
+
+def _span_rows(rid, key, start, end, doc, number):
     spread = number * (1 << 40)                            # keeps the running maximum inside a document
     reach = np.maximum.accumulate(end + spread)
     new = doc.copy()

@@ -1,14 +1,17 @@
 """Vectorised scanning of text batches: words, word and window hashes, anchors.
 
-A batch is one byte buffer with document offsets, as Arrow stores strings.  Hashes
-are polynomial over 64 bits with random byte (or word) values and a final mix:
-equal strings have equal hashes wherever they stand.
+A batch is one byte buffer with document offsets, as Arrow stores strings.  Windows
+have polynomial hashes over 64 bits of random byte (or word) values with a final mix:
+equal strings have equal hashes wherever they stand.  Words are hashed block by block.
+A hash brings equal strings together; callers that conclude equality compare bytes
+(``equal_runs``) or say that they go by the hash.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -111,8 +114,38 @@ def words(buf: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np
     return start, end, np.searchsorted(offsets, start, "right") - 1
 
 
+LONG_WORD = 2048
+
+
 def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return range_hash(prefix_sums(BYTE_VALUES[buf]), start, end)
+    """Hash of each run of bytes: eight bytes at a time are mixed into the state, so no
+    structure of long words carries through (a polynomial's zeros do); very long ones by XXH64."""
+    size = end - start
+    state = mix(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD1342543DE82EF95))
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    blocks = np.ndarray(len(buf) + 1, np.dtype("<u8"), padded, strides=(1,))      # the eight bytes from each place on
+    here = np.flatnonzero(size <= LONG_WORD)
+    at, left = start[here], size[here]
+    while len(here):
+        part = np.minimum(left, 8).astype(np.uint64)
+        word = blocks[at] & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * np.maximum(part, 1)))
+        state[here] = mix((state[here] ^ word) * np.uint64(0xAEF17502108EF2D9) + np.uint64(0x2545F4914F6CDD1D))
+        more = left > 8
+        here, at, left = here[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        state[i] = xxhash.xxh64_intdigest(buf[start[i]:end[i]].tobytes(), 7)
+    return state
+
+
+def equal_runs(data: np.ndarray, start: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether ``size`` bytes from ``start`` equal those from ``other``, pair by pair."""
+    out = np.ones(len(size), bool)
+    for first, last in pieces(np.concatenate([[0], np.cumsum(size)])):
+        n = size[first:last]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        differs = data[np.repeat(start[first:last], n) + inside] != data[np.repeat(other[first:last], n) + inside]
+        out[first + np.repeat(np.arange(last - first), n)[differs]] = False
+    return out
 
 
 def anchors(grams: np.ndarray, document: np.ndarray, gram: int, window: int):

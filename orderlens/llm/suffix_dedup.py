@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from orderlens.llm.common import stage
 from orderlens.llm.repeats import (Bytes, load_segments, merge_spans, removed_spans, repeats, row_id, span_rows,
                                    text_classes)
-from orderlens.llm.scan import BYTE_VALUES, pieces, prefix_sums, range_hash
+from orderlens.llm.scan import BYTE_VALUES, equal_runs, pieces, prefix_sums, range_hash
 
 LENGTH, GRAM = 50, 24
 SYMBOLS, WIDTH = 257, 7          # 9-bit symbols, seven to a sort key
@@ -174,7 +174,9 @@ def judge(length: int):
         # equal segments of several batches: all but those of the least rid are settled
         whole = content_hashes(data, size)
         order = np.lexsort((rid, whole, code))
-        new = ~repeats(code[order], whole[order])
+        new = ~repeats(code[order], whole[order], size[order])
+        alike = np.flatnonzero(~new)                       # equal hashes: their bytes decide
+        new[alike] = ~equal_runs(data, offset[order[alike]], offset[order[alike - 1]], size[order[alike]])
         least = rid[order][new][np.cumsum(new) - 1]
         late = rid[order] > least
         gone = order[late]

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 
 import cases
-from orderlens.llm import automaton_dedup, exact_dedup, simhash, suffix_dedup
+from orderlens.llm import automaton_dedup, exact_dedup, repeats, scan, simhash, suffix_dedup
 from orderlens.llm.components import connected_components
 
 
@@ -171,3 +171,48 @@ def test_components_of_a_long_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7), (None, 3)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, **{100 + i: 100 for i in range(40)}}
+
+
+def thue_morse(n, letters=("a", "b")):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_long_words_with_structure_stay_apart(spark):
+    one, two = thue_morse(1024), thue_morse(1024, ("b", "a"))
+    shared = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{shared} {one}"), (2, f"{shared} {two}"), (3, f"{shared} {one * 3}"), (4, f"{shared} {one * 3}"), (5, f"{shared} {one}")]
+    got = rows_of(automaton_dedup.automaton_dedup(cases.frame(spark, rows)))
+    assert got == Counter(cases.word_spans(rows, 20))
+    bytes_got = rows_of(suffix_dedup.suffix_dedup(cases.frame(spark, rows)))
+    assert bytes_got == Counter(cases.byte_spans(rows, 50))
+
+
+def test_word_hashes_tell_words_apart():
+    words = [b"a" * n for n in range(1, 40)] + [b"a" * n + b"\0" for n in range(1, 40)] + [thue_morse(n).encode() for n in (1024, 2048, 4096)]
+    words += [thue_morse(n, ("b", "a")).encode() for n in (1024, 2048, 4096)] + [b"abcdefgh" * 2, b"abcdefghabcdefgi"]
+    buf = np.frombuffer(b" ".join(words) + b" " + b" ".join(words), np.uint8)
+    size = np.array([len(w) for w in words * 2])
+    start = np.cumsum(size + 1) - size - 1
+    got = scan.word_hashes(buf, start, start + size)
+    half = len(words)
+    assert (got[:half] == got[half:]).all() and len(set(got.tolist())) == len(set(words))
+
+
+def test_segments_with_equal_hashes_are_compared(spark, monkeypatch):
+    zero = lambda sums, start, end: np.zeros(len(start), np.uint64)
+    monkeypatch.setattr(repeats, "range_hash", zero)
+    monkeypatch.setattr(suffix_dedup, "range_hash", zero)
+    rows = cases.repeated(cases.texts(n=30))
+    assert rows_of(suffix_dedup.suffix_dedup(cases.frame(spark, rows))) == Counter(cases.byte_spans(rows, 50))
+
+
+def test_span_rows_of_nine_million_documents():
+    n = 9_000_000
+    rid = np.arange(n)
+    least = last = 0
+    for batch in repeats.span_rows(rid, np.zeros(n, np.int64), np.full(n, 3), np.full(n, 7)):
+        spans = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.int64).reshape(-1, 2)
+        assert (spans == [3, 7]).all()
+        assert batch.column(0)[0].as_py() == least
+        least += batch.num_rows
+    assert least == n

@@ -341,3 +341,44 @@ def test_decontamination_query_reports_every_document(spark):
     got = queries.op10_decontamination(spark, SF001)
     assert Counter(r.doc_id for r in got.select("doc_id").collect()) == Counter(r.doc_id for r in docs.select("doc_id").collect())
     assert got.filter("not contaminated").count() > 0
+
+
+def test_license_chain_survives_a_fragment_before_it(spark):
+    text = ("you may obtain a copy of the License at X. Licensed under the Apache License Version 2.0 FOO "
+            "you may not use this file except BAR in compliance with the license")
+    short = text.split("X. ")[1]
+    got = {r.doc_id: r for r in license_scan.license_scan(cases.frame(spark, [(1, text), (2, short)])).collect()}
+    assert got[1].labels == got[2].labels == "apache-2" and got[1].score >= got[2].score
+
+
+def test_license_chains_equal_exhaustive_search():
+    r = random.Random(6)
+    for _ in range(200):
+        class Scan(license_scan.LicenceAutomaton):
+            def __init__(self):
+                self.texts = [("t", ["w"] * 30, False), ("base", ["w"] * 9, True), ("u", ["w"] * 12, False)]
+                self.ends = [[(k, r.randrange(10, 30 if k == 0 else 12)) for k in r.sample(range(3), r.randint(1, 3))] for _ in range(6)]
+        s = Scan()
+        matches, end = [], 8
+        for _ in range(r.randint(1, 7)):
+            end += r.randint(1, 9)
+            matches.append((end, r.randrange(6), r.randint(5, 9)))
+        matches = [m for i, m in enumerate(matches) if not i or m[0] - m[2] >= matches[i - 1][0] - matches[i - 1][2]]
+        want = {}
+        for k in (0, 2):
+            places = [(e, last, n) for e, state, n in matches for t, last in s.ends[state] if t == k]
+
+            def longest(e, last, n, places=places):
+                after = [longest(*p) for p in places if 0 <= p[0] - p[2] - e <= 10 and last < p[1] - p[2] + 1]
+                return n + max(after, default=0)
+            if places:
+                want[k] = max(longest(*p) for p in places) / len(s.texts[k][1])
+        assert s._chains(matches, 10) == pytest.approx(want)
+
+
+def test_decontamination_of_long_words_with_structure(spark):
+    tm = lambda x, y: "".join((x, y)[bin(i).count("1") % 2] for i in range(1024))
+    docs = spark.createDataFrame([(1, f"a b c d {tm('a', 'b')}"), (2, f"a b c d {tm('b', 'a')}")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, f"a b c d {tm('a', 'b')}")], "item_id long, text string")
+    got = {r.doc_id: (r.contaminated, r.best_coverage or 0.0) for r in decontaminate.decontamination_report(docs, bench).collect()}
+    assert got[1] == (True, 1.0) and not got[2][0] and got[2][1] < 1
