@@ -382,3 +382,14 @@ def test_decontamination_of_long_words_with_structure(spark):
     bench = spark.createDataFrame([(7, f"a b c d {tm('a', 'b')}")], "item_id long, text string")
     got = {r.doc_id: (r.contaminated, r.best_coverage or 0.0) for r in decontaminate.decontamination_report(docs, bench).collect()}
     assert got[1] == (True, 1.0) and not got[2][0] and got[2][1] < 1
+
+
+def test_trees_side_by_side_equal_single_ones():
+    b = bpe.BytePairs(PATH)
+    r = random.Random(2)
+    words = [bytes(r.choice(b" abcdefghinorst\xc3\xa9\x00") for _ in range(r.randint(2, 65))) for _ in range(400)] + [b"  ", b"aa" * 30, b"the" * 20]
+    for w in words:
+        size = 1 << (len(w) - 2).bit_length()
+        ids = b.merge_many([w, w[:2]], size)
+        for got, text in zip(ids, (w, w[:2])):
+            assert [i for i in got.tolist() if i >= 0] == b.merge([b.byte_id[x] for x in text])
