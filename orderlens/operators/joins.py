@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.operators.latest import latest_per_key
@@ -68,36 +68,47 @@ def or_join(left: DataFrame, right: DataFrame, conds: list[tuple[str, str]],
     """``left JOIN right ON (l1 = r1 OR l2 = r2 ...)`` without a nested loop.
 
     Tag expansion: each row of both sides emits one record per condition, its number and
-    that condition's key, and ONE equi-join on both meets them, so each input is read
-    once.  A pair is kept at its lowest matching condition.  For ``how='left'`` a left row
-    whose records all stay unmatched is kept once with NULL right columns; its records are
-    told by a row number given before the join (one more exchange, of the joined rows).
-    Left and right column names must be disjoint.
+    that condition's key, and ONE equi-join on both meets them.  A pair is kept at its
+    lowest matching condition.  For ``how='left'`` the records first meet the distinct
+    right keys and are folded back to their row (at most one record per condition, so no
+    group is large); a row without any hit goes on as one record that matches nothing.
+    The left side is read once; no window, no anti join.  Left and right column names
+    must be disjoint.
     """
     if how not in ("left", "inner"):
         raise ValueError("or_join supports how='left' or 'inner'")
+    n = len(conds)
 
-    def expanded(df: DataFrame, side: int, mark: str, keep_null: bool) -> DataFrame:
+    def records(df: DataFrame, side: int, mark: str) -> list[Column]:
         # one key column per condition, NULL but for the record's own: keys keep their types
-        records = [F.struct(F.lit(i).alias(f"{mark}t"), *[
+        return [F.struct(F.lit(i).alias(f"{mark}t"), *[
             (F.col(c[side]) if j == i else F.lit(None).cast(df.schema[c[side]].dataType)).alias(f"{mark}{j}")
-            for j, c in enumerate(conds)]) for i in range(len(conds))]
-        out = df.select("*", F.explode(F.array(*records)).alias("__e")).select(*df.columns, "__e.*")
-        own = F.coalesce(*[F.when(F.col(f"{mark}t") == i, F.col(f"{mark}{i}").isNotNull()) for i in range(len(conds))])
-        return out if keep_null else out.where(own)
-
-    tagged = left.withColumn("__row", F.monotonically_increasing_id()) if how == "left" else left
-    lx, rx = expanded(tagged, 0, "__l", how == "left"), expanded(right, 1, "__r", False).withColumn("__hit", F.lit(True))
-    on = reduce(lambda a, b: a & b, [F.col(f"__l{i}").eqNullSafe(F.col(f"__r{i}")) for i in range(len(conds))],
-                F.col("__lt") == F.col("__rt"))
-    pairs = lx.join(rx, on, how)
+            for j, c in enumerate(conds)]) for i in range(n)]
+
+    def exploded(df: DataFrame, items: Column, columns: list[str]) -> DataFrame:
+        return df.select(*columns, F.explode(items).alias("__e")).select(*columns, "__e.*")
+
+    def met(a: DataFrame, b: DataFrame, join: str) -> DataFrame:
+        on = [F.col(f"__l{i}").eqNullSafe(F.col(f"__r{i}")) for i in range(n)]
+        return a.join(b, reduce(lambda x, y: x & y, on, F.col("__lt") == F.col("__rt")), join)
+
+    own = F.coalesce(*[F.when(F.col("__rt") == i, F.col(f"__r{i}").isNotNull()) for i in range(n)])
+    rx = exploded(right, F.array(*records(right, 1, "__r")), right.columns).where(own)
     earlier = [(F.col("__lt") > i) & F.coalesce(F.col(lc) == F.col(rc), F.lit(False)) for i, (lc, rc) in enumerate(conds)]
-    lowest = F.col("__hit").isNotNull() & ~reduce(lambda a, b: a | b, earlier)
+    lowest = ~reduce(lambda x, y: x | y, earlier)
     if how == "inner":
-        return pairs.where(lowest).select(*left.columns, *right.columns)
-    any_hit = F.max("__hit").over(Window.partitionBy("__row"))
-    return (pairs.withColumn("__any", any_hit)
-            .where(lowest | (F.col("__any").isNull() & (F.col("__lt") == 0))).select(*left.columns, *right.columns))
+        lx = exploded(left, F.array(*records(left, 0, "__l")), left.columns)
+        return met(lx, rx, "inner").where(lowest).select(*left.columns, *right.columns)
+    rows = left.withColumn("__row", F.monotonically_increasing_id())
+    keys = rx.select("__rt", *[f"__r{i}" for i in range(n)]).distinct().withColumn("__hit", F.lit(True))
+    seen = met(exploded(rows, F.array(*records(rows, 0, "__l")), rows.columns), keys, "left").groupBy(*rows.columns).agg(
+        *[F.max(F.when(F.col("__lt") == i, F.col("__hit"))).alias(f"__h{i}") for i in range(n)])
+    mine = records(seen, 0, "__l")
+    hits = F.filter(F.array(*[F.when(F.col(f"__h{i}"), r) for i, r in enumerate(mine)]), lambda r: r.isNotNull())
+    none = F.array(F.struct(F.lit(-1).alias("__lt"), *[
+        F.lit(None).cast(left.schema[c[0]].dataType).alias(f"__l{j}") for j, c in enumerate(conds)]))
+    lx = exploded(seen, F.when(F.size(hits) > 0, hits).otherwise(none), left.columns)
+    return met(lx, rx, "left").where((F.col("__lt") < 0) | lowest).select(*left.columns, *right.columns)
 
 
 def bounded_rows(small: DataFrame, max_rows: int, what: str = "list") -> list:
