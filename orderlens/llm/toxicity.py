@@ -9,12 +9,15 @@ Voters look at the text only and vote toxic or abstain:
 Over all labelled training rows the annotator's label is one more voter.  The label
 model fits every voter's rates of voting in either class by EM; a voter's evidence is
 divided by its redundancy, the sum of its squared conditional correlations with the
-others it votes together with, so that nested entries do not count twice.  A logistic
+others it votes together with, so that nested entries do not count twice.  The
+annotator does not read entries, so its evidence is never divided.  A logistic
 classifier over the text voters is trained on the posterior labels of the same rows.
 Training rows are those whose crc32(doc_id as text) mod 4 is not 2.
 
 No step samples: every entry above ``MIN_SUPPORT`` and ``MIN_G2`` is a voter, and each
 round of EM or of the classifier's fit is one pass over the rows' votes, staged once.
+Texts meet their labels where they are scanned while the training ids fit a broadcast
+of ``BROADCAST_IDS``; with more ids the texts are shuffled to them once and staged.
 What reaches the driver is a few numbers per voter, from at most one task per core.
 The passes add whole numbers (units of 2**-30), so the order of rows has no influence.
 
@@ -22,7 +25,8 @@ Defined cases: a null text counts as empty and gets the score of no votes; a doc
 that is null or has no label is scored, never trained on; a doc_id labelled twice
 takes the larger label; without both classes in the training rows the lexicon and pattern
 voters weigh alike; repeated rows each get a row; an empty table gives an empty
-result.
+result.  A very long text is judged whole, its distinct words once each; ties do not
+arise, since every entry over the bounds votes.
 """
 
 from __future__ import annotations
@@ -47,6 +51,8 @@ ANNOTATOR = (0.98, 0.02)
 STEMS = (3, 4, 5, 6, 7, 8)
 #: Entries or pairs of voters a task combines before it passes them on; the passes' unit.
 HELD, UNIT = 400_000, 2.0 ** 30
+#: Training ids up to this number (some 32 MB) are broadcast to the scans of the texts.
+BROADCAST_IDS = 1_000_000
 
 # The word lists of the lexicon voters.
 LEXICON = {
@@ -141,8 +147,10 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return df.filter("doc_id is not null").filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
 
     usable = trains(labels).filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    return (trains(docs).select("doc_id", F.col("text").cast("string").alias("text"))
-            .join(plain_stage(usable), "doc_id").select("text", "toxic"))
+    texts = trains(docs).select("doc_id", F.col("text").cast("string").alias("text"))
+    if usable.count() <= BROADCAST_IDS:
+        return texts.join(F.broadcast(usable), "doc_id").select("text", "toxic")
+    return stage(texts.join(plain_stage(usable), "doc_id").select("text", "toxic"), "toxicity-rows")
 
 
 def induce(rows: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
@@ -219,6 +227,7 @@ def label_rounds(n: int, votes: np.ndarray, posteriors, redundancies, rounds: in
         rate1, rate0 = (yes + 0.5) / (q + 1), (votes - yes + 0.5) / (n - q + 1)
         rate1[0], rate0[0] = (rate1[0] + ANNOTATOR[0]) / 2, (rate0[0] + ANNOTATOR[1]) / 2
         weight = 1.0 / redundancies(n, votes, yes, rate1, rate0, q, q2)
+        weight[0] = 1.0
         against = weight * np.log((1 - rate1) / (1 - rate0))
         evidence = weight * np.log(rate1 / rate0) - against
         constant = float(np.log(prior / (1 - prior)) + against.sum())
@@ -393,7 +402,7 @@ def passes(voted: DataFrame, size: int):
 
 
 def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    rows = stage(training_rows(docs, labels), "toxicity-rows")
+    rows = training_rows(docs, labels)
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy((F.col("toxic") > 0).cast("int").alias("toxic"))
              .count().collect()}
     if not sizes.get(1) or not sizes.get(0):

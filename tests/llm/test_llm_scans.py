@@ -193,6 +193,22 @@ def test_toxicity_on_held_out_rows(spark):
     assert Counter((r.doc_id, round(r.score, 9)) for r in got) == Counter((r.doc_id, round(r.score, 9)) for r in again)
 
 
+def test_small_groups_of_toxic_rows_keep_their_label():
+    """Toxic rows that share no voter with the larger group are not overruled by it."""
+    y = np.arange(300) % 5 == 0
+    small = y & (np.arange(300) % 20 == 0)
+    votes = np.column_stack([small] * 6 + [y & ~small] * 4).astype(int)
+    assert (toxicity.label_model(votes, y.astype(int)) > 0.9).tolist() == y.tolist()
+
+
+def test_toxicity_trains_alike_when_ids_are_too_many_to_broadcast(spark, monkeypatch):
+    docs, labels, _ = toxic_set(spark, 150)
+    one = toxicity.train(docs, labels)
+    monkeypatch.setattr(toxicity, "BROADCAST_IDS", 0)
+    two = toxicity.train(docs, labels)
+    assert one.induced == two.induced and np.allclose(one.weights + [one.bias], two.weights + [two.bias], atol=1e-9)
+
+
 def test_toxicity_without_labels(spark):
     docs, labels, _ = toxic_set(spark, 20)
     for some in (labels.limit(0), labels.filter("toxic = 0")):
