@@ -11,8 +11,12 @@ lower, the more target-like.  Words are ASCII-lower-cased runs of anything but A
 white space; a document's first word follows a start mark.
 
 Counting and scoring take one shuffle of token bigrams, packed as hashes (40 bits of
-the first word beside its bucket, 32 of the second) and dealt out by first word: a bucket holds all bigrams of its first words, so it has every
-count it needs and returns one partial loss per document.  First words with about a
+the first word beside its bucket, 32 of the second) and dealt out by first word: a bucket
+holds all bigrams of its first words, so it has every count it needs.  It returns partial
+losses to the slices of text that the bigrams came from, by the document's number in its
+slice; the slice's list of documents travels once.  A slice is named by a hash of that list,
+and rows are sorted within their partition first, so a task that runs again makes the same
+slices.  First words with about a
 thousandth of all tokens or more are found beforehand (a bounded list) and dealt out
 by second word as well; their totals travel along as counts.
 
@@ -64,6 +68,12 @@ def long(packed_codes: bytes) -> np.ndarray:
     return wide.view(np.uint64).ravel()
 
 
+def slice_name(rows: np.ndarray) -> int:
+    """A slice's name: a hash of its row hashes in order, not negative."""
+    place = np.arange(1, len(rows) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return int(np.bitwise_xor.reduce(mix(rows.view(np.uint64) + place)) >> np.uint64(1))
+
+
 def _words(column: pa.Array):
     """Per piece: (first document, word hashes, document of each word)."""
     buf, offsets = utf8(column)
@@ -173,12 +183,14 @@ def lm_scores(docs: DataFrame, is_target: Column, mu: float = MU, vocabulary_siz
             bucket = bucket_of(before + slot * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
             first, second = code_of(before), (mix(word) >> np.uint64(32)).astype(np.uint32)
             order = np.lexsort((first, bucket))
-            out = []
+            name, nothing = slice_name(rows), (b"",) * 7
+            out = [(name % n, name, *nothing, rows.tobytes())]
             for k, (f, p, d) in cut_rows(bucket[order], first[order], second[order], doc[order]):
                 cut = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
                 here, at = np.unique(d, return_inverse=True)
-                out.append((int(k), short(f[cut]), np.diff(np.append(cut, len(f))).astype(np.uint32).tobytes(),
-                            p.tobytes(), at.astype(np.uint16).tobytes(), rows[here].tobytes(), np.packbits(target[here]).tobytes(), b""))
+                out.append((int(k), name, short(f[cut]), np.diff(np.append(cut, len(f))).astype(np.uint32).tobytes(),
+                            p.tobytes(), at.astype(np.uint16).tobytes(), here.astype(np.uint16).tobytes(),
+                            np.packbits(target[here]).tobytes(), b"", b""))
             # totals of hot first words, to every bucket that holds a part of them
             w = before[is_hot]
             if len(w):
@@ -192,58 +204,81 @@ def lm_scores(docs: DataFrame, is_target: Column, mu: float = MU, vocabulary_siz
                     here = (places == k).any(axis=1)
                     body = np.column_stack([names[here], all_n[here].astype(np.uint64),
                                             target_n[here].astype(np.uint64)])
-                    out.append((int(k), b"", b"", b"", b"", b"", b"", np.ascontiguousarray(body).tobytes()))
+                    out.append((int(k), name, *nothing[1:], np.ascontiguousarray(body).tobytes(), b""))
             cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *packed(*cols[1:])],
-                                             names=["bucket", "first", "many", "second", "doc", "rows", "flags", "hot"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), *packed(*cols[2:])],
+                names=["bucket", "slice", "first", "many", "second", "doc", "here", "flags", "hot", "rows"])
+
+    def sent(out):
+        cols = list(zip(*out))
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *packed(*cols[1:])],
+                                          names=["place", "slices", "many", "here", "n", "t", "b", "rows"])
 
     def judge(batches):
         # a task may hold several buckets: each is finished by itself
         held: dict[int, list] = {}
         for b in batches:
-            for row in zip(*(x.to_pylist() for x in b.columns)):
-                held.setdefault(row[0], []).append(row[1:])
+            for bucket, name, *blob, rows in zip(*(x.to_pylist() for x in b.columns)):
+                if rows:
+                    yield sent([(name % n, np.int64(name).tobytes(), *(b"",) * 5, rows)])
+                else:
+                    held.setdefault(bucket, []).append((name, *blob))
         for bucket in sorted(held):
             yield from score(held.pop(bucket))
 
     def score(blobs):
-        hot = [np.frombuffer(x[6], np.uint64).reshape(-1, 3) for x in blobs if x[6]]
-        blobs = [x for x in blobs if not x[6]]
+        hot = [np.frombuffer(x[7], np.uint64).reshape(-1, 3) for x in blobs if x[7]]
+        blobs = [x for x in blobs if not x[7]]
         if not blobs:
             return
-        rows = [np.frombuffer(x[4], np.int64) for x in blobs]
-        flags = np.concatenate([np.unpackbits(np.frombuffer(x[5], np.uint8))[:len(r)] for x, r in zip(blobs, rows)])
-        ahead = np.cumsum([0] + [len(r) for r in rows])
-        rows = np.concatenate(rows)
-        totals = [np.zeros(len(rows)) for _ in range(3)]
+        here = [np.frombuffer(x[5], np.uint16) for x in blobs]
+        flags = np.concatenate([np.unpackbits(np.frombuffer(x[6], np.uint8))[:len(h)] for x, h in zip(blobs, here)])
+        ahead = np.cumsum([0] + [len(h) for h in here])
+        totals = [np.zeros(len(flags)) for _ in range(3)]
         for part in range(PARTS):
             for total, more in zip(totals, part_sums(blobs, part, ahead, flags, hot)):
                 total += more
-        rows, inverse = np.unique(rows, return_inverse=True)   # repeated rows
-        sums = [np.bincount(inverse, weights=x) for x in totals]
-        place = (rows.view(np.uint64) % np.uint64(n)).astype(np.int64)
-        order = np.argsort(place, kind="stable")
-        out = [(int(k), r.tobytes(), m.astype(np.uint32).tobytes(), t.tobytes(), b.tobytes())
-               for k, (r, m, t, b) in cut_rows(place[order], rows[order], *(x[order] for x in sums))]
-        cols = list(zip(*out))
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *packed(*cols[1:])],
-                                         names=["place", "rows", "n", "t", "b"])
+        places: dict[int, list] = {}
+        for k, x in enumerate(blobs):
+            places.setdefault(x[0] % n, []).append(k)
+        out = []
+        for place, ks in sorted(places.items()):
+            m, t, b = (np.concatenate([x[ahead[k]:ahead[k + 1]] for k in ks]) for x in totals)
+            out.append((place, np.array([blobs[k][0] for k in ks], np.int64).tobytes(),
+                        np.array([len(here[k]) for k in ks], np.uint32).tobytes(),
+                        b"".join(here[k].tobytes() for k in ks), m.astype(np.uint32).tobytes(), t.tobytes(), b.tobytes(), b""))
+        yield sent(out)
 
     def unite(batches):
-        """The sums of each row over all buckets."""
-        got = [row for b in batches for row in zip(*(b.column(i).to_pylist() for i in range(1, 5)))]
+        """The sums of each row over all buckets; equal slices have one list of rows."""
+        listed, got = {}, []
+        for batch in batches:
+            for slices, *sums, rows in zip(*(batch.column(i).to_pylist() for i in range(1, 8))):
+                if rows:
+                    listed[int(np.frombuffer(slices, np.int64)[0])] = np.frombuffer(rows, np.int64)
+                else:
+                    got.append((slices, *sums))
         if got:
-            r, m, t, b = (np.concatenate([np.frombuffer(x, kind) for x in column])
-                          for column, kind in zip(zip(*got), (np.int64, np.uint32, np.float64, np.float64)))
-            row, inverse = np.unique(r, return_inverse=True)
+            names = np.array(sorted(listed), np.int64)
+            ahead = np.cumsum([0] + [len(listed[k]) for k in names.tolist()])
+            slices, many, here, m, t, b = (np.concatenate([np.frombuffer(x, kind) for x in column]) for column, kind in zip(
+                zip(*got), (np.int64, np.uint32, np.uint16, np.uint32, np.float64, np.float64)))
+            at = np.searchsorted(names, slices).clip(0, max(0, len(names) - 1))
+            if not len(names) or (names[at] != slices).any():
+                raise RuntimeError("losses of a slice that has no list of rows")
+            at = np.repeat(ahead[at], many) + here
+            m, t, b = (np.bincount(at, weights=x, minlength=ahead[-1]) for x in (m, t, b))
+            row = np.concatenate([listed[k] for k in names.tolist()])
+            known = np.flatnonzero(m)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row), pa.array(np.bincount(inverse, weights=m).astype(np.int64)),
-                 *(pa.array(np.bincount(inverse, weights=x)) for x in (t, b))], names=["row", "n", "t", "b"])
+                [pa.array(row[known]), pa.array(m[known].astype(np.int64)), pa.array(t[known]), pa.array(b[known])],
+                names=["row", "n", "t", "b"])
 
     def part_sums(blobs, part, ahead, flags, hot):
         """Tokens, target losses and background losses per row, for one part of the first words."""
         first, pair, doc = [], [], []
-        for (f, m, p, d, *_), start in zip(blobs, ahead):
+        for (_, f, m, p, d, *_), start in zip(blobs, ahead):
             f, m = long(f), np.frombuffer(m, np.uint32)
             mine = f % np.uint64(PARTS) == part
             entries = np.repeat(mine, m)
@@ -273,10 +308,11 @@ def lm_scores(docs: DataFrame, is_target: Column, mu: float = MU, vocabulary_siz
                 for c2, c1 in ((target2, target1), (all2, all1))]
         return [np.bincount(doc, weights=x, minlength=len(flags)) for x in (None, *loss)]
 
-    part = (src.select("row", "text", "target")
-            .mapInArrow(deal, "bucket int, first binary, many binary, second binary, doc binary, rows binary, "
-                              "flags binary, hot binary")
-            .repartition(n, "bucket").mapInArrow(judge, "place int, rows binary, n binary, t binary, b binary")
+    part = (src.select("row", "text", "target").sortWithinPartitions("row")
+            .mapInArrow(deal, "bucket int, slice long, first binary, many binary, second binary, doc binary, "
+                              "here binary, flags binary, hot binary, rows binary")
+            .repartition(n, "bucket")
+            .mapInArrow(judge, "place int, slices binary, many binary, here binary, n binary, t binary, b binary, rows binary")
             .repartition(n, "place").mapInArrow(unite, "row long, n long, t double, b double"))
     nothing = [F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("t"), F.lit(0.0).alias("b")]
     rows = docs.select(F.xxhash64("doc_id", text).alias("row"), "doc_id", F.lit(1).alias("copies"), *nothing)

@@ -156,6 +156,19 @@ def test_lm_scores_repeated_and_empty(spark):
     assert lm_score.lm_scores(cases.empty(spark), F.lit(True)).collect() == []
 
 
+def test_lm_scores_do_not_depend_on_the_slices(spark, monkeypatch):
+    rows = cases.repeated(cases.texts(n=30))
+    docs = cases.frame(spark, rows)
+
+    def got():
+        return sorted((r.doc_id is None, r.doc_id, r.n_tokens, round(r.target_loss or 0, 9), round(r.background_loss or 0, 9))
+                      for r in lm_score.lm_scores(docs, F.col("doc_id") % 2 == 0, vocabulary_size=500).collect())
+
+    whole = got()
+    monkeypatch.setattr(lm_score, "SLICE_BYTES", 1)        # a slice a row; repeated rows are equal slices
+    assert len(whole) == len(rows) and got() == whole
+
+
 def test_codes_of_words_in_one_bucket_use_all_bits():
     h = np.random.default_rng(1).integers(0, 1 << 63, 2_000_000).astype(np.uint64)
     one = h[lm_score.mix(h) >> np.uint64(56) == 7]
