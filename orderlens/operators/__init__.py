@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
-from orderlens.operators.checks import assert_unique, duplicate_keys, reconcile, with_counts
+from orderlens.operators.checks import assert_unique, duplicate_keys, reconcile, reconcile_tree, with_counts
 from orderlens.operators.derive import with_serial_key
 from orderlens.operators.filters import exclude_values, keep_flagged_or_unflagged
 from orderlens.operators.joins import (
@@ -19,7 +19,7 @@ from orderlens.operators.pivot import (
 )
 
 __all__ = [
-    "assert_unique", "duplicate_keys", "reconcile", "with_counts", "exclude_values",
+    "assert_unique", "duplicate_keys", "reconcile", "reconcile_tree", "with_counts", "exclude_values",
     "keep_flagged_or_unflagged", "exclude_existing", "exclude_keys", "expand_by_list",
     "exists_flag", "exists_flags", "join_latest", "join_on_expr", "keep_keys", "left_join_filtered",
     "left_join_many",

@@ -23,7 +23,7 @@ from orderlens.operators import (
     exclude_existing, exclude_keys, exclude_values, exists_flags, fill_zero, group_max,
     incremental_refresh, join_latest, join_on_expr, joined_list, keep_flagged_or_unflagged,
     keep_keys, latest_per_key, left_join_filtered, left_join_many, merge_upsert, or_join, pivot_flags,
-    pivot_values, prefix_lookup, reconcile, recent, strict_latest, with_serial_key,
+    pivot_values, prefix_lookup, reconcile_tree, recent, strict_latest, with_serial_key,
 )
 from orderlens.operators.merge import changed_since
 from orderlens.plans.directory import directory
@@ -286,7 +286,7 @@ def q_directory(spark, d):
 
 def q_reconcile(spark, d):
     t = _t(spark, d)
-    return reconcile(_merge_target(t), _merge_source(t), "id", ["upd"])
+    return reconcile_tree(_merge_target(t), _merge_source(t), "id", ["upd"])
 
 
 # --- A: sources, sinks, maintenance -------------------------------------------

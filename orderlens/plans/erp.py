@@ -622,7 +622,7 @@ def erp_legacy_load(t: dict[str, DataFrame], *, class_segment2: str, include_set
 def erp_reconcile(old: DataFrame, new: DataFrame, key: str = REFRESH_KEY) -> DataFrame:
     """One row - total lines, lines only in the new / only in the old
     table, and for every other column both tables share the number of common
-    lines whose values differ (NULL-safe), as ``<COLUMN>_diff``."""
-    from orderlens.operators.checks import reconcile
+    lines whose values differ (NULL-safe), as ``<COLUMN>_diff``.  ``key`` is unique."""
+    from orderlens.operators.checks import reconcile_tree
     shared = [c for c in old.columns if c in set(new.columns) and c != key]
-    return reconcile(old, new, key, shared)
+    return reconcile_tree(old, new, key, shared)

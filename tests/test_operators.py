@@ -198,6 +198,35 @@ def test_distinct_with_group_max_equals_window(spark):
     assert got == sorted({(h, mx[h][0], mx[h][1], c) for h, _, _, c in data}, key=_nkey)
 
 
+def test_reconcile_tree(spark):
+    base = spark.range(5000).selectExpr("id", "id % 7 as a", "if(id % 11 = 0, null, cast(id as string)) as b", "id / 3 as c")
+    plan = O.reconcile_tree(base, base, "id", ["a", "b", "c"])
+    assert rows(plan) == [(5000, 0, 0, 0, 0, 0)]
+    assert "Join" not in plan._jdf.queryExecution().toString()
+    # one changed cell: only its column is compared, only the rows of its leaf are joined
+    cell = base.selectExpr("id", "a", "if(id = 4321, 'x', b) as b", "c")
+    one = O.reconcile_tree(base, cell, "id", ["a", "b", "c"])
+    assert rows(one) == [(5000, 0, 0, 0, 1, 0)]
+    assert "__o_b" in one._jdf.queryExecution().toString() and "__o_a" not in one._jdf.queryExecution().toString()
+    # NULL against a value, in either direction
+    gone = base.selectExpr("id", "a", "if(id in (10, 22), if(id = 10, null, ''), b) as b", "c")
+    assert rows(O.reconcile_tree(base, gone, "id", ["a", "b", "c"])) == [(5000, 0, 0, 0, 2, 0)]
+
+
+def test_reconcile_tree_equals_reconcile(spark):
+    old = spark.range(3000).selectExpr("if(id = 5, null, id) as id", "id % 5 as a", "cast(id as string) as b")
+    new = spark.range(40, 3100).selectExpr("if(id % 1000 = 7, null, id) as id", "id % 5 + if(id % 97 = 0, 1, 0) as a",
+                                           "if(id % 13 = 0, null, cast(id as string)) as b")
+    empty = old.limit(0)
+    for x, y in ((old, new), (new, old), (old, empty), (empty, new), (empty, empty), (old, old)):
+        want = rows(O.reconcile(x, y, "id", ["a", "b"]))
+        shapes = [{"fanout": 4, "levels": 5}, {"fanout": 2, "levels": 1}, {"fanout": 16, "max_nodes": 2}]
+        for shape in [{}] + shapes * (x is old and y is new):
+            assert rows(O.reconcile_tree(x, y, "id", ["a", "b"], **shape)) == want
+    other = old.selectExpr("cast(id as int) as id", "a", "b")
+    assert rows(O.reconcile_tree(other, new, "id", ["a", "b"])) == rows(O.reconcile(other, new, "id", ["a", "b"]))
+
+
 def test_reconcile(spark):
     old = spark.createDataFrame([(1, 1), (2, None), (3, 3)], "id int, upd int")
     new = spark.createDataFrame([(1, 1), (2, 2), (4, 4)], "id int, upd int")
