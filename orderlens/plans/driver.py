@@ -28,7 +28,7 @@ from orderlens.operators import (
 from orderlens.operators.merge import changed_since
 from orderlens.plans.directory import directory
 from orderlens.plans.legacy import two_branch_load
-from orderlens.plans.order_view import ORDER_NUMBER_BOUND, OrderViewConfig, order_view
+from orderlens.plans.order_view import ORDER_NUMBER_BOUND, OrderViewConfig, order_view, order_view_keys
 from orderlens.plans.portal import portal_view
 from orderlens.plans.pricing import (
     hospital_product, party_category, party_pricelist, pricelist_item,
@@ -373,7 +373,10 @@ def refresh_order_table(spark, d, path: str) -> dict[str, int]:
     excluded = t.nation.where(F.col("n_name") == "NATION_9").select(F.col("n_nationkey").alias("grp"))
     roles = _order_view_roles(t)
     cfg, groups = _order_view_config(**ORDER_TABLE_EXTRA), (excluded, "contact_group", "grp")
-    keys = order_view(**roles, cfg=cfg, excluded_groups=groups).select(*ORDER_TABLE_KEYS)
+
+    def keys():
+        return order_view_keys(**{k: roles[k] for k in ("header", "lines", "items", "contacts")}, cfg=cfg,
+                               keys=ORDER_TABLE_KEYS, excluded_groups=groups)
     contacts = t.events.where(F.col("ts") >= X.as_ts(CHANGED_SINCE)).select(
         F.col("user_id").alias("o_custkey")).distinct()
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
@@ -383,8 +386,8 @@ def refresh_order_table(spark, d, path: str) -> dict[str, int]:
                             .select(F.col("o_orderkey").alias("header_id"))))
     part = {**roles, "header": roles["header"].join(changed, "header_id", "left_semi"),
             "lines": roles["lines"].join(changed, "header_id", "left_semi")}
-    changes = order_view(**part, cfg=cfg, excluded_groups=groups)
-    return refresh_buckets(spark, path, changes, keys, lambda s, g: F.lit(True))
+    return refresh_buckets(spark, path, lambda: order_view(**part, cfg=cfg, excluded_groups=groups), keys,
+                           lambda s, g: F.lit(True))
 
 
 def q_incremental_order_table(spark, d):

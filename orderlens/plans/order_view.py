@@ -108,7 +108,8 @@ class OrderViewConfig:
 
 
 def order_view_rows(header: DataFrame, lines: DataFrame, items: DataFrame, contacts: DataFrame,
-                    sites: DataFrame, reviews: DataFrame, scans: DataFrame, cfg: OrderViewConfig, *,
+                    sites: DataFrame | None, reviews: DataFrame | None, scans: DataFrame | None,
+                    cfg: OrderViewConfig, *,
                     category_lookup: DataFrame | None = None,
                     excluded_groups: tuple[DataFrame, str, str] | None = None,
                     doc_flags: dict[str, tuple[DataFrame, str, str]] | None = None,
@@ -124,6 +125,7 @@ def order_view_rows(header: DataFrame, lines: DataFrame, items: DataFrame, conta
     constant ON condition on the frame or None) - multi-column keys (D3) and
     ON-clause filters (D4) of line-level lookups such as the sales rep or the
     item category.
+    ``sites``, ``reviews`` and ``scans`` only add columns; one that is None is left out.
     """
     h = header
     if cfg.order_bound is not None:
@@ -165,11 +167,14 @@ def order_view_rows(header: DataFrame, lines: DataFrame, items: DataFrame, conta
         x = exclude_existing(x, gdf.select(gcol), [(row_col, gcol)])    # D10
     if doc_flags:
         x = exists_flags(x, doc_flags)                                   # D13
-    x = join_latest(x, reviews, [(cfg.review_on, "review_key")], list(cfg.review_order),
-                    list(cfg.review_cols))                               # D5
-    x = join_latest(x, scans, [(cfg.scan_on, "scan_key")], list(cfg.scan_order),
-                    list(cfg.scan_cols))
-    x = x.join(sites, x["site_id"] == sites["site_ref"], "left")
+    if reviews is not None:
+        x = join_latest(x, reviews, [(cfg.review_on, "review_key")], list(cfg.review_order),
+                        list(cfg.review_cols))                           # D5
+    if scans is not None:
+        x = join_latest(x, scans, [(cfg.scan_on, "scan_key")], list(cfg.scan_order),
+                        list(cfg.scan_cols))
+    if sites is not None:
+        x = x.join(sites, x["site_id"] == sites["site_ref"], "left")
     for frame, on, cond in lookups:
         x = left_join_filtered(x, frame, on, cond)                      # D3/D4
 
@@ -235,6 +240,18 @@ def order_view(header: DataFrame, lines: DataFrame, items: DataFrame, contacts:
     return x.select(*cols)
 
 
+def order_view_keys(header: DataFrame, lines: DataFrame, items: DataFrame, contacts: DataFrame,
+                    cfg: OrderViewConfig, keys: list[str], *,
+                    category_lookup: DataFrame | None = None,
+                    excluded_groups: tuple[DataFrame, str, str] | None = None) -> DataFrame:
+    """The distinct ``keys`` of :func:`order_view`, for the delete check (A8): its filters,
+    without the joins that only add columns (reviews, scans, sites).  ``keys`` are
+    ``order_id`` or columns of headers, lines, items and contacts."""
+    x = order_view_rows(header, lines, items, contacts, None, None, None, cfg,
+                        category_lookup=category_lookup, excluded_groups=excluded_groups)
+    return x.select(*[F.col("order_number").alias(k) if k == "order_id" else F.col(k) for k in keys]).distinct()
+
+
 def location(cfg: OrderViewConfig):
     return address_line(list(cfg.address_parts), cfg.state_col, cfg.province_col, cfg.country_col)
 

@@ -22,8 +22,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -274,18 +275,23 @@ def _no_key(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _delete(spark: SparkSession, path: str, layout: Layout, view_keys: DataFrame) -> dict[str, int]:
-    """Tombstones of the stored keys that the staged, distinct view keys no longer hold."""
-    none = {"rows": 0, "net": 0, "buckets": [], "compared": 0}
-    known = _with_bucket(spark, view_keys, layout)
+def _key_prints(spark: SparkSession, layout: Layout, view_keys: DataFrame) -> dict[int, list] | None:
+    """Fingerprint per bucket of distinct view keys; None if one of the keys is NULL."""
     nulls = F.count(F.when(_no_key(layout.keys), 1)).alias("nulls")
-    prints = known.groupBy(BUCKET).agg(*_prints(layout.keys), nulls).collect()
-    if any(r.nulls for r in prints):
+    prints = _with_bucket(spark, view_keys, layout).groupBy(BUCKET).agg(*_prints(layout.keys), nulls).collect()
+    return None if any(r.nulls for r in prints) else {r[BUCKET]: [r[k] for k in PRINT] for r in prints}
+
+
+def _delete(spark: SparkSession, path: str, layout: Layout, view_keys: DataFrame, seen: dict[int, list] | None) -> dict[str, int]:
+    """Tombstones of the stored keys that the staged, distinct view keys no longer hold.
+    ``seen`` holds the view's fingerprints by bucket, or is None if a NULL blocks deletes."""
+    none = {"rows": 0, "net": 0, "buckets": [], "compared": 0}
+    if seen is None:
         return none
-    seen = {r[BUCKET]: [r[k] for k in PRINT] for r in prints}
     differ = [b.id for b in layout.buckets.values() if b.print != seen.get(b.id, [0] * len(PRINT))]
     if not differ:
         return none
+    known = _with_bucket(spark, view_keys, layout)
     stored = _live(spark, path, layout, set(differ), layout.keys).where(~_no_key(layout.keys))
     marks = known.where(F.col(BUCKET).isin(differ)).select(*[F.col(k).alias(f"__k_{k}") for k in layout.keys])
     match = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__k_{k}") for k in layout.keys])
@@ -328,7 +334,8 @@ def merge_buckets(spark: SparkSession, path: str, keys: list[str], buckets: int,
     return len(done["buckets"])
 
 
-def refresh_buckets(spark: SparkSession, path: str, changes: DataFrame, view_keys: DataFrame, guard,
+def refresh_buckets(spark: SparkSession, path: str, changes: DataFrame | Callable[[], DataFrame],
+                    view_keys: DataFrame | Callable[[], DataFrame], guard,
                     bucket_rows: int = ROWS_PER_BUCKET) -> dict[str, int]:
     """A11 in proportion to the change: merge ``changes`` (guarded, A7), delete the rows
     whose key left the view.
@@ -339,15 +346,27 @@ def refresh_buckets(spark: SparkSession, path: str, changes: DataFrame, view_key
     after it a bucket without deletes has the view's fingerprint.  Returns the counts of
     deleted rows, inserted rows, changes, buckets that got a delta, buckets whose keys
     were compared, and buckets written anew.
+
+    Either frame may be given as a function that returns it: then the two plans, of the
+    whole view's keys and of the changes, are built side by side as they are run.
     """
     layout = _load(spark, path)
     before = set(layout.buckets)
     stages = [scratch_path(spark, n) for n in ("changes", "view-keys")]
-    with ThreadPoolExecutor(2) as pool:                     # neither needs the other
-        known = pool.submit(materialize, view_keys.select(*layout.keys).distinct(), stages[1])
-        merged = _merge(spark, path, layout, changes, stages[0], guard, bucket_rows)
-        known = known.result()
-    deleted = _delete(spark, path, layout, known)
+    old = replace(layout, buckets=dict(layout.buckets))     # the merge may put others in place of its buckets
+
+    def staged_keys():
+        rows = view_keys() if callable(view_keys) else view_keys
+        known = materialize(rows.select(*old.keys).distinct(), path=stages[1])
+        return known, _key_prints(spark, old, known)
+
+    with ThreadPoolExecutor(1) as pool:                     # neither needs the other
+        known = pool.submit(staged_keys)
+        merged = _merge(spark, path, layout, changes() if callable(changes) else changes, stages[0], guard, bucket_rows)
+        known, seen = known.result()
+    if seen is not None and set(layout.buckets) != before:
+        seen = _key_prints(spark, layout, known)
+    deleted = _delete(spark, path, layout, known, seen)
     counts = {"deleted": deleted["rows"], "inserted": merged["net"], "changes": merged["changes"],
               "buckets": len({*merged["buckets"], *deleted["buckets"]}), "compared": deleted["compared"], "rewritten": 0}
     if counts["buckets"]:

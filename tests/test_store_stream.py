@@ -354,3 +354,22 @@ def test_stream_derive_on_a_folder(spark):
     folder = scratch_path(spark, "t-folder")
     spark.read.parquet(f"{SF01}/events.parquet").limit(500).repartition(3).write.parquet(folder + "/events.parquet")
     assert run_stream_derive(spark, folder).count() == 500
+
+
+def test_keys_of_the_order_view_without_its_lookups(spark):
+    from orderlens.plans import driver
+    from orderlens.plans.order_view import order_view, order_view_keys
+    roles, cfg = driver._order_view_roles(driver._t(spark, SF01)), driver._order_view_config(**driver.ORDER_TABLE_EXTRA)
+    want = order_view(**roles, cfg=cfg).select(*driver.ORDER_TABLE_KEYS).distinct()
+    got = order_view_keys(**{k: roles[k] for k in ("header", "lines", "items", "contacts")}, cfg=cfg, keys=driver.ORDER_TABLE_KEYS)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_refresh_by_functions_deletes_also_where_a_bucket_is_merged_whole(spark):
+    from orderlens.sources.buckets import read_bucketed, refresh_buckets, write_bucketed
+    path = scratch_path(spark, "t-buckets-fn")
+    write_bucketed(spark.range(200).select("id", F.lit(0).alias("v")), path, ["id"], 4)
+    changes = lambda: spark.range(250).select("id", F.lit(1).alias("v")).where("id % 10 <> 3")
+    n = refresh_buckets(spark, path, changes, lambda: changes().select("id"), lambda s, g: F.lit(True))
+    assert n["deleted"] == 20 and n["inserted"] == 45 and n["rewritten"] > 0
+    assert sorted(map(tuple, read_bucketed(spark, path).collect())) == [(i, 1) for i in range(250) if i % 10 != 3]
