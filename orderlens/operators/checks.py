@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -39,14 +41,24 @@ def reconcile(old: DataFrame, new: DataFrame, key: str, compare: list[str]) -> D
     return j.agg(*aggs)
 
 
-def _checksums(df: DataFrame, key: str, compare: list[str], node: Column) -> DataFrame:
-    """Per node: rows, and for the keys (``s0_*``) and every compared column the two
-    sums of the halves of a 64-bit hash over key and value; sums do not depend on the
+def _checksums(old: DataFrame, new: DataFrame, key: str, compare: list[str], node: Column) -> DataFrame:
+    """Per node: rows of either table (``old``, ``new``), whether the node is ``unequal``,
+    and in ``differ`` a 0 or 1 per compared column.  Both tables go through one aggregate:
+    for the keys and every compared column it sums the halves of a 64-bit hash over key and
+    value, those of ``new`` negated, so equal nodes give zeros.  Sums do not depend on the
     order of rows and are exact in a long up to 2**31 rows a node."""
     terms = [F.xxhash64(key)] + [F.xxhash64(F.col(key), F.col(c), F.col(c).isNull()) for c in compare]
-    sums = [F.sum(half).alias(f"s{i}_{k}") for i, h in enumerate(terms)
-            for k, half in enumerate((F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF))))]
-    return df.groupBy(node.alias("node")).agg(F.count(F.lit(1)).alias("rows"), *sums)
+    hashes = [f"h{i}" for i in range(len(terms))]
+    both = old.select(node.alias("node"), F.lit(1).alias("sign"), *[h.alias(n) for h, n in zip(terms, hashes)]).unionByName(
+        new.select(node.alias("node"), F.lit(-1).alias("sign"), *[h.alias(n) for h, n in zip(terms, hashes)]))
+    sums = [F.sum(half * F.col("sign")).alias(f"{n}_{k}") for n in hashes
+            for k, half in enumerate((F.shiftrightunsigned(n, 32), F.col(n).bitwiseAND(F.lit(0xFFFFFFFF))))]
+    apart = [(F.col(f"{n}_0") != 0) | (F.col(f"{n}_1") != 0) for n in hashes]
+    keys_apart = (F.col("old") != F.col("new")) | apart[0]
+    return (both.groupBy("node")
+            .agg(F.count(F.when(F.col("sign") > 0, 1)).alias("old"), F.count(F.when(F.col("sign") < 0, 1)).alias("new"), *sums)
+            .select("node", "old", "new", reduce(lambda x, y: x | y, apart[1:], keys_apart).alias("unequal"),
+                    F.concat(F.lit(""), *[F.when(keys_apart | x, "1").otherwise("0") for x in apart[1:]]).alias("differ")))
 
 
 def reconcile_tree(old: DataFrame, new: DataFrame, key: str, compare: list[str],
@@ -54,13 +66,15 @@ def reconcile_tree(old: DataFrame, new: DataFrame, key: str, compare: list[str],
     """J9 by a checksum tree: the row of :func:`reconcile`, for unique keys.
 
     Keys fall into ``fanout`` nodes by hash, each node into as many on the next level.
-    A level is one aggregate of either table, over the rows of the nodes that were
+    A level is one aggregate over both tables, over the rows of the nodes that were
     unequal one level up and the columns that differ somewhere.  Equal nodes only add
     their rows.  The rows of the unequal nodes of the last level are joined and
     compared, and only in columns whose sums differ.  Equal tables therefore cost one
-    aggregate each and no join, few changes a join of few rows.  The aggregates combine
+    aggregate and no join, few changes a join of few rows.  The aggregates combine
     map-side, and the driver sees at most ``max_nodes * fanout`` nodes a level: where more
-    nodes differ, the descent ends and their rows are joined.
+    nodes differ, the descent ends and their rows are joined.  The rows of unequal nodes
+    are met by a semi-join with a broadcast of the nodes' numbers, never by a list in the
+    plan; where all nodes of a level are unequal there is nothing to pick.
 
     Unequal cells go unseen when both 32-bit sums of their node collide, about one in
     2**64 comparisons.  NULL keys match nothing and are counted as :func:`reconcile`
@@ -70,26 +84,22 @@ def reconcile_tree(old: DataFrame, new: DataFrame, key: str, compare: list[str],
         return reconcile(old, new, key, compare)
     hashed, known = F.xxhash64(key), F.col(key).isNotNull()
     old, new = old.select(key, *compare), new.select(key, *compare)
-    sides, same, nulls, columns = [old, new], 0, 0, list(compare)
+    sides, same, nulls, within, columns = [old, new], 0, 0, 0, list(compare)
     unequal: list[int] = []
     for level in range(1, levels + 1):
         node = F.when(known, F.pmod(hashed, F.lit(fanout ** level)))
         if level > 1:
-            sides = [_in_nodes(df, hashed, fanout ** (level - 1), unequal) for df in (old, new)]
-        found = [{r["node"]: r for r in _checksums(df, key, columns, node).collect()} for df in sides]
+            sides = _in_nodes([old, new], hashed, fanout ** (level - 1), unequal)
+        found = _checksums(*sides, key, columns, node)
+        rows = (found if level == 1 else found.where("unequal")).collect()
         if level == 1:
-            nulls = sum(f[None]["rows"] for f in found if None in f)
-        unequal, differ = [], set()
-        for n in sorted({n for f in found for n in f if n is not None}):
-            one, two = (f.get(n) for f in found)
-            if one == two:
-                same += one["rows"]
-                continue
-            unequal.append(n)
-            keys_alike = one is not None and two is not None and all(one[c] == two[c] for c in ("rows", "s0_0", "s0_1"))
-            differ.update(c for i, c in enumerate(columns, 1)
-                          if not keys_alike or any(one[f"s{i}_{k}"] != two[f"s{i}_{k}"] for k in (0, 1)))
-        columns = [c for c in columns if c in differ]
+            nulls = sum(r["old"] + r["new"] for r in rows if r["node"] is None)
+            within = sum(r["old"] for r in rows if r["node"] is not None)
+        rows = [r for r in rows if r["node"] is not None and r["unequal"]]
+        left = sum(r["old"] for r in rows)
+        same, within, unequal = same + within - left, left, [r["node"] for r in rows]
+        differ = {r["differ"] for r in rows}
+        columns = [c for i, c in enumerate(columns) if any(d[i] == "1" for d in differ)]
         if not unequal or len(unequal) > max_nodes:
             break
     counts = {"n": same + nulls, "only_new": nulls, "only_old": nulls}
@@ -97,15 +107,21 @@ def reconcile_tree(old: DataFrame, new: DataFrame, key: str, compare: list[str],
         return old.sparkSession.range(1).select(
             *[F.lit(v).cast("long").alias(c) for c, v in counts.items()],
             *[F.lit(0).cast("long").alias(f"{c}_diff") for c in compare])
-    part = reconcile(*[_in_nodes(df, hashed, fanout ** level, unequal) for df in (old, new)], key, columns)
+    part = reconcile(*_in_nodes([old, new], hashed, fanout ** level, unequal), key, columns)
     return part.select(
         *[(F.col(c) + F.lit(v).cast("long")).alias(c) for c, v in counts.items()],
         *[(F.col(f"{c}_diff") if c in columns else F.lit(0).cast("long")).alias(f"{c}_diff") for c in compare])
 
 
-def _in_nodes(df: DataFrame, hashed: Column, n: int, nodes: list[int]) -> DataFrame:
-    """The rows whose key falls into one of ``nodes`` of a level of ``n`` nodes."""
-    return df.where(F.col(df.columns[0]).isNotNull() & F.pmod(hashed, F.lit(n)).isin(nodes))
+def _in_nodes(sides: list[DataFrame], hashed: Column, n: int, nodes: list[int]) -> list[DataFrame]:
+    """The rows whose key falls into one of ``nodes`` of a level of ``n`` nodes.  A list of
+    literals costs the driver and every task time and memory per node; the broadcast holds
+    at most ``max_nodes * fanout`` numbers."""
+    known = [df.where(F.col(df.columns[0]).isNotNull()) for df in sides]
+    if len(nodes) == n:
+        return known
+    listed = sides[0].sparkSession.createDataFrame([(x,) for x in nodes], "__node long")
+    return [df.join(F.broadcast(listed), F.pmod(hashed, F.lit(n)) == F.col("__node"), "left_semi") for df in known]
 
 
 def assert_unique(df: DataFrame, keys: list[str]) -> None:

@@ -227,6 +227,29 @@ def test_reconcile_tree_equals_reconcile(spark):
     assert rows(O.reconcile_tree(other, new, "id", ["a", "b"])) == rows(O.reconcile(other, new, "id", ["a", "b"]))
 
 
+def test_reconcile_tree_has_no_list_of_nodes(spark):
+    # every row differs: thousands of unequal leaves; they were a list of literals, in the plan and in each task
+    old = spark.range(20_000).selectExpr("id", "id % 5 as a", "id as b")
+    part = old.selectExpr("id", "a + 1 as a", "b").where("id % 3 > 0")
+    some = old.selectExpr("id", "if(id < 3000, -1, a) as a", "b")
+    for new in (part, some):
+        tree = O.reconcile_tree(old, new, "id", ["a", "b"])
+        plan = tree._jdf.queryExecution().optimizedPlan().toString()
+        assert " INSET " not in plan and " IN (" not in plan and "LeftSemi" in plan
+        assert rows(tree) == rows(O.reconcile(old, new, "id", ["a", "b"]))
+    # all nodes of the last level differ: no node is picked
+    tree = O.reconcile_tree(old, part, "id", ["a", "b"], fanout=16, levels=2)
+    assert "LeftSemi" not in tree._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(tree) == [(20_000, 0, 6667, 13_333, 0)]
+
+
+def test_reconcile_tree_differing_types(spark):
+    # a column of other type hashes differently; its values are compared as the join compares them
+    old = spark.range(300).selectExpr("id", "cast(id % 5 as int) as a")
+    new = spark.range(300).selectExpr("id", "if(id = 7, 9, id % 5) as a")
+    assert rows(O.reconcile_tree(old, new, "id", ["a"])) == [(300, 0, 0, 1)]
+
+
 def test_reconcile(spark):
     old = spark.createDataFrame([(1, 1), (2, None), (3, 3)], "id int, upd int")
     new = spark.createDataFrame([(1, 1), (2, 2), (4, 4)], "id int, upd int")
